@@ -1,0 +1,265 @@
+"""DuckDB twins of the queries in ``__spark_entry__.queries()``.
+
+Each query's SQL is assembled from named common table expressions: ``r_*``
+are the raw extracts of ``tiers.sources.driver_tables`` and ``s_*`` the
+silver tables of ``tiers.plans.specs``, written independently in DuckDB's
+dialect. Views ``region nation customer ... conversations`` are registered
+by the caller.
+
+Dialect notes: DuckDB has no ``initcap``, so it is spelled out per word;
+``regexp_replace`` needs the ``'g'`` flag to replace every match;
+``try_strptime`` is the lenient date parse; Spark's ``ASC`` puts NULLs
+first, so every ordering says ``NULLS FIRST``.
+"""
+
+from __future__ import annotations
+
+
+def initcap(x: str) -> str:
+    return (f"array_to_string(list_transform(string_split({x}, ' '), "
+            f"lambda w: upper(left(w, 1)) || lower(substring(w, 2))), ' ')")
+
+
+def first_per_key(src: str, keys: list[str], order: list[str]) -> str:
+    part = ", ".join(keys)
+    ob = ", ".join(f"{c} ASC NULLS FIRST" for c in order)
+    return (f"SELECT * EXCLUDE (__rn) FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY {part} ORDER BY {ob}) AS __rn FROM {src}) WHERE __rn = 1")
+
+
+AW = "CAST(c_custkey + 10000000 AS VARCHAR)"
+DAY = "(DATE '2020-01-01' + CAST(floor(c_acctbal + 1000) AS INTEGER))"
+BORN = "(DATE '1940-01-01' + CAST(floor((c_acctbal + 1000) * 2) AS INTEGER))"
+BRAND = "lpad(split_part(p_brand, '#', 2), 2, '0')"
+
+CTE: dict[str, tuple[tuple[str, ...], str]] = {}
+
+CTE["r_crm_cust_info"] = ((), f"""
+SELECT CASE WHEN c_mktsegment = 'HOUSEHOLD' AND c_acctbal < 0 THEN NULL ELSE c_custkey END AS cst_id,
+       'AW' || {AW} AS cst_key,
+       ' ' || lower(c_mktsegment) || ' ' AS cst_firstname,
+       lower(replace(c_name, '#', ' ')) AS cst_lastname,
+       CASE c_mktsegment WHEN 'BUILDING' THEN ' s ' WHEN 'MACHINERY' THEN 'M'
+            WHEN 'AUTOMOBILE' THEN 'married' WHEN 'FURNITURE' THEN 'widowed' END AS cst_marital_status,
+       CASE WHEN c_acctbal < 0 THEN NULL WHEN c_nationkey < 10 THEN ' male'
+            WHEN c_nationkey < 20 THEN 'Female' ELSE '  ' END AS cst_gndr,
+       CASE WHEN c_mktsegment = 'FURNITURE' THEN strftime({DAY}, '%Y-%m-%d')
+            ELSE strftime({DAY}, '%m/%d/%Y') END AS cst_create_date
+FROM customer
+UNION ALL
+SELECT c_custkey, CASE WHEN c_nationkey < 12 THEN 'AW' ELSE 'AX' END || {AW}, c_mktsegment,
+       'resent', 'S', 'F', strftime({DAY} + 1, '%m/%d/%Y')
+FROM customer WHERE c_acctbal > 9000""")
+
+CTE["r_crm_prd_info"] = ((), f"""
+SELECT CASE WHEN p_size = 1 THEN NULL ELSE p_partkey END AS prd_id,
+       cat || '-' || pkey AS prd_key,
+       ' ' || p_name AS prd_nm,
+       lower(substring(p_type, 1, 1)) || ' ' AS prd_line,
+       CASE WHEN p_size = 2 THEN 'n/a' WHEN p_size = 3 THEN NULL WHEN p_size = 4 THEN '123456789.00'
+            ELSE cost END AS prd_cost
+FROM (SELECT *, upper(substring(p_type, 1, 2)) || '-' || {BRAND} AS cat,
+             'P' || CAST(p_partkey AS VARCHAR) AS pkey,
+             CAST(CAST(floor(p_retailprice * 1000 / 3) AS BIGINT) // 1000 AS VARCHAR) || '.' ||
+             lpad(CAST(CAST(floor(p_retailprice * 1000 / 3) AS BIGINT) % 1000 AS VARCHAR), 3, '0') AS cost
+      FROM part)
+UNION ALL
+SELECT p_partkey, 'XX-99-P' || CAST(p_partkey AS VARCHAR), p_name, 'X',
+       CAST(CAST(floor(p_retailprice * 1000 / 3) AS BIGINT) // 1000 AS VARCHAR) || '.' ||
+       lpad(CAST(CAST(floor(p_retailprice * 1000 / 3) AS BIGINT) % 1000 AS VARCHAR), 3, '0')
+FROM part WHERE p_size >= 49""")
+
+CTE["r_crm_sales_details"] = ((), """
+SELECT 'SO' || CAST(l_orderkey AS VARCHAR) AS sls_ord_num,
+       CASE WHEN l_linenumber = 7 AND l_returnflag = 'N' THEN NULL
+            ELSE 'P' || CAST(l_partkey AS VARCHAR) END AS sls_prd_key,
+       o_custkey AS sls_cust_id,
+       CAST(CASE WHEN l_linenumber = 6 THEN 0
+                 ELSE CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) END AS INTEGER) AS sls_order_dt,
+       CASE WHEN l_linestatus = 'O' AND l_linenumber = 5 THEN '5489'
+            ELSE strftime(l_shipdate, '%Y%m%d') END AS sls_ship_dt,
+       CAST(CASE WHEN l_returnflag = 'R' AND l_linenumber = 4 THEN year(l_shipdate) * 10000 + 1332
+                 ELSE CAST(strftime(CAST(l_shipdate AS DATE) + 30, '%Y%m%d') AS INTEGER) END AS INTEGER)
+            AS sls_due_dt,
+       CASE WHEN l_returnflag = 'A' THEN '$' || format('{:,}', cents // 100) || '.' ||
+                 lpad(CAST(cents % 100 AS VARCHAR), 2, '0')
+            WHEN l_returnflag = 'N' THEN amount
+            WHEN l_linenumber = 3 THEN NULL WHEN l_linenumber = 2 THEN 'n/a'
+            ELSE amount END AS sls_sales,
+       CASE WHEN l_linenumber = 1 AND l_returnflag = 'A' THEN 'x'
+            ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS sls_quantity,
+       CASE WHEN l_discount = 0 THEN '-' || unit ELSE unit END AS sls_price
+FROM (SELECT *, CAST(cents // 100 AS VARCHAR) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS amount,
+             CAST(ucents // 100 AS VARCHAR) || '.' || lpad(CAST(ucents % 100 AS VARCHAR), 2, '0') AS unit
+      FROM (SELECT *, CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) AS cents,
+                   CAST(floor(l_extendedprice * 100 / l_quantity + 0.5) AS BIGINT) AS ucents
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey))""")
+
+CTE["r_erp_cust_az12"] = ((), f"""
+SELECT CASE WHEN c_nationkey = 3 THEN '' ELSE 'NAS' END || 'AW' || {AW} AS CID,
+       CASE WHEN c_mktsegment = 'MACHINERY' AND c_acctbal < 0 THEN '0'
+            ELSE strftime({BORN}, '%Y-%m-%d') END AS BDATE,
+       CASE c_mktsegment WHEN 'BUILDING' THEN 'Male' WHEN 'MACHINERY' THEN 'F'
+            WHEN 'AUTOMOBILE' THEN ' female' WHEN 'FURNITURE' THEN '' END AS GEN
+FROM customer
+UNION ALL
+SELECT 'XXXAW' || {AW}, '1980-01-01', 'M' FROM customer WHERE c_acctbal > 9500""")
+
+CTE["r_erp_loc_a101"] = ((), f"""
+SELECT 'AW-' || {AW} AS CID,
+       CASE WHEN c_acctbal < 0 THEN NULL WHEN c_mktsegment = 'FURNITURE' THEN '  '
+            ELSE ' ' || lower(n_name) END AS CNTRY
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+UNION ALL
+SELECT 'AW' || {AW}, n_name
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 9500""")
+
+CTE["r_erp_px_cat_g1v2"] = ((), f"""
+SELECT CASE WHEN p_type = 'PROMO' THEN 'PM' ELSE upper(substring(p_type, 1, 2)) END || '_' || brand AS ID,
+       ' ' || lower(p_type) AS CAT,
+       'brand ' || brand || ' ' AS SUBCAT,
+       CASE WHEN CAST(brand AS INTEGER) <= 3 THEN 'yes' WHEN CAST(brand AS INTEGER) <= 6 THEN ' 0'
+            WHEN CAST(brand AS INTEGER) <= 9 THEN 'req' WHEN CAST(brand AS INTEGER) <= 12 THEN 'n'
+            WHEN CAST(brand AS INTEGER) <= 15 THEN 'None' WHEN CAST(brand AS INTEGER) <= 18 THEN NULL
+            WHEN CAST(brand AS INTEGER) <= 21 THEN 'sometimes' ELSE 'False' END AS MAINTENANCE
+FROM (SELECT DISTINCT p_type, {BRAND} AS brand FROM part)
+UNION ALL
+SELECT 'SM-' || brand, 'small parts', brand, 'Y'
+FROM (SELECT DISTINCT p_type, {BRAND} AS brand FROM part) WHERE p_type = 'SMALL'""")
+
+# ---- silver ------------------------------------------------------------
+
+CUST_ORDER = ["cst_id", "cst_firstname", "cst_lastname", "cst_marital_status", "cst_gndr",
+              "cst_create_date"]
+CTE["d_crm_cust_info"] = (("r_crm_cust_info",), first_per_key(
+    "(SELECT * FROM r_crm_cust_info WHERE cst_id IS NOT NULL AND cst_key IS NOT NULL)",
+    ["cst_key"], CUST_ORDER))
+CTE["s_crm_cust_info"] = (("d_crm_cust_info",), f"""
+SELECT cst_id, cst_key,
+       {initcap('trim(cst_firstname)')} AS cst_firstname,
+       {initcap('trim(cst_lastname)')} AS cst_lastname,
+       CASE WHEN starts_with(lower(trim(cst_marital_status)), 's') THEN 'Single'
+            WHEN starts_with(lower(trim(cst_marital_status)), 'm') THEN 'Married'
+            ELSE 'Unknown' END AS cst_marital_status,
+       CASE WHEN cst_gndr IS NOT NULL THEN upper(substring(trim(cst_gndr), 1, 1))
+            ELSE 'Unknown' END AS cst_gndr,
+       CAST(try_strptime(cst_create_date, '%m/%d/%Y') AS DATE) AS cst_create_date
+FROM d_crm_cust_info""")
+
+CTE["d_prd_info"] = (("r_crm_prd_info",), first_per_key(
+    "(SELECT * FROM r_crm_prd_info WHERE prd_id IS NOT NULL AND prd_key IS NOT NULL)",
+    ["prd_key"], ["prd_id", "prd_nm", "prd_line", "prd_cost"]))
+CTE["s_prd_info"] = (("d_prd_info",), f"""
+SELECT substring(prd_key, 7, length(prd_key)) AS prd_id, prd_key,
+       {initcap('trim(prd_nm)')} AS prd_nm,
+       upper(trim(prd_line)) AS prd_line,
+       TRY_CAST(prd_cost AS DECIMAL(10,2)) AS prd_cost,
+       substring(prd_key, 1, 5) AS cat_id
+FROM d_prd_info""")
+
+
+def _ymd(c: str) -> str:
+    return f"CAST(try_strptime(CAST({c} AS VARCHAR), '%Y%m%d') AS DATE)"
+
+
+def _money(c: str) -> str:
+    return f"TRY_CAST(regexp_replace(CAST({c} AS VARCHAR), '[$,]', '', 'g') AS DECIMAL(10,2))"
+
+
+CTE["d_sales_details"] = (("r_crm_sales_details",), first_per_key(
+    "(SELECT * FROM r_crm_sales_details WHERE sls_ord_num IS NOT NULL AND sls_prd_key IS NOT NULL "
+    "AND sls_cust_id IS NOT NULL)",
+    ["sls_ord_num", "sls_prd_key"],
+    ["sls_cust_id", "sls_order_dt", "sls_ship_dt", "sls_due_dt", "sls_sales", "sls_quantity",
+     "sls_price"]))
+CTE["s_sales_details"] = (("d_sales_details",), f"""
+SELECT sls_ord_num, sls_prd_key, sls_cust_id,
+       {_ymd('sls_order_dt')} AS sls_order_dt,
+       {_ymd('sls_ship_dt')} AS sls_ship_dt,
+       {_ymd('sls_due_dt')} AS sls_due_dt,
+       {_money('sls_sales')} AS sls_sales,
+       TRY_CAST(sls_quantity AS INTEGER) AS sls_quantity,
+       {_money('sls_price')} AS sls_price
+FROM d_sales_details""")
+
+CTE["d_erp_cust_az12"] = (("r_erp_cust_az12",), first_per_key(
+    "(SELECT * FROM r_erp_cust_az12 WHERE CID IS NOT NULL)", ["CID"], ["BDATE", "GEN"]))
+CTE["s_erp_cust_az12"] = (("d_erp_cust_az12",), """
+SELECT substring(CID, 4, length(CID)) AS CID,
+       CAST(try_strptime(CAST(BDATE AS VARCHAR), '%Y-%m-%d') AS DATE) AS BDATE,
+       upper(substring(trim(GEN), 1, 1)) AS GEN
+FROM d_erp_cust_az12""")
+
+CTE["d_loc_a101"] = (("r_erp_loc_a101",), first_per_key(
+    "(SELECT * FROM r_erp_loc_a101 WHERE CID IS NOT NULL)", ["CID"], ["CNTRY"]))
+CTE["s_loc_a101"] = (("d_loc_a101",), """
+SELECT regexp_replace(CID, '-', '', 'g') AS CID,
+       coalesce(upper(trim(CNTRY)), 'UNKNOWN') AS CNTRY
+FROM d_loc_a101""")
+
+CTE["d_erp_px_cat_g1v2"] = (("r_erp_px_cat_g1v2",), first_per_key(
+    "(SELECT * FROM r_erp_px_cat_g1v2 WHERE ID IS NOT NULL)", ["ID"], ["CAT", "SUBCAT", "MAINTENANCE"]))
+CTE["s_erp_px_cat_g1v2"] = (("d_erp_px_cat_g1v2",), """
+SELECT regexp_replace(ID, '_', '-', 'g') AS ID,
+       upper(trim(CAT)) AS CAT,
+       upper(trim(SUBCAT)) AS SUBCAT,
+       coalesce(CASE WHEN upper(trim(MAINTENANCE)) IN ('Y', '1', 'TRUE', 'YES', 'REQ') THEN 'YES'
+                     WHEN upper(trim(MAINTENANCE)) IN ('N', '0', 'FALSE', 'NO', 'NONE') THEN 'NO'
+                     ELSE upper(trim(MAINTENANCE)) END, 'UNKNOWN') AS MAINTENANCE
+FROM d_erp_px_cat_g1v2""")
+
+# ---- gold --------------------------------------------------------------
+
+CTE["g_dim_customer"] = (("s_crm_cust_info", "s_erp_cust_az12", "s_loc_a101"), """
+SELECT c.cst_id AS customer_id, c.cst_firstname AS first_name, c.cst_lastname AS last_name,
+       c.cst_marital_status AS marital_status, c.cst_gndr AS crm_gender, a.GEN AS erp_gender,
+       a.BDATE AS birth_date, l.CNTRY AS country
+FROM s_crm_cust_info c
+LEFT JOIN s_erp_cust_az12 a ON c.cst_key = a.CID
+LEFT JOIN s_loc_a101 l ON c.cst_key = l.CID""")
+
+CTE["g_dim_product"] = (("s_prd_info", "s_erp_px_cat_g1v2"), """
+SELECT p.prd_key AS product_key, p.prd_nm AS product_name, p.prd_cost AS cost, p.prd_line AS line,
+       p.cat_id AS category_id, k.CAT AS category_name, k.SUBCAT AS subcategory_name
+FROM s_prd_info p LEFT JOIN s_erp_px_cat_g1v2 k ON p.cat_id = k.ID""")
+
+CTE["g_fact_sales"] = (("s_sales_details", "s_prd_info", "s_crm_cust_info"), """
+SELECT s.sls_ord_num AS order_number, s.sls_prd_key AS product_key, s.sls_cust_id AS customer_id,
+       s.sls_order_dt AS order_date, s.sls_sales AS sales_amount, s.sls_quantity AS quantity,
+       s.sls_price AS price
+FROM s_sales_details s
+LEFT JOIN s_prd_info p ON s.sls_prd_key = p.prd_id
+LEFT JOIN s_crm_cust_info c ON s.sls_cust_id = c.cst_id""")
+
+
+def with_ctes(body: str, *names: str) -> str:
+    """``WITH`` the named CTEs (and their inputs, in dependency order) + body."""
+    order: list[str] = []
+
+    def visit(n: str) -> None:
+        if n in order:
+            return
+        for dep in CTE[n][0]:
+            visit(dep)
+        order.append(n)
+
+    for n in names:
+        visit(n)
+    if not order:
+        return body.strip()
+    parts = ",\n".join(f"{n} AS ({CTE[n][1].strip()})" for n in order)
+    return f"WITH {parts}\n{body.strip()}"
+
+
+SQL: dict[str, str] = {}
+
+
+def q(name: str, body: str, *ctes: str) -> None:
+    SQL[name] = with_ctes(body, *ctes)
+
+
+q("fact_sales", "SELECT * FROM g_fact_sales", "g_fact_sales")
+q("dim_customer", "SELECT * FROM g_dim_customer", "g_dim_customer")
+q("dim_product", "SELECT * FROM g_dim_product", "g_dim_product")
+for _t in ("crm_cust_info", "prd_info", "sales_details", "erp_cust_az12", "loc_a101", "erp_px_cat_g1v2"):
+    q(f"silver_{_t}", f"SELECT * FROM s_{_t}", f"s_{_t}")
