@@ -263,3 +263,270 @@ q("dim_customer", "SELECT * FROM g_dim_customer", "g_dim_customer")
 q("dim_product", "SELECT * FROM g_dim_product", "g_dim_product")
 for _t in ("crm_cust_info", "prd_info", "sales_details", "erp_cust_az12", "loc_a101", "erp_px_cat_g1v2"):
     q(f"silver_{_t}", f"SELECT * FROM s_{_t}", f"s_{_t}")
+
+# ---- more gold / silver variants ---------------------------------------
+
+q("dim_customer_unique", f"""
+SELECT c.cst_id AS customer_id, c.cst_firstname AS first_name, c.cst_lastname AS last_name,
+       c.cst_marital_status AS marital_status, c.cst_gndr AS crm_gender, a.GEN AS erp_gender,
+       a.BDATE AS birth_date, l.CNTRY AS country
+FROM s_crm_cust_info c
+LEFT JOIN ({first_per_key('s_erp_cust_az12', ['CID'], ['GEN', 'BDATE'])}) a ON c.cst_key = a.CID
+LEFT JOIN ({first_per_key('s_loc_a101', ['CID'], ['CNTRY'])}) l ON c.cst_key = l.CID""",
+  "s_crm_cust_info", "s_erp_cust_az12", "s_loc_a101")
+
+q("dim_product_code", """
+SELECT p.prd_key AS product_key, p.prd_nm AS product_name, p.prd_cost AS cost, p.prd_line AS line,
+       p.cat_id AS category_id, k.CAT AS category_name, k.SUBCAT AS subcategory_name,
+       p.prd_id AS product_code
+FROM s_prd_info p LEFT JOIN s_erp_px_cat_g1v2 k ON p.cat_id = k.ID""", "s_prd_info", "s_erp_px_cat_g1v2")
+
+q("silver_loc_a101_unique", first_per_key(
+    "(SELECT regexp_replace(CID, '-', '', 'g') AS CID, coalesce(upper(trim(CNTRY)), 'UNKNOWN') AS CNTRY "
+    "FROM r_erp_loc_a101 WHERE CID IS NOT NULL)", ["CID"], ["CNTRY"]), "r_erp_loc_a101")
+
+# ---- column rules --------------------------------------------------------
+
+q("title_code", f"""
+SELECT cst_key, {initcap('trim(cst_firstname)')} AS first_name, {initcap('trim(cst_lastname)')} AS last_name,
+       trim(cst_firstname) AS first_trimmed, upper(trim(cst_marital_status)) AS marital_code,
+       lower(trim(cst_gndr)) AS gender_folded
+FROM r_crm_cust_info""", "r_crm_cust_info")
+
+q("initial", """
+SELECT CID, GEN, upper(substring(trim(GEN), 1, 1)) AS gen_letter,
+       CASE WHEN GEN IS NOT NULL THEN upper(substring(trim(GEN), 1, 1)) ELSE 'Unknown' END AS gen_or_unknown
+FROM r_erp_cust_az12""", "r_erp_cust_az12")
+
+q("by_prefix", """
+SELECT cst_key, cst_marital_status,
+       CASE WHEN starts_with(lower(trim(cst_marital_status)), 's') THEN 'Single'
+            WHEN starts_with(lower(trim(cst_marital_status)), 'm') THEN 'Married'
+            ELSE 'Unknown' END AS marital_status
+FROM r_crm_cust_info""", "r_crm_cust_info")
+
+q("by_value", """
+SELECT ID, MAINTENANCE,
+       CASE WHEN upper(trim(MAINTENANCE)) IN ('Y', '1', 'TRUE', 'YES', 'REQ') THEN 'YES'
+            WHEN upper(trim(MAINTENANCE)) IN ('N', '0', 'FALSE', 'NO', 'NONE') THEN 'NO'
+            ELSE upper(trim(MAINTENANCE)) END AS maintenance
+FROM r_erp_px_cat_g1v2""", "r_erp_px_cat_g1v2")
+
+q("default_fill", "SELECT CID, coalesce(upper(trim(CNTRY)), 'UNKNOWN') AS CNTRY FROM r_erp_loc_a101",
+  "r_erp_loc_a101")
+
+q("key_split", """
+SELECT prd_key, substring(prd_key, 1, 5) AS cat_id, substring(prd_key, 7, length(prd_key)) AS product_code
+FROM r_crm_prd_info""", "r_crm_prd_info")
+
+q("strip_prefix", """
+SELECT CID, substring(CID, 4, length(CID)) AS cid_cut,
+       CASE WHEN starts_with(CID, 'NAS') THEN substring(CID, 4, length(CID)) ELSE CID END AS cid_checked
+FROM r_erp_cust_az12""", "r_erp_cust_az12")
+
+q("key_remove", "SELECT CID, regexp_replace(CID, '-', '', 'g') AS cid_clean FROM r_erp_loc_a101",
+  "r_erp_loc_a101")
+q("key_replace", "SELECT ID, regexp_replace(ID, '_', '-', 'g') AS id_clean FROM r_erp_px_cat_g1v2",
+  "r_erp_px_cat_g1v2")
+
+q("money", f"""
+SELECT sls_ord_num, sls_prd_key, sls_sales, sls_price, {_money('sls_sales')} AS sales_amount,
+       {_money('sls_price')} AS price
+FROM r_crm_sales_details""", "r_crm_sales_details")
+
+q("decimal_cast", "SELECT prd_key, prd_cost, TRY_CAST(prd_cost AS DECIMAL(10,2)) AS cost FROM r_crm_prd_info",
+  "r_crm_prd_info")
+q("int_cast", """SELECT sls_ord_num, sls_prd_key, sls_quantity, TRY_CAST(sls_quantity AS INTEGER) AS quantity
+FROM r_crm_sales_details""", "r_crm_sales_details")
+
+q("date_compact", f"""
+SELECT sls_ord_num, sls_prd_key, {_ymd('sls_order_dt')} AS order_date, {_ymd('sls_ship_dt')} AS ship_date,
+       {_ymd('sls_due_dt')} AS due_date
+FROM r_crm_sales_details""", "r_crm_sales_details")
+q("date_us", """SELECT cst_key, cst_create_date,
+       CAST(try_strptime(cst_create_date, '%m/%d/%Y') AS DATE) AS create_date FROM r_crm_cust_info""",
+  "r_crm_cust_info")
+q("date_iso", """SELECT CID, BDATE, CAST(try_strptime(BDATE, '%Y-%m-%d') AS DATE) AS birth_date
+FROM r_erp_cust_az12""", "r_erp_cust_az12")
+
+# ---- keys and dedup ------------------------------------------------------
+
+SALES_REST = ["sls_cust_id", "sls_order_dt", "sls_ship_dt", "sls_due_dt", "sls_sales", "sls_quantity",
+              "sls_price"]
+q("require_keys", """SELECT * FROM r_crm_sales_details
+WHERE sls_ord_num IS NOT NULL AND sls_prd_key IS NOT NULL AND sls_cust_id IS NOT NULL""",
+  "r_crm_sales_details")
+q("dedupe_single", first_per_key("r_crm_cust_info", ["cst_key"], CUST_ORDER), "r_crm_cust_info")
+q("dedupe_pair", first_per_key("r_crm_sales_details", ["sls_ord_num", "sls_prd_key"], SALES_REST),
+  "r_crm_sales_details")
+q("dedupe_latest", """
+SELECT * EXCLUDE (__rn) FROM (SELECT *, row_number() OVER (PARTITION BY sls_ord_num, sls_prd_key
+  ORDER BY sls_ship_dt DESC NULLS LAST, sls_cust_id ASC NULLS FIRST, sls_order_dt ASC NULLS FIRST,
+           sls_due_dt ASC NULLS FIRST, sls_sales ASC NULLS FIRST, sls_quantity ASC NULLS FIRST,
+           sls_price ASC NULLS FIRST) AS __rn
+  FROM r_crm_sales_details) WHERE __rn = 1""", "r_crm_sales_details")
+
+q("lookup_orders", """
+SELECT s.sls_ord_num, s.sls_prd_key, s.sls_cust_id, c.cst_lastname AS customer_name
+FROM s_sales_details s LEFT JOIN s_crm_cust_info c ON s.sls_cust_id = c.cst_id""",
+  "s_sales_details", "s_crm_cust_info")
+
+# ---- checks --------------------------------------------------------------
+
+q("count_all", "SELECT count(*) AS n_rows FROM g_fact_sales", "g_fact_sales")
+q("null_counts", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM s_sales_details"
+    for c in ["sls_ord_num", "sls_prd_key"] + SALES_REST), "s_sales_details")
+q("find_eq", "SELECT * FROM s_crm_cust_info WHERE cst_marital_status = 'Married'", "s_crm_cust_info")
+q("find_id", "SELECT * FROM r_crm_cust_info WHERE cst_id = 42", "r_crm_cust_info")
+q("find_gt", "SELECT * FROM g_fact_sales WHERE quantity > 1", "g_fact_sales")
+q("find_null", "SELECT * FROM s_sales_details WHERE sls_sales IS NULL", "s_sales_details")
+q("null_gender_count", "SELECT count(*) AS n_rows FROM r_crm_cust_info WHERE cst_gndr IS NULL",
+  "r_crm_cust_info")
+q("sample", "SELECT * FROM g_fact_sales ORDER BY order_number, product_key LIMIT 10", "g_fact_sales")
+q("orphans", """
+SELECT s.sls_ord_num, s.sls_prd_key, s.sls_cust_id FROM s_sales_details s
+WHERE NOT EXISTS (SELECT 1 FROM s_prd_info p WHERE p.prd_id = s.sls_prd_key)""",
+  "s_sales_details", "s_prd_info")
+q("orphan_categories", """
+SELECT p.prd_key, p.cat_id FROM s_prd_info p
+WHERE NOT EXISTS (SELECT 1 FROM s_erp_px_cat_g1v2 k WHERE k.ID = p.cat_id)""",
+  "s_prd_info", "s_erp_px_cat_g1v2")
+q("unique_key", "SELECT CID, count(*) AS n_rows FROM s_loc_a101 GROUP BY CID HAVING count(*) > 1",
+  "s_loc_a101")
+q("reconcile", """
+SELECT 'raw' AS stage, count(*) AS n_rows FROM r_crm_sales_details
+UNION ALL SELECT 'keyed', count(*) FROM r_crm_sales_details
+  WHERE sls_ord_num IS NOT NULL AND sls_prd_key IS NOT NULL AND sls_cust_id IS NOT NULL
+UNION ALL SELECT 'silver', count(*) FROM s_sales_details
+UNION ALL SELECT 'gold', count(*) FROM g_fact_sales""", "r_crm_sales_details", "s_sales_details",
+  "g_fact_sales")
+q("fact_fanout", """SELECT order_number, product_key, count(*) AS copies FROM g_fact_sales
+GROUP BY order_number, product_key HAVING count(*) > 1""", "g_fact_sales")
+q("lost_values", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE d.{c} IS NOT NULL AND s.{c} IS NULL) AS n_lost "
+    f"FROM d_sales_details d JOIN s_sales_details s USING (sls_ord_num, sls_prd_key)"
+    for c in ["sls_order_dt", "sls_ship_dt", "sls_due_dt", "sls_sales", "sls_quantity", "sls_price"]),
+  "d_sales_details", "s_sales_details")
+
+# ---- files, ingest, catalog ---------------------------------------------
+# Landing layout written by tiers.plans.landing (stamps are fixed values).
+
+STAMP, OLD = "20260101000000", "20251231000000"
+LANDING = [("crm", f"{OLD}_cust_info.csv"), ("crm", f"{STAMP}_cust_info.csv"),
+           ("crm", f"{STAMP}_prd_info.csv"), ("crm", f"{STAMP}_sales_details.csv"),
+           ("crm", f"{STAMP}_empty-file.csv"), ("erp", f"{STAMP}_cust_az12.csv"),
+           ("erp", f"{STAMP}_loc_a101.csv"), ("erp", f"{STAMP}_px_cat_g1v2.csv"),
+           ("erp", f"{STAMP}_loc a101-bad.csv")]
+
+
+def _table(subset: str, name: str, strip: bool = True) -> str:
+    import re
+    stem = name[:-4]
+    if strip:
+        stem = re.sub(r"^[0-9]+_", "", stem).replace("-", "_").replace(" ", "_")
+    return f"{subset}_{stem}"
+
+
+def _values(rows) -> str:
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, bool):
+            return "TRUE" if v else "FALSE"
+        if isinstance(v, str) and v.startswith("("):
+            return v
+        return "'" + str(v).replace("'", "''") + "'"
+    return " UNION ALL ".join("SELECT " + ", ".join(
+        f"{lit(v)} AS {n}" for n, v in r) for r in rows)
+
+
+q("ingest_csv", f"""
+SELECT CAST(cst_id AS INTEGER) AS cst_id, cst_key, cst_firstname, cst_lastname, cst_marital_status,
+       cst_gndr, cst_create_date, '{STAMP}_cust_info.csv' AS _source_file
+FROM r_crm_cust_info""", "r_crm_cust_info")
+q("ingest_csv_strings", """
+SELECT sls_ord_num, sls_prd_key, CAST(sls_cust_id AS VARCHAR) AS sls_cust_id,
+       CAST(sls_order_dt AS VARCHAR) AS sls_order_dt, sls_ship_dt, CAST(sls_due_dt AS VARCHAR) AS sls_due_dt,
+       sls_sales, sls_quantity, sls_price
+FROM r_crm_sales_details""", "r_crm_sales_details")
+q("ingest_csv_schema", "SELECT CID, BDATE, NULLIF(GEN, '') AS GEN FROM r_erp_cust_az12", "r_erp_cust_az12")
+q("peek_text", """SELECT ID || ',' || CAT || ',' || SUBCAT || ',' || coalesce(MAINTENANCE, '') AS value
+FROM r_erp_px_cat_g1v2""", "r_erp_px_cat_g1v2")
+q("list_files", _values([[("subset", s), ("name", n), ("is_dir", True)] for s, n in LANDING]))
+q("table_name", _values([[("subset", s), ("name", n), ("table_name", _table(s, n)),
+                          ("table_name_stamped", _table(s, n, False))] for s, n in LANDING]))
+q("latest_files", _values([[("subset", s), ("name", n), ("table_name", _table(s, n))]
+                           for s, n in LANDING if not n.startswith(OLD)]))
+
+_COUNT = {"cust_info": "r_crm_cust_info", "prd_info": "r_crm_prd_info",
+          "sales_details": "r_crm_sales_details", "cust_az12": "r_erp_cust_az12",
+          "loc_a101": "r_erp_loc_a101", "px_cat_g1v2": "r_erp_px_cat_g1v2"}
+
+
+def _report_rows():
+    rows = []
+    for s, n in LANDING:
+        stem = n[len(STAMP) + 1:-4]
+        t = _table(s, n)
+        if n.startswith(OLD):
+            status, cnt = "superseded", None
+        elif stem == "empty-file":
+            status, cnt = "empty", "(CAST(0 AS BIGINT))"
+        elif stem == "loc a101-bad":
+            status, cnt = "failed", None
+        else:
+            status, cnt = "ok", f"(SELECT count(*) FROM {_COUNT[stem]})"
+        rows.append([("subset", s), ("file_name", n), ("table_name", t), ("status", status),
+                     ("rows", cnt if cnt else "(CAST(NULL AS BIGINT))")])
+    rows.append([("subset", "hr"), ("file_name", "(CAST(NULL AS VARCHAR))"),
+                 ("table_name", "(CAST(NULL AS VARCHAR))"), ("status", "unreadable"),
+                 ("rows", "(CAST(NULL AS BIGINT))")])
+    return rows
+
+
+q("ingest_report", _values(_report_rows()), *_COUNT.values())
+
+# The stored pipeline reads the exports back with type inference: ship dates
+# become integers and unit prices doubles, which changes which duplicate the
+# repeatable dedup keeps (trap T1); these CTEs carry the inferred types.
+CTE["c_crm_sales_details"] = (("r_crm_sales_details",), """
+SELECT sls_ord_num, sls_prd_key, CAST(sls_cust_id AS INTEGER) AS sls_cust_id, sls_order_dt,
+       CAST(sls_ship_dt AS INTEGER) AS sls_ship_dt, sls_due_dt, sls_sales, sls_quantity,
+       CAST(sls_price AS DOUBLE) AS sls_price
+FROM r_crm_sales_details""")
+CTE["cd_sales_details"] = (("c_crm_sales_details",), first_per_key(
+    "(SELECT * FROM c_crm_sales_details WHERE sls_ord_num IS NOT NULL AND sls_prd_key IS NOT NULL "
+    "AND sls_cust_id IS NOT NULL)", ["sls_ord_num", "sls_prd_key"], SALES_REST))
+CTE["cs_sales_details"] = (("cd_sales_details",), f"""
+SELECT sls_ord_num, sls_prd_key, sls_cust_id,
+       {_ymd('sls_order_dt')} AS sls_order_dt, {_ymd('sls_ship_dt')} AS sls_ship_dt,
+       {_ymd('sls_due_dt')} AS sls_due_dt, {_money('sls_sales')} AS sls_sales,
+       TRY_CAST(sls_quantity AS INTEGER) AS sls_quantity, {_money('sls_price')} AS sls_price
+FROM cd_sales_details""")
+q("pipeline_fact_sales", """
+SELECT s.sls_ord_num AS order_number, s.sls_prd_key AS product_key, s.sls_cust_id AS customer_id,
+       s.sls_order_dt AS order_date, s.sls_sales AS sales_amount, s.sls_quantity AS quantity,
+       s.sls_price AS price
+FROM cs_sales_details s
+LEFT JOIN s_prd_info p ON s.sls_prd_key = p.prd_id
+LEFT JOIN s_crm_cust_info c ON s.sls_cust_id = c.cst_id""", "cs_sales_details", "s_prd_info", "s_crm_cust_info")
+q("pipeline_dim_customer", """
+SELECT CAST(customer_id AS INTEGER) AS customer_id, first_name, last_name, marital_status, crm_gender,
+       NULLIF(erp_gender, '') AS erp_gender, birth_date, country FROM g_dim_customer""", "g_dim_customer")
+q("pipeline_dim_product", "SELECT * FROM g_dim_product", "g_dim_product")
+q("query_table", "SELECT * FROM g_dim_product WHERE category_name = 'ECONOMY'", "g_dim_product")
+q("save_read_table", "SELECT * FROM s_erp_px_cat_g1v2", "s_erp_px_cat_g1v2")
+_N_CUST = "(SELECT count(*) FROM s_crm_cust_info)"
+q("schema_guard", _values([
+    [("step", "first write"), ("outcome", "ok"), ("n_rows", _N_CUST)],
+    [("step", "same schema"), ("outcome", "ok"), ("n_rows", _N_CUST)],
+    [("step", "changed type"), ("outcome", "refused"), ("n_rows", "(CAST(NULL AS BIGINT))")],
+    [("step", "after refusal"), ("outcome", "kept"), ("n_rows", _N_CUST)]]), "s_crm_cust_info")
+q("catalog_list", _values(
+    [[("table_name", t), ("column_name", c), ("n_planned", "(CAST(2 AS BIGINT))"),
+      ("n_dropped", "(CAST(2 AS BIGINT))"), ("n_left", "(CAST(0 AS BIGINT))")]
+     for t, cols in (("prd_info", ["prd_id", "prd_key", "prd_nm", "prd_line", "prd_cost", "cat_id"]),
+                     ("erp_px_cat_g1v2", ["ID", "CAT", "SUBCAT", "MAINTENANCE"]))
+     for c in cols]))
+q("stream_ingest", "SELECT CID, CNTRY FROM r_erp_loc_a101", "r_erp_loc_a101")

@@ -1,16 +1,27 @@
 """The registered queries: one per operator group of SURVEY section 2.
 
-Each takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the whole
-driver tables. Audit timestamps are left out (they differ per run).
+Each takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+driver tables (or CSV exports Spark wrote from them). Audit timestamps are
+left out, since they differ per run. Queries of the file and catalog
+operators write their inputs first (landing CSVs, tables) under the shared
+checkpoint folder; that work is cached per session and data folder.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tiers.plans import layers
+from tiers.functions import audit, parse, text
+from tiers.operators import checks, clean, model
+from tiers.plans import bronze, gold, landing, layers, pipeline
+from tiers.plans.specs import MAINTENANCE_NO, MAINTENANCE_YES, MARITAL_PREFIXES
+from tiers.session import shared_dir
+from tiers.sources import catalog, driver_tables, files
+from tiers.streaming import ingest as stream_ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -22,6 +33,10 @@ def register(name: str):
     return deco
 
 
+def _raw(spark, sf_dir, name) -> DataFrame:
+    return driver_tables.raw(spark, sf_dir, name)
+
+
 # ---- gold (D7-D9, J1-J5, P2) -------------------------------------------
 
 @register("fact_sales")
@@ -39,6 +54,18 @@ def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.gold_table(spark, sf_dir, "dim_product")
 
 
+@register("dim_customer_unique")
+def dim_customer_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dim_customer with one ERP row per key (lookup ``on_duplicate='dedupe'``, T10)."""
+    return layers.gold_table(spark, sf_dir, "dim_customer", on_duplicate="dedupe")
+
+
+@register("dim_product_code")
+def dim_product_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dim_product plus the short product key the fact carries."""
+    return layers.gold_table(spark, sf_dir, "dim_product", with_product_code=True)
+
+
 # ---- silver (D1-D6) -----------------------------------------------------
 
 def _silver(name: str):
@@ -51,3 +78,435 @@ def _silver(name: str):
 for _name in ("crm_cust_info", "prd_info", "sales_details", "erp_cust_az12", "loc_a101",
               "erp_px_cat_g1v2"):
     register(f"silver_{_name}")(_silver(_name))
+
+
+@register("silver_loc_a101_unique")
+def silver_loc_a101_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """loc_a101 with the dedup after the key rewrite: the final key is unique (T2 fix)."""
+    return layers.silver_table(spark, sf_dir, "loc_a101", dedupe_after_rules=True)
+
+
+# ---- column rules (C1-C23, P6-P7, F6-F8) --------------------------------
+
+@register("title_code")
+def title_code(spark, sf_dir):
+    r = _raw(spark, sf_dir, "crm_cust_info")
+    return r.select("cst_key", text.title("cst_firstname").alias("first_name"),
+                    text.title("cst_lastname").alias("last_name"),
+                    text.trimmed("cst_firstname").alias("first_trimmed"),
+                    text.code("cst_marital_status").alias("marital_code"),
+                    text.folded("cst_gndr").alias("gender_folded"))
+
+
+@register("initial")
+def initial(spark, sf_dir):
+    r = _raw(spark, sf_dir, "erp_cust_az12")
+    return r.select("CID", "GEN", text.initial("GEN").alias("gen_letter"),
+                    text.initial("GEN", default="Unknown").alias("gen_or_unknown"))
+
+
+@register("by_prefix")
+def by_prefix(spark, sf_dir):
+    r = _raw(spark, sf_dir, "crm_cust_info")
+    return r.select("cst_key", "cst_marital_status",
+                    text.by_prefix("cst_marital_status", MARITAL_PREFIXES, "Unknown").alias("marital_status"))
+
+
+@register("by_value")
+def by_value(spark, sf_dir):
+    r = _raw(spark, sf_dir, "erp_px_cat_g1v2")
+    return r.select("ID", "MAINTENANCE", text.by_value(
+        text.code("MAINTENANCE"), {"YES": MAINTENANCE_YES, "NO": MAINTENANCE_NO}).alias("maintenance"))
+
+
+@register("default_fill")
+def default_fill(spark, sf_dir):
+    r = _raw(spark, sf_dir, "erp_loc_a101").withColumn("CNTRY", text.code("CNTRY"))
+    return clean.fill_default(r, {"CNTRY": "UNKNOWN"})
+
+
+@register("key_split")
+def key_split(spark, sf_dir):
+    r = _raw(spark, sf_dir, "crm_prd_info")
+    return r.select("prd_key", text.key_prefix("prd_key", 5).alias("cat_id"),
+                    text.key_suffix("prd_key", 7).alias("product_code"))
+
+
+@register("strip_prefix")
+def strip_prefix(spark, sf_dir):
+    r = _raw(spark, sf_dir, "erp_cust_az12")
+    return r.select("CID", text.strip_prefix("CID", 3).alias("cid_cut"),
+                    text.strip_prefix("CID", 3, only_if="NAS").alias("cid_checked"))
+
+
+@register("key_remove")
+def key_remove(spark, sf_dir):
+    r = _raw(spark, sf_dir, "erp_loc_a101")
+    return r.select("CID", text.remove("CID", "-").alias("cid_clean"))
+
+
+@register("key_replace")
+def key_replace(spark, sf_dir):
+    r = _raw(spark, sf_dir, "erp_px_cat_g1v2")
+    return r.select("ID", text.replace("ID", "_", "-").alias("id_clean"))
+
+
+@register("money")
+def money(spark, sf_dir):
+    r = _raw(spark, sf_dir, "crm_sales_details")
+    return r.select("sls_ord_num", "sls_prd_key", "sls_sales", "sls_price",
+                    parse.money("sls_sales").alias("sales_amount"),
+                    parse.money("sls_price").alias("price"))
+
+
+@register("decimal_cast")
+def decimal_cast(spark, sf_dir):
+    r = _raw(spark, sf_dir, "crm_prd_info")
+    return r.select("prd_key", "prd_cost", parse.to_decimal("prd_cost", 10, 2).alias("cost"))
+
+
+@register("int_cast")
+def int_cast(spark, sf_dir):
+    r = _raw(spark, sf_dir, "crm_sales_details")
+    return r.select("sls_ord_num", "sls_prd_key", "sls_quantity",
+                    parse.to_int("sls_quantity").alias("quantity"))
+
+
+@register("date_compact")
+def date_compact(spark, sf_dir):
+    r = _raw(spark, sf_dir, "crm_sales_details")
+    return r.select("sls_ord_num", "sls_prd_key",
+                    parse.to_date("sls_order_dt", "yyyyMMdd").alias("order_date"),
+                    parse.to_date("sls_ship_dt", "yyyyMMdd").alias("ship_date"),
+                    parse.to_date("sls_due_dt", "yyyyMMdd").alias("due_date"))
+
+
+@register("date_us")
+def date_us(spark, sf_dir):
+    r = _raw(spark, sf_dir, "crm_cust_info")
+    return r.select("cst_key", "cst_create_date",
+                    parse.to_date("cst_create_date", "MM/dd/yyyy").alias("create_date"))
+
+
+@register("date_iso")
+def date_iso(spark, sf_dir):
+    r = _raw(spark, sf_dir, "erp_cust_az12")
+    return r.select("CID", "BDATE", parse.to_date("BDATE", "yyyy-MM-dd").alias("birth_date"))
+
+
+# ---- keys and dedup (F1, A4, A5, T1) -----------------------------------
+
+@register("require_keys")
+def require_keys(spark, sf_dir):
+    return clean.require_keys(_raw(spark, sf_dir, "crm_sales_details"),
+                              ["sls_ord_num", "sls_prd_key", "sls_cust_id"])
+
+
+@register("dedupe_single")
+def dedupe_single(spark, sf_dir):
+    return clean.dedupe(_raw(spark, sf_dir, "crm_cust_info"), ["cst_key"])
+
+
+@register("dedupe_pair")
+def dedupe_pair(spark, sf_dir):
+    return clean.dedupe(_raw(spark, sf_dir, "crm_sales_details"), ["sls_ord_num", "sls_prd_key"])
+
+
+@register("dedupe_latest")
+def dedupe_latest(spark, sf_dir):
+    """One row per key by an explicit order (window form): highest price text first."""
+    return clean.dedupe(_raw(spark, sf_dir, "crm_sales_details"), ["sls_ord_num", "sls_prd_key"],
+                        order_by=[F.col("sls_ship_dt").desc_nulls_last()], method="window")
+
+
+# ---- joins (J1-J5) -------------------------------------------------------
+
+@register("lookup_orders")
+def lookup_orders(spark, sf_dir):
+    """Sales lines with their customer's name: a checked left lookup carrying one column."""
+    sales = layers.silver_table(spark, sf_dir, "sales_details")
+    cust = layers.silver_table(spark, sf_dir, "crm_cust_info")
+    out = model.lookup(sales, cust, "sls_cust_id", "cst_id", keep={"cst_lastname": "customer_name"})
+    return out.select("sls_ord_num", "sls_prd_key", "sls_cust_id", "customer_name")
+
+
+# ---- checks (A1-A3, F2-F5, L1, K8, T2, T10, T12) -----------------------
+
+@register("count_all")
+def count_all(spark, sf_dir):
+    return checks.count_all(fact_sales(spark, sf_dir))
+
+
+@register("null_counts")
+def null_counts(spark, sf_dir):
+    return checks.null_counts(layers.silver_table(spark, sf_dir, "sales_details"))
+
+
+@register("find_eq")
+def find_eq(spark, sf_dir):
+    return checks.find(layers.silver_table(spark, sf_dir, "crm_cust_info"),
+                       cst_marital_status="Married")
+
+
+@register("find_id")
+def find_id(spark, sf_dir):
+    return checks.find(_raw(spark, sf_dir, "crm_cust_info"), cst_id=42)
+
+
+@register("find_gt")
+def find_gt(spark, sf_dir):
+    return checks.find(fact_sales(spark, sf_dir), F.col("quantity") > 1)
+
+
+@register("find_null")
+def find_null(spark, sf_dir):
+    return checks.find(layers.silver_table(spark, sf_dir, "sales_details"), sls_sales=None)
+
+
+@register("null_gender_count")
+def null_gender_count(spark, sf_dir):
+    """``SELECT count(*) ... WHERE cst_gndr IS NULL`` on the raw table (A3)."""
+    return checks.count_all(checks.find(_raw(spark, sf_dir, "crm_cust_info"), cst_gndr=None))
+
+
+@register("sample")
+def sample(spark, sf_dir):
+    return checks.sample(fact_sales(spark, sf_dir), 10, ["order_number", "product_key"])
+
+
+@register("orphans")
+def orphans(spark, sf_dir):
+    sales = layers.silver_table(spark, sf_dir, "sales_details")
+    prd = layers.silver_table(spark, sf_dir, "prd_info")
+    return checks.orphans(sales, prd, "sls_prd_key", "prd_id").select(
+        "sls_ord_num", "sls_prd_key", "sls_cust_id")
+
+
+@register("orphan_categories")
+def orphan_categories(spark, sf_dir):
+    prd = layers.silver_table(spark, sf_dir, "prd_info")
+    cat = layers.silver_table(spark, sf_dir, "erp_px_cat_g1v2")
+    return checks.orphans(prd, cat, "cat_id", "ID").select("prd_key", "cat_id")
+
+
+@register("unique_key")
+def unique_key(spark, sf_dir):
+    return checks.unique_key(layers.silver_table(spark, sf_dir, "loc_a101"), "CID")
+
+
+@register("reconcile")
+def reconcile(spark, sf_dir):
+    raw = _raw(spark, sf_dir, "crm_sales_details")
+    keyed = clean.require_keys(raw, ["sls_ord_num", "sls_prd_key", "sls_cust_id"])
+    return checks.reconcile([("raw", raw), ("keyed", keyed),
+                             ("silver", layers.silver_table(spark, sf_dir, "sales_details")),
+                             ("gold", fact_sales(spark, sf_dir))])
+
+
+@register("fact_fanout")
+def fact_fanout(spark, sf_dir):
+    return (fact_sales(spark, sf_dir).groupBy("order_number", "product_key")
+            .agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1))
+
+
+@register("lost_values")
+def lost_values(spark, sf_dir):
+    keys = ["sls_ord_num", "sls_prd_key"]
+    before = clean.dedupe(clean.require_keys(_raw(spark, sf_dir, "crm_sales_details"),
+                                             keys + ["sls_cust_id"]), keys)
+    after = layers.silver_table(spark, sf_dir, "sales_details")
+    return checks.lost_values(before, after, ["sls_order_dt", "sls_ship_dt", "sls_due_dt",
+                                              "sls_sales", "sls_quantity", "sls_price"], keys)
+
+
+# ---- files, ingest, catalog (S1-S9, K1-K11, P3, P4, F9) ----------------
+
+_CACHE: dict[tuple, object] = {}
+
+
+def _key(spark, sf_dir, what):
+    return (spark.sparkContext.applicationId, sf_dir, what)
+
+
+def cached_landing(spark: SparkSession, sf_dir: str) -> str:
+    k = _key(spark, sf_dir, "landing")
+    if k not in _CACHE:
+        _CACHE[k] = landing.write_landing(spark, sf_dir)
+    return _CACHE[k]
+
+
+def _schema_name(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+def cached_pipeline(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """Run CSV -> bronze -> silver -> gold once; return the three schema names."""
+    k = _key(spark, sf_dir, "pipeline")
+    if k not in _CACHE:
+        names = tuple(_schema_name(p) for p in ("bronze", "silver", "gold"))
+        report = pipeline.run_all(spark, cached_landing(spark, sf_dir), ("crm", "erp"),
+                                  schemas=names, location=shared_dir(spark, "warehouse"),
+                                  bronze_opts={"schemas": {landing.BAD_TABLE: landing.BAD_SCHEMA}})
+        failed = report.filter("status = 'failed' AND layer <> 'bronze'").collect()
+        if failed:
+            raise RuntimeError(f"pipeline failed: {failed}")
+        _CACHE[k] = names
+    return _CACHE[k]
+
+
+def _export(spark, sf_dir, subset, stem) -> str:
+    return f"{cached_landing(spark, sf_dir)}/{subset}/{landing.STAMP}_{stem}.csv"
+
+
+def _folder(c):
+    return F.regexp_extract(c, r"([^/]+)/[^/]+$", 1)
+
+
+@register("ingest_csv")
+def ingest_csv(spark, sf_dir):
+    df = files.add_audit(files.read_csv(spark, _export(spark, sf_dir, "crm", "cust_info")))
+    return df.withColumn("_source_file", audit.display_path(_folder("_source_file"))).drop(
+        "_ingest_timestamp")
+
+
+@register("ingest_csv_strings")
+def ingest_csv_strings(spark, sf_dir):
+    return files.read_csv(spark, _export(spark, sf_dir, "crm", "sales_details"), infer=False)
+
+
+@register("ingest_csv_schema")
+def ingest_csv_schema(spark, sf_dir):
+    schema = ("CID STRING, BDATE STRING, GEN STRING")
+    return files.read_csv(spark, _export(spark, sf_dir, "erp", "cust_az12"), schema=schema)
+
+
+@register("peek_text")
+def peek_text(spark, sf_dir):
+    """Raw text lines of a whole export (headers of its parts left out); S4 with ``n=None``."""
+    glob = f"{cached_landing(spark, sf_dir)}/erp/{landing.STAMP}_px_cat_g1v2.csv/*.csv"
+    lines = files.peek_text(spark, glob, n=None)
+    return lines.filter(F.col("value") != "ID,CAT,SUBCAT,MAINTENANCE")
+
+
+def _listing(spark, sf_dir):
+    base = cached_landing(spark, sf_dir)
+    return (files.list_files(spark, f"{base}/crm", subset="crm")
+            .unionByName(files.list_files(spark, f"{base}/erp", subset="erp")))
+
+
+@register("list_files")
+def list_files(spark, sf_dir):
+    return _listing(spark, sf_dir).select("subset", "name", "is_dir")
+
+
+@register("table_name")
+def table_name(spark, sf_dir):
+    return _listing(spark, sf_dir).select(
+        "subset", "name", files.table_name("subset", "name").alias("table_name"),
+        files.table_name("subset", "name", strip_timestamp=False).alias("table_name_stamped"))
+
+
+@register("latest_files")
+def latest_files(spark, sf_dir):
+    listing = _listing(spark, sf_dir).withColumn("table_name", files.table_name("subset", "name"))
+    return files.latest_files(listing).select("subset", "name", "table_name")
+
+
+@register("ingest_report")
+def ingest_report(spark, sf_dir):
+    schema = _schema_name("bronze")
+    report = bronze.ingest(spark, cached_landing(spark, sf_dir), ("crm", "erp", "hr"),
+                           schema=schema, location=shared_dir(spark, "warehouse", schema),
+                           schemas={landing.BAD_TABLE: landing.BAD_SCHEMA})
+    return report.drop("error")
+
+
+def _gold_schema(spark, sf_dir) -> str:
+    return cached_pipeline(spark, sf_dir)[2]
+
+
+@register("pipeline_fact_sales")
+def pipeline_fact_sales(spark, sf_dir):
+    return catalog.read_table(spark, f"{_gold_schema(spark, sf_dir)}.fact_sales").drop("_gold_timestamp")
+
+
+@register("pipeline_dim_customer")
+def pipeline_dim_customer(spark, sf_dir):
+    return catalog.read_table(spark, f"{_gold_schema(spark, sf_dir)}.dim_customer").drop("_gold_timestamp")
+
+
+@register("pipeline_dim_product")
+def pipeline_dim_product(spark, sf_dir):
+    return catalog.read_table(spark, f"{_gold_schema(spark, sf_dir)}.dim_product").drop("_gold_timestamp")
+
+
+@register("query_table")
+def query_table(spark, sf_dir):
+    """``SELECT * FROM <gold.dim_product> WHERE category_name = :c``, name and value bound."""
+    t = f"{_gold_schema(spark, sf_dir)}.dim_product"
+    return catalog.query_table(spark, t, "category_name = :c", c="ECONOMY").drop("_gold_timestamp")
+
+
+@register("save_read_table")
+def save_read_table(spark, sf_dir):
+    schema = _schema_name("tiers")
+    catalog.ensure_schema(spark, schema, shared_dir(spark, "warehouse", schema))
+    t = f"{schema}.px_cat"
+    catalog.save_table(layers.silver_table(spark, sf_dir, "erp_px_cat_g1v2"), t)
+    return catalog.read_table(spark, t)
+
+
+@register("schema_guard")
+def schema_guard(spark, sf_dir):
+    """Overwrite with the same schema passes; a changed schema is refused (K2)."""
+    schema = _schema_name("tiers")
+    catalog.ensure_schema(spark, schema, shared_dir(spark, "warehouse", schema))
+    t = f"{schema}.cust"
+    cust = layers.silver_table(spark, sf_dir, "crm_cust_info")
+    rows = []
+    first = catalog.save_table(cust, t, replace_schema=False)
+    rows.append(("first write", "ok", first["rows"]))
+    again = catalog.save_table(cust, t, replace_schema=False)
+    rows.append(("same schema", "ok", again["rows"]))
+    try:
+        catalog.save_table(cust.withColumn("cst_id", F.col("cst_id").cast("string")), t,
+                           replace_schema=False)
+        rows.append(("changed type", "ok", None))
+    except catalog.SchemaMismatch:
+        rows.append(("changed type", "refused", None))
+    kept = catalog.read_table(spark, t).count()
+    rows.append(("after refusal", "kept", kept))
+    return spark.createDataFrame(rows, "step string, outcome string, n_rows bigint")
+
+
+@register("catalog_list")
+def catalog_list(spark, sf_dir):
+    """Tables and columns of a schema, then a dry-run and a real clear (K3-K7)."""
+    schema = _schema_name("tiers")
+    catalog.ensure_schema(spark, schema, shared_dir(spark, "warehouse", schema))
+    for name in ("prd_info", "erp_px_cat_g1v2"):
+        catalog.save_table(layers.silver_table(spark, sf_dir, name), f"{schema}.{name}")
+    listed = catalog.tables(spark, schema).select("tableName").collect()
+    cols = []
+    for r in listed:
+        for c in catalog.columns(spark, f"{schema}.{r.tableName}").collect():
+            cols.append((r.tableName, c.col_name))
+    planned = catalog.clear_schema(spark, schema, dry_run=True).count()
+    dropped = catalog.clear_schema(spark, schema, dry_run=False).filter("status = 'dropped'").count()
+    left = catalog.tables(spark, schema).count()
+    catalog.drop_schema(spark, schema, cascade=True)
+    rows = [(t, c, planned, dropped, left) for t, c in cols]
+    return spark.createDataFrame(
+        rows, "table_name string, column_name string, n_planned bigint, n_dropped bigint, n_left bigint")
+
+
+@register("stream_ingest")
+def stream_ingest_q(spark, sf_dir):
+    """CSV exports picked up by a file stream into a bronze table (incremental D0)."""
+    schema = _schema_name("stream")
+    catalog.ensure_schema(spark, schema, shared_dir(spark, "warehouse", schema))
+    table = f"{schema}.erp_loc_a101"
+    stream_ingest.ingest_available(spark, _export(spark, sf_dir, "erp", "loc_a101"), table,
+                                   "CID STRING, CNTRY STRING",
+                                   checkpoint=shared_dir(spark, "streams", schema))
+    return catalog.read_table(spark, table).drop("_ingest_timestamp", "_source_file")
