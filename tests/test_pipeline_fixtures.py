@@ -1,0 +1,216 @@
+"""End to end on the invented rows of FIXTURES.md: raw CSV -> bronze -> silver -> gold.
+
+Expected gold tables are written out by hand from the rules; they show the
+reference's traps as they are (fan-out, unmatched keys, blank vs NULL).
+"""
+
+import datetime as dt
+import os
+from decimal import Decimal
+
+import pytest
+
+from tiers.plans import bronze, pipeline
+from tiers.sources import catalog
+
+CSV = {
+    "crm/20260307225047176852_cust_info.csv": """cst_id,cst_key,cst_firstname,cst_lastname,cst_marital_status,cst_gndr,cst_create_date
+11000,AW00011000, jon ,yang,M,male,10/06/2025
+11001,AW00011001,mary ann,o'neil, s ,,10/07/2025
+11002,AW00011002,eve,li,," ",2025-10-08
+11002,AW00011009,dup,id,S,F,10/08/2025
+,AW00011003,no,id,S,F,10/08/2025
+11000,AW00011000,jon,other,S,M,10/09/2025
+""",
+    # an older export of the same table: the newer one wins
+    "crm/20260101000000000000_cust_info.csv": """cst_id,cst_key,cst_firstname,cst_lastname,cst_marital_status,cst_gndr,cst_create_date
+1,OLD,old,old,S,M,01/01/2020
+""",
+    "crm/20260307225047176853_prd_info.csv": """prd_id,prd_key,prd_nm,prd_line,prd_cost
+210,CO-RF-FR-R92B-58, hl road frame,r ,12.345
+211,BI-RB-BK-R79Y-44,road-450 red,R,
+212,XX-YY-BK-R79Y-44,same suffix,M,123456789.00
+213,CO-RF-,empty suffix,s,abc
+""",
+    "crm/20260307225047176854_sales_details.csv": """sls_ord_num,sls_prd_key,sls_cust_id,sls_order_dt,sls_ship_dt,sls_due_dt,sls_sales,sls_quantity,sls_price
+SO1,BK-R79Y-44,11000,20101229,20110105,20110110,"$1,234.50",1,1234.5
+SO1,BK-R79Y-44,11000,20101230,20110105,20110110,999,2,499.5
+SO2,FR-R92B-58,11002,0,5489,20101332,,x,-35
+SO3,NO-SUCH,99999,20101229,20101230,20110110,10,1,10
+SO4,,11000,20101229,20101230,20110110,10,1,10
+""",
+    "crm/20260307225047176855_empty.csv": "a,b\n",
+    "crm/notes.txt": "not a table\n",
+    "crm/20260307225047176856_odd name-x.csv": "a,b\n1,2\n",
+    "erp/20260307225047176857_cust_az12.csv": """CID,BDATE,GEN
+NASAW00011000,1971-10-06,Male
+AW00011001,1976-05-10,F
+NASAW00011002,0,
+XXXAW00011000,1980-01-01, female
+""",
+    "erp/20260307225047176858_loc_a101.csv": """CID,CNTRY
+AW-00011000, Australia
+AW00011000,france
+AW-00011001,
+AW-00011002,"  "
+""",
+    "erp/20260307225047176859_px_cat_g1v2.csv": """ID,CAT,SUBCAT,MAINTENANCE
+CO_RF,Components,Road Frames,yes
+BI_RB,Bikes, road bikes,0
+AC_BR,Accessories,Racks,
+AC_BC,Accessories,Cages,sometimes
+""",
+}
+
+
+@pytest.fixture(scope="module")
+def landing(tmp_path_factory):
+    base = tmp_path_factory.mktemp("landing")
+    for rel, body in CSV.items():
+        p = base / rel
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_text(body)
+    return str(base)
+
+
+@pytest.fixture(scope="module")
+def run(spark, landing, tmp_path_factory):
+    loc = str(tmp_path_factory.mktemp("wh"))
+    report = pipeline.run_all(spark, landing, ("crm", "erp", "hr"),
+                              schemas=("fx_bronze", "fx_silver", "fx_gold"), location=loc)
+    return report
+
+
+def _rows(spark, table, drop):
+    df = spark.table(table).drop(*drop)
+    return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((v is not None, str(v)) for v in t))
+
+
+def test_report(spark, run):
+    all_rows = run.collect()
+    got = {(r.layer, r.table_name): (r.status, r.rows) for r in all_rows if r.status != "superseded"}
+    sup = [r.table_name for r in all_rows if r.status == "superseded"]
+    assert sup == ["fx_bronze.crm_cust_info"]
+    assert got[("bronze", "fx_bronze.crm_cust_info")] == ("ok", 6)
+    assert got[("bronze", "fx_bronze.crm_empty")] == ("empty", 0)
+    assert got[("bronze", "fx_bronze.crm_odd_name_x")] == ("ok", 1)         # K9: ' ' and '-' -> '_'
+    assert got[("bronze", "hr")] == ("unreadable", None)                      # S8
+    assert all(s == "ok" for (layer, _), (s, _n) in got.items() if layer != "bronze")
+    assert not any("notes" in (t or "") for _, t in got)                      # S5: .txt skipped
+
+
+def test_bronze_audit_columns(spark, run):
+    df = spark.table("fx_bronze.crm_cust_info")
+    assert {"_ingest_timestamp", "_source_file"} <= set(df.columns)
+    src = df.select("_source_file").distinct().collect()
+    assert len(src) == 1 and src[0][0].endswith("20260307225047176852_cust_info.csv")
+
+
+def test_silver_crm_cust_info(spark, run):
+    got = _rows(spark, "fx_silver.crm_cust_info", ["_cleaned_timestamp", "_ingest_timestamp", "_source_file"])
+    assert got == [
+        (11000, "AW00011000", "Jon", "Yang", "Married", "M", dt.date(2025, 10, 6)),
+        (11001, "AW00011001", "Mary Ann", "O'neil", "Single", "Unknown", dt.date(2025, 10, 7)),
+        (11002, "AW00011002", "Eve", "Li", "Unknown", "", None),
+        (11002, "AW00011009", "Dup", "Id", "Single", "F", dt.date(2025, 10, 8)),
+    ]
+
+
+def test_silver_prd_info(spark, run):
+    df = spark.table("fx_silver.prd_info")
+    assert df.columns[:5] == ["prd_id", "prd_key", "prd_nm", "prd_line", "prd_cost"]
+    assert df.columns[-1] == "cat_id"
+    got = {r.prd_key: (r.prd_id, r.prd_nm, r.prd_line, r.prd_cost, r.cat_id) for r in df.collect()}
+    assert got == {
+        "CO-RF-FR-R92B-58": ("FR-R92B-58", "Hl Road Frame", "R", Decimal("12.35"), "CO-RF"),
+        "BI-RB-BK-R79Y-44": ("BK-R79Y-44", "Road-450 Red", "R", None, "BI-RB"),
+        "XX-YY-BK-R79Y-44": ("BK-R79Y-44", "Same Suffix", "M", None, "XX-YY"),
+        "CO-RF-": ("", "Empty Suffix", "S", None, "CO-RF"),
+    }
+
+
+def test_silver_sales(spark, run):
+    cols = ["sls_ord_num", "sls_prd_key", "sls_cust_id", "sls_order_dt", "sls_ship_dt", "sls_due_dt",
+            "sls_sales", "sls_quantity", "sls_price"]
+    got = sorted(tuple(r) for r in spark.table("fx_silver.sales_details").select(*cols).collect())
+    assert got == [
+        ("SO1", "BK-R79Y-44", 11000, dt.date(2010, 12, 29), dt.date(2011, 1, 5), dt.date(2011, 1, 10),
+         Decimal("1234.50"), 1, Decimal("1234.50")),
+        ("SO2", "FR-R92B-58", 11002, None, None, None, None, None, Decimal("-35.00")),
+        ("SO3", "NO-SUCH", 99999, dt.date(2010, 12, 29), dt.date(2010, 12, 30), dt.date(2011, 1, 10),
+         Decimal("10.00"), 1, Decimal("10.00")),
+    ]
+
+
+def test_silver_erp(spark, run):
+    az = sorted((r.CID, r.GEN, r.BDATE) for r in spark.table("fx_silver.erp_cust_az12").collect())
+    assert az == [("0011001", "F", dt.date(1976, 5, 10)),                 # T6
+                  ("AW00011000", "F", dt.date(1980, 1, 1)),                # T2: two raw keys, one key
+                  ("AW00011000", "M", dt.date(1971, 10, 6)),
+                  ("AW00011002", None, None)]
+    loc = sorted((r.CID, r.CNTRY) for r in spark.table("fx_silver.loc_a101").collect())
+    assert loc == [("AW00011000", "AUSTRALIA"), ("AW00011000", "FRANCE"),
+                   ("AW00011001", "UNKNOWN"), ("AW00011002", "")]            # T16
+    cat = sorted((r.ID, r.CAT, r.SUBCAT, r.MAINTENANCE)
+                 for r in spark.table("fx_silver.erp_px_cat_g1v2").collect())
+    assert cat == [("AC-BC", "ACCESSORIES", "CAGES", "SOMETIMES"), ("AC-BR", "ACCESSORIES", "RACKS", "UNKNOWN"),
+                   ("BI-RB", "BIKES", "ROAD BIKES", "NO"), ("CO-RF", "COMPONENTS", "ROAD FRAMES", "YES")]
+
+
+def test_gold_dim_customer(spark, run):
+    got = _rows(spark, "fx_gold.dim_customer", ["_gold_timestamp"])
+    jon = (11000, "Jon", "Yang", "Married", "M")
+    assert got == sorted([
+        jon + ("M", dt.date(1971, 10, 6), "AUSTRALIA"), jon + ("M", dt.date(1971, 10, 6), "FRANCE"),
+        jon + ("F", dt.date(1980, 1, 1), "AUSTRALIA"), jon + ("F", dt.date(1980, 1, 1), "FRANCE"),
+        (11001, "Mary Ann", "O'neil", "Single", "Unknown", None, None, "UNKNOWN"),
+        (11002, "Eve", "Li", "Unknown", "", None, None, ""),
+        (11002, "Dup", "Id", "Single", "F", None, None, None),
+    ], key=lambda t: tuple((v is not None, str(v)) for v in t))
+
+
+def test_gold_dim_product(spark, run):
+    got = {r.product_key: tuple(r)[1:7] for r in spark.table("fx_gold.dim_product").collect()}
+    assert got == {
+        "CO-RF-FR-R92B-58": ("Hl Road Frame", Decimal("12.35"), "R", "CO-RF", "COMPONENTS", "ROAD FRAMES"),
+        "BI-RB-BK-R79Y-44": ("Road-450 Red", None, "R", "BI-RB", "BIKES", "ROAD BIKES"),
+        "XX-YY-BK-R79Y-44": ("Same Suffix", None, "M", "XX-YY", None, None),       # T12
+        "CO-RF-": ("Empty Suffix", None, "S", "CO-RF", "COMPONENTS", "ROAD FRAMES"),
+    }
+
+
+def test_gold_fact_sales_fans_out(spark, run):
+    got = _rows(spark, "fx_gold.fact_sales", ["_gold_timestamp"])
+    so1 = ("SO1", "BK-R79Y-44", 11000, dt.date(2010, 12, 29), Decimal("1234.50"), 1, Decimal("1234.50"))
+    so2 = ("SO2", "FR-R92B-58", 11002, None, None, None, Decimal("-35.00"))
+    so3 = ("SO3", "NO-SUCH", 99999, dt.date(2010, 12, 29), Decimal("10.00"), 1, Decimal("10.00"))
+    key = lambda t: tuple((v is not None, str(v)) for v in t)
+    assert got == sorted([so1, so1, so2, so2, so3], key=key)    # T10
+
+
+def test_gold_columns_and_stamps(spark, run):
+    assert spark.table("fx_gold.fact_sales").columns == [
+        "order_number", "product_key", "customer_id", "order_date", "sales_amount", "quantity", "price",
+        "_gold_timestamp"]
+    assert spark.table("fx_gold.dim_customer").filter("_gold_timestamp IS NULL").count() == 0
+
+
+def test_rerun_is_repeatable(spark, landing, run, tmp_path):
+    """Running the layers again gives the same gold rows (T1: no undefined dedup choice)."""
+    again = pipeline.run_all(spark, landing, ("crm", "erp"), schemas=("fx_b2", "fx_s2", "fx_g2"),
+                             location=str(tmp_path))
+    assert again.filter("status = 'failed'").count() == 0
+    for t in ("dim_customer", "dim_product", "fact_sales"):
+        assert _rows(spark, f"fx_g2.{t}", ["_gold_timestamp"]) == _rows(spark, f"fx_gold.{t}", ["_gold_timestamp"])
+
+
+def test_bad_header_fails_alone(spark, landing, tmp_path):
+    """A file whose header does not match its schema fails; the others load."""
+    rep = bronze.ingest(spark, landing, ("erp",), schema="fx_b3", location=str(tmp_path),
+                        schemas={"erp_loc_a101": "ID STRING, COUNTRY STRING"})
+    st = {r.table_name: r.status for r in rep.collect()}
+    assert st["erp_loc_a101"] == "failed"
+    assert st["erp_cust_az12"] == "ok" and st["erp_px_cat_g1v2"] == "ok"
+    assert catalog.table_exists(spark, "fx_b3.erp_cust_az12")
+    assert not catalog.table_exists(spark, "fx_b3.erp_loc_a101")
+    assert os.path.isdir(landing)

@@ -91,7 +91,8 @@ def run_all(spark: SparkSession, base_path: str, subsets: Sequence[str] = ("crm"
     rep_b = bronze.ingest(spark, base_path, subsets, schema=b, fmt=fmt, location=loc(b),
                           **(bronze_opts or {}))
     rep_b = rep_b.select(F.lit("bronze").alias("layer"),
-                         F.coalesce(F.concat_ws(".", F.lit(b), "table_name"), "subset").alias("table_name"),
+                         F.when(F.col("table_name").isNull(), F.col("subset"))
+                          .otherwise(F.concat(F.lit(b + "."), F.col("table_name"))).alias("table_name"),
                          "status", "rows", "error")
     rep_s = run_silver(spark, b, s, fmt=fmt, location=loc(s), **(silver_opts or {}))
     rep_g = run_gold(spark, s, g, fmt=fmt, location=loc(g), **(gold_opts or {}))

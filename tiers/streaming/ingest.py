@@ -48,4 +48,6 @@ def ingest_available(spark: SparkSession, path: str, table: str, schema: T.Struc
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
+    # batches wrote through the stream's own session: drop this session's cached listing
+    spark.catalog.refreshTable(table)
     return len(batches)
