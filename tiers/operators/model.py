@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +53,36 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of a plan (from file sizes, no job)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _planner_broadcasts(df: DataFrame) -> bool:
+    thr = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        limit = int(thr)
+    except ValueError:
+        limit = 10 * 1024 * 1024
+    return 0 <= estimated_bytes(df) <= limit
+
+
+def _sized(df: DataFrame, max_rows: int | None) -> tuple[DataFrame, int | None]:
+    """Size a join side before choosing how to join it.
+
+    If the optimizer already estimates the side under its broadcast threshold
+    it is left as is (the planner broadcasts it, no extra job). Otherwise the
+    side is materialised once (cached, spilling to disk) and counted: the
+    count proves the broadcast bound, and the join reuses the cached rows. A
+    lost executor's blocks are recomputed from lineage.
+    """
+    if max_rows is None or _planner_broadcasts(df):
+        return df, None
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = df.count()
+    return (F.broadcast(df) if n <= max_rows else df), n
+
+
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
     """Keys that occur more than once, with their count (partial-aggregated)."""
     keys = _names(keys)
@@ -100,7 +131,11 @@ def lookup(left: DataFrame, right: DataFrame, left_on, right_on=None,
             return left
         mult = duplicate_keys(right, right_on).select(
             *[F.col(rk).alias(a) for rk, a in zip(right_on, alias)], F.col(_MULT))
-        joined = left.join(bounded_broadcast(mult, broadcast_max_rows), cond, "left")
+        mult, n = _sized(mult, broadcast_max_rows)
+        if n == 0:
+            mult.unpersist()
+            return left          # no key repeats: the join cannot change the rows
+        joined = left.join(mult, cond, "left")
         repeat = F.explode(F.array_repeat(F.lit(True), F.coalesce(F.col(_MULT), F.lit(1)).cast("int")))
         return joined.withColumn(_MULT, repeat).select(*left.columns)
 
