@@ -165,3 +165,13 @@ def test_lost_values(spark, rows):
     before = spark.createDataFrame([("a", "1"), ("b", "x"), ("c", None)], "k string, v string")
     after = before.select("k", F.col("v").try_cast("int").alias("v"))
     assert rows(checks.lost_values(before, after, ["v"], "k")) == [("v", 1)]
+
+
+def test_keep_source_id(spark):
+    """The numeric product id survives under prd_num when asked."""
+    from tiers.plans import silver
+    raw = spark.createDataFrame([(210, "CO-RF-FR-R92B-58", " a", "r", "1.5")],
+                                "prd_id int, prd_key string, prd_nm string, prd_line string, prd_cost string")
+    out = silver.build(raw, "prd_info", keep_source_id=True, stamp=False).first()
+    assert (out.prd_num, out.prd_id, out.cat_id) == (210, "FR-R92B-58", "CO-RF")
+    assert "prd_num" not in silver.build(raw, "prd_info", stamp=False).columns

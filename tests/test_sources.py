@@ -149,3 +149,23 @@ def test_stream_ingest_reads_each_file_once(spark, tmp_path):
     t = spark.table("st_t.loc")
     assert t.count() == 3                                                                     # no repeat
     assert {os.path.basename(r[0]) for r in t.select("_source_file").distinct().collect()} == {"a.csv", "b.csv"}
+
+
+def test_folder_with_mixed_headers_is_refused(spark, tmp_path):
+    d = tmp_path / "mixed"
+    d.mkdir()
+    (d / "a.csv").write_text("x,y\n1,2\n")
+    (d / "b.csv").write_text("y,x\n3,4\n")
+    assert len(files.csv_headers(spark, str(d))) == 2
+    with pytest.raises(ValueError):                                                       # T13
+        files.read_csv(spark, str(d), check_headers=True)
+    (d / "b.csv").write_text("x,y\n3,4\n")
+    assert files.read_csv(spark, str(d), check_headers=True).count() == 2
+
+
+def test_overwrite_table_from_itself(spark, tmp_path):
+    """Staged writes allow replacing a table with a plan that reads it."""
+    catalog.ensure_schema(spark, "cat_t6", str(tmp_path / "cat_t6"))
+    catalog.save_table(spark.range(10), "cat_t6.a")
+    r = catalog.save_table(spark.table("cat_t6.a").filter("id < 4"), "cat_t6.a")
+    assert r["rows"] == 4 and spark.table("cat_t6.a").count() == 4

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tiers.operators.clean import apply_rules, dedupe, require_keys
 from tiers.plans.specs import CLEANED, SILVER, SilverSpec
@@ -10,7 +11,7 @@ from tiers.plans.specs import CLEANED, SILVER, SilverSpec
 
 def build(df: DataFrame, spec: SilverSpec | str, strict: bool = False,
           dedupe_method: str = "aggregate", dedupe_after_rules: bool = False,
-          stamp: bool = True) -> DataFrame:
+          stamp: bool = True, keep_source_id: bool = False) -> DataFrame:
     """Bronze rows -> silver rows.
 
     Steps: drop NULL keys (pushed to the scan), keep one row per dedup key
@@ -19,10 +20,14 @@ def build(df: DataFrame, spec: SilverSpec | str, strict: bool = False,
     ``dedupe_after_rules`` moves the dedup after the key rewrites, so the
     final key is unique (the fix for trap T2); the default keeps the
     reference's order. ``stamp=False`` leaves out ``_cleaned_timestamp``.
+    ``keep_source_id`` keeps a column a rule overwrites under a new name
+    (``prd_info.prd_num``, trap T8).
     """
     spec = SILVER[spec] if isinstance(spec, str) else spec
     out = require_keys(df, spec.required)
     rules = [(name, rule(strict)) for name, rule in spec.rules if stamp or name != CLEANED]
+    if keep_source_id and spec.source_id:
+        rules.insert(0, (spec.source_id[1], F.col(spec.source_id[0])))
     order = list(spec.order_by) if spec.order_by else None
     if dedupe_after_rules:
         out = apply_rules(out, rules)

@@ -13,7 +13,7 @@ reference (trap T2), unless ``build(..., dedupe_after_rules=True)``.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,6 +41,7 @@ class SilverSpec:
     rules: tuple[Rule, ...]        # ordered column rules (stamp included)
     order_by: tuple[str, ...] | None = None   # which duplicate stays (default: all columns)
     key: tuple[str, ...] = ()      # the key after rewrites (checked by unique_key)
+    source_id: tuple[str, str] | None = None  # (column a rule overwrites, name to keep it under)
 
 
 def _stamp(_strict: bool) -> Column:
@@ -63,6 +64,7 @@ CRM_CUST_INFO = SilverSpec(
 PRD_INFO = SilverSpec(
     name="prd_info", source="crm_prd_info",
     required=("prd_id", "prd_key"), dedupe_on=("prd_key",), key=("prd_key",),
+    source_id=("prd_id", "prd_num"),
     rules=(
         ("prd_nm", lambda s: text.title("prd_nm")),
         ("prd_line", lambda s: text.code("prd_line")),
@@ -143,7 +145,6 @@ class GoldSpec:
     base: str                              # silver table on the left
     lookups: tuple[Lookup, ...]
     columns: tuple[tuple[str, str], ...]   # (output, input) in output order
-    extra: dict = field(default_factory=dict)
 
 
 DIM_CUSTOMER = GoldSpec(

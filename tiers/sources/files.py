@@ -81,8 +81,38 @@ def latest_files(listing: DataFrame, by: str = "table_name") -> DataFrame:
     return listing.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
+def csv_headers(spark: SparkSession, path: str) -> list[tuple[str, str | None]]:
+    """``(file, first line)`` of every data file under ``path`` (a file, folder or glob).
+
+    Reads only the first line of each file through the Hadoop file system:
+    metadata-sized work, no Spark job. Files named ``_*`` or ``.*`` are skipped.
+    """
+    jvm = spark.sparkContext._jvm
+    fs, hpath = _fs(spark, path)
+    found = []
+    for st in fs.globStatus(hpath) or []:
+        if st.isDirectory():
+            it = fs.listFiles(st.getPath(), True)
+            while it.hasNext():
+                found.append(it.next().getPath())
+        else:
+            found.append(st.getPath())
+    out = []
+    for p in found:
+        if p.getName().startswith(("_", ".")):
+            continue
+        stream = fs.open(p)
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            out.append((p.toString(), reader.readLine()))
+        finally:
+            stream.close()
+    return out
+
+
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str | None = None,
-             infer: bool = True, header: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
+             infer: bool = True, header: bool = True, mode: str = "PERMISSIVE",
+             check_headers: bool = False) -> DataFrame:
     """CSV scan with header.
 
     * ``schema`` given: no inference pass, and the header must name the same
@@ -90,7 +120,15 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
       instead of shifting values into wrong columns (T13).
     * ``infer=True``: types inferred, one extra pass over the data (S1).
     * ``infer=False``: every column a string (S2).
+    * ``check_headers``: for a folder of files read as one table (S3), refuse
+      when the files' header lines differ (T13); Spark would take the first
+      file's header and shift the others' values.
     """
+    if header and check_headers:
+        lines = {h for p in ([paths] if isinstance(paths, str) else paths)
+                 for _, h in csv_headers(spark, p) if h}
+        if len(lines) > 1:
+            raise ValueError(f"CSV files disagree on their header: {sorted(lines)[:5]}")
     reader = spark.read.option("header", str(header).lower()).option("mode", mode)
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", "false")
