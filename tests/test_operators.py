@@ -175,3 +175,38 @@ def test_keep_source_id(spark):
     out = silver.build(raw, "prd_info", keep_source_id=True, stamp=False).first()
     assert (out.prd_num, out.prd_id, out.cat_id) == (210, "FR-R92B-58", "CO-RF")
     assert "prd_num" not in silver.build(raw, "prd_info", stamp=False).columns
+
+
+def test_count_where_and_parse_losses(spark, rows):
+    df = spark.createDataFrame([("1", None), ("x", "2"), (None, "y")], "a string, b string")
+    got = rows(checks.count_where(df, {"all": F.lit(True), "a_set": F.col("a").isNotNull()}))
+    assert got == [("a_set", 2), ("all", 3)]
+    lost = rows(checks.parse_losses(df, {"a": F.col("a").try_cast("int"), "b": F.col("b").try_cast("int")}))
+    assert lost == [("a", 1), ("b", 1)]
+
+
+def test_window_dedupe_limits_hot_key_before_shuffle(spark):
+    df = spark.range(0, 30000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+                                      F.col("id").alias("v"))
+    out = clean.dedupe(df, ["k"], order_by=[F.col("v").desc()], method="window")
+    assert out.filter("k = 0").first().v == 29997
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    before_shuffle = plan.split("Exchange hashpartitioning")[1]
+    assert "WindowGroupLimit" in before_shuffle
+
+
+def test_lookup_hot_key_without_broadcast(spark, rows):
+    """A third of the fact rows on one key, dimension not broadcast: same rows as the plain join."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = spark.range(0, 9000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 500).alias("k"), F.col("id").alias("o"))
+        dim = spark.range(0, 500).select(F.col("id").alias("key"), (F.col("id") * 2).alias("attr"))
+        dim = dim.unionByName(spark.range(1, 2).select(F.col("id").alias("key"), F.lit(-1).cast("long").alias("attr")))
+        got = model.lookup(facts, dim, "k", "key", keep=["attr"])
+        plain = facts.join(dim, facts.k == dim.key, "left").select("k", "o", "attr")
+        assert got.count() == plain.count() == 12012          # key 1 holds 3012 rows, two matches each
+        assert rows(got) == rows(plain)
+        assert rows(model.lookup(facts, dim, "k", "key")) == rows(plain.select("k", "o"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

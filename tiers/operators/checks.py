@@ -7,7 +7,7 @@ small result for the caller to show, assert or store.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -91,6 +91,26 @@ def reconcile(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def count_where(df: DataFrame, conditions: Mapping[str, Column], label: str = "stage") -> DataFrame:
+    """Rows meeting each named condition, all in one pass: ``(label, n_rows)``.
+
+    E.g. rows read and rows with all keys in one scan, instead of one job per
+    count.
+    """
+    wide = df.agg(*[F.count_if(cond).alias(name) for name, cond in conditions.items()])
+    return wide.unpivot([], list(conditions), label, "n_rows")
+
+
+def parse_losses(df: DataFrame, parsed: Mapping[str, Column]) -> DataFrame:
+    """Per column, values present before a parse and NULL after it: ``(column_name, n_lost)``.
+
+    ``parsed`` maps a raw column to the expression that parses it; one
+    aggregate over ``df``, no join.
+    """
+    wide = df.agg(*[F.count_if(F.col(c).isNotNull() & e.isNull()).alias(c) for c, e in parsed.items()])
+    return wide.unpivot([], list(parsed), "column_name", "n_lost")
+
+
 def lost_values(before: DataFrame, after: DataFrame, cols: Sequence[str], keys) -> DataFrame:
     """Values present before a parse and NULL after it, per column.
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tiers.functions import audit, parse, text
 from tiers.operators import checks, clean, model
 from tiers.plans import bronze, gold, landing, layers, pipeline
-from tiers.plans.specs import MAINTENANCE_NO, MAINTENANCE_YES, MARITAL_PREFIXES
+from tiers.plans.specs import MAINTENANCE_NO, MAINTENANCE_YES, MARITAL_PREFIXES, SILVER
 from tiers.session import shared_dir
 from tiers.sources import catalog, driver_tables, files
 from tiers.streaming import ingest as stream_ingest
@@ -297,10 +297,11 @@ def unique_key(spark, sf_dir):
 @register("reconcile")
 def reconcile(spark, sf_dir):
     raw = _raw(spark, sf_dir, "crm_sales_details")
-    keyed = clean.require_keys(raw, ["sls_ord_num", "sls_prd_key", "sls_cust_id"])
-    return checks.reconcile([("raw", raw), ("keyed", keyed),
-                             ("silver", layers.silver_table(spark, sf_dir, "sales_details")),
-                             ("gold", fact_sales(spark, sf_dir))])
+    keys = F.col("sls_ord_num").isNotNull() & F.col("sls_prd_key").isNotNull() & F.col("sls_cust_id").isNotNull()
+    read = checks.count_where(raw, {"raw": F.lit(True), "keyed": keys})      # one pass for both
+    later = checks.reconcile([("silver", layers.silver_table(spark, sf_dir, "sales_details")),
+                              ("gold", fact_sales(spark, sf_dir))])
+    return read.unionByName(later)
 
 
 @register("fact_fanout")
@@ -311,12 +312,12 @@ def fact_fanout(spark, sf_dir):
 
 @register("lost_values")
 def lost_values(spark, sf_dir):
-    keys = ["sls_ord_num", "sls_prd_key"]
-    before = clean.dedupe(clean.require_keys(_raw(spark, sf_dir, "crm_sales_details"),
-                                             keys + ["sls_cust_id"]), keys)
-    after = layers.silver_table(spark, sf_dir, "sales_details")
-    return checks.lost_values(before, after, ["sls_order_dt", "sls_ship_dt", "sls_due_dt",
-                                              "sls_sales", "sls_quantity", "sls_price"], keys)
+    """Values the sales rules could not parse, per column, in one pass over the deduplicated rows."""
+    spec = SILVER["sales_details"]
+    before = clean.dedupe(clean.require_keys(_raw(spark, sf_dir, spec.source), spec.required),
+                          spec.dedupe_on)
+    parsed = {name: rule(False) for name, rule in spec.rules if name in before.columns}
+    return checks.parse_losses(before, parsed)
 
 
 # ---- files, ingest, catalog (S1-S9, K1-K11, P3, P4, F9) ----------------
