@@ -53,3 +53,10 @@ def write_landing(spark: SparkSession, sf_dir: str, base: str | None = None,
         files.write_csv(raws["erp_loc_a101"].selectExpr("CID AS note"), f"{base}/crm/readme.txt")
         _write(raws["erp_loc_a101"], f"{base}/erp/{STAMP}_loc a101-bad.csv")
     return base
+
+
+def export_schemas(spark: SparkSession, sf_dir: str) -> dict:
+    """Bronze table name -> schema of its export, for a one-pass typed ingest."""
+    out = {extract: driver_tables.raw(spark, sf_dir, extract).schema for _, _, extract in EXPORTS}
+    out[BAD_TABLE] = BAD_SCHEMA
+    return out

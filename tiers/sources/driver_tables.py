@@ -5,7 +5,7 @@ tables hold no such exports, so these functions derive them, row for row,
 from the whole driver tables: the work grows with the data, and the raw
 defects the cleaning rules exist for (NULL keys, re-sent rows, keys with
 and without prefix, money text, '0' dates, blank vs NULL text) arise from
-the data itself. Each function has a DuckDB twin in ``oracle.py``.
+the data itself. Each function has a DuckDB twin in ``duck_oracle.py``.
 
 Source of each extract:
 
