@@ -378,7 +378,7 @@ q("null_counts", " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM s_sales_details"
     for c in ["sls_ord_num", "sls_prd_key"] + SALES_REST), "s_sales_details")
 q("find_eq", "SELECT * FROM s_crm_cust_info WHERE cst_marital_status = 'Married'", "s_crm_cust_info")
-q("find_id", "SELECT * FROM r_crm_cust_info WHERE cst_id = 42", "r_crm_cust_info")
+q("find_num", "SELECT * FROM s_sales_details WHERE sls_quantity = 1", "s_sales_details")
 q("find_gt", "SELECT * FROM g_fact_sales WHERE quantity > 1", "g_fact_sales")
 q("find_null", "SELECT * FROM s_sales_details WHERE sls_sales IS NULL", "s_sales_details")
 q("null_gender_count", "SELECT count(*) AS n_rows FROM r_crm_cust_info WHERE cst_gndr IS NULL",
@@ -487,7 +487,7 @@ def _report_rows():
 
 q("ingest_report", _values(_report_rows()), *_COUNT.values())
 
-# The stored pipeline reads the exports back with type inference: ship dates
+# The stored layered run reads the exports back with type inference: ship dates
 # become integers and unit prices doubles, which changes which duplicate the
 # repeatable dedup keeps (trap T1); these CTEs carry the inferred types.
 CTE["c_crm_sales_details"] = (("r_crm_sales_details",), """
@@ -504,17 +504,17 @@ SELECT sls_ord_num, sls_prd_key, sls_cust_id,
        {_ymd('sls_due_dt')} AS sls_due_dt, {_money('sls_sales')} AS sls_sales,
        TRY_CAST(sls_quantity AS INTEGER) AS sls_quantity, {_money('sls_price')} AS sls_price
 FROM cd_sales_details""")
-q("pipeline_fact_sales", """
+q("stored_fact_sales", """
 SELECT s.sls_ord_num AS order_number, s.sls_prd_key AS product_key, s.sls_cust_id AS customer_id,
        s.sls_order_dt AS order_date, s.sls_sales AS sales_amount, s.sls_quantity AS quantity,
        s.sls_price AS price
 FROM cs_sales_details s
 LEFT JOIN s_prd_info p ON s.sls_prd_key = p.prd_id
 LEFT JOIN s_crm_cust_info c ON s.sls_cust_id = c.cst_id""", "cs_sales_details", "s_prd_info", "s_crm_cust_info")
-q("pipeline_dim_customer", """
+q("stored_dim_customer", """
 SELECT CAST(customer_id AS INTEGER) AS customer_id, first_name, last_name, marital_status, crm_gender,
        NULLIF(erp_gender, '') AS erp_gender, birth_date, country FROM g_dim_customer""", "g_dim_customer")
-q("pipeline_dim_product", "SELECT * FROM g_dim_product", "g_dim_product")
+q("stored_dim_product", "SELECT * FROM g_dim_product", "g_dim_product")
 q("query_table", "SELECT * FROM g_dim_product WHERE category_name = 'ECONOMY'", "g_dim_product")
 q("save_read_table", "SELECT * FROM s_erp_px_cat_g1v2", "s_erp_px_cat_g1v2")
 _N_CUST = "(SELECT count(*) FROM s_crm_cust_info)"

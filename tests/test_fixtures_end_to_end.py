@@ -10,7 +10,7 @@ from decimal import Decimal
 
 import pytest
 
-from tiers.plans import bronze, pipeline
+from tiers.plans import bronze, runner
 from tiers.sources import catalog
 
 CSV = {
@@ -76,7 +76,7 @@ def landing(tmp_path_factory):
 @pytest.fixture(scope="module")
 def run(spark, landing, tmp_path_factory):
     loc = str(tmp_path_factory.mktemp("wh"))
-    report = pipeline.run_all(spark, landing, ("crm", "erp", "hr"),
+    report = runner.run_all(spark, landing, ("crm", "erp", "hr"),
                               schemas=("fx_bronze", "fx_silver", "fx_gold"), location=loc)
     return report
 
@@ -197,7 +197,7 @@ def test_gold_columns_and_stamps(spark, run):
 
 def test_rerun_is_repeatable(spark, landing, run, tmp_path):
     """Running the layers again gives the same gold rows (T1: no undefined dedup choice)."""
-    again = pipeline.run_all(spark, landing, ("crm", "erp"), schemas=("fx_b2", "fx_s2", "fx_g2"),
+    again = runner.run_all(spark, landing, ("crm", "erp"), schemas=("fx_b2", "fx_s2", "fx_g2"),
                              location=str(tmp_path))
     assert again.filter("status = 'failed'").count() == 0
     for t in ("dim_customer", "dim_product", "fact_sales"):

@@ -82,22 +82,11 @@ def with_stamp(df: DataFrame, name: str) -> DataFrame:
 
 
 def apply_rules(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
-    """Apply ordered column rules; consecutive rules collapse into one Project.
+    """Apply ordered column rules.
 
-    A rule may read a column an earlier rule wrote, so rules are grouped into
-    ``withColumns`` batches that never read a column written in the same batch.
+    Each rule sees the columns the earlier rules wrote, as chained
+    ``withColumn`` calls do; Catalyst collapses the chain into one Project.
     """
-    batch: dict[str, Column] = {}
     for name, expr in rules:
-        if name in batch or _reads_any(expr, batch):
-            df = df.withColumns(batch)
-            batch = {}
-        batch[name] = expr
-    return df.withColumns(batch) if batch else df
-
-
-def _reads_any(expr: Column, names) -> bool:
-    if not names:
-        return False
-    text = str(expr)
-    return any(n in text for n in names)
+        df = df.withColumn(name, expr)
+    return df

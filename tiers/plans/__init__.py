@@ -1 +1 @@
-"""Plans: table specs, layer builders, the pipeline run and the registered queries."""
+"""Plans: table specs, layer builders, the layered run and the registered queries."""

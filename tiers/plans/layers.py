@@ -3,7 +3,7 @@
 Used by the registered queries and the benchmark: the raw extracts
 (``tiers.sources.driver_tables``) take the place of bronze, and the silver
 and gold specs run on them unchanged. The stored, layer-by-layer run lives
-in ``tiers.plans.pipeline``.
+in ``tiers.plans.runner``.
 """
 
 from __future__ import annotations

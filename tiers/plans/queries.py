@@ -9,6 +9,7 @@ checkpoint folder; that work is cached per session and data folder.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tiers.functions import audit, parse, text
 from tiers.operators import checks, clean, model
-from tiers.plans import bronze, gold, landing, layers, pipeline
+from tiers.plans import bronze, gold, landing, layers, runner
 from tiers.plans.specs import MAINTENANCE_NO, MAINTENANCE_YES, MARITAL_PREFIXES, SILVER
 from tiers.session import shared_dir
 from tiers.sources import catalog, driver_tables, files
@@ -248,9 +249,10 @@ def find_eq(spark, sf_dir):
                        cst_marital_status="Married")
 
 
-@register("find_id")
-def find_id(spark, sf_dir):
-    return checks.find(_raw(spark, sf_dir, "crm_cust_info"), cst_id=42)
+@register("find_num")
+def find_num(spark, sf_dir):
+    """Numeric equality (F3): sales lines of quantity one."""
+    return checks.find(layers.silver_table(spark, sf_dir, "sales_details"), sls_quantity=1)
 
 
 @register("find_gt")
@@ -323,6 +325,7 @@ def lost_values(spark, sf_dir):
 # ---- files, ingest, catalog (S1-S9, K1-K11, P3, P4, F9) ----------------
 
 _CACHE: dict[tuple, object] = {}
+_LOCK = threading.RLock()
 
 
 def _key(spark, sf_dir, what):
@@ -331,26 +334,32 @@ def _key(spark, sf_dir, what):
 
 def cached_landing(spark: SparkSession, sf_dir: str) -> str:
     k = _key(spark, sf_dir, "landing")
-    if k not in _CACHE:
-        _CACHE[k] = landing.write_landing(spark, sf_dir)
-    return _CACHE[k]
+    with _LOCK:
+        if k not in _CACHE:
+            _CACHE[k] = landing.write_landing(spark, sf_dir)
+        return _CACHE[k]
 
 
 def _schema_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
-def cached_pipeline(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+def cached_layers(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
     """Run CSV -> bronze -> silver -> gold once; return the three schema names."""
-    k = _key(spark, sf_dir, "pipeline")
+    k = _key(spark, sf_dir, "layers")
+    with _LOCK:
+        return _layers_locked(spark, sf_dir, k)
+
+
+def _layers_locked(spark, sf_dir, k):
     if k not in _CACHE:
         names = tuple(_schema_name(p) for p in ("bronze", "silver", "gold"))
-        report = pipeline.run_all(spark, cached_landing(spark, sf_dir), ("crm", "erp"),
+        report = runner.run_all(spark, cached_landing(spark, sf_dir), ("crm", "erp"),
                                   schemas=names, location=shared_dir(spark, "warehouse"),
                                   bronze_opts={"schemas": {landing.BAD_TABLE: landing.BAD_SCHEMA}})
         failed = report.filter("status = 'failed' AND layer <> 'bronze'").collect()
         if failed:
-            raise RuntimeError(f"pipeline failed: {failed}")
+            raise RuntimeError(f"layered run failed: {failed}")
         _CACHE[k] = names
     return _CACHE[k]
 
@@ -423,21 +432,21 @@ def ingest_report(spark, sf_dir):
 
 
 def _gold_schema(spark, sf_dir) -> str:
-    return cached_pipeline(spark, sf_dir)[2]
+    return cached_layers(spark, sf_dir)[2]
 
 
-@register("pipeline_fact_sales")
-def pipeline_fact_sales(spark, sf_dir):
+@register("stored_fact_sales")
+def stored_fact_sales(spark, sf_dir):
     return catalog.read_table(spark, f"{_gold_schema(spark, sf_dir)}.fact_sales").drop("_gold_timestamp")
 
 
-@register("pipeline_dim_customer")
-def pipeline_dim_customer(spark, sf_dir):
+@register("stored_dim_customer")
+def stored_dim_customer(spark, sf_dir):
     return catalog.read_table(spark, f"{_gold_schema(spark, sf_dir)}.dim_customer").drop("_gold_timestamp")
 
 
-@register("pipeline_dim_product")
-def pipeline_dim_product(spark, sf_dir):
+@register("stored_dim_product")
+def stored_dim_product(spark, sf_dir):
     return catalog.read_table(spark, f"{_gold_schema(spark, sf_dir)}.dim_product").drop("_gold_timestamp")
 
 
