@@ -1,7 +1,7 @@
 """Raw file sources: listing, table naming, CSV scans, audit columns.
 
-A "file" in a landing folder is what ``dbutils.fs.ls`` showed the
-reference: an immediate child whose name ends in ``.csv``. It may be one
+A "file" in a landing folder is what a directory listing shows: an
+immediate child whose name ends in ``.csv``. It may be one
 CSV file or a folder of CSV parts (what Spark itself writes); both read as
 one table, so a big export is scanned in parallel, split by split.
 """
