@@ -214,3 +214,16 @@ def test_bad_header_fails_alone(spark, landing, tmp_path):
     assert catalog.table_exists(spark, "fx_b3.erp_cust_az12")
     assert not catalog.table_exists(spark, "fx_b3.erp_loc_a101")
     assert os.path.isdir(landing)
+
+
+def test_faithful_mode_fails_like_the_reference(spark, landing, tmp_path):
+    """Strict casts stop the tables holding '0' dates or text costs under ANSI;
+    the other tables are built, and the report says which failed."""
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    rep = runner.run_all(spark, landing, ("crm", "erp"), schemas=("ff_b", "ff_s", "ff_g"),
+                         location=str(tmp_path), faithful=True)
+    st = {r.table_name: r.status for r in rep.filter("layer = 'silver'").collect()}
+    assert st["ff_s.sales_details"] == "failed"          # '0', '5489', month 13
+    assert st["ff_s.prd_info"] == "failed"               # 'abc' and overflow in decimal(10,2)
+    assert st["ff_s.erp_cust_az12"] == "failed"          # BDATE '0'
+    assert st["ff_s.loc_a101"] == "ok" and st["ff_s.erp_px_cat_g1v2"] == "ok"
