@@ -110,6 +110,7 @@ def test_failed_write_keeps_old_table(spark, tmp_path):
     with pytest.raises(Exception):
         catalog.save_table(bad, "cat_t3.a")
     assert spark.table("cat_t3.a").count() == 4
+    assert [t.name for t in spark.catalog.listTables("cat_t3")] == ["a"]      # staging cleaned up
 
 
 def test_tables_columns_clear(spark, tmp_path):
@@ -169,3 +170,11 @@ def test_overwrite_table_from_itself(spark, tmp_path):
     catalog.save_table(spark.range(10), "cat_t6.a")
     r = catalog.save_table(spark.table("cat_t6.a").filter("id < 4"), "cat_t6.a")
     assert r["rows"] == 4 and spark.table("cat_t6.a").count() == 4
+
+
+def test_listing_sizes(spark, tmp_path):
+    out = str(tmp_path / "x" / "export.csv")
+    spark.range(50).write.option("header", "true").csv(out)
+    shallow = files.list_files(spark, str(tmp_path / "x")).first()
+    deep = files.list_files(spark, str(tmp_path / "x"), deep_size=True).first()
+    assert shallow.is_dir and shallow.size == 0 and deep.size > 0

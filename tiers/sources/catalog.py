@@ -49,17 +49,26 @@ def check_schema(spark: SparkSession, df: DataFrame, table: str) -> None:
         raise SchemaMismatch(f"{table}: columns/types {have} differ from stored {want}")
 
 
+# Formats whose overwrite is already an atomic commit; no staging needed.
+TRANSACTIONAL = frozenset({"delta", "iceberg", "hudi"})
+
+
 def save_table(df: DataFrame, table: str, fmt: str = "parquet", replace_schema: bool = True,
-               partition_by=None, staged: bool = True) -> dict:
+               partition_by=None, staged: bool | None = None) -> dict:
     """Overwrite a managed table with ``df`` and return ``{"table", "rows"}`` (K1, K2, A1).
 
     * The row count is observed on the write itself: no second pass (A1).
     * ``replace_schema=False`` raises before writing if the columns or
       types would change (K2); Parquet would otherwise replace silently.
-    * ``staged``: the data is written to a staging table first and swapped
-      in by rename, so a failing write leaves the old table in place.
+    * ``staged`` (default: for non-transactional formats): the data is written
+      to a staging table first and swapped in by rename, so a failing write
+      leaves the old table in place, and a table can be rebuilt from itself
+      (T23). On object stores a rename copies files; a transactional format
+      (its overwrite is atomic) needs no staging.
     """
     spark = df.sparkSession
+    if staged is None:
+        staged = fmt.lower() not in TRANSACTIONAL
     if not replace_schema:
         check_schema(spark, df, table)
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
@@ -68,7 +77,12 @@ def save_table(df: DataFrame, table: str, fmt: str = "parquet", replace_schema:
     writer = observed.write.format(fmt).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    writer.saveAsTable(target)
+    try:
+        writer.saveAsTable(target)
+    except Exception:
+        if staged:                      # leave no half-written staging table behind
+            drop_table(spark, target)
+        raise
     if staged:
         spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": table})
         spark.sql("ALTER TABLE IDENTIFIER(:a) RENAME TO IDENTIFIER(:b)", args={"a": target, "b": table})

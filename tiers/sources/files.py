@@ -33,27 +33,32 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(conf), hpath
 
 
-def _entries(spark: SparkSession, path: str, subset: str = "") -> list[tuple]:
-    """Immediate children of ``path`` (a metadata call, like ``ls``)."""
+def _entries(spark: SparkSession, path: str, subset: str = "", deep_size: bool = False) -> list[tuple]:
+    """Immediate children of ``path`` (one metadata call, like ``ls``).
+
+    A folder's size is 0 unless ``deep_size``, which lists its contents too
+    (costly on object stores with many parts).
+    """
     fs, hpath = _fs(spark, path)
     rows = []
     for st in fs.listStatus(hpath):
         p = st.getPath()
         size = st.getLen()
         if st.isDirectory():
-            size = fs.getContentSummary(p).getLength()
+            size = fs.getContentSummary(p).getLength() if deep_size else 0
         rows.append((subset, p.toString(), p.getName(), int(size), int(st.getModificationTime()),
                      bool(st.isDirectory())))
     return rows
 
 
-def list_files(spark: SparkSession, path: str, suffix: str = ".csv", subset: str = "") -> DataFrame:
+def list_files(spark: SparkSession, path: str, suffix: str = ".csv", subset: str = "",
+               deep_size: bool = False) -> DataFrame:
     """Children of ``path`` whose name ends in ``suffix``.
 
     Raises if the folder cannot be read; ``tiers.plans.bronze`` turns that
     into an ``unreadable`` report row (S8).
     """
-    rows = [r for r in _entries(spark, path, subset) if r[2].endswith(suffix)]
+    rows = [r for r in _entries(spark, path, subset, deep_size) if r[2].endswith(suffix)]
     return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 
