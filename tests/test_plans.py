@@ -22,7 +22,8 @@ def shuffles_on(plan: str, column: str) -> int:
 
 
 def test_fact_moves_once(spark):
-    """fact_sales: one shuffle of the sales rows (the dedup); both lookups broadcast."""
+    """fact_sales: one shuffle of the sales rows by key (the dedup); both lookups broadcast.
+    (The one-file test scan is also spread by its row key; a table at scale is not.)"""
     plan = executed(layers.gold_table(spark, SF, "fact_sales"))
     assert shuffles_on(plan, "sls_ord_num") == 1
     assert shuffles_on(plan, "sls_cust_id") == 0 and shuffles_on(plan, "sls_prd_key") == 0
@@ -84,3 +85,51 @@ def test_dim_customer_lookups_share_one_partitioning(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert shuffles_on(plan, "cst_key") == 1
     assert len(re.findall(r"SortMergeJoin .*LeftOuter", plan)) == 2
+
+
+def test_sized_sides_are_released_after_the_write(spark, rows):
+    """Sides cached to be counted serve the join, then are freed by the scope."""
+    from tiers.operators.model import cached_sides
+    persistent = spark.sparkContext._jsc.getPersistentRDDs
+    spark.catalog.clearCache()          # an equal plan cached elsewhere would be reused
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = persistent().size()
+        with cached_sides():
+            df = layers.gold_table(spark, SF, "fact_sales")
+            during = persistent().size()
+            got = rows(df)
+        after = persistent().size()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert during > before and after == before
+    assert got == rows(layers.gold_table(spark, SF, "fact_sales", plain=True))
+
+
+def test_small_scan_is_spread_by_its_row_key(spark):
+    """One file with one row group scans as one task: it is spread over the cores by
+    the row key, and pruning and pushed filters still reach the scan."""
+    from tiers.operators.layout import needs_spread, spread
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    assert needs_spread(li, cores=8)
+    df = spread(li, ["l_orderkey", "l_linenumber"], cores=8).filter("l_quantity > 10").select("l_orderkey")
+    plan = executed(df)
+    assert re.search(r"Exchange hashpartitioning\(l_orderkey#\d+L, l_linenumber#\d+, 8\)", plan)
+    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double>" in plan
+    assert "GreaterThan(l_quantity,10.0)" in plan
+
+
+def test_scan_of_many_files_is_left_alone(spark, tmp_path):
+    """As many files as cores (a table at scale): no exchange is added."""
+    from tiers.operators.layout import needs_spread, spread
+    path = str(tmp_path / "parts")
+    spark.read.parquet(f"{SF}/lineitem.parquet").repartition(4).write.parquet(path)
+    li = spark.read.parquet(path)
+    assert not needs_spread(li, cores=4)
+    assert spread(li, ["l_orderkey", "l_linenumber"], cores=4) is li
+    assert needs_spread(li, cores=8)
+
+
+def test_one_core_never_spreads(spark):
+    from tiers.operators.layout import needs_spread
+    assert not needs_spread(spark.read.parquet(f"{SF}/lineitem.parquet"), cores=1)

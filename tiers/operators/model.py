@@ -14,7 +14,9 @@ Three properties are checked or made explicit instead of being left to chance:
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -25,6 +27,27 @@ from tiers.operators.clean import dedupe
 
 _MULT = "__copies"
 
+# Join sides cached to be counted, per ``cached_sides`` scope (None: no scope open).
+_CACHED: ContextVar[list | None] = ContextVar("tiers_cached_sides", default=None)
+
+
+@contextmanager
+def cached_sides() -> Iterator[None]:
+    """Release, on exit, the join sides that lookups cached in order to size them.
+
+    Wrap the build *and* the action that runs it (``save_table``): the cached
+    rows serve the join, then the blocks are freed instead of staying on the
+    executors for the rest of the session. Releasing early is safe too - the
+    join then recomputes the side from lineage. Scopes are per thread.
+    """
+    token = _CACHED.set([])
+    try:
+        yield
+    finally:
+        for df in _CACHED.get():
+            df.unpersist()
+        _CACHED.reset(token)
+
 
 def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
@@ -74,11 +97,15 @@ def _sized(df: DataFrame, max_rows: int | None) -> tuple[DataFrame, int | None]:
     it is left as is (the planner broadcasts it, no extra job). Otherwise the
     side is materialised once (cached, spilling to disk) and counted: the
     count proves the broadcast bound, and the join reuses the cached rows. A
-    lost executor's blocks are recomputed from lineage.
+    lost executor's blocks are recomputed from lineage. Inside a
+    ``cached_sides`` scope the cache is released when the scope ends.
     """
     if max_rows is None or _planner_broadcasts(df):
         return df, None
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    scope = _CACHED.get()
+    if scope is not None:
+        scope.append(df)
     n = df.count()
     return (F.broadcast(df) if n <= max_rows else df), n
 

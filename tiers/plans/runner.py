@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tiers.operators.model import cached_sides
 from tiers.plans import bronze, gold, silver
 from tiers.plans.specs import GOLD_SPECS, SILVER
 from tiers.sources import catalog
@@ -76,8 +77,9 @@ def run_gold(spark: SparkSession, silver_schema: str = "silver", gold_schema: st
         try:
             needed = [spec.base] + [lk.table for lk in spec.lookups]
             tables = {t: spark.table(f"{silver_schema}.{t}") for t in needed}
-            df = gold.build_plain(spec, tables) if plain else gold.build(spec, tables, **build_opts)
-            res = catalog.save_table(df, target, fmt=fmt)
+            with cached_sides():        # sides cached for sizing are freed after the write
+                df = gold.build_plain(spec, tables) if plain else gold.build(spec, tables, **build_opts)
+                res = catalog.save_table(df, target, fmt=fmt)
             return ("gold", target, "ok", res["rows"], None)
         except Exception as e:
             return ("gold", target, "failed", None, _err(e))

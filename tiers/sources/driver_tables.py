@@ -25,12 +25,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiers.operators.layout import spread
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# Row keys of the fact-sized driver tables: a scan of them that yields fewer
+# tasks than the cluster has cores is spread by this key (``layout.spread``).
+ROW_KEYS = {"lineitem": ("l_orderkey", "l_linenumber")}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, ROW_KEYS[name]) if name in ROW_KEYS else df
 
 
 def _s(v) -> Column:
@@ -53,8 +61,14 @@ def _decimal_text(units: Column, places: int) -> Column:
                     F.lpad(_digits(units % scale), places, "0"))
 
 
+def _ymd_int(c: Column) -> Column:
+    """A date or timestamp as the integer yyyyMMdd, by arithmetic (no per-row formatter)."""
+    return F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)
+
+
 def _ymd(c: Column) -> Column:
-    return F.date_format(c, "yyyyMMdd")
+    """Same text as ``date_format(c, 'yyyyMMdd')``: eight digits, year zero-padded."""
+    return F.lpad(_ymd_int(c).cast("string"), 8, "0")
 
 
 def crm_cust_info(customer: DataFrame) -> DataFrame:
@@ -131,12 +145,12 @@ def crm_sales_details(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         F.when((ln == 7) & (rf == "N"), F.lit(None).cast("string"))
          .otherwise(F.concat(_s("P"), _digits(F.col("l_partkey")))).alias("sls_prd_key"),
         F.col("o_custkey").alias("sls_cust_id"),
-        F.when(ln == 6, F.lit(0)).otherwise(_ymd(F.col("o_orderdate")).cast("int"))
+        F.when(ln == 6, F.lit(0)).otherwise(_ymd_int(F.col("o_orderdate")))
          .cast("int").alias("sls_order_dt"),
         F.when((ls == "O") & (ln == 5), _s("5489")).otherwise(_ymd(F.col("l_shipdate")))
          .alias("sls_ship_dt"),
         F.when((rf == "R") & (ln == 4), F.year("l_shipdate") * 10000 + 1332)
-         .otherwise(_ymd(F.date_add(F.to_date("l_shipdate"), 30)).cast("int"))
+         .otherwise(_ymd_int(F.date_add(F.to_date("l_shipdate"), 30)))
          .cast("int").alias("sls_due_dt"),
         F.when(rf == "A", grouped).when(rf == "N", amount)
          .when(ln == 3, F.lit(None).cast("string")).when(ln == 2, _s("n/a"))
