@@ -210,3 +210,23 @@ def test_lookup_hot_key_without_broadcast(spark, rows):
         assert rows(model.lookup(facts, dim, "k", "key")) == rows(plain.select("k", "o"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_repeat_rows_two_sides_is_chained_joins(spark, rows):
+    """Two lookups without columns: one explode by the product of the counts gives the
+    rows of the two chained left joins, a hot key and keys repeated on both sides included."""
+    facts = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 50).alias("a"),
+        (F.col("id") % 40).alias("b"), F.col("id").alias("o"))
+    left_dim = spark.range(0, 50).select(F.col("id").alias("ka")).unionByName(
+        spark.range(1, 4).select(F.col("id").alias("ka")))             # 1, 2, 3 twice
+    right_dim = spark.range(0, 40).select(F.col("id").alias("kb")).unionByName(
+        spark.range(2, 3).select(F.col("id").alias("kb"))).unionByName(
+        spark.range(2, 3).select(F.col("id").alias("kb")))              # 2 three times
+    got = model.repeat_rows(facts, [(left_dim, ["a"], ["ka"]), (right_dim, ["b"], ["kb"])])
+    plain = (facts.join(left_dim, facts.a == left_dim.ka, "left")
+                  .join(right_dim, facts.b == right_dim.kb, "left").select("a", "b", "o"))
+    assert rows(got) == rows(plain)
+    got.write.format("noop").mode("overwrite").save()
+    final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Generate explode") == 1

@@ -118,6 +118,39 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
               .filter(F.col(_MULT) > 1))
 
 
+def repeat_rows(left: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[str], Sequence[str]]],
+                broadcast_max_rows: int | None = None) -> DataFrame:
+    """The rows of left joins onto every side that carry no right column.
+
+    Such joins can only repeat left rows: each by the number of matching
+    right rows, one if none. Each side shrinks to the keys that occur more
+    than once, with their count; the counts are attached by left joins and
+    one explode repeats every row by their product - the rows of the chained
+    full joins, without moving any right-side column, and one explode for
+    all sides instead of one per side. A side whose keys never repeat is
+    left out (when it was counted). Key types are checked by ``lookup``.
+    """
+    out, counts = left, []
+    for i, (right, left_on, right_on) in enumerate(sides):
+        left_on, right_on = _names(left_on), _names(right_on)
+        alias = [f"__rk{i}_{j}" for j in range(len(right_on))]
+        copies = f"{_MULT}{i}"
+        mult = duplicate_keys(right, right_on).select(
+            *[F.col(rk).alias(a) for rk, a in zip(right_on, alias)], F.col(_MULT).alias(copies))
+        mult, n = _sized(mult, broadcast_max_rows)
+        if n == 0:
+            mult.unpersist()
+            continue             # no key repeats: this join cannot change the rows
+        cond = reduce(lambda a, b: a & b, [F.col(lk) == F.col(a) for lk, a in zip(left_on, alias)])
+        out = out.join(mult, cond, "left").drop(*alias)
+        counts.append(F.coalesce(F.col(copies), F.lit(1)))
+    if not counts:
+        return left
+    times = reduce(lambda a, b: a * b, counts)
+    repeat = F.explode(F.array_repeat(F.lit(True), times.cast("int")))
+    return out.withColumn(_MULT, repeat).select(*left.columns)
+
+
 def lookup(left: DataFrame, right: DataFrame, left_on, right_on=None,
            keep: Sequence[str] | Mapping[str, str] = (), on_duplicate: str = "allow",
            broadcast_max_rows: int | None = None) -> DataFrame:
@@ -156,15 +189,7 @@ def lookup(left: DataFrame, right: DataFrame, left_on, right_on=None,
     if not keep_map:
         if on_duplicate != "allow":
             return left
-        mult = duplicate_keys(right, right_on).select(
-            *[F.col(rk).alias(a) for rk, a in zip(right_on, alias)], F.col(_MULT))
-        mult, n = _sized(mult, broadcast_max_rows)
-        if n == 0:
-            mult.unpersist()
-            return left          # no key repeats: the join cannot change the rows
-        joined = left.join(mult, cond, "left")
-        repeat = F.explode(F.array_repeat(F.lit(True), F.coalesce(F.col(_MULT), F.lit(1)).cast("int")))
-        return joined.withColumn(_MULT, repeat).select(*left.columns)
+        return repeat_rows(left, [(right, left_on, right_on)], broadcast_max_rows)
 
     src = right.select(*[F.col(rk).alias(a) for rk, a in zip(right_on, alias)],
                        *[F.col(s).alias(d) for s, d in keep_map.items()])

@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from tiers.functions.audit import stamp as now
-from tiers.operators.model import lookup, project
+from tiers.operators.model import check_key_types, lookup, project, repeat_rows
 from tiers.plans.specs import GOLD, GOLD_SPECS, GoldSpec
 
 # A multiplicity side (keys that repeat, with their count) is broadcast when
@@ -34,12 +34,28 @@ def build(spec: GoldSpec | str, tables: Mapping[str, DataFrame], stamp: bool = T
     spec = GOLD_SPECS[spec] if isinstance(spec, str) else spec
     df = tables[spec.base]
     base_cols = set(df.columns)
+    # Consecutive lookups that carry no column only repeat rows: they are
+    # planned together, with one explode for all of them (model.repeat_rows).
+    fanout_bound = FANOUT_BROADCAST_ROWS if broadcast_max_rows is None else broadcast_max_rows
+    pending: list = []
+
+    def flush(df: DataFrame) -> DataFrame:
+        if pending:
+            df = repeat_rows(df, list(pending), fanout_bound)
+            pending.clear()
+        return df
+
     for lk in spec.lookups:
-        bound = broadcast_max_rows
-        if bound is None and not lk.keep:
-            bound = FANOUT_BROADCAST_ROWS
-        df = lookup(df, tables[lk.table], lk.left_on, lk.right_on, keep=lk.keep,
+        right = tables[lk.table]
+        if not lk.keep and on_duplicate == "allow":
+            check_key_types(df, right, lk.left_on, lk.right_on)
+            pending.append((right, lk.left_on, lk.right_on))
+            continue
+        df = flush(df)
+        bound = broadcast_max_rows if lk.keep else fanout_bound
+        df = lookup(df, right, lk.left_on, lk.right_on, keep=lk.keep,
                     on_duplicate=on_duplicate, broadcast_max_rows=bound)
+    df = flush(df)
     cols = list(spec.columns)
     if with_product_code and spec.name == "dim_product" and "prd_id" in base_cols:
         cols.append(("product_code", "prd_id"))
