@@ -152,6 +152,19 @@ def test_stream_ingest_reads_each_file_once(spark, tmp_path):
     assert {os.path.basename(r[0]) for r in t.select("_source_file").distinct().collect()} == {"a.csv", "b.csv"}
 
 
+def test_stream_ingest_commits_through_the_sink_log(spark, tmp_path):
+    """The file sink's commit log sits in the table folder; a run with no new file reads nothing."""
+    land = tmp_path / "land"
+    land.mkdir()
+    (land / "a.csv").write_text("CID,CNTRY\n1,x\n")
+    catalog.ensure_schema(spark, "st_log", str(tmp_path / "st_log"))
+    ck = str(tmp_path / "ck")
+    assert ingest_available(spark, str(land), "st_log.loc", "CID STRING, CNTRY STRING", checkpoint=ck) == 1
+    assert os.path.isdir(tmp_path / "st_log" / "loc" / "_spark_metadata")
+    assert ingest_available(spark, str(land), "st_log.loc", "CID STRING, CNTRY STRING", checkpoint=ck) == 0
+    assert spark.table("st_log.loc").count() == 1
+
+
 def test_folder_with_mixed_headers_is_refused(spark, tmp_path):
     d = tmp_path / "mixed"
     d.mkdir()

@@ -2,10 +2,13 @@
 folder that keeps receiving exports).
 
 The reference re-reads every raw file on each run. For a landing folder
-that grows, a file stream reads each new CSV file once: the checkpoint
-records which files are done, so a restarted job (or a lost executor)
-neither skips nor repeats a file. Each micro-batch gets the same audit
-columns as the batch ingest and is appended to the bronze table.
+that grows, a file stream reads each new CSV file once, with the same audit
+columns as the batch ingest, and Spark's file sink appends it to the bronze
+table. The source's checkpoint records which files each batch read and the
+sink's commit log (``_spark_metadata`` in the table folder) which files each
+batch wrote; readers of the table see committed files only. A restarted job
+or a lost executor therefore neither skips nor repeats a file: a batch that
+failed after writing is re-run, and its half-written files stay invisible.
 
 The reference has no stream, watermark or state; this module adds none.
 """
@@ -33,21 +36,17 @@ def ingest_available(spark: SparkSession, path: str, table: str, schema: T.Struc
     """Append every not-yet-seen file under ``path`` to ``table``, then stop.
 
     ``availableNow`` processes what is there in rate-limited batches and
-    ends; run it on a schedule. Returns the number of batches run.
+    ends; run it on a schedule. The table is created on the first run (a
+    managed table of format ``fmt``). Returns the number of batches that
+    read rows in this run.
     """
-    batches = []
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.format(fmt).mode("append").saveAsTable(table)
-        batches.append(batch_id)
-
     # audit columns on the stream itself: the file path resolves per source file
     query = (add_audit(stream_csv(spark, path, schema)).writeStream
-             .foreachBatch(write_batch)
+             .format(fmt)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
-             .start())
+             .toTable(table))
     query.awaitTermination()
-    # batches wrote through the stream's own session: drop this session's cached listing
+    # the sink wrote through the stream's own session: drop this session's cached listing
     spark.catalog.refreshTable(table)
-    return len(batches)
+    return sum(1 for p in query.recentProgress if p.get("numInputRows", 0) > 0)
