@@ -29,17 +29,19 @@ def _max_partition_bytes(df: DataFrame) -> int:
 def needs_spread(df: DataFrame, cores: int | None = None) -> bool:
     """True if the scan behind ``df`` yields fewer tasks than ``cores``.
 
-    Fewer input files than cores, and too few bytes to give each core a
-    split of ``spark.sql.files.maxPartitionBytes``. Decided from the file
-    listing and the optimizer's size estimate; no job runs.
+    Too few bytes to give each core a split of
+    ``spark.sql.files.maxPartitionBytes``, and fewer input files than cores.
+    Decided from the optimizer's size estimate and, for small inputs only,
+    the file list; no job runs.
     """
     cores = cores or df.sparkSession.sparkContext.defaultParallelism
     if cores <= 1:
         return False
-    files = df.inputFiles()
-    if not files or len(files) >= cores:
+    # size first: a large table is decided without shipping its file list to the driver
+    if estimated_bytes(df) >= cores * _max_partition_bytes(df):
         return False
-    return estimated_bytes(df) < cores * _max_partition_bytes(df)
+    files = df.inputFiles()
+    return 0 < len(files) < cores
 
 
 def spread(df: DataFrame, keys: Sequence[str], cores: int | None = None) -> DataFrame:
