@@ -133,3 +133,20 @@ def test_scan_of_many_files_is_left_alone(spark, tmp_path):
 def test_one_core_never_spreads(spark):
     from tiers.operators.layout import needs_spread
     assert not needs_spread(spark.read.parquet(f"{SF}/lineitem.parquet"), cores=1)
+
+
+def test_shuffle_partitions_cover_the_largest_input(spark):
+    """Raised to input bytes / advisory partition size from estimates alone; never lowered."""
+    import math
+    from tiers.session import size_shuffle_partitions
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        small = spark.range(1000)
+        assert size_shuffle_partitions(spark, small) == int(before)
+        big = spark.range(10**12)                       # estimated at 8 TB; nothing runs
+        n = size_shuffle_partitions(spark, small, big)
+        assert n == math.ceil(8 * 10**12 / (64 << 20))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+        assert size_shuffle_partitions(spark, small) == n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from tiers.operators.model import cached_sides
 from tiers.plans import bronze, gold, silver
 from tiers.plans.specs import GOLD_SPECS, SILVER
+from tiers.session import size_shuffle_partitions
 from tiers.sources import catalog
 
 REPORT_SCHEMA = T.StructType([
@@ -39,6 +40,12 @@ def _run(items, fn, parallelism: int):
     return [fn(i) for i in items]
 
 
+def _stored(spark: SparkSession, schema: str, tables) -> list[DataFrame]:
+    """The stored tables that exist (a missing one fails later, in its own report row)."""
+    return [spark.table(f"{schema}.{t}") for t in dict.fromkeys(tables)
+            if spark.catalog.tableExists(f"{schema}.{t}")]
+
+
 def _err(e: Exception) -> str:
     return f"{type(e).__name__}: {str(e).splitlines()[0][:300]}" if str(e) else type(e).__name__
 
@@ -48,6 +55,8 @@ def run_silver(spark: SparkSession, bronze_schema: str = "bronze", silver_schema
                location: str | None = None, **build_opts) -> DataFrame:
     """Bronze tables -> the six silver tables."""
     catalog.ensure_schema(spark, silver_schema, location)
+    chosen = list(names or SILVER)
+    size_shuffle_partitions(spark, *_stored(spark, bronze_schema, [SILVER[n].source for n in chosen]))
 
     def one(name: str):
         spec = SILVER[name]
@@ -59,7 +68,7 @@ def run_silver(spark: SparkSession, bronze_schema: str = "bronze", silver_schema
         except Exception as e:
             return ("silver", target, "failed", None, _err(e))
 
-    return spark.createDataFrame(_run(list(names or SILVER), one, parallelism), REPORT_SCHEMA)
+    return spark.createDataFrame(_run(chosen, one, parallelism), REPORT_SCHEMA)
 
 
 def run_gold(spark: SparkSession, silver_schema: str = "silver", gold_schema: str = "gold",
@@ -70,6 +79,9 @@ def run_gold(spark: SparkSession, silver_schema: str = "silver", gold_schema: st
     ``plain`` uses the reference's chained joins instead of checked lookups.
     """
     catalog.ensure_schema(spark, gold_schema, location)
+    chosen = list(names or GOLD_SPECS)
+    size_shuffle_partitions(spark, *_stored(spark, silver_schema,
+                                            [GOLD_SPECS[n].base for n in chosen]))
 
     def one(name: str):
         spec = GOLD_SPECS[name]
@@ -84,7 +96,7 @@ def run_gold(spark: SparkSession, silver_schema: str = "silver", gold_schema: st
         except Exception as e:
             return ("gold", target, "failed", None, _err(e))
 
-    return spark.createDataFrame(_run(list(names or GOLD_SPECS), one, parallelism), REPORT_SCHEMA)
+    return spark.createDataFrame(_run(chosen, one, parallelism), REPORT_SCHEMA)
 
 
 def run_all(spark: SparkSession, base_path: str, subsets: Sequence[str] = ("crm", "erp"),

@@ -7,6 +7,7 @@ on a cluster the caller's session is passed in unchanged.
 
 from __future__ import annotations
 
+import math
 import os
 import uuid
 
@@ -74,3 +75,32 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         path = f"{path}/{uuid.uuid4().hex}"
     return path
+
+
+def _bytes(v: str) -> int:
+    s = v.strip().lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    return int(float(s[:-1]) * units[s[-1]]) if s and s[-1] in units else int(s)
+
+
+def size_shuffle_partitions(spark: SparkSession, *dfs, max_partitions: int = 200_000) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so the largest input fits.
+
+    AQE merges small shuffle partitions but never splits one, so the count a
+    job starts from must cover its biggest input: estimated input bytes over
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (the size AQE then
+    aims at). Only ever raised, never lowered below what the session has.
+    Estimates come from the optimizer (file sizes), no job runs. Returns the
+    count in force.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+    biggest = 0
+    for df in dfs:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        biggest = max(biggest, int(str(stats.sizeInBytes())))
+    needed = min(max_partitions, math.ceil(biggest / max(target, 1)))
+    if needed > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+        return needed
+    return current
