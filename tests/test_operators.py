@@ -230,3 +230,18 @@ def test_repeat_rows_two_sides_is_chained_joins(spark, rows):
     got.write.format("noop").mode("overwrite").save()
     final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("Generate explode") == 1
+
+
+def test_orphans_hot_right_key_is_combined_before_shuffle(spark, rows):
+    """A right key on most rows: distinct keys before the anti join, same orphans."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        right = spark.range(0, 30000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 100).alias("key"))
+        left = spark.range(0, 200).select(F.col("id").alias("k"))
+        got = checks.orphans(left, right, "k", "key")
+        assert rows(got) == rows(left.join(right, left.k == right.key, "left_anti"))
+        got.write.format("noop").mode("overwrite").save()
+        final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "HashAggregate(keys=[__rk0" in final
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

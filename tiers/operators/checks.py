@@ -70,12 +70,15 @@ def unique_key(df: DataFrame, keys) -> DataFrame:
 def orphans(left: DataFrame, right: DataFrame, left_on, right_on=None) -> DataFrame:
     """Rows of ``left`` whose key has no match in ``right``.
 
-    A left anti join; a NULL key is an orphan too, as in the left join.
+    A left anti join; a NULL key is an orphan too, as in the left join. The
+    right side is cut to its distinct keys first (partial aggregation), so a
+    right key held by a third of all rows is one row per task before the
+    shuffle; an anti join gives the same rows either way.
     """
     left_on = _names(left_on)
     right_on = _names(right_on) if right_on is not None else left_on
     alias = [f"__rk{i}" for i in range(len(right_on))]
-    keys = right.select(*[F.col(r).alias(a) for r, a in zip(right_on, alias)])
+    keys = right.select(*[F.col(r).alias(a) for r, a in zip(right_on, alias)]).distinct()
     cond = reduce(lambda a, b: a & b, [F.col(lk) == F.col(a) for lk, a in zip(left_on, alias)])
     return left.join(keys, cond, "left_anti")
 
