@@ -245,3 +245,26 @@ def test_orphans_hot_right_key_is_combined_before_shuffle(spark, rows):
         assert "HashAggregate(keys=[__rk0" in final
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lookup_splits_hot_right_keys_over_salts(spark, rows):
+    """Right keys with copies or many rows, dimension not broadcast: salted join, same rows."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = spark.range(0, 400).select(
+            F.when(F.col("id") == 399, F.lit(None)).otherwise(F.col("id") % 60).alias("k"),
+            F.col("id").alias("o"))
+        copies = spark.range(0, 2500).select(F.lit(1).cast("long").alias("key"), F.lit(-1).cast("long").alias("attr"))
+        many = spark.range(0, 1500).select(F.lit(2).cast("long").alias("key"), F.col("id").alias("attr"))
+        plain_dim = spark.range(0, 50).select(F.col("id").alias("key"), (F.col("id") * 2).alias("attr"))
+        dim = copies.unionByName(many).unionByName(plain_dim).unionByName(plain_dim.filter("key = 7"))
+        got = model.lookup(facts, dim, "k", "key", keep=["attr"], hot_key_rows=400)
+        plain = facts.join(dim, facts.k == dim.key, "left").select("k", "o", "attr")
+        assert rows(got) == rows(plain)
+        got.write.format("noop").mode("overwrite").save()
+        final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "__rs" in final                                  # the salted join ran
+        untouched = model.lookup(facts, dim, "k", "key", keep=["attr"], hot_key_rows=10**6)
+        assert rows(untouched) == rows(plain)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

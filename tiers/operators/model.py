@@ -27,6 +27,13 @@ from tiers.operators.clean import dedupe
 
 _MULT = "__copies"
 
+# A right key with more rows than this is split over salts in a shuffle join.
+HOT_KEY_ROWS = 1_000_000
+# Salts per hot key at most; the left rows of a hot key are repeated this often.
+MAX_SALTS = 512
+# Hot keys number at most (right rows / HOT_KEY_ROWS); broadcast when counted under this.
+HOT_KEYS_BROADCAST_ROWS = 1_000_000
+
 # Join sides cached to be counted, per ``cached_sides`` scope (None: no scope open).
 _CACHED: ContextVar[list | None] = ContextVar("tiers_cached_sides", default=None)
 
@@ -153,7 +160,8 @@ def repeat_rows(left: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[str],
 
 def lookup(left: DataFrame, right: DataFrame, left_on, right_on=None,
            keep: Sequence[str] | Mapping[str, str] = (), on_duplicate: str = "allow",
-           broadcast_max_rows: int | None = None) -> DataFrame:
+           broadcast_max_rows: int | None = None,
+           hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """Left outer equi-join of ``left`` onto ``right``.
 
     ``keep`` names the right columns to carry (a mapping renames them).
@@ -165,6 +173,10 @@ def lookup(left: DataFrame, right: DataFrame, left_on, right_on=None,
     repeated that many times - the same rows as the full join, without
     moving any right-side column. With ``on_duplicate`` ``dedupe`` or
     ``error`` such a join changes nothing and is removed.
+
+    When columns are kept and the right side is too large to broadcast, right
+    keys with more than ``hot_key_rows`` rows are split over salts (see
+    ``_salted_join``); ``None`` turns this off.
     """
     left_on = _names(left_on)
     right_on = _names(right_on) if right_on is not None else list(left_on)
@@ -196,10 +208,64 @@ def lookup(left: DataFrame, right: DataFrame, left_on, right_on=None,
     src = src.filter(reduce(lambda a, b: a & b, [F.col(a).isNotNull() for a in alias]))
     if on_duplicate == "dedupe":
         src = dedupe(src, alias)
+    elif hot_key_rows is not None and broadcast_max_rows is None and not _planner_broadcasts(src):
+        salted = _salted_join(left, src, left_on, alias, hot_key_rows)
+        if salted is not None:
+            return salted
     joined = left.join(bounded_broadcast(src, broadcast_max_rows), cond, "left")
     return joined.drop(*alias)
 
 
+def _salted_join(left: DataFrame, src: DataFrame, left_on: list[str], alias: list[str],
+                 hot_rows: int) -> DataFrame | None:
+    """Left join of ``left`` onto ``src`` with hot right keys split over salts.
+
+    A right key with more than ``hot_rows`` rows (a group of re-sent copies,
+    say) would put all its rows, and its whole fan-out, in one task: AQE
+    splits the left side of a left join, never the right. For such a key:
+
+    * identical right rows are collapsed to one row with a count (partial
+      aggregation, so copies combine before the shuffle);
+    * each collapsed row is cut into at most ``s = ceil(n / hot_rows)``
+      shares with consecutive salts (from a hash of the row), so distinct
+      rows and copies alike spread over ``s`` tasks;
+    * each left row of the key is repeated once per salt and joined on
+      (key, salt); a repeat that meets no share is dropped (a hot key always
+      has right rows), and each share is expanded back to its copies.
+
+    The output rows are exactly those of the plain left join. Returns None
+    when no key is hot, after one aggregation of the right keys.
+    """
+    hot = (src.groupBy(*alias).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
+              .select(*alias, F.least(F.ceil(F.col("__n") / F.lit(hot_rows)),
+                                      F.lit(MAX_SALTS)).cast("int").alias("__s")))
+    hot, n = _sized(hot, HOT_KEYS_BROADCAST_ROWS)
+    if n == 0:
+        hot.unpersist()
+        return None
+    payload = [c for c in src.columns if c not in alias]
+    salts = F.coalesce(F.col("__s"), F.lit(1))
+    row_hash = F.xxhash64(*[F.col(c) for c in payload]) if payload else F.lit(0)
+    right = (src.groupBy(*src.columns).agg(F.count(F.lit(1)).alias("__c"))
+                .join(hot, alias, "left")
+                .withColumn("__k", F.least(F.col("__c"), salts.cast("long")).cast("int"))
+                .withColumn("__j", F.explode(F.sequence(F.lit(0), F.col("__k") - 1)))
+                .withColumn("__rs", F.pmod(row_hash + F.col("__j"), salts).cast("int"))
+                .withColumn("__rc", F.expr("__c div __k") + F.when(F.col("__j") < F.col("__c") % F.col("__k"), 1)
+                                                            .otherwise(0))
+                .drop("__s", "__c", "__k", "__j"))
+    hk = [f"__hk{i}" for i in range(len(alias))]
+    hot_left = hot.select(*[F.col(a).alias(h) for a, h in zip(alias, hk)], F.col("__s").alias("__ln"))
+    on_hot = reduce(lambda a, b: a & b, [F.col(lk) == F.col(h) for lk, h in zip(left_on, hk)])
+    repeats = F.sequence(F.lit(0), F.coalesce(F.col("__ln"), F.lit(1)) - 1)
+    lefts = left.join(hot_left, on_hot, "left").withColumn("__ls", F.explode(repeats)).drop(*hk)
+    cond = reduce(lambda a, b: a & b, [F.col(lk) == F.col(a) for lk, a in zip(left_on, alias)])
+    joined = (lefts.join(right, cond & (F.col("__ls") == F.col("__rs")), "left")
+                   .filter(F.col("__ln").isNull() | F.col("__rs").isNotNull()))
+    copies = F.explode(F.array_repeat(F.lit(True), F.coalesce(F.col("__rc"), F.lit(1)).cast("int")))
+    return joined.withColumn("__rep", copies).drop(*alias, "__ln", "__ls", "__rs", "__rc", "__rep")
+
+
 def project(df: DataFrame, mapping: Mapping[str, str] | Sequence[tuple[str, str]]) -> DataFrame:
     """Select and rename: ``{output_name: input_column}`` in output order."""
     items = mapping.items() if isinstance(mapping, Mapping) else mapping
