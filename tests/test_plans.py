@@ -150,3 +150,12 @@ def test_shuffle_partitions_cover_the_largest_input(spark):
         assert size_shuffle_partitions(spark, small) == n
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_input_bytes_sum_the_scans_where_the_estimate_multiplies(spark):
+    from tiers.operators.model import estimated_bytes, input_bytes
+    c = spark.read.parquet(f"{SF}/customer.parquet")
+    n = spark.read.parquet(f"{SF}/nation.parquet")
+    j = c.join(n, c.c_nationkey == n.n_nationkey)
+    assert input_bytes(j) == input_bytes(c) + input_bytes(n)
+    assert estimated_bytes(j) > input_bytes(j)

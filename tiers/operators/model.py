@@ -88,6 +88,25 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes the plan reads: the optimizer's sizes of its leaves (scans), no job.
+
+    Unlike ``estimated_bytes`` this does not grow through joins, whose size
+    the optimizer bounds by the product of their sides when it has no
+    statistics.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length()))
+
+
+def _broadcast_limit(df: DataFrame) -> int:
+    thr = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        return int(thr)
+    except ValueError:
+        return 10 * 1024 * 1024
+
+
 def _planner_broadcasts(df: DataFrame) -> bool:
     thr = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     try:
@@ -208,7 +227,9 @@ def lookup(left: DataFrame, right: DataFrame, left_on, right_on=None,
     src = src.filter(reduce(lambda a, b: a & b, [F.col(a).isNotNull() for a in alias]))
     if on_duplicate == "dedupe":
         src = dedupe(src, alias)
-    elif hot_key_rows is not None and broadcast_max_rows is None and not _planner_broadcasts(src):
+    elif (hot_key_rows is not None and broadcast_max_rows is None and not _planner_broadcasts(src)
+          and input_bytes(src) > _broadcast_limit(src)):
+        # a side that reads more than AQE would broadcast: check it for hot keys
         salted = _salted_join(left, src, left_on, alias, hot_key_rows)
         if salted is not None:
             return salted
