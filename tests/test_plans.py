@@ -159,3 +159,11 @@ def test_input_bytes_sum_the_scans_where_the_estimate_multiplies(spark):
     j = c.join(n, c.c_nationkey == n.n_nationkey)
     assert input_bytes(j) == input_bytes(c) + input_bytes(n)
     assert estimated_bytes(j) > input_bytes(j)
+
+
+def test_shuffle_partitions_scope_restores_the_setting(spark):
+    from tiers.session import shuffle_partitions_for
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with shuffle_partitions_for(spark, spark.range(10**12)) as n:
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == n > int(before)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

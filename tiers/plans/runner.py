@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tiers.operators.model import cached_sides
 from tiers.plans import bronze, gold, silver
 from tiers.plans.specs import GOLD_SPECS, SILVER
-from tiers.session import size_shuffle_partitions
+from tiers.session import shuffle_partitions_for
 from tiers.sources import catalog
 
 REPORT_SCHEMA = T.StructType([
@@ -56,7 +56,7 @@ def run_silver(spark: SparkSession, bronze_schema: str = "bronze", silver_schema
     """Bronze tables -> the six silver tables."""
     catalog.ensure_schema(spark, silver_schema, location)
     chosen = list(names or SILVER)
-    size_shuffle_partitions(spark, *_stored(spark, bronze_schema, [SILVER[n].source for n in chosen]))
+    inputs = _stored(spark, bronze_schema, [SILVER[n].source for n in chosen])
 
     def one(name: str):
         spec = SILVER[name]
@@ -68,7 +68,9 @@ def run_silver(spark: SparkSession, bronze_schema: str = "bronze", silver_schema
         except Exception as e:
             return ("silver", target, "failed", None, _err(e))
 
-    return spark.createDataFrame(_run(chosen, one, parallelism), REPORT_SCHEMA)
+    with shuffle_partitions_for(spark, *inputs):
+        done = _run(chosen, one, parallelism)
+    return spark.createDataFrame(done, REPORT_SCHEMA)
 
 
 def run_gold(spark: SparkSession, silver_schema: str = "silver", gold_schema: str = "gold",
@@ -80,8 +82,7 @@ def run_gold(spark: SparkSession, silver_schema: str = "silver", gold_schema: st
     """
     catalog.ensure_schema(spark, gold_schema, location)
     chosen = list(names or GOLD_SPECS)
-    size_shuffle_partitions(spark, *_stored(spark, silver_schema,
-                                            [GOLD_SPECS[n].base for n in chosen]))
+    inputs = _stored(spark, silver_schema, [GOLD_SPECS[n].base for n in chosen])
 
     def one(name: str):
         spec = GOLD_SPECS[name]
@@ -96,7 +97,9 @@ def run_gold(spark: SparkSession, silver_schema: str = "silver", gold_schema: st
         except Exception as e:
             return ("gold", target, "failed", None, _err(e))
 
-    return spark.createDataFrame(_run(chosen, one, parallelism), REPORT_SCHEMA)
+    with shuffle_partitions_for(spark, *inputs):
+        done = _run(chosen, one, parallelism)
+    return spark.createDataFrame(done, REPORT_SCHEMA)
 
 
 def run_all(spark: SparkSession, base_path: str, subsets: Sequence[str] = ("crm", "erp"),

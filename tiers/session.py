@@ -10,6 +10,8 @@ from __future__ import annotations
 import math
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -104,3 +106,17 @@ def size_shuffle_partitions(spark: SparkSession, *dfs, max_partitions: int = 200
         spark.conf.set("spark.sql.shuffle.partitions", str(needed))
         return needed
     return current
+
+
+@contextmanager
+def shuffle_partitions_for(spark: SparkSession, *dfs) -> Iterator[int]:
+    """``size_shuffle_partitions`` for the jobs inside the block; the previous
+    setting is restored afterwards, so later jobs of the session are unaffected."""
+    before = spark.conf.get("spark.sql.shuffle.partitions", None)
+    try:
+        yield size_shuffle_partitions(spark, *dfs)
+    finally:
+        if before is None:
+            spark.conf.unset("spark.sql.shuffle.partitions")
+        else:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
