@@ -36,8 +36,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 ROW_KEYS = {"lineitem": ("l_orderkey", "l_linenumber")}
 
 
+# (application, path) -> schema. The driver tables are read-only; like a
+# catalog, the schema is taken from the files once, which spares every later
+# read the footer job of schema inference. Files are still listed per read.
+_SCHEMAS: dict[tuple[str, str], object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+    else:
+        df = spark.read.schema(schema).parquet(path)
     return spread(df, ROW_KEYS[name]) if name in ROW_KEYS else df
 
 
