@@ -167,3 +167,13 @@ def test_shuffle_partitions_scope_restores_the_setting(spark):
     with shuffle_partitions_for(spark, spark.range(10**12)) as n:
         assert int(spark.conf.get("spark.sql.shuffle.partitions")) == n > int(before)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_job_labels_are_scoped_to_the_block(spark):
+    from tiers.session import label_jobs
+    sc = spark.sparkContext
+    with label_jobs(spark, "silver", "s.t"):
+        assert sc.getLocalProperty("spark.scheduler.pool") == "silver.s.t"
+        assert sc.getLocalProperty("spark.job.description") == "silver s.t"
+    assert sc.getLocalProperty("spark.scheduler.pool") is None
+    assert sc.getLocalProperty("spark.job.description") is None

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tiers.session import label_jobs
 from tiers.sources import catalog, files
 
 REPORT_SCHEMA = T.StructType([
@@ -93,8 +94,9 @@ def ingest(spark: SparkSession, base_path: str, subsets: Sequence[str] = ("crm",
 
     def one(item):
         subset, path, name, tname = item
-        status, rows, err = ingest_file(spark, path, f"{schema}.{tname}", schemas.get(tname), infer, fmt)
-        return (subset, name, tname, status, rows, err)
+        with label_jobs(spark, "bronze", f"{schema}.{tname}"):
+            status, rows, err = ingest_file(spark, path, f"{schema}.{tname}", schemas.get(tname), infer, fmt)
+            return (subset, name, tname, status, rows, err)
 
     if parallelism > 1 and len(work) > 1:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tiers.operators.model import cached_sides
 from tiers.plans import bronze, gold, silver
 from tiers.plans.specs import GOLD_SPECS, SILVER
-from tiers.session import shuffle_partitions_for
+from tiers.session import label_jobs, shuffle_partitions_for
 from tiers.sources import catalog
 
 REPORT_SCHEMA = T.StructType([
@@ -61,12 +61,13 @@ def run_silver(spark: SparkSession, bronze_schema: str = "bronze", silver_schema
     def one(name: str):
         spec = SILVER[name]
         target = f"{silver_schema}.{spec.name}"
-        try:
-            df = silver.build(spark.table(f"{bronze_schema}.{spec.source}"), spec, **build_opts)
-            res = catalog.save_table(df, target, fmt=fmt, replace_schema=spec.name not in KEEP_SCHEMA)
-            return ("silver", target, "ok", res["rows"], None)
-        except Exception as e:
-            return ("silver", target, "failed", None, _err(e))
+        with label_jobs(spark, "silver", target):
+            try:
+                df = silver.build(spark.table(f"{bronze_schema}.{spec.source}"), spec, **build_opts)
+                res = catalog.save_table(df, target, fmt=fmt, replace_schema=spec.name not in KEEP_SCHEMA)
+                return ("silver", target, "ok", res["rows"], None)
+            except Exception as e:
+                return ("silver", target, "failed", None, _err(e))
 
     with shuffle_partitions_for(spark, *inputs):
         done = _run(chosen, one, parallelism)
@@ -87,15 +88,16 @@ def run_gold(spark: SparkSession, silver_schema: str = "silver", gold_schema: st
     def one(name: str):
         spec = GOLD_SPECS[name]
         target = f"{gold_schema}.{spec.name}"
-        try:
-            needed = [spec.base] + [lk.table for lk in spec.lookups]
-            tables = {t: spark.table(f"{silver_schema}.{t}") for t in needed}
-            with cached_sides():        # sides cached for sizing are freed after the write
-                df = gold.build_plain(spec, tables) if plain else gold.build(spec, tables, **build_opts)
-                res = catalog.save_table(df, target, fmt=fmt)
-            return ("gold", target, "ok", res["rows"], None)
-        except Exception as e:
-            return ("gold", target, "failed", None, _err(e))
+        with label_jobs(spark, "gold", target):
+            try:
+                needed = [spec.base] + [lk.table for lk in spec.lookups]
+                tables = {t: spark.table(f"{silver_schema}.{t}") for t in needed}
+                with cached_sides():        # sides cached for sizing are freed after the write
+                    df = gold.build_plain(spec, tables) if plain else gold.build(spec, tables, **build_opts)
+                    res = catalog.save_table(df, target, fmt=fmt)
+                return ("gold", target, "ok", res["rows"], None)
+            except Exception as e:
+                return ("gold", target, "failed", None, _err(e))
 
     with shuffle_partitions_for(spark, *inputs):
         done = _run(chosen, one, parallelism)

@@ -120,3 +120,24 @@ def shuffle_partitions_for(spark: SparkSession, *dfs) -> Iterator[int]:
             spark.conf.unset("spark.sql.shuffle.partitions")
         else:
             spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@contextmanager
+def label_jobs(spark: SparkSession, layer: str, table: str) -> Iterator[None]:
+    """Tag the calling thread's jobs with the table they build, for the block.
+
+    The scheduler pool gives each table of a layer, run from its own
+    thread, a fair share of the executors when the cluster schedules FAIR
+    (under FIFO the property is ignored); the description names the table
+    in the event log. The thread's previous values are restored afterwards.
+    """
+    sc = spark.sparkContext
+    keys = ("spark.scheduler.pool", "spark.job.description")
+    before = {k: sc.getLocalProperty(k) for k in keys}
+    sc.setLocalProperty("spark.scheduler.pool", f"{layer}.{table}")
+    sc.setJobDescription(f"{layer} {table}")
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            sc.setLocalProperty(k, v)
