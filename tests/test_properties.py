@@ -1,0 +1,40 @@
+"""Property tests: the planned joins give the plain joins' rows on random tables."""
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tiers.operators import model
+
+keys = st.one_of(st.none(), st.integers(min_value=0, max_value=6))
+left_rows = st.lists(st.tuples(keys, st.integers(min_value=0, max_value=9)), min_size=1, max_size=40)
+right_rows = st.lists(st.tuples(keys, st.integers(min_value=0, max_value=3)), min_size=0, max_size=60)
+SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@SETTINGS
+@given(left=left_rows, right=right_rows, hot=st.integers(min_value=1, max_value=4))
+def test_salted_lookup_is_the_plain_join(spark, rows, no_broadcast, left, right, hot):
+    lf = spark.createDataFrame(left, "k int, o int")
+    rf = spark.createDataFrame(right, "key int, attr int")
+    got = model.lookup(lf, rf, "k", "key", keep=["attr"], hot_key_rows=hot)
+    plain = lf.join(rf, lf.k == rf.key, "left").select("k", "o", "attr")
+    assert rows(got) == rows(plain)
+
+
+@SETTINGS
+@given(left=left_rows, a=right_rows, b=right_rows)
+def test_repeat_rows_is_the_chained_joins(spark, rows, no_broadcast, left, a, b):
+    lf = spark.createDataFrame([(k, o, o % 5) for k, o in left], "k int, o int, j int")
+    af = spark.createDataFrame(a, "ka int, x int")
+    bf = spark.createDataFrame([(None if k is None else k % 5, x) for k, x in b], "kb int, y int")
+    got = model.repeat_rows(lf, [(af, ["k"], ["ka"]), (bf, ["j"], ["kb"])], broadcast_max_rows=10)
+    plain = (lf.join(af, lf.k == af.ka, "left").join(bf, lf.j == bf.kb, "left").select("k", "o", "j"))
+    assert rows(got) == rows(plain)
