@@ -37,8 +37,10 @@ def ingest_available(spark: SparkSession, path: str, table: str, schema: T.Struc
 
     ``availableNow`` processes what is there in rate-limited batches and
     ends; run it on a schedule. The table is created on the first run (a
-    managed table of format ``fmt``). Returns the number of batches that
-    read rows in this run.
+    managed table of format ``fmt``) and belongs to the stream: readers
+    follow the sink's commit log, so files a batch job writes into it would
+    not be seen - rebuild it by dropping it and its checkpoint together.
+    Returns the number of batches that read rows in this run.
     """
     # audit columns on the stream itself: the file path resolves per source file
     query = (add_audit(stream_csv(spark, path, schema)).writeStream
