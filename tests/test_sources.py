@@ -45,6 +45,14 @@ def test_latest_file_wins(spark, folder):
     assert got["crm_cust_info"] == "20260301_cust_info.csv"                               # K11
 
 
+def test_latest_files_flag_keeps_every_file(spark, folder):
+    listing = files.list_files(spark, str(folder / "crm"), subset="crm") \
+        .withColumn("table_name", files.table_name("subset", "name"))
+    got = sorted((r.name, r.is_latest) for r in files.latest_files(listing, flag="is_latest").collect())
+    assert got == [("20260101_cust_info.csv", False), ("20260301_cust_info.csv", True),
+                   ("2026_my file-v2.csv", True)]
+
+
 def test_read_csv_modes(spark, folder):
     p = str(folder / "crm" / "20260301_cust_info.csv")
     inferred = files.read_csv(spark, p)

@@ -35,7 +35,12 @@ REPORT_SCHEMA = T.StructType([
 
 def plan_files(spark: SparkSession, base_path: str, subsets: Sequence[str],
                strip_timestamp: bool = True, latest_only: bool = True):
-    """Listing of all subsets with target names; unreadable subsets reported."""
+    """Files to ingest ``(subset, path, name, table_name)`` in path order, and report
+    rows for unreadable subsets and superseded files (S5, S8, K9-K11).
+
+    The listing is metadata: it is named, ranked and brought to the driver in
+    one pass.
+    """
     listings, problems = [], []
     for subset in subsets:
         path = base_path.rstrip("/") + "/" + subset.strip("/")
@@ -44,18 +49,22 @@ def plan_files(spark: SparkSession, base_path: str, subsets: Sequence[str],
         except Exception as e:
             problems.append((subset, None, None, "unreadable", None, _short(e)))
     if not listings:
-        return None, problems
+        return [], problems
     listing = listings[0]
     for more in listings[1:]:
         listing = listing.unionByName(more)
     listing = listing.withColumn("table_name", files.table_name("subset", "name", strip_timestamp))
     if latest_only:
-        chosen = files.latest_files(listing)
-        superseded = listing.join(chosen.select("path"), "path", "left_anti")
-        for r in superseded.select("subset", "name", "table_name").collect():
+        listing = files.latest_files(listing, flag="is_latest")
+    else:
+        listing = listing.withColumn("is_latest", F.lit(True))
+    work = []
+    for r in listing.select("subset", "path", "name", "table_name", "is_latest").orderBy("path").collect():
+        if r.is_latest:
+            work.append((r.subset, r.path, r.name, r.table_name))
+        else:
             problems.append((r.subset, r.name, r.table_name, "superseded", None, None))
-        listing = chosen
-    return listing, problems
+    return work, problems
 
 
 def _short(e: Exception) -> str:
@@ -85,11 +94,7 @@ def ingest(spark: SparkSession, base_path: str, subsets: Sequence[str] = ("crm",
     such tables skip inference and have their header checked.
     """
     catalog.ensure_schema(spark, schema, location)
-    listing, report = plan_files(spark, base_path, subsets, strip_timestamp, latest_only)
-    work = []
-    if listing is not None:
-        work = [(r.subset, r.path, r.name, r.table_name)
-                for r in listing.select("subset", "path", "name", "table_name").orderBy("path").collect()]
+    work, report = plan_files(spark, base_path, subsets, strip_timestamp, latest_only)
     schemas = dict(schemas or {})
 
     def one(item):

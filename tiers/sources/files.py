@@ -76,14 +76,19 @@ def table_name(subset: Column | str, name: Column | str, strip_timestamp: bool =
     return F.concat(F.regexp_replace(sub, "/", ""), F.lit("_"), stem)
 
 
-def latest_files(listing: DataFrame, by: str = "table_name") -> DataFrame:
+def latest_files(listing: DataFrame, by: str = "table_name", flag: str | None = None) -> DataFrame:
     """One file per target table: the last in name order.
 
     Stamped names sort by time, so the newest export wins - the table the
-    reference ended up with after overwriting in listing order.
+    reference ended up with after overwriting in listing order. With
+    ``flag`` every file is kept and the named boolean column marks the
+    winners, so chosen and superseded files come out of one pass.
     """
     w = Window.partitionBy(by).orderBy(F.col("name").desc(), F.col("path").desc())
-    return listing.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    ranked = listing.withColumn("__rn", F.row_number().over(w))
+    if flag:
+        return ranked.withColumn(flag, F.col("__rn") == 1).drop("__rn")
+    return ranked.filter("__rn = 1").drop("__rn")
 
 
 def csv_headers(spark: SparkSession, path: str) -> list[tuple[str, str | None]]:
