@@ -177,3 +177,15 @@ def test_job_labels_are_scoped_to_the_block(spark):
         assert sc.getLocalProperty("spark.job.description") == "silver s.t"
     assert sc.getLocalProperty("spark.scheduler.pool") is None
     assert sc.getLocalProperty("spark.job.description") is None
+
+
+def test_scan_busy_on_more_than_half_the_cores_is_left_alone(spark, tmp_path):
+    """Five files on eight cores: the narrow stages already use most cores, no shuffle is
+    worth it; on ten cores the gap is wide enough to spread."""
+    from tiers.operators.layout import needs_spread
+    path = str(tmp_path / "five")
+    spark.read.parquet(f"{SF}/lineitem.parquet").repartition(5).write.parquet(path)
+    li = spark.read.parquet(path)
+    assert len(li.inputFiles()) == 5
+    assert not needs_spread(li, cores=8)
+    assert needs_spread(li, cores=10)

@@ -6,12 +6,13 @@ work up to the first shuffle (joins with broadcast sides, column rules, the
 map side of a dedup) then runs on those few cores. Such a scan is spread once
 by a hash of a row key, so every later narrow step runs on all cores.
 
-On large tables - many files, or files large enough to split into at least
-one task per core - nothing is added: no extra shuffle at scale.
+On large tables - files or bytes enough for a task on at least half the
+cores - nothing is added: no extra shuffle at scale.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -27,21 +28,24 @@ def _max_partition_bytes(df: DataFrame) -> int:
 
 
 def needs_spread(df: DataFrame, cores: int | None = None) -> bool:
-    """True if the scan behind ``df`` yields fewer tasks than ``cores``.
-
-    Too few bytes to give each core a split of
-    ``spark.sql.files.maxPartitionBytes``, and fewer input files than cores.
-    Decided from the optimizer's size estimate and, for small inputs only,
-    the file list; no job runs.
+    """True if the scan behind ``df`` yields at most half as many tasks as ``cores``.
+
+    A scan gets about one task per file, or per
+    ``spark.sql.files.maxPartitionBytes`` of a large file, whichever is more
+    (fewer when files hold one row group each). Only a wide gap is worth a
+    shuffle of the scanned rows: a scan already busy on more than half the
+    cores is left alone. Decided from the optimizer's size estimate and, for
+    small inputs only, the file list; no job runs.
     """
     cores = cores or df.sparkSession.sparkContext.defaultParallelism
     if cores <= 1:
         return False
     # size first: a large table is decided without shipping its file list to the driver
-    if estimated_bytes(df) >= cores * _max_partition_bytes(df):
+    by_bytes = math.ceil(estimated_bytes(df) / _max_partition_bytes(df))
+    if by_bytes * 2 > cores:
         return False
     files = df.inputFiles()
-    return 0 < len(files) < cores
+    return 0 < len(files) and max(len(files), by_bytes) * 2 <= cores
 
 
 def spread(df: DataFrame, keys: Sequence[str], cores: int | None = None) -> DataFrame:
