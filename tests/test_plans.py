@@ -189,3 +189,11 @@ def test_scan_busy_on_more_than_half_the_cores_is_left_alone(spark, tmp_path):
     assert len(li.inputFiles()) == 5
     assert not needs_spread(li, cores=8)
     assert needs_spread(li, cores=10)
+
+
+def test_fanout_check_reuses_the_dedup_partitioning(spark):
+    """Grouping the fact by its (renamed) dedup key needs no second shuffle of the fact."""
+    import __spark_entry__ as entry
+    plan = executed(entry.queries()["fact_fanout"](spark, SF))
+    assert shuffles_on(plan, "sls_ord_num") == 1
+    assert shuffles_on(plan, "order_number") == 0
