@@ -18,13 +18,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from tiers.operators.model import estimated_bytes
+from tiers.session import conf_bytes
 
 
 def _max_partition_bytes(df: DataFrame) -> int:
-    v = df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    s = v.strip().lower().rstrip("b")
-    return int(float(s[:-1]) * units[s[-1]]) if s and s[-1] in units else int(s)
+    return conf_bytes(df.sparkSession, "spark.sql.files.maxPartitionBytes", "128m")
 
 
 def needs_spread(df: DataFrame, cores: int | None = None) -> bool:

@@ -79,8 +79,9 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return path
 
 
-def _bytes(v: str) -> int:
-    s = v.strip().lower().rstrip("b")
+def conf_bytes(spark: SparkSession, key: str, default: str) -> int:
+    """A size setting of the session in bytes ('64m', '128MB', '134217728')."""
+    s = spark.conf.get(key, default).strip().lower().rstrip("b")
     units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
     return int(float(s[:-1]) * units[s[-1]]) if s and s[-1] in units else int(s)
 
@@ -96,7 +97,7 @@ def size_shuffle_partitions(spark: SparkSession, *dfs, max_partitions: int = 200
     count in force.
     """
     current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+    target = conf_bytes(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
     biggest = 0
     for df in dfs:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
