@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiers.operators.clean import dedupe
+from tiers.session import conf_bytes
 
 _MULT = "__copies"
 
@@ -100,20 +101,12 @@ def input_bytes(df: DataFrame) -> int:
 
 
 def _broadcast_limit(df: DataFrame) -> int:
-    thr = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        return int(thr)
-    except ValueError:
-        return 10 * 1024 * 1024
+    """The planner's broadcast threshold in bytes ('10MB' or '10485760'; -1 = off)."""
+    return conf_bytes(df.sparkSession, "spark.sql.autoBroadcastJoinThreshold", "10485760")
 
 
 def _planner_broadcasts(df: DataFrame) -> bool:
-    thr = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        limit = int(thr)
-    except ValueError:
-        limit = 10 * 1024 * 1024
-    return 0 <= estimated_bytes(df) <= limit
+    return 0 <= estimated_bytes(df) <= _broadcast_limit(df)
 
 
 def _sized(df: DataFrame, max_rows: int | None) -> tuple[DataFrame, int | None]:
