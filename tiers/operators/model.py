@@ -264,7 +264,8 @@ def _salted_join(left: DataFrame, src: DataFrame, left_on: list[str], alias: lis
                 .join(hot, alias, "left")
                 .withColumn("__k", F.least(F.col("__c"), salts.cast("long")).cast("int"))
                 .withColumn("__j", F.explode(F.sequence(F.lit(0), F.col("__k") - 1)))
-                .withColumn("__rs", F.pmod(row_hash + F.col("__j"), salts).cast("int"))
+                # reduce the hash first: hash + j could overflow a long (an error under ANSI)
+                .withColumn("__rs", F.pmod(F.pmod(row_hash, salts) + F.col("__j"), salts).cast("int"))
                 .withColumn("__rc", F.expr("__c div __k") + F.when(F.col("__j") < F.col("__c") % F.col("__k"), 1)
                                                             .otherwise(0))
                 .drop("__s", "__c", "__k", "__j"))
