@@ -215,7 +215,7 @@ def dedupe_pair(spark, sf_dir):
 
 @register("dedupe_latest")
 def dedupe_latest(spark, sf_dir):
-    """One row per key by an explicit order (window form): highest price text first."""
+    """One row per key by an explicit order (window form): latest ship date first."""
     return clean.dedupe(_raw(spark, sf_dir, "crm_sales_details"), ["sls_ord_num", "sls_prd_key"],
                         order_by=[F.col("sls_ship_dt").desc_nulls_last()], method="window")
 
