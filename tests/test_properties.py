@@ -38,3 +38,20 @@ def test_repeat_rows_is_the_chained_joins(spark, rows, no_broadcast, left, a, b)
     got = model.repeat_rows(lf, [(af, ["k"], ["ka"]), (bf, ["j"], ["kb"])], broadcast_max_rows=10)
     plain = (lf.join(af, lf.k == af.ka, "left").join(bf, lf.j == bf.kb, "left").select("k", "o", "j"))
     assert rows(got) == rows(plain)
+
+
+pair_left = st.lists(st.tuples(keys, st.integers(min_value=0, max_value=2), st.integers(min_value=0, max_value=9)),
+                     min_size=1, max_size=30)
+pair_right = st.lists(st.tuples(keys, st.integers(min_value=0, max_value=2), st.integers(min_value=0, max_value=3)),
+                      min_size=0, max_size=60)
+
+
+@SETTINGS
+@given(left=pair_left, right=pair_right, hot=st.integers(min_value=1, max_value=3))
+def test_salted_lookup_on_two_keys_is_the_plain_join(spark, rows, no_broadcast, left, right, hot):
+    lf = spark.createDataFrame(left, "k1 int, k2 int, o int")
+    rf = spark.createDataFrame(right, "r1 int, r2 int, attr int")
+    got = model.lookup(lf, rf, ["k1", "k2"], ["r1", "r2"], keep={"attr": "value"}, hot_key_rows=hot)
+    plain = (lf.join(rf, (lf.k1 == rf.r1) & (lf.k2 == rf.r2), "left")
+               .select("k1", "k2", "o", rf.attr.alias("value")))
+    assert rows(got) == rows(plain)
