@@ -30,12 +30,12 @@ def test_salted_lookup_is_the_plain_join(spark, rows, no_broadcast, left, right,
 
 
 @SETTINGS
-@given(left=left_rows, a=right_rows, b=right_rows)
-def test_repeat_rows_is_the_chained_joins(spark, rows, no_broadcast, left, a, b):
+@given(left=left_rows, a=right_rows, b=right_rows, bound=st.sampled_from([0, 10]))
+def test_repeat_rows_is_the_chained_joins(spark, rows, no_broadcast, left, a, b, bound):
     lf = spark.createDataFrame([(k, o, o % 5) for k, o in left], "k int, o int, j int")
     af = spark.createDataFrame(a, "ka int, x int")
     bf = spark.createDataFrame([(None if k is None else k % 5, x) for k, x in b], "kb int, y int")
-    got = model.repeat_rows(lf, [(af, ["k"], ["ka"]), (bf, ["j"], ["kb"])], broadcast_max_rows=10)
+    got = model.repeat_rows(lf, [(af, ["k"], ["ka"]), (bf, ["j"], ["kb"])], broadcast_max_rows=bound)
     plain = (lf.join(af, lf.k == af.ka, "left").join(bf, lf.j == bf.kb, "left").select("k", "o", "j"))
     assert rows(got) == rows(plain)
 
