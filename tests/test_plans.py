@@ -197,3 +197,9 @@ def test_fanout_check_reuses_the_dedup_partitioning(spark):
     plan = executed(entry.queries()["fact_fanout"](spark, SF))
     assert shuffles_on(plan, "sls_ord_num") == 1
     assert shuffles_on(plan, "order_number") == 0
+
+
+def test_large_input_is_decided_by_size_alone(spark):
+    """Estimated at 8 TB: no spread, decided before any file list is fetched."""
+    from tiers.operators.layout import needs_spread
+    assert not needs_spread(spark.range(10**12), cores=8)
