@@ -199,3 +199,13 @@ def test_listing_sizes(spark, tmp_path):
     shallow = files.list_files(spark, str(tmp_path / "x")).first()
     deep = files.list_files(spark, str(tmp_path / "x"), deep_size=True).first()
     assert shallow.is_dir and shallow.size == 0 and deep.size > 0
+
+
+def test_csv_headers_of_many_parts_pooled_or_serial(spark, tmp_path):
+    out = str(tmp_path / "parts.csv")
+    spark.range(0, 200).selectExpr("id AS a", "id * 2 AS b").repartition(12).write \
+        .option("header", "true").csv(out)
+    pooled = sorted(files.csv_headers(spark, out, threads=4))
+    serial = sorted(files.csv_headers(spark, out, threads=1))
+    assert pooled == serial and len(pooled) == 12
+    assert {h for _, h in pooled} == {"a,b"}

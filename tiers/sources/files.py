@@ -9,6 +9,7 @@ one table, so a big export is scanned in parallel, split by split.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -91,11 +92,13 @@ def latest_files(listing: DataFrame, by: str = "table_name", flag: str | None =
     return ranked.filter("__rn = 1").drop("__rn")
 
 
-def csv_headers(spark: SparkSession, path: str) -> list[tuple[str, str | None]]:
+def csv_headers(spark: SparkSession, path: str, threads: int = 16) -> list[tuple[str, str | None]]:
     """``(file, first line)`` of every data file under ``path`` (a file, folder or glob).
 
     Reads only the first line of each file through the Hadoop file system:
-    metadata-sized work, no Spark job. Files named ``_*`` or ``.*`` are skipped.
+    metadata-sized work, no Spark job. The opens are I/O-bound, so a folder
+    of many parts is read from a small thread pool (on an object store one
+    open costs a round trip). Files named ``_*`` or ``.*`` are skipped.
     """
     jvm = spark.sparkContext._jvm
     fs, hpath = _fs(spark, path)
@@ -107,17 +110,20 @@ def csv_headers(spark: SparkSession, path: str) -> list[tuple[str, str | None]]:
                 found.append(it.next().getPath())
         else:
             found.append(st.getPath())
-    out = []
-    for p in found:
-        if p.getName().startswith(("_", ".")):
-            continue
+    found = [p for p in found if not p.getName().startswith(("_", "."))]
+
+    def first_line(p):
         stream = fs.open(p)
         try:
             reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            out.append((p.toString(), reader.readLine()))
+            return (p.toString(), reader.readLine())
         finally:
             stream.close()
-    return out
+
+    if len(found) > 1 and threads > 1:
+        with ThreadPoolExecutor(max_workers=min(threads, len(found))) as pool:
+            return list(pool.map(first_line, found))
+    return [first_line(p) for p in found]
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str | None = None,
