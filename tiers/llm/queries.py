@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiers.llm import token_counts
-from tiers.llm.frame import read
+from tiers.llm import quality, simhash, token_counts
+from tiers.llm.frame import read, take
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,8 +22,21 @@ def register(name: str):
     return deco
 
 
+@register("op4_simhash")
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @register("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count_tokens(read(spark, sf_dir, "documents"),
                                        public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+@register("op10_quality_rules")
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    rules = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return quality.judge(take(docs, "doc_id", "text"), rules).select("doc_id", "verdict.*")
