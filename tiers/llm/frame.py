@@ -51,6 +51,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def label_sample(labels: DataFrame, label: str, rows: int) -> DataFrame:
+    """``doc_id, label`` of at most about ``rows`` labelled ids, chosen by a hash of the id.
+
+    Distinct pairs first, so an id repeated in a third of the rows counts once;
+    the share kept aims at 95 % of the bound, which a binomial spread does not
+    overstep. No sort and no single task is involved.
+    """
+    pairs = take(labels, "doc_id", label=label).filter("doc_id is not null and label is not null").distinct()
+    n = pairs.count()
+    if n <= rows:
+        return pairs
+    return pairs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int((1 << 40) * 0.95 * rows / n))
+
+
+def labelled(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """``doc_id, label, text`` of a bounded sample; where an id has several texts,
+    the smallest one. The sample is broadcast: its size is bounded by ``label_sample``."""
+    return (take(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id")
+            .groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")))
+
+
 def text_slices(batches, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about ``SLICE_BYTES`` of text."""
     for batch in batches:
@@ -63,6 +84,12 @@ def text_slices(batches, column: str = "text") -> Iterator[pa.RecordBatch]:
                 yield batch.slice(a, b - a)
 
 
+def array_slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """An array of texts in parts of about ``SLICE_BYTES``."""
+    for batch in text_slices([pa.RecordBatch.from_arrays([texts], names=["text"])]):
+        yield batch.column(0)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
     return pc.fill_null(batch.column(batch.schema.get_field_index(column)), "")
 

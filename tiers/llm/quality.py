@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiers.llm.frame import take
+from tiers.llm.frame import label_sample, labelled
 
 #: Characters that count as symbols (fixed by the contract of the base check).
 SYMBOLS = "#*$%&|<>"
@@ -34,8 +34,7 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MORE = ("n_lines", "n_upper", "n_digits", "n_stops", "n_distinct")
 _TYPE = "struct<" + ",".join(f"{n}:bigint" for n in BASE + MORE) + ">"
 
-#: Labelled rows that a list is fitted on at most, taken in the order of a hash
-#: of the id. The fit is a bounded one; every count and verdict covers all rows.
+#: Labelled rows that a list is fitted on at most, chosen by a hash of the id. The fit is a bounded one; every count and verdict covers all rows.
 FIT_ROWS = 20_000
 
 
@@ -201,15 +200,13 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, aside: np.ndarray, min_prec
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, **options) -> list[Rule]:
     """Learn a list from labelled documents; at most ``fit_rows`` of them, one per
-    distinct id and label, in the order of a hash of the id. A third of them prunes."""
-    chosen = (take(labels, "doc_id", bad="quality").filter("doc_id is not null and bad is not null").distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "bad").limit(fit_rows))
+    distinct id and label, chosen by a hash of the id. A third of them prunes."""
     s = F.col("s")
     names = list(features(s))
-    rows = (take(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
-            .select("doc_id", "bad", stats(F.col("text")).alias("s"))
+    rows = (labelled(docs, label_sample(labels, "quality", fit_rows))
+            .select("doc_id", "label", stats(F.col("text")).alias("s"))
             .filter(~base_failed(s))  # the list judges only what passes the base check
-            .select((F.col("bad") == 0).alias("bad"), (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("aside"),
+            .select((F.col("label") == 0).alias("bad"), (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("aside"),
                     "doc_id", *(c.alias(n) for n, c in features(s).items()))
             .toPandas().sort_values(["doc_id", "bad", *names], kind="stable"))
     return learn({n: rows[n].to_numpy(dtype=float) for n in names}, rows["bad"].to_numpy(dtype=bool),

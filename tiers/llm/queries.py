@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiers.llm import quality, simhash, token_counts
+from tiers.llm import quality, simhash, token_counts, toxicity
 from tiers.llm.frame import read, take
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,16 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@register("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    labels = read(spark, sf_dir, "labels").filter(~toxicity.held_out(F.col("doc_id")))
+    model = toxicity.fit(docs, labels)
+    scored = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"),
+                         toxicity.score(spark, model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 @register("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count_tokens(read(spark, sf_dir, "documents"),
