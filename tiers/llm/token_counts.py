@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiers.llm.frame import take, text_slices, texts_of
+from tiers.llm.frame import take, text_slices, texts_of, written
 from tiers.session import shared_dir
 
 CACHE_SCHEMA = T.StructType([
@@ -157,8 +157,10 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None) -> D
         "left_semi").select("k.digest", "k.text")
     (to_encode.mapInArrow(_encode(tokenizer), CACHE_SCHEMA)
      .write.mode("append").parquet(cache))
-    # rows with equal id and text were encoded once each: fold them
-    counts = _read_cache(spark, cache).groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
+    # rows with equal id and text were encoded once each: fold them. Written, so
+    # that the join reads both sides straight from a shuffle and the copies of a
+    # text that holds a third of the rows are split between tasks at run time
+    counts = written(_read_cache(spark, cache).groupBy("digest").agg(F.min("n_tokens").alias("n_tokens")), "counts")
     return light.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens")
 
 
