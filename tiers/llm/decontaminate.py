@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiers.llm.frame import mix, take, text_slices, texts_of, word_hashes, written
+from tiers.llm.frame import mix, take, text_key, text_slices, texts_of, word_hashes, written
 
 #: Positions of a window that count (1) and that are ignored (0).
 MASKS = ("11101011", "1101000111", "1110001011", "1111101")
@@ -131,11 +131,6 @@ def _overlap(theirs: Column, ours: Column) -> Column:
     return overlap(theirs, ours)
 
 
-def text_key(text: Column) -> Column:
-    """What a document is known by between the steps: a digest of its text."""
-    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
-
-
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document row and benchmark item that it leaks: ``doc_id, text_key,
     item_id, first_word, item_first_word, n_words, n_matched, coverage``.
@@ -188,3 +183,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return (suspects.select("doc_id", "text_key").join(written(leaks, "leaks"), "text_key")
             .select("doc_id", "text_key", "item_id", "best.first_word", "best.item_first_word", "best.n_words",
                     "best.n_matched", "best.coverage"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that leak no item. Columns: those of ``docs``, which must not clash."""
+    leaks = written(overlaps(docs, benchmark).select("doc_id", "text_key").distinct(), "leaking")
+    keyed = docs.withColumn("_text_key", text_key(F.col("text")))
+    return keyed.alias("d").join(
+        leaks.hint("shuffle_hash").alias("l"),
+        F.col("d.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("d._text_key") == F.col("l.text_key")),
+        "left_anti").drop("_text_key")

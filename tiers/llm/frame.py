@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiers.session import shared_dir
@@ -51,6 +51,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_key(text: Column) -> Column:
+    """A digest of a text, by which rows find their text again without carrying it."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def label_sample(labels: DataFrame, label: str, rows: int) -> DataFrame:
     """``doc_id, label`` of at most about ``rows`` labelled ids, chosen by a hash of the id.
 
@@ -72,21 +77,21 @@ def labelled(docs: DataFrame, sample: DataFrame) -> DataFrame:
             .groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")))
 
 
-def text_slices(batches, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that each holds about ``SLICE_BYTES`` of text."""
+def text_slices(batches, column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that each holds about ``size`` bytes of text."""
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column))
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-        part = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+        part = np.cumsum(sizes, dtype=np.int64) // size
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
                 yield batch.slice(a, b - a)
 
 
-def array_slices(texts: pa.Array) -> Iterator[pa.Array]:
-    """An array of texts in parts of about ``SLICE_BYTES``."""
-    for batch in text_slices([pa.RecordBatch.from_arrays([texts], names=["text"])]):
+def array_slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """An array of texts in parts of about ``size`` bytes."""
+    for batch in text_slices([pa.RecordBatch.from_arrays([texts], names=["text"])], size=size):
         yield batch.column(0)
 
 

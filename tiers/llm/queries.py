@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiers.llm import decontaminate, quality, simhash, token_counts, toxicity
+from tiers.llm import decontaminate, quality, sentencepiece, simhash, token_counts, toxicity
 from tiers.llm.frame import read, take
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,11 @@ def register(name: str):
     return deco
 
 
+@register("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), k=2)
+
+
 @register("op4_simhash")
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))

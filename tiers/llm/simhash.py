@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiers.llm.components import components
-from tiers.llm.frame import take, written
+from tiers.llm.frame import take, text_key, written
 
 MAX_BITS = 2
 SHINGLE = 3
@@ -219,20 +219,53 @@ def links(fingerprints: DataFrame, max_bits: int = MAX_BITS, node_members: int =
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS, **index) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row of ``docs`` (doc_id, text).
+    """``doc_id, text_key, fp, group, component_id`` for every row of ``docs`` (doc_id, text).
+
+    ``group`` is the smallest fingerprint of the row's group, ``component_id`` the
+    group's smallest id, ``text_key`` a digest of the text.
 
     Texts are read once and never shuffled. Copies fold into one fingerprint
     (combined map-side) before the index; the way back is a join on the
     fingerprint of two written tables, so a fingerprint that holds a third of the
     rows is split between tasks at run time.
     """
-    prints = written(take(docs, "doc_id", "text").select("doc_id", fingerprint(F.col("text"), size).alias("fp")),
-                     "prints")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    prints = written(take(docs, "doc_id", "text").select("doc_id", text_key(text).alias("text_key"),
+                                                         fingerprint(text, size).alias("fp")), "prints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
     group = written(components(links(distinct.select("fp"), max_bits, **index)), "groups")
     lows = written(group.join(distinct.withColumnRenamed("fp", "u"), "u").groupBy("root")
                    .agg(F.min("low").alias("group_low")), "lows")
-    named = group.join(lows, "root").select(F.col("u").alias("fp"), "group_low")
+    named = group.join(lows, "root").select(F.col("u").alias("fp"), "root", F.lit(True).alias("linked"), "group_low")
     ids = written(distinct.join(named, "fp", "left").select(
-        "fp", F.coalesce("group_low", "low").alias("component_id")), "ids")
-    return prints.join(ids, "fp", "left").select("doc_id", "fp", "component_id")
+        "fp", F.coalesce("root", "fp").alias("group"),
+        F.when(F.col("linked"), F.col("group_low")).otherwise(F.col("low")).alias("component_id")), "ids")
+    return prints.join(ids, "fp").select("doc_id", "text_key", "fp", "group", "component_id")
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the one with the smallest
+    id, of rows without ids the one with the smallest text digest; of rows equal in
+    id and text the smallest row. Columns: those of ``docs``, which must not clash.
+    """
+    near = near_duplicates(docs, **options)
+    first = (near.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key"))
+                                       .alias("first"), F.count("*").alias("n")).select("first.*", "group"))
+    repeated = near.groupBy("group", "doc_id", "text_key").count().filter("count > 1")
+    first = written(first.alias("f").join(repeated.alias("r"), (F.col("f.group") == F.col("r.group"))
+                                          & F.col("f.doc_id").eqNullSafe(F.col("r.doc_id"))
+                                          & (F.col("f.text_key") == F.col("r.text_key")), "left")
+                    .select("f.doc_id", "f.text_key", F.col("r.count").isNotNull().alias("repeated")), "first")
+
+    def rows_of(chosen: DataFrame) -> DataFrame:
+        keyed = docs.withColumn("_text_key", text_key(F.col("text")))
+        return keyed.alias("d").join(
+            chosen.hint("shuffle_hash").alias("c"),
+            F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d._text_key") == F.col("c.text_key")), "left_semi")
+
+    once = rows_of(first.filter("not repeated")).drop("_text_key")
+    if first.filter("repeated").isEmpty():
+        return once
+    again = (rows_of(first.filter("repeated")).groupBy("doc_id", "_text_key")
+             .agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))
+    return once.union(again)
