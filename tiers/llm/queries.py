@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiers.llm import decontaminate, quality, sentencepiece, simhash, token_counts, toxicity
-from tiers.llm.frame import read, take
+from tiers.llm import (decontaminate, licenses, quality, sentencepiece, sharding, simhash, token_counts, toxicity,
+                       url_lists, warc)
+from tiers.llm.frame import read, take, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,11 +23,47 @@ def register(name: str):
     return deco
 
 
+#: Bytes of a shard.
+SHARD_BYTES = 1 << 20
+
+
+@register("op1_sharding")
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "documents").select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"))
+    done = written(sharding.shard(rows, ["doc_id"], SHARD_BYTES, F.col("n_bytes")), "sharded")
+    sizes = written(done.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"), F.count("*").alias("shard_rows")),
+                    "shard_sizes")
+    return done.join(sizes, "shard").withColumn("depth", F.length("shard"))
+
+
+SQL["op1_sharding"] = f"""
+WITH r AS (
+  SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
+         lpad(bin(('0x' || substr(md5('{{"doc_id":' || coalesce(doc_id::VARCHAR, 'null') || '}}'), 1, 15))::BIGINT), 60, '0') AS bits
+  FROM documents),
+n AS (
+  SELECT d, substr(bits, 1, d) AS node, sum(n_bytes)::BIGINT AS bytes, count(*) AS n
+  FROM r, range(0, 61) t(d) GROUP BY ALL),
+fit AS (SELECT * FROM n WHERE bytes <= {SHARD_BYTES} OR n = 1),
+leaf AS (
+  SELECT r.doc_id, r.n_bytes, r.bits, min(d) AS depth
+  FROM r JOIN fit ON substr(r.bits, 1, fit.d) = fit.node AND length(fit.node) = fit.d GROUP BY ALL)
+SELECT doc_id, n_bytes, node AS shard, bytes AS shard_bytes, n AS shard_rows, depth::INTEGER AS depth
+FROM leaf JOIN fit ON fit.d = leaf.depth AND fit.node = substr(leaf.bits, 1, leaf.depth)
+"""
+
+
 @register("op2_sentencepiece")
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), k=2)
 
 
+@register("op3_license_scan")
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 @register("op4_simhash")
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
@@ -48,6 +85,125 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+def _fetched(page_id: str) -> str:
+    """When a page counts as fetched: a second of January 2024 that follows from its id (SQL of both engines)."""
+    return f"(({page_id} * 7919) % 2592000)"
+
+
+@register("op7_url_lists")
+def op7_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as captures; every event is a dated list entry about the host, a domain above
+    it or the address of the page that its user number names."""
+    pages = read(spark, sf_dir, "pages").withColumn(
+        "fetched_at", F.expr(f"timestamp_seconds(1704067200 + {_fetched('page_id')})"))
+    kind = F.pmod("event_id", F.lit(3))
+    domains = url_lists.domains(url_lists.host(F.col("url")))
+    events = (read(spark, sf_dir, "events").join(pages.select("page_id", "url"), F.col("user_id") == F.col("page_id"))
+              .select(F.col("event_type").alias("list"), F.when(kind == 2, "url").otherwise("domain").alias("kind"),
+                      F.when(kind == 0, url_lists.host(F.col("url"))).when(kind == 1, F.element_at(domains, -1))
+                      .otherwise(url_lists.address(F.col("url"))).alias("pattern"),
+                      F.col("ts").cast("timestamp").alias("at"), F.when(F.col("value") < 50, "add").otherwise("remove").alias("action")))
+    return (url_lists.judge(pages.select(F.col("page_id").alias("capture_id"), "url", "fetched_at"), events)
+            .withColumnRenamed("capture_id", "page_id")
+            .withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("fetched_at", "active_since")}))
+
+
+_HOST = ("coalesce(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]*)', 1)), "
+         "'[.]+$', ''), '')")
+SQL["op7_url_lists"] = f"""
+WITH p AS (
+  SELECT page_id, url, make_timestamp((1704067200 + {_fetched('page_id')}) * 1000000) AS fetched_at, {_HOST} AS host FROM pages),
+q AS (
+  SELECT *, CASE WHEN host = '' THEN '' ELSE host || regexp_replace(regexp_extract(
+           url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+$', '') END AS address,
+         CASE WHEN host = '' THEN [] ELSE list_transform(range(1, greatest(1, len(string_split(host, '.')) - 1) + 1),
+           lambda i: array_to_string(list_slice(string_split(host, '.'), i, len(string_split(host, '.'))), '.')) END AS domains FROM p),
+e AS (
+  SELECT event_type AS list, CASE WHEN event_id % 3 = 2 THEN 'url' ELSE 'domain' END AS kind,
+         CASE event_id % 3 WHEN 0 THEN host WHEN 1 THEN domains[-1] ELSE address END AS pattern,
+         ts AS at_time, coalesce(value < 50, false) AS added
+  FROM events JOIN q ON user_id = page_id),
+s AS (
+  SELECT list, kind, pattern, at_time, bool_and(added) AS added,
+         lead(at_time) OVER (PARTITION BY list, kind, pattern ORDER BY at_time) AS until
+  FROM e WHERE list IS NOT NULL AND pattern IS NOT NULL AND at_time IS NOT NULL GROUP BY list, kind, pattern, at_time),
+hits AS (
+  SELECT page_id, s.list, s.pattern, s.at_time
+  FROM q JOIN s ON s.added AND q.fetched_at >= s.at_time AND (s.until IS NULL OR q.fetched_at < s.until)
+   AND ((s.kind = 'url' AND q.address = s.pattern) OR (s.kind = 'domain' AND list_contains(q.domains, s.pattern)))
+  WHERE q.host <> ''),
+best AS (
+  SELECT page_id, count(*) AS n_active, string_agg(DISTINCT list, ',' ORDER BY list) AS lists,
+         arg_min(pattern, (-length(pattern), pattern)) AS pattern FROM hits GROUP BY page_id),
+since AS (SELECT page_id, pattern, min(at_time) AS active_since FROM hits GROUP BY ALL)
+SELECT q.page_id, q.url, q.fetched_at, q.host, coalesce(n_active, 0) AS n_active, coalesce(lists, '') AS lists,
+       best.pattern, active_since, n_active IS NOT NULL AS blocked
+FROM q LEFT JOIN best USING (page_id) LEFT JOIN since ON since.page_id = q.page_id AND since.pattern = best.pattern
+"""
+
+
+@register("op8_warc_derivatives")
+def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a stored response, and the records derived from it."""
+    pages = read(spark, sf_dir, "pages").select(
+        "page_id", warc.record_id(F.lit("response"), F.col("page_id").cast("string"), F.col("url")).alias("record_id"),
+        F.col("url").alias("target_uri"),
+        F.expr(f"date_format(timestamp_seconds(1704067200 + {_fetched('page_id')}), \"yyyy-MM-dd'T'HH:mm:ss'Z'\")").alias("date"),
+        F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
+                 F.octet_length("html").cast("string")).alias("http_headers"), F.col("html").alias("payload"))
+    return warc.derive(pages, key="page_id")
+
+
+def _duck_id(names: str) -> str:
+    h = f"md5(concat_ws('|', {names}))"
+    return (f"'<urn:uuid:' || substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-3' || substr({h}, 14, 3) || '-8' || "
+            f"substr({h}, 18, 3) || '-' || substr({h}, 21, 12) || '>'")
+
+
+def _duck_digest(x: str) -> str:
+    groups = " || ".join(f"to_base(('0x' || substr(sha1({x}), {i}, 5))::BIGINT, 32, 4)" for i in range(1, 41, 5))
+    return f"'sha1:' || translate(lower({groups}), '0123456789abcdefghijklmnopqrstuv', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')"
+
+
+def _duck_clean(x: str) -> str:
+    x = f"regexp_replace({x}, '{warc.TAG}', '', 'g')"
+    code = ("CASE WHEN regexp_matches(p, '^[0-9]{1,7};') THEN regexp_extract(p, '^([0-9]{1,7});', 1)::INTEGER "
+            "WHEN regexp_matches(p, '^[xX][0-9A-Fa-f]{1,6};') THEN ('0x' || regexp_extract(p, '^[xX]([0-9A-Fa-f]{1,6});', 1))::INTEGER END")
+    x = (f"(SELECT string_agg(CASE WHEN i = 1 THEN p WHEN code IS NULL THEN '&#' || p ELSE "
+         f"chr(CASE WHEN code = 0 OR code > 1114111 OR code BETWEEN 55296 AND 57343 THEN 65533 ELSE code END) || "
+         f"regexp_replace(p, '^[xX]?[0-9A-Fa-f]+;', '') END, '' ORDER BY i) FROM (SELECT p, i, {code} AS code FROM "
+         f"(SELECT unnest(string_split({x}, '&#')) AS p, generate_subscripts(string_split({x}, '&#'), 1) AS i)))")
+    for name, char in warc.REFERENCES:
+        char = char.replace("'", "''")
+        x = f"replace({x}, '&{name};', '{char}')"
+    x = f"regexp_replace({x}, '&amp;?', '&', 'g')"
+    x = f"regexp_replace({x}, '[ \\t\\r\\f\\v\\x{{a0}}]+', ' ', 'g')"
+    x = f"regexp_replace({x}, ' ?\\n[ \\n]*', chr(10), 'g')"
+    return f"regexp_replace({x}, '^[ \\n]+|[ \\n]+\\z', '', 'g')"
+
+
+SQL["op8_warc_derivatives"] = f"""
+WITH r AS (
+  SELECT page_id, {_duck_id("'response', page_id::VARCHAR, url")} AS refers_to, url AS target_uri,
+         strftime(make_timestamp((1704067200 + {_fetched('page_id')}) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS date,
+         'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) ||
+           'Content-Length: ' || strlen(html) AS source_headers, coalesce(html, '') AS payload FROM pages),
+v AS (SELECT *, regexp_replace(payload, '{warc.HIDDEN}', '', 'g') AS shown FROM r),
+u AS (
+  SELECT *, replace({_duck_clean(f"regexp_extract(shown, '{warc.TITLE}', 1)")}, chr(10), ' ') AS title,
+         {_duck_clean(f"regexp_replace(shown, '{warc.BLOCK}', chr(10), 'g')")} AS txt,
+         list_transform(regexp_extract_all(shown, '{warc.LINK.replace("'", "''")}', 1),
+                        lambda x: 'outlink: ' || regexp_replace(x, '&amp;?', '&', 'g') || chr(13) || chr(10)) AS links FROM v),
+b AS (
+  SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
+         'title: ' || title || chr(13) || chr(10) || array_to_string(links, '') AS block FROM u
+  UNION ALL SELECT *, 'conversion', 'text/plain', txt FROM u)
+SELECT page_id, record_type, {_duck_id("refers_to, record_type")} AS record_id, refers_to, target_uri, date, content_type,
+       strlen(block)::BIGINT AS content_length, {_duck_digest("block")} AS block_digest, source_headers,
+       {_duck_digest("payload")} AS source_digest, block FROM b
+"""
+
+
 @register("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count_tokens(read(spark, sf_dir, "documents"),
