@@ -27,15 +27,19 @@ from pyspark.sql import functions as F
 
 from tiers.llm.frame import array_slices, label_sample, labelled, mix, word_hashes
 
-BITS = 20
+BITS = 22
 #: Labelled rows that a model is fitted on at most, chosen by a hash of the id.
 FIT_ROWS = 40_000
 SHARDS = 4
-ROUNDS = 4
+ROUNDS = 6
 
 #: Learning rate, its smoothing, and the L1 and L2 terms.
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.1
 
+#: A coordinate goes from round to round once its |z| reaches this share of L1. Below
+#: it the weight is zero, and what is left out was met once or twice.
+CARRIED = 0.25
+
 _PAIR, _SKIP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
@@ -97,7 +101,7 @@ class Ftrl:
 
 
 def _train(group: pd.DataFrame, start: tuple, bits: int) -> pd.DataFrame:
-    """One shard's pass over its rows, in the order of a hash of the id."""
+    """One shard's pass over its rows, in the order of a hash of the id: the coordinates to carry on."""
     index, z, n = start
     state = Ftrl.new(bits)
     state.z[index], state.n[index] = z, n
@@ -112,7 +116,7 @@ def _train(group: pd.DataFrame, start: tuple, bits: int) -> pd.DataFrame:
             own = np.append(code[a:b] & ((1 << bits) - 1), 1 << bits)
             touched[own] = True
             state.learn(own, next(labels))
-    at = np.flatnonzero(touched)
+    at = np.flatnonzero(touched & (np.abs(state.z) >= CARRIED * L1))
     return pd.DataFrame({"at": at, "z": state.z[at], "n": state.n[at]})
 
 
@@ -141,7 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, shards: in
                     .groupBy("at").agg(F.sum("z").alias("z"), F.sum("n").alias("n"), F.count("*").alias("c"))
                     .toArrow())
             at, c = sums["at"].to_numpy(), sums["c"].to_numpy()
-            # a shard that did not meet a coordinate keeps its state
+            # a shard that did not send a coordinate counts with the state before
             z[at] = (sums["z"].to_numpy() + (shards - c) * z[at]) / shards
             n[at] = (sums["n"].to_numpy() + (shards - c) * n[at]) / shards
             start.unpersist()
