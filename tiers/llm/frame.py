@@ -16,7 +16,7 @@ DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 #: Bytes of text that one numpy pass works on; bounds a task's arrays (about
 #: 60 bytes of work space per byte). A single longer row is taken alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def take(df: DataFrame, *names: str, **renamed: str) -> DataFrame:
