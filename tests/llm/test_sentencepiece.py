@@ -1,0 +1,102 @@
+import math
+import os
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+
+from tests.llm.conftest import DOCUMENTS, ODD_TEXTS, empty_like
+from tiers.llm import lattice, sentencepiece
+from tiers.llm.frame import mix
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+pytestmark = pytest.mark.skipif(not os.path.exists(MODEL), reason="tokenizer files not present")
+
+
+def all_segmentations(text):
+    """Every segmentation of a text with its probability, by trying all cuts."""
+    p = lattice.pieces(MODEL, 1.0)
+    m = p.model
+    ids = {m.id_to_piece(i): i for i in range(m.get_piece_size())
+           if not (m.is_byte(i) or m.is_control(i) or m.is_unknown(i))}
+    text, out = m.normalize(text), {}
+
+    def cut(at, done, score):
+        if at == len(text):
+            out[tuple(done)] = score
+            return
+        if text[at] not in ids:
+            cut(at + 1, done + [int(p.byte_id[b]) for b in text[at].encode()], score + p.unknown_score)
+        for end in range(at + 1, len(text) + 1):
+            if text[at:end] in ids:
+                cut(end, done + [ids[text[at:end]]], score + p.score[ids[text[at:end]]])
+    cut(0, [], 0.0)
+    total = np.logaddexp.reduce(list(out.values()))
+    return {k: math.exp(v - total) for k, v in out.items()}
+
+
+def samples(text, k, n):
+    keys = mix(np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(len(text)))
+    s = sentencepiece.segment(pa.array([text] * n), keys, MODEL, k, 1.0)
+    rows = [[] for _ in range(n)]
+    for r, i, lp, inc, g, ids in zip(s["row"], s["sample"], s["log_prob"], s["log_inclusion"], s["perturbed"], s["ids"].to_pylist()):
+        rows[r].append((i, tuple(ids), lp, inc, g))
+    return [sorted(r) for r in rows]
+
+
+@pytest.mark.parametrize("text", ["the cat", "in on", "Ａx\nin", "a  b"])
+def test_samples_without_replacement_have_the_exact_distribution(text):
+    p, n = all_segmentations(text), 8000
+    rows = samples(text, 3, n)
+    assert all(len({x[1] for x in r}) == len(r) == min(3, len(p)) for r in rows)  # distinct
+    assert all(abs(x[2] - math.log(p[x[1]])) < 1e-9 for r in rows for x in r)
+    assert all(a[4] >= b[4] for r in rows for a, b in zip(r, r[1:]))  # best perturbed value first
+    first = Counter(r[0][1] for r in rows)
+    pairs = Counter((r[0][1], r[1][1]) for r in rows if len(r) > 1)
+    for a, q in p.items():
+        assert abs(first[a] / n - q) < 5 * math.sqrt(q * (1 - q) / n) + 1e-3
+        for b, o in p.items():
+            if a != b and len(p) > 2:
+                want = q * o / (1 - q)
+                assert abs(pairs[a, b] / n - want) < 5 * math.sqrt(want / n) + 1e-3
+
+
+def test_inclusion_weights_are_unbiased():
+    rows = samples("the cat sat", 3, 6000)
+    totals = [sum(math.exp(x[2] - x[3]) for x in r) for r in rows]
+    assert abs(np.mean(totals) - 1) < 5 * np.std(totals) / math.sqrt(len(totals))
+
+
+def test_all_segmentations_when_there_are_fewer_than_k():
+    p = all_segmentations("ab")
+    for r in samples("ab", 50, 20):
+        assert {x[1] for x in r} == set(p) and all(x[3] == 0 for x in r)
+
+
+def test_round_trip_and_determinism(spark, documents):
+    from pyspark.sql import functions as F
+    docs = documents(ODD_TEXTS)
+    got = sentencepiece.encode(docs, MODEL, k=2, check=True)
+    back = got.withColumn("back", sentencepiece.decode(F.col("ids"), MODEL)).collect()
+    for r in back:
+        assert r.back == (ODD_TEXTS[r.doc_id] or "") and r.round_trip and r.n_tokens == len(r.ids)
+    assert Counter(r.doc_id for r in back)[0] == 1 and Counter(r.doc_id for r in back)[8] == 2
+    again = sentencepiece.encode(docs.repartition(5, "text"), MODEL, k=2)
+    key = lambda r: (r.doc_id, r["sample"], r.ids, r.perturbed)
+    assert sorted(map(key, got.collect())) == sorted(map(key, again.collect()))
+    other = sentencepiece.encode(docs, MODEL, k=2, seed=1).collect()
+    assert {(r.doc_id, tuple(r.ids)) for r in other} != {(r.doc_id, tuple(r.ids)) for r in back}
+
+
+def test_best_segmentation_is_likelier_with_larger_alpha(documents):
+    text = "the international community " * 3
+    mean = [np.mean([r.n_tokens for r in sentencepiece.encode(documents([text] * 40), MODEL, k=1, alpha=a).collect()])
+            for a in (0.0, 4.0)]
+    assert mean[1] < mean[0]
+
+
+def test_empty_table_and_clashing_columns(spark, clashing):
+    assert sentencepiece.encode(empty_like(spark, DOCUMENTS), MODEL).count() == 0
+    assert sentencepiece.encode(clashing(["a b", "a b"]), MODEL, k=1).count() == 2

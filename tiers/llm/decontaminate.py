@@ -3,7 +3,7 @@
 A seed is a window of words under a fixed mask: the masked positions are hashed,
 the others are ignored, so a substituted word there does not matter. Seeds of
 benchmark items and of documents are joined on their hash; around every hit the
-item is laid over the document on the hit's diagonal, and the best stretch in
+item is laid over the document on the hit's diagonal, and the longest stretch in
 which at least ``IDENTITY`` of the words agree is the overlap. A document leaks
 an item when the overlap spans ``MIN_WORDS`` words, or the whole of a shorter
 item.
@@ -109,17 +109,19 @@ def _filter(item_seeds: DataFrame) -> np.ndarray:
 
 
 def best_stretch(same: np.ndarray) -> tuple[int, int, int]:
-    """(first, length, agreeing words) of the heaviest stretch, where a word that agrees
-    weighs 1 - IDENTITY and another one -IDENTITY; the longest of equally heavy ones."""
+    """(first, length, agreeing words) of the longest stretch that starts and ends with words
+    that agree and in which at least ``IDENTITY`` of the words do; of equal ones the first."""
+    at = np.flatnonzero(same)
+    if not len(at):
+        return 0, 0, 0
+    # with these weights a stretch has the identity if its sum is not negative
     gain = np.cumsum(np.concatenate([[0], np.where(same, round(100 * (1 - IDENTITY)), -round(100 * IDENTITY))]))
-    low = np.minimum.accumulate(gain)
-    end = len(gain) - 1 - int(np.argmax((gain - low)[::-1]))
-    start = int(np.argmax(gain[:end + 1] == low[end]))
-    if end > start:
-        keep = np.flatnonzero(same[start:end])
-        if len(keep):  # a stretch starts and ends with words that agree
-            start, end = start + int(keep[0]), start + int(keep[-1]) + 1
-    return start, end - start, int(same[start:end].sum())
+    low = np.minimum.accumulate(gain[at])  # the least sum before any start so far
+    k = np.searchsorted(-low, -gain[at + 1], side="left")  # the earliest start that is low enough for an end
+    length = at + 1 - at[np.minimum(k, len(at) - 1)]
+    best = int(np.argmax(length))
+    first = int(at[k[best]])
+    return first, int(length[best]), int(same[first:first + length[best]].sum())
 
 
 def _overlap(theirs: Column, ours: Column) -> Column:

@@ -183,16 +183,24 @@ class Lattice:
         rank[node[by_left]] = np.arange(len(head))
         # states of a walk are ranks of nodes, -1 behind a word's last character
         self.next, self.enter = rank[end], rank[self.first]
-        q = np.cumsum(np.exp(self.log_q))
-        before = np.concatenate([[0.0], q])[head] if len(head) else q
-        self.cum = np.minimum(q - np.repeat(before - np.arange(len(head)), n), np.repeat(np.arange(1.0, len(head) + 1), n))
+        # an edge's share together with those before it at its node; summed node by node,
+        # so that it does not depend on what else is in the batch
+        self.upto = np.exp(self.log_q)
+        for k in range(1, int(n.max()) if len(n) else 0):
+            at = head[n > k] + k
+            self.upto[at] += self.upto[at - 1]
         if len(head):
-            self.cum[edge_of[1:] - 1] = np.arange(1, len(head) + 1)
+            self.upto[edge_of[1:] - 1] = 1.0
+        self.line = np.minimum(self.upto, 1.0) + np.repeat(np.arange(float(len(head))), n)
         self.head = edge_of
 
     def pick(self, state: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """An edge of each state, drawn by its share with a uniform number below 1."""
-        return np.searchsorted(self.cum, state + np.minimum(u, 1 - 2.0 ** -26), side="right")
+        """An edge of each state: the first whose ``upto`` exceeds a number below 1."""
+        e = np.searchsorted(self.line, state + u, side="right")  # right but for rounding
+        first, last = self.head[state], self.head[state + 1] - 1
+        e = np.minimum(np.maximum(e, first), last)
+        e -= (e > first) & (self.upto[np.maximum(e - 1, 0)] > u)
+        return e + ((e < last) & (self.upto[e] <= u))
 
     def siblings(self, edge: int) -> np.ndarray:
         """All edges of the state that an edge leaves."""

@@ -88,8 +88,12 @@ def index(templates: Sequence[tuple[str, str]] = TEMPLATES) -> Index:
     return Index(hashes[order], row[at][order], (at - first[row[at]])[order], words, tuple(n for n, _ in templates))
 
 
-def _regions(ix: Index, h: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-    """(row, template, first word, end) of the candidate regions of a batch."""
+def _regions(ix: Index, h: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """(row, template, first word, end, own, own end) of the candidate regions of a batch.
+
+    Hits whose templates would start within ``BAND`` words of a region's first belong to
+    it, so a region is no longer than its template and three bands. Regions overlap;
+    a copy belongs to the one in whose own stretch it starts."""
     at, hashes = winnow(h, row)
     low = np.searchsorted(ix.hashes, hashes, side="left")
     n = np.searchsorted(ix.hashes, hashes, side="right") - low
@@ -98,20 +102,22 @@ def _regions(ix: Index, h: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, i
     if not len(at):
         return
     template = ix.template[entry]
-    size = np.array([len(w) for w in ix.words])[template]
     begin = at - ix.place[entry]  # where the template would start
     of = row[at]
-    first = np.searchsorted(row, of, side="left")
-    last = np.searchsorted(row, of, side="right")
+    first, last = np.searchsorted(row, of, side="left"), np.searchsorted(row, of, side="right")
     order = np.lexsort((begin, template, of))
-    of, template, begin, size, first, last = (x[order] for x in (of, template, begin, size, first, last))
-    new = np.ones(len(of), dtype=bool)
-    new[1:] = (of[1:] != of[:-1]) | (template[1:] != template[:-1]) | (begin[1:] - begin[:-1] > BAND)
-    starts = np.flatnonzero(new)
-    ends = np.append(starts[1:], len(of))
-    for a, b in zip(starts, ends):
-        yield (int(of[a]), int(template[a]), int(max(first[a], begin[a] - BAND)),
-               int(min(last[a], begin[b - 1] + size[a] + BAND)))
+    groups: dict[tuple[int, int], list] = {}
+    for r, t, b, a, z in zip(*(x[order].tolist() for x in (of, template, begin, first, last))):
+        found = groups.setdefault((r, t), [])
+        if found and b - found[-1][0] <= BAND:
+            found[-1][1] = b
+        else:
+            found.append([b, b, a, z])
+    for (r, t), found in groups.items():
+        size = len(ix.words[t])
+        own = [max(a, b - BAND) for b, _, a, _ in found]
+        for (b, e, a, z), lo, hi in zip(found, own, [*own[1:], found[-1][3]]):
+            yield r, t, max(a, b - BAND), min(z, e + size + BAND), lo, hi
 
 
 def align(template: np.ndarray, text: np.ndarray, band: int) -> tuple[int, int, int]:
@@ -150,6 +156,20 @@ def align(template: np.ndarray, text: np.ndarray, band: int) -> tuple[int, int,
     return best[1], best[2], best[3]
 
 
+def copies(template: np.ndarray, text: np.ndarray, least: float) -> list[tuple[int, int, int]]:
+    """All alignments of a template in a text, one after the other, with ``least`` words that agree."""
+    found, open_ = [], [(0, len(text))]
+    while open_:
+        a, z = open_.pop()
+        if z - a < GRAM:
+            continue
+        first, end, matched = align(template, text[a:z], 2 * BAND)
+        if matched >= least:
+            found.append((a + first, a + end, matched))
+            open_ += [(a, a + first), (a + end, z)]
+    return sorted(found)
+
+
 def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES,
          min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """``doc_id, license, template, first_word, end_word, first_byte, end_byte, n_matched, coverage``:
@@ -169,24 +189,23 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES,
             h, start, end, row = word_hashes(texts_of(batch))
             found = list(_regions(ix, h, row))
             first = np.searchsorted(row, np.arange(batch.num_rows))
-            lists = [pa.array([x[a:b] for _, _, a, b in found], pa.list_(pa.int64()))
-                     for x in (h.view(np.int64), start, end)]
+            lists = [pa.array([x[f[2]:f[3]] for f in found], pa.list_(pa.int64())) for x in (h.view(np.int64), start, end)]
+            places = [pa.array([f[i] - first[f[0]] for f in found], pa.int32()) for i in (2, 4, 5)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array([f[0] for f in found], pa.int64())), pa.array([f[1] for f in found], pa.int32()),
-                 pa.array([f[2] - first[f[0]] for f in found], pa.int32()), *lists],
-                names=["doc_id", "template", "offset", "words", "starts", "ends"])
+                 *places, *lists], names=["doc_id", "template", "offset", "own", "own_end", "words", "starts", "ends"])
 
-    regions = rows.mapInArrow(candidates, f"doc_id {id_type}, template int, offset int, words array<bigint>, "
-                                          "starts array<bigint>, ends array<bigint>")
+    regions = rows.mapInArrow(candidates, f"doc_id {id_type}, template int, offset int, own int, own_end int, "
+                                          "words array<bigint>, starts array<bigint>, ends array<bigint>")
 
-    @F.arrow_udf("struct<first:int,end:int,matched:int,size:int>")
+    @F.arrow_udf("array<struct<first:int,end:int,matched:int,size:int>>")
     def aligned(template: pa.Array, words: pa.Array) -> pa.Array:
         ix, found = sent.value, []
         for t, text in zip(template.to_pylist(), words):
             own = ix.words[t]
-            found.append((*align(own, text.values.to_numpy().view(np.uint64), 2 * BAND), len(own)))
-        return pa.StructArray.from_arrays([pa.array([f[i] for f in found], pa.int32()) for i in range(4)],
-                                          names=["first", "end", "matched", "size"])
+            found.append([{"first": a, "end": z, "matched": m, "size": len(own)}
+                          for a, z, m in copies(own, text.values.to_numpy().view(np.uint64), min_coverage * len(own))])
+        return pa.array(found, pa.list_(pa.struct([(n, pa.int32()) for n in ("first", "end", "matched", "size")])))
 
     names = F.array(*(F.lit(n) for n, _ in templates))
     a = F.col("a")
@@ -194,8 +213,8 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES,
     def at(column: str, place: Column) -> Column:
         return F.get(F.col(column), place)
 
-    found = (regions.withColumn("a", aligned("template", "words"))
-             .filter((a["matched"] >= F.lit(min_coverage) * a["size"]))
+    found = (regions.withColumn("a", F.explode(aligned("template", "words")))
+             .filter((F.col("offset") + a["first"] >= F.col("own")) & (F.col("offset") + a["first"] < F.col("own_end")))
              .select("doc_id", F.get(names, F.col("template")).alias("license"), "template",
                      (F.col("offset") + a["first"]).alias("first_word"), (F.col("offset") + a["end"]).alias("end_word"),
                      at("starts", a["first"]).alias("first_byte"), at("ends", a["end"] - 1).alias("end_byte"),

@@ -176,11 +176,12 @@ def _prune(rule: Rule, x: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
 
 
 def learn(x: dict[str, np.ndarray], bad: np.ndarray, aside: np.ndarray, min_precision: float = 0.8,
-          min_rows: int = 3, max_rules: int = 12, max_conditions: int = 4) -> list[Rule]:
+          min_aside: int = 2, min_share: float = 0.02, max_rules: int = 12, max_conditions: int = 4) -> list[Rule]:
     """Ordered reject rules from feature vectors, labels (True: low quality) and the
     rows kept aside for pruning. A rule stays if at least ``min_precision`` of the
-    rows it covers are bad, on the grown rows and on those kept aside, and it
-    covers at least ``min_rows`` bad rows in all."""
+    rows it covers are bad, on the grown rows and on those kept aside, if it
+    covers at least ``min_aside`` bad rows kept aside and ``min_share`` of all bad
+    rows: what only wrong labels support does not reject clean texts."""
     rules: list[Rule] = []
     left = np.ones(len(bad), dtype=bool)
     while len(rules) < max_rules:
@@ -190,8 +191,8 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, aside: np.ndarray, min_prec
             break
         rule = _prune(rule, {k: v[a] for k, v in x.items()}, bad[a])
         on = covers(rule, x, len(bad)) & left
-        precise = all((on & part).sum() == 0 or bad[on & part].mean() >= min_precision for part in (aside, ~aside))
-        if not precise or bad[on].sum() < min_rows:
+        precise = all(bad[on & part].mean() >= min_precision if (on & part).any() else False for part in (aside, ~aside))
+        if not precise or bad[on & aside].sum() < min_aside or bad[on].sum() < min_share * bad.sum():
             break
         rules.append(rule)
         left &= ~on

@@ -90,8 +90,8 @@ def _sample(lattice: Lattice, words: np.ndarray, cuts: np.ndarray, keys: np.ndar
         paths.append(path)
         u = _uniform(_seed(keys[path["row"]], 2, i)[:, None] + np.arange(6, dtype=np.uint64) * _STEP).tolist()
         logs = path["log_prob"].tolist()
-        sums, n = path["sums"], np.diff(path["cuts"])
-        at_fork = (sums[path["cuts"][:-1] + path["fork"]] - sums[path["cuts"][:-1]]).tolist()
+        n = np.diff(path["cuts"])
+        at_fork = [math.fsum(path["log_q"][a:a + f]) for a, f in zip(path["cuts"].tolist(), path["fork"].tolist())]
         found = []
         for j, (r, most, fork, n_all) in enumerate(zip(path["row"].tolist(), path["most"].tolist(),
                                                        path["fork"].tolist(), n.tolist())):
@@ -158,9 +158,12 @@ def _draw(lattice: Lattice, chain: dict, keys: np.ndarray, paths: list[dict], be
     for step, (order, edge) in enumerate(picked):
         to = offset[order] + step
         edges[to], word[to] = edge, place[order]
-    sums = np.concatenate([[0.0], np.cumsum(lattice.log_q[edges])])
+    log_q = lattice.log_q[edges]
+    some = np.flatnonzero(np.diff(bounds))
+    log_prob = np.zeros(len(rows))  # summed row by row: the same in any batch
+    log_prob[some] = np.add.reduceat(log_q, bounds[:-1][some]) if len(some) else 0.0
     return {"row": rows, "slot": slot, "cuts": bounds, "edge": edges, "word": word, "most": begin["most"],
-            "sums": sums, "log_prob": sums[bounds[1:]] - sums[bounds[:-1]], "fork": fork}
+            "log_q": log_q, "log_prob": log_prob, "fork": fork}
 
 
 def _pop(lattice: Lattice, sets: list[_Set], paths: list[dict], u: list[float]) -> tuple[int, int, int, float]:
@@ -170,12 +173,12 @@ def _pop(lattice: Lattice, sets: list[_Set], paths: list[dict], u: list[float])
     value, number, slot, a, b, taken = sets.pop(best)
     path = paths[number]
     c, d = int(path["cuts"][slot]), a
-    sums = path["sums"]
+    sums = np.concatenate([[0.0], np.cumsum(path["log_q"][c:int(path["cuts"][slot + 1])])])
     if not taken and b - a > 1:  # which decision: by the mass that leaves the path there
-        left = -np.expm1(sums[c + a:c + b + 1] - sums[c + a])  # mass that has left by each decision
+        left = -np.expm1(sums[a:b + 1] - sums[a])  # mass that has left by each decision
         d = a + min(int(np.searchsorted(left[1:], u[1] * left[-1], side="right")), b - a - 1)
         for x, y, v in ((a, d, u[2]), (d + 1, b, u[3])):
-            mass = _log_minus(float(sums[c + x] - sums[c]), float(sums[c + y] - sums[c])) if y > x else -math.inf
+            mass = _log_minus(float(sums[x]), float(sums[y])) if y > x else -math.inf
             if mass > -math.inf:
                 sets.append((_cut_gumbel(mass, value, v), number, slot, x, y, ()))
     edge = int(path["edge"][c + d])
@@ -185,7 +188,7 @@ def _pop(lattice: Lattice, sets: list[_Set], paths: list[dict], u: list[float])
     i = min(int(np.searchsorted(np.cumsum(share), u[4] * share.sum(), side="right")), len(others) - 1)
     rest = float(share.sum() - share[i])
     if len(others) > 1 and rest > 0:
-        mass = float(sums[c + d] - sums[c]) + math.log(rest)
+        mass = float(sums[d]) + math.log(rest)
         sets.append((_cut_gumbel(mass, value, u[5]), number, slot, d, d + 1, (*taken, others[i])))
     return number, d, others[i], value
 
