@@ -43,8 +43,8 @@ NODE_MEMBERS = 1024
 NODE_ROWS = 1 << 18
 #: Bits by which a too large node is split.
 STEP = 4
-#: Fan-out of the levels inside a node, and queries searched at once.
-FAN, AT_ONCE = 16, 4096
+#: Fan-out of the levels inside a node, and (query, node) pairs compared at once.
+FAN, AT_ONCE = 16, 1 << 16
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -111,34 +111,35 @@ def build(members: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
 def search(levels: list[tuple[np.ndarray, np.ndarray]], queries: np.ndarray,
            max_bits: int = MAX_BITS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (query, member) of places that differ in at most ``max_bits`` bits."""
-    for a in range(0, len(queries), AT_ONCE):
-        q = np.arange(a, min(a + AT_ONCE, len(queries)))
-        node = np.zeros(len(q), dtype=np.int64)
-        off = np.zeros(len(q), dtype=np.uint8)
-        for depth, (bits, extra) in enumerate(levels):
-            if depth:  # children of the nodes that are left
-                width = len(bits)
-                first = node * FAN
-                n = np.minimum(first + FAN, width) - first
-                q, off = np.repeat(q, n), np.repeat(off, n)
-                node = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(len(q))
-            off = off + np.bitwise_count((queries[q] ^ bits[node]) & extra[node])
-            near = off <= max_bits
-            q, node, off = q[near], node[near], off[near]
-        yield q, node
-
-
-def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """The smallest place that each of n places is connected to."""
-    root = np.arange(n)
+    # depth first over parts of at most AT_ONCE pairs, so that memory stays bounded where little is pruned
+    open_ = [(0, np.arange(a, min(a + AT_ONCE, len(queries)))) for a in range(0, len(queries), AT_ONCE)]
+    open_ = [(0, q, np.zeros(len(q), dtype=np.int64), np.zeros(len(q), dtype=np.uint8)) for _, q in open_]
+    while open_:
+        depth, q, node, off = open_.pop()
+        bits, extra = levels[depth]
+        off = off + np.bitwise_count((queries[q] ^ bits[node]) & extra[node])
+        near = off <= max_bits
+        q, node, off = q[near], node[near], off[near]
+        if depth == len(levels) - 1:
+            yield q, node
+            continue
+        first = node * FAN  # children of the nodes that are left
+        n = np.minimum(first + FAN, len(levels[depth + 1][0])) - first
+        q, off = np.repeat(q, n), np.repeat(off, n)
+        node = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(len(q))
+        open_ += [(depth + 1, q[a:a + AT_ONCE], node[a:a + AT_ONCE], off[a:a + AT_ONCE]) for a in range(0, len(q), AT_ONCE)]
+
+
+def connect(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join places in ``root``, which leads every place to the smallest one it is connected to."""
     while True:
         x, y = root[a], root[b]
         low, high = np.minimum(x, y), np.maximum(x, y)
         if (low == high).all():
-            return root
+            return
         np.minimum.at(root, high, low)
         while (root[root] != root).any():
-            root = root[root]
+            root[:] = root[root]
 
 
 def _links(max_bits: int, group: pd.DataFrame) -> pd.DataFrame:
@@ -148,15 +149,12 @@ def _links(max_bits: int, group: pd.DataFrame) -> pd.DataFrame:
     members, visitors = fp[own], fp[~own]
     members = members[np.argsort(gray_rank(members), kind="stable")]
     all_of = np.concatenate([members, visitors])
-    left, right = [], []
+    root = np.arange(len(all_of))
     if len(members):
         for q, m in search(build(members), all_of, max_bits):
             new = (q < m) | (q >= len(members))  # of two members only one way round
-            left.append(q[new])
-            right.append(m[new])
-    if not left:
-        return pd.DataFrame({"u": pd.Series(dtype="int64"), "v": pd.Series(dtype="int64")})
-    root = _roots(np.concatenate(left), np.concatenate(right), len(all_of))
+            if new.any():
+                connect(root, q[new], m[new])
     at = np.flatnonzero(root != np.arange(len(root)))
     return pd.DataFrame({"u": all_of[at].view(np.int64), "v": all_of[root[at]].view(np.int64)})
 

@@ -23,14 +23,14 @@ from pyspark.sql import functions as F
 
 from tiers.llm.frame import take
 
-#: Character references with their characters (the ampersand comes last).
+#: Character references with their characters (besides the ampersand).
 REFERENCES = (("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("copy", "\u00a9"), ("reg", "\u00ae"),
               ("middot", "\u00b7"), ("ndash", "\u2013"), ("mdash", "\u2014"), ("hellip", "\u2026"), ("laquo", "\u00ab"),
               ("raquo", "\u00bb"), ("euro", "\u20ac"), ("lsquo", "\u2018"), ("rsquo", "\u2019"), ("ldquo", "\u201c"),
               ("rdquo", "\u201d"), ("bull", "\u2022"))
 
-HIDDEN = (r"(?is)<!--.*?(?:-->|\z)|<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
-          r"|<noscript\b[^>]*>.*?(?:</noscript\s*>|\z)|<[!?][^>]*(?:>|\z)")
+HIDDEN = (r"(?is)<(?:!--.*?(?:-->|\z)|script\b[^>]*>.*?(?:</script\s*>|\z)|style\b[^>]*>.*?(?:</style\s*>|\z)"
+          r"|noscript\b[^>]*>.*?(?:</noscript\s*>|\z)|[!?][^>]*(?:>|\z))")
 BLOCK = (r"(?i)</?(?:p|div|li|ul|ol|dl|dt|dd|h[1-6]|br|hr|tr|td|th|table|article|section|header|footer|nav|main|aside"
          r"|title|head|body|html|blockquote|pre|form|figure)\b[^>]*(?:>|\z)")
 TAG = r"</?[A-Za-z][^>]*(?:>|\z)"
@@ -38,35 +38,32 @@ TITLE = r"(?is)<title\b[^>]*>(.*?)(?:</title|\z)"
 LINK = r"""(?i)<a\s[^>]*?\bhref\s*=\s*["']([^"'>]*)["']"""
 
 
-def _numeric(text: Column) -> Column:
-    """Numeric character references as characters; of no character: U+FFFD."""
-    parts = F.split(text, "&#")
+def unescape(text: Column) -> Column:
+    """Character references as characters, each decoded once; a number that is no
+    character gives U+FFFD, and what is no reference stays."""
+    parts = F.split(text, "&")
+    names = F.create_map(*(F.lit(x) for pair in REFERENCES for x in pair))
 
     def one(part: Column) -> Column:
-        decimal = F.regexp_extract(part, "^([0-9]{1,7});", 1)
-        hexa = F.regexp_extract(part, "^[xX]([0-9A-Fa-f]{1,6});", 1)
+        name = F.regexp_extract(part, "^([a-z]+);", 1)
+        decimal = F.regexp_extract(part, "^#([0-9]{1,7});", 1)
+        hexa = F.regexp_extract(part, "^#[xX]([0-9A-Fa-f]{1,6});", 1)
         code = F.when(decimal != "", decimal.cast("int")).when(hexa != "", F.conv(hexa, 16, 10).cast("int"))
         bad = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
-        char = F.when(bad, F.lit("\ufffd")).otherwise(
-            F.decode(F.unhex(F.lpad(F.hex(F.when(bad, 65533).otherwise(code)), 8, "0")), "UTF-32"))
-        return F.when(code.isNull(), F.concat(F.lit("&#"), part)).otherwise(
-            F.concat(char, F.regexp_replace(part, "^[xX]?[0-9A-Fa-f]+;", "")))
-
-    done = F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), one), ""))
-    return F.when(F.instr(text, "&#") > 0, done).otherwise(text)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(bad, 0xFFFD).otherwise(code)), 8, "0")), "UTF-32")
+        return (F.when(part.startswith("amp"), F.concat(F.lit("&"), F.regexp_replace(part, "^amp;?", "")))
+                .when(F.map_contains_key(names, name), F.concat(names[name], F.regexp_replace(part, "^[a-z]+;", "")))
+                .when(code.isNotNull(), F.concat(char, F.regexp_replace(part, "^#[xX]?[0-9A-Fa-f]+;", "")))
+                .otherwise(F.concat(F.lit("&"), part)))
 
-
-def unescape(text: Column) -> Column:
-    text = _numeric(text)
-    for name, char in REFERENCES:
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
-    return F.regexp_replace(text, "&amp;?", "&")
+    return F.when(F.instr(text, "&") == 0, text).otherwise(
+        F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), one), "")))
 
 
 def fold(text: Column) -> Column:
-    """Runs of blanks as one, blanks at line ends and empty lines gone."""
-    text = F.regexp_replace(text, "[ \t\r\f\x0b\u00a0]+", " ")
-    return F.regexp_replace(F.regexp_replace(text, " ?\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+\z", "")
+    """Runs of blanks as one, blanks at line ends and empty lines gone. Matches only what changes."""
+    text = F.regexp_replace(text, "[\t\r\f\x0b\xa0][ \t\r\f\x0b\xa0]*| [ \t\r\f\x0b\xa0]+", " ")
+    return F.regexp_replace(F.regexp_replace(text, " \n[ \n]*|\n[ \n]+", "\n"), r"^[ \n]+|[ \n]+\z", "")
 
 
 def visible(html: Column) -> Column:
