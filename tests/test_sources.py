@@ -178,9 +178,8 @@ def test_folder_with_mixed_headers_is_refused(spark, tmp_path):
     d.mkdir()
     (d / "a.csv").write_text("x,y\n1,2\n")
     (d / "b.csv").write_text("y,x\n3,4\n")
-    assert len(files.csv_headers(spark, str(d))) == 2
-    with pytest.raises(ValueError):                                                       # T13
-        files.read_csv(spark, str(d), check_headers=True)
+    with pytest.raises(Exception, match="CSV header does not conform"):                 # T13
+        files.read_csv(spark, str(d), check_headers=True).collect()
     (d / "b.csv").write_text("x,y\n3,4\n")
     assert files.read_csv(spark, str(d), check_headers=True).count() == 2
 
@@ -201,11 +200,142 @@ def test_listing_sizes(spark, tmp_path):
     assert shallow.is_dir and shallow.size == 0 and deep.size > 0
 
 
-def test_csv_headers_of_many_parts_pooled_or_serial(spark, tmp_path):
-    out = str(tmp_path / "parts.csv")
-    spark.range(0, 200).selectExpr("id AS a", "id * 2 AS b").repartition(12).write \
-        .option("header", "true").csv(out)
-    pooled = sorted(files.csv_headers(spark, out, threads=4))
-    serial = sorted(files.csv_headers(spark, out, threads=1))
-    assert pooled == serial and len(pooled) == 12
-    assert {h for _, h in pooled} == {"a,b"}
+def _write(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+
+
+def _ingest(spark, tmp_path, schema, **opts):
+    from tiers.plans import bronze
+    report = bronze.ingest(spark, str(tmp_path / "land"), ("s",), schema=schema, location=str(tmp_path / schema), **opts)
+    return {r.file_name: r.status for r in report.collect()}
+
+
+def test_newest_usable_export_wins(spark, tmp_path):
+    """An empty or broken newest file never removes what an older one holds."""
+    land = tmp_path / "land" / "s"
+    _write(land / "100_a.csv", "x\n1\n")
+    _write(land / "200_a.csv", "x\n")
+    _write(land / "100_b.csv", "x\n1\n2\n")
+    _write(land / "200_b.csv", "other\n5\n")
+    _write(land / "050_b.csv", "x\n9\n")
+    _write(land / "100_c.csv", "x\n1\n")
+    _write(land / "200_c.csv", "x\n7\n8\n")
+    got = _ingest(spark, tmp_path, "newest", schemas={"s_b": "x INT"})
+    assert got == {"100_a.csv": "ok", "200_a.csv": "empty", "100_b.csv": "ok", "200_b.csv": "failed",
+                   "050_b.csv": "superseded", "100_c.csv": "superseded", "200_c.csv": "ok"}
+    assert [spark.table(f"newest.s_{t}").count() for t in "abc"] == [1, 2, 2]
+
+
+def test_all_files_of_a_table_load_in_order(spark, tmp_path):
+    land = tmp_path / "land" / "s"
+    for i in range(6):
+        _write(land / f"{i}00_a.csv", "x\n" + "1\n" * (i + 1))
+    assert set(_ingest(spark, tmp_path, "in_order", latest_only=False, parallelism=4).values()) == {"ok"}
+    assert spark.table("in_order.s_a").count() == 6
+
+
+def test_mixed_headers_fail_in_the_ingest(spark, tmp_path):
+    land = tmp_path / "land" / "s"
+    _write(land / "100_m.csv" / "p1.csv", "x,y\n1,2\n")
+    _write(land / "100_m.csv" / "p2.csv", "y,x\n3,4\n")
+    assert _ingest(spark, tmp_path, "mixed_headers") == {"100_m.csv": "failed"}
+    assert not spark.catalog.tableExists("mixed_headers.s_m")
+
+
+def test_errors_are_kept_whole(spark, tmp_path):
+    from tiers.plans import bronze, runner
+    e = ValueError("first\n" + "x" * 2000)
+    assert bronze._err(e) == runner._err(e) == "ValueError: first\n" + "x" * 2000
+
+
+@pytest.mark.parametrize("fail_at", range(4))
+def test_a_swap_that_breaks_anywhere_leaves_the_old_or_the_new_table(spark, tmp_path, monkeypatch, fail_at):
+    """K1: a failure at any catalog step of the swap, then one without any clean-up (a crash)."""
+    schema = f"swap{fail_at}"
+    catalog.ensure_schema(spark, schema, str(tmp_path / schema))
+    table = f"{schema}.a"
+    for crash in (False, True):
+        catalog.save_table(spark.range(3), table)
+        steps = iter(range(10))
+
+        def step(real):
+            def run(*a):
+                if next(steps) == fail_at:
+                    raise (KeyboardInterrupt if crash else RuntimeError)("injected")
+                return real(*a)
+            return run
+        with monkeypatch.context() as m:
+            m.setattr(catalog, "_rename", step(catalog._rename))
+            m.setattr(catalog, "drop_table", step(catalog.drop_table))
+            try:
+                catalog.save_table(spark.range(5), table)
+            except (RuntimeError, KeyboardInterrupt):
+                pass
+        assert catalog.read_table(spark, table).count() in (3, 5)
+        catalog.save_table(spark.range(7), table)
+        assert catalog.read_table(spark, table).count() == 7
+        left = [t.name for t in spark.catalog.listTables(schema)]
+        assert "a" in left and "a__replaced" not in left
+
+
+def test_transactional_overwrite_replaces_the_schema_in_place(spark, monkeypatch):
+    """Delta has no jar here: the writer's options are what its overwrite gets."""
+    from pyspark.sql import DataFrameWriter
+    seen = {}
+
+    def option(self, k, v):
+        seen[k] = v
+        return self
+    monkeypatch.setattr(DataFrameWriter, "option", option)
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", lambda self, name: seen.update(table=name))
+    monkeypatch.setattr(DataFrameWriter, "format", lambda self, f: self)
+    monkeypatch.setattr(catalog, "Observation", lambda name: type("O", (), {"get": {"rows": 0}})())
+    monkeypatch.setattr("pyspark.sql.DataFrame.observe", lambda self, *a: self, raising=False)
+    monkeypatch.setattr(type(spark.range(1)), "observe", lambda self, *a: self)
+    catalog.save_table(spark.range(1), "s.t", fmt="delta")
+    assert seen == {"overwriteSchema": "true", "table": "s.t"}
+    seen.clear()
+    monkeypatch.setattr(catalog, "check_schema", lambda *a: None)
+    catalog.save_table(spark.range(1), "s.t", fmt="delta", replace_schema=False)
+    assert seen == {"table": "s.t"}
+
+
+def test_three_level_names(spark, tmp_path):
+    catalog.ensure_schema(spark, "spark_catalog.three", str(tmp_path / "three"))
+    t = "spark_catalog.three.a"
+    for n in (4, 2):
+        assert catalog.save_table(spark.range(n), t)["rows"] == n
+        assert catalog.read_table(spark, t).count() == n
+    assert [r.tableName for r in catalog.tables(spark, "spark_catalog.three").collect()] == ["a"]
+    assert [r.col_name for r in catalog.columns(spark, t).collect()] == ["id"]
+    assert [r.status for r in catalog.clear_schema(spark, "spark_catalog.three", dry_run=False).collect()] == ["dropped"]
+    catalog.drop_schema(spark, "spark_catalog.three", cascade=True)
+
+
+def test_stream_counts_every_batch_and_is_rate_limited(spark, tmp_path):
+    land = tmp_path / "land"
+    for i in range(5):
+        _write(land / f"{i}.csv", f"CID,CNTRY\n{i},x\n")
+    catalog.ensure_schema(spark, "st_rate", str(tmp_path / "st_rate"))
+    opts = dict(checkpoint=str(tmp_path / "ck"), max_files_per_trigger=2)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    try:
+        assert ingest_available(spark, str(land), "st_rate.loc", "CID STRING, CNTRY STRING", **opts) == 3
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert spark.table("st_rate.loc").count() == 5
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from tiers import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://h:7077"}.get(key, default)
+
+    class Fake:
+        conf = Conf()
+        sparkContext = type("C", (), {"getConf": lambda self: Conf()})()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session._ensure_checkpoint_dir(Fake())

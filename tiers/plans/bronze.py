@@ -1,8 +1,8 @@
 """Raw CSV files -> bronze tables, with a run report.
 
 For each landing subset (``crm``, ``erp``): list the ``*.csv`` entries, name
-the target table from the file name, keep the newest file per table, and
-ingest each as one managed table with audit columns. Failures do not stop
+the target table from the file name, and ingest the newest usable file of each
+as one managed table with audit columns. Failures do not stop
 the run; every subset and file gets a row in the returned report, and the
 caller decides what a failure means (trap T18).
 
@@ -33,13 +33,11 @@ REPORT_SCHEMA = T.StructType([
 ])
 
 
-def plan_files(spark: SparkSession, base_path: str, subsets: Sequence[str],
-               strip_timestamp: bool = True, latest_only: bool = True):
-    """Files to ingest ``(subset, path, name, table_name)`` in path order, and report
-    rows for unreadable subsets and superseded files (S5, S8, K9-K11).
+def plan_files(spark: SparkSession, base_path: str, subsets: Sequence[str], strip_timestamp: bool = True):
+    """Files of every target table ``{table_name: [(subset, path, name), ...]}``, oldest
+    first, and report rows for unreadable subsets (S5, S8, K9, K10).
 
-    The listing is metadata: it is named, ranked and brought to the driver in
-    one pass.
+    The listing is metadata: it is named and brought to the driver in one pass.
     """
     listings, problems = [], []
     for subset in subsets:
@@ -47,41 +45,34 @@ def plan_files(spark: SparkSession, base_path: str, subsets: Sequence[str],
         try:
             listings.append(files.list_files(spark, path, ".csv", subset=subset))
         except Exception as e:
-            problems.append((subset, None, None, "unreadable", None, _short(e)))
+            problems.append((subset, None, None, "unreadable", None, _err(e)))
     if not listings:
-        return [], problems
+        return {}, problems
     listing = listings[0]
     for more in listings[1:]:
         listing = listing.unionByName(more)
     listing = listing.withColumn("table_name", files.table_name("subset", "name", strip_timestamp))
-    if latest_only:
-        listing = files.latest_files(listing, flag="is_latest")
-    else:
-        listing = listing.withColumn("is_latest", F.lit(True))
-    work = []
-    for r in listing.select("subset", "path", "name", "table_name", "is_latest").orderBy("path").collect():
-        if r.is_latest:
-            work.append((r.subset, r.path, r.name, r.table_name))
-        else:
-            problems.append((r.subset, r.name, r.table_name, "superseded", None, None))
+    work: dict[str, list[tuple[str, str, str]]] = {}
+    for r in listing.select("subset", "path", "name", "table_name").orderBy("name", "path").collect():
+        work.setdefault(r.table_name, []).append((r.subset, r.path, r.name))
     return work, problems
 
 
-def _short(e: Exception) -> str:
-    return f"{type(e).__name__}: {str(e).splitlines()[0][:300]}" if str(e) else type(e).__name__
+def _err(e: Exception) -> str:
+    return f"{type(e).__name__}: {e}" if str(e) else type(e).__name__
 
 
 def ingest_file(spark: SparkSession, path: str, table: str, schema=None, infer: bool = True,
                 fmt: str = "parquet") -> tuple[str, int | None, str | None]:
     """One file (or folder of parts) -> one bronze table: (status, rows, error)."""
     try:
-        df = files.read_csv(spark, path, schema=schema, infer=infer)
+        df = files.read_csv(spark, path, schema=schema, infer=infer, check_headers=True)
         if df.isEmpty():
             return "empty", 0, None
         result = catalog.save_table(files.add_audit(df), table, fmt=fmt, replace_schema=True)
         return "ok", result["rows"], None
     except Exception as e:
-        return "failed", None, _short(e)
+        return "failed", None, _err(e)
 
 
 def ingest(spark: SparkSession, base_path: str, subsets: Sequence[str] = ("crm", "erp"),
@@ -90,25 +81,39 @@ def ingest(spark: SparkSession, base_path: str, subsets: Sequence[str] = ("crm",
            latest_only: bool = True, parallelism: int = 4, location: str | None = None) -> DataFrame:
     """Run the bronze layer; returns the report ``(subset, file_name, table_name, status, rows, error)``.
 
-    ``schemas`` maps a table name (without schema) to an explicit schema;
-    such tables skip inference and have their header checked.
+    ``schemas`` maps a table name (without schema) to an explicit schema; such
+    tables skip inference. Every file's header is checked while it is read (T13).
+
+    With ``latest_only`` the newest usable file of a table wins (K11): files are
+    tried newest first until one loads, and only those older than it are
+    ``superseded``; a newer file that is empty or fails has its own report row and
+    leaves the table to the next one. Without it every file is loaded in name
+    order, each overwriting the table. A table's files are handled by one thread,
+    so their order is fixed.
     """
     catalog.ensure_schema(spark, schema, location)
-    work, report = plan_files(spark, base_path, subsets, strip_timestamp, latest_only)
+    work, report = plan_files(spark, base_path, subsets, strip_timestamp)
     schemas = dict(schemas or {})
 
     def one(item):
-        subset, path, name, tname = item
+        tname, found = item
+        rows, loaded = [], False
         with label_jobs(spark, "bronze", f"{schema}.{tname}"):
-            status, rows, err = ingest_file(spark, path, f"{schema}.{tname}", schemas.get(tname), infer, fmt)
-            return (subset, name, tname, status, rows, err)
+            for subset, path, name in reversed(found) if latest_only else found:
+                if latest_only and loaded:
+                    rows.append((subset, name, tname, "superseded", None, None))
+                    continue
+                status, n, err = ingest_file(spark, path, f"{schema}.{tname}", schemas.get(tname), infer, fmt)
+                loaded = loaded or status == "ok"
+                rows.append((subset, name, tname, status, n, err))
+        return rows
 
     if parallelism > 1 and len(work) > 1:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            report.extend(pool.map(one, work))
+            done = list(pool.map(one, work.items()))
     else:
-        report.extend(one(w) for w in work)
-    return spark.createDataFrame(report, REPORT_SCHEMA)
+        done = [one(w) for w in work.items()]
+    return spark.createDataFrame(report + [r for rows in done for r in rows], REPORT_SCHEMA)
 
 
 def summary(report: DataFrame) -> DataFrame:

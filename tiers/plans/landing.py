@@ -4,8 +4,10 @@ Lays out what the reference's bronze job expects - ``<base>/crm`` and
 ``<base>/erp`` with stamped ``<digits>_<table>.csv`` exports - written by
 Spark from the six raw extracts (each export a folder of CSV parts, written
 in parallel). Also places the files the ingest must not turn into tables:
-an older export of one table, a header-only export, a non-CSV file, and an
-export whose header does not match the schema declared for it.
+an older export of one table, a header-only export, a non-CSV file, an
+export whose header does not match the schema declared for it and one whose
+parts disagree on their header; and two tables whose newest export is empty or
+broken, so that an older good one must stay.
 """
 
 from __future__ import annotations
@@ -31,11 +33,15 @@ EXPORTS = (
 # Table whose export carries other column names than its declared schema.
 BAD_TABLE = "erp_loc_a101_bad"
 BAD_SCHEMA = "CUSTOMER_ID STRING, COUNTRY STRING"
+# Table whose newest export has another header than declared, and an older good one.
+KEPT_TABLE = "erp_px_kept"
+KEPT_SCHEMA = "ID STRING, CAT STRING, SUBCAT STRING, MAINTENANCE STRING"
+SCHEMAS = {BAD_TABLE: BAD_SCHEMA, KEPT_TABLE: KEPT_SCHEMA}
 
 
-def _write(df, path: str) -> None:
+def _write(df, path: str, mode: str = "overwrite") -> None:
     # Spark's CSV writer trims values unless told not to; raw text keeps its blanks.
-    (df.write.mode("overwrite").option("header", "true")
+    (df.write.mode(mode).option("header", "true")
        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
        .csv(path))
 
@@ -52,11 +58,16 @@ def write_landing(spark: SparkSession, sf_dir: str, base: str | None = None,
         _write(raws["crm_cust_info"].limit(0), f"{base}/crm/{STAMP}_empty-file.csv")
         files.write_csv(raws["erp_loc_a101"].selectExpr("CID AS note"), f"{base}/crm/readme.txt")
         _write(raws["erp_loc_a101"], f"{base}/erp/{STAMP}_loc a101-bad.csv")
+        _write(raws["crm_prd_info"], f"{base}/crm/{OLD_STAMP}_prd_kept.csv")
+        _write(raws["crm_prd_info"].limit(0), f"{base}/crm/{STAMP}_prd_kept.csv")
+        _write(raws["erp_px_cat_g1v2"], f"{base}/erp/{OLD_STAMP}_px_kept.csv")
+        _write(raws["erp_px_cat_g1v2"].withColumnRenamed("ID", "CODE"), f"{base}/erp/{STAMP}_px_kept.csv")
+        _write(raws["erp_loc_a101"].select("CID", "CNTRY"), f"{base}/erp/{STAMP}_mixed.csv")
+        _write(raws["erp_loc_a101"].select("CNTRY", "CID"), f"{base}/erp/{STAMP}_mixed.csv", "append")
     return base
 
 
 def export_schemas(spark: SparkSession, sf_dir: str) -> dict:
     """Bronze table name -> schema of its export, for a one-pass typed ingest."""
     out = {extract: driver_tables.raw(spark, sf_dir, extract).schema for _, _, extract in EXPORTS}
-    out[BAD_TABLE] = BAD_SCHEMA
-    return out
+    return out | SCHEMAS

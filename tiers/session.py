@@ -57,7 +57,8 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        # Only reached in local runs and tests: a cluster names its shared folder.
+        if not conf.get("spark.master", "local").startswith("local") or "local-cluster" in conf.get("spark.master", ""):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = os.path.join(os.environ.get("TMPDIR", "/tmp"), "tiers-checkpoints")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -86,7 +87,7 @@ def conf_bytes(spark: SparkSession, key: str, default: str) -> int:
     return int(float(s[:-1]) * units[s[-1]]) if s and s[-1] in units else int(s)
 
 
-def size_shuffle_partitions(spark: SparkSession, *dfs, max_partitions: int = 200_000) -> int:
+def size_shuffle_partitions(spark: SparkSession, *dfs) -> int:
     """Raise ``spark.sql.shuffle.partitions`` so the largest input fits.
 
     AQE merges small shuffle partitions but never splits one, so the count a
@@ -102,7 +103,7 @@ def size_shuffle_partitions(spark: SparkSession, *dfs, max_partitions: int = 200
     for df in dfs:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
         biggest = max(biggest, int(str(stats.sizeInBytes())))
-    needed = min(max_partitions, math.ceil(biggest / max(target, 1)))
+    needed = math.ceil(biggest / max(target, 1))
     if needed > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(needed))
         return needed

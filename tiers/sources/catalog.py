@@ -1,7 +1,7 @@
 """Table catalog: schemas, managed-table writes with a schema contract, listing, clean-up.
 
 Names are passed as parameters with ``IDENTIFIER(:name)``, never spliced
-into SQL text. Tables live in ``spark_catalog`` as ``schema.table``; the
+into SQL text. Tables are named ``schema.table`` or ``catalog.schema.table``; the
 format is a parameter (Parquet by default; Delta needs its jars).
 """
 
@@ -64,7 +64,8 @@ def save_table(df: DataFrame, table: str, fmt: str = "parquet", replace_schema:
       to a staging table first and swapped in by rename, so a failing write
       leaves the old table in place, and a table can be rebuilt from itself
       (T23). On object stores a rename copies files; a transactional format
-      (its overwrite is atomic) needs no staging.
+      (its overwrite is atomic) needs no staging, and is told to replace the
+      schema where that is asked for.
     """
     spark = df.sparkSession
     if staged is None:
@@ -75,6 +76,8 @@ def save_table(df: DataFrame, table: str, fmt: str = "parquet", replace_schema:
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     target = f"{table}__staging_{uuid.uuid4().hex[:8]}" if staged else table
     writer = observed.write.format(fmt).mode("overwrite")
+    if not staged and replace_schema:
+        writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     try:
@@ -84,13 +87,59 @@ def save_table(df: DataFrame, table: str, fmt: str = "parquet", replace_schema:
             drop_table(spark, target)
         raise
     if staged:
-        spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": table})
-        spark.sql("ALTER TABLE IDENTIFIER(:a) RENAME TO IDENTIFIER(:b)", args={"a": target, "b": table})
+        swap_table(spark, target, table)
     return {"table": table, "rows": int(obs.get["rows"])}
 
 
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    # the new name is taken inside the old one's catalog: without the catalog's own part
+    new = ".".join(new.split(".")[-2:])
+    spark.sql("ALTER TABLE IDENTIFIER(:a) RENAME TO IDENTIFIER(:b)", args={"a": old, "b": new})
+
+
+def swap_table(spark: SparkSession, staging: str, table: str) -> None:
+    """Put ``staging`` in the place of ``table``.
+
+    The old table is renamed aside, the new one renamed in, then the old one
+    dropped. If a step fails, the old table goes back; after a crash between two
+    steps ``recover_table`` (run by every swap first) puts it back, so there is
+    always the old or the new table.
+    """
+    recover_table(spark, table)
+    backup = _backup(table)
+    had = table_exists(spark, table)
+    try:
+        if had:
+            _rename(spark, table, backup)
+        _rename(spark, staging, table)
+    except Exception:
+        if had and table_exists(spark, backup) and not table_exists(spark, table):
+            _rename(spark, backup, table)
+        drop_table(spark, staging)
+        raise
+    if had:
+        drop_table(spark, backup)
+
+
+def _backup(table: str) -> str:
+    return f"{table}__replaced"
+
+
+def recover_table(spark: SparkSession, table: str) -> None:
+    """Finish a swap that a crash cut short: bring the old table back if the new one is
+    not there, else drop it."""
+    backup = _backup(table)
+    if table_exists(spark, backup):
+        if table_exists(spark, table):
+            drop_table(spark, backup)
+        else:
+            _rename(spark, backup, table)
+
+
 def read_table(spark: SparkSession, table: str) -> DataFrame:
-    """Scan a table by name."""
+    """Scan a table by name (S6, P3); one that a crashed swap set aside is brought back first."""
+    if not table_exists(spark, table):
+        recover_table(spark, table)
     return spark.table(table)
 
 
@@ -144,7 +193,7 @@ def clear_schema(spark: SparkSession, schema: str, dry_run: bool = True) -> Data
             drop_table(spark, name)
             rows.append((name, "drop", "dropped", None))
         except Exception as e:  # keep going, report per table
-            rows.append((name, "drop", "failed", str(e)[:500]))
+            rows.append((name, "drop", "failed", str(e)))
     return spark.createDataFrame(rows, _CLEAR)
 
 

@@ -31,8 +31,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-# Row keys of the fact-sized driver tables: a scan of them that yields fewer
-# tasks than the cluster has cores is spread by this key (``layout.spread``).
+# Row keys of the fact-sized driver tables: where a caller asks for it, a scan of
+# them that yields a few tasks only is spread by this key (``layout.spread``).
 ROW_KEYS = {"lineitem": ("l_orderkey", "l_linenumber")}
 
 
@@ -42,7 +42,7 @@ ROW_KEYS = {"lineitem": ("l_orderkey", "l_linenumber")}
 _SCHEMAS: dict[tuple[str, str], object] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (spark.sparkContext.applicationId, path)
     schema = _SCHEMAS.get(key)
@@ -51,7 +51,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         _SCHEMAS[key] = df.schema
     else:
         df = spark.read.schema(schema).parquet(path)
-    return spread(df, ROW_KEYS[name]) if name in ROW_KEYS else df
+    return spread(df, ROW_KEYS[name]) if spread_rows and name in ROW_KEYS else df
 
 
 def _s(v) -> Column:
@@ -84,11 +84,20 @@ def _ymd(c: Column) -> Column:
     return F.lpad(_ymd_int(c).cast("string"), 8, "0")
 
 
+def _with_more(df: DataFrame, base: list[Column], more_if: Column, more: list[Column]) -> DataFrame:
+    """A ``base`` row per row of ``df``, and a ``more`` row where ``more_if`` holds: one pass."""
+    schema = df.select(*base).schema
+    first = F.struct(*base)
+    second = F.struct(*[c.cast(f.dataType).alias(f.name) for c, f in zip(more, schema.fields)])
+    rows = F.when(more_if, F.array(first, second)).otherwise(F.array(first))
+    return df.select(F.explode(rows).alias("row")).select("row.*")
+
+
 def crm_cust_info(customer: DataFrame) -> DataFrame:
     c = customer
     day = F.date_add(F.lit("2020-01-01").cast("date"), F.floor(F.col("c_acctbal") + 1000).cast("int"))
     seg = F.col("c_mktsegment")
-    base = c.select(
+    base = [
         F.when((seg == "HOUSEHOLD") & (F.col("c_acctbal") < 0), F.lit(None).cast("bigint"))
          .otherwise(F.col("c_custkey")).alias("cst_id"),
         _aw(F.col("c_custkey")).alias("cst_key"),
@@ -102,8 +111,8 @@ def crm_cust_info(customer: DataFrame) -> DataFrame:
          .when(F.col("c_nationkey") < 20, _s("Female")).otherwise(_s("  ")).alias("cst_gndr"),
         F.when(seg == "FURNITURE", F.date_format(day, "yyyy-MM-dd"))
          .otherwise(F.date_format(day, "MM/dd/yyyy")).alias("cst_create_date"),
-    )
-    resent = c.filter(F.col("c_acctbal") > 9000).select(
+    ]
+    resent = [
         F.col("c_custkey").alias("cst_id"),
         F.when(F.col("c_nationkey") < 12, _aw(F.col("c_custkey")))
          .otherwise(_aw(F.col("c_custkey"), "AX")).alias("cst_key"),
@@ -111,9 +120,8 @@ def crm_cust_info(customer: DataFrame) -> DataFrame:
         _s("resent").alias("cst_lastname"),
         _s("S").alias("cst_marital_status"),
         _s("F").alias("cst_gndr"),
-        F.date_format(F.date_add(day, 1), "MM/dd/yyyy").alias("cst_create_date"),
-    )
-    return base.unionByName(resent)
+        F.date_format(F.date_add(day, 1), "MM/dd/yyyy").alias("cst_create_date")]
+    return _with_more(c, base, F.col("c_acctbal") > 9000, resent)
 
 
 def _brand(part: DataFrame) -> Column:
@@ -127,22 +135,21 @@ def crm_prd_info(part: DataFrame) -> DataFrame:
     milli = F.floor(F.col("p_retailprice") * 1000 / 3)
     cost = _decimal_text(milli, 3)
     size = F.col("p_size")
-    base = p.select(
+    base = [
         F.when(size == 1, F.lit(None).cast("bigint")).otherwise(F.col("p_partkey")).alias("prd_id"),
         F.concat(cat, _s("-"), pkey).alias("prd_key"),
         F.concat(_s(" "), F.col("p_name")).alias("prd_nm"),
         F.concat(F.lower(F.substring(F.col("p_type"), 1, 1)), _s(" ")).alias("prd_line"),
         F.when(size == 2, _s("n/a")).when(size == 3, F.lit(None).cast("string"))
          .when(size == 4, _s("123456789.00")).otherwise(cost).alias("prd_cost"),
-    )
-    relisted = p.filter(size >= 49).select(
+    ]
+    relisted = [
         F.col("p_partkey").alias("prd_id"),
         F.concat(_s("XX-99-"), pkey).alias("prd_key"),
         F.col("p_name").alias("prd_nm"),
         _s("X").alias("prd_line"),
-        cost.alias("prd_cost"),
-    )
-    return base.unionByName(relisted)
+        cost.alias("prd_cost")]
+    return _with_more(p, base, size >= 49, relisted)
 
 
 def crm_sales_details(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
@@ -180,30 +187,30 @@ def erp_cust_az12(customer: DataFrame) -> DataFrame:
     born = F.date_add(F.lit("1940-01-01").cast("date"),
                       F.floor((F.col("c_acctbal") + 1000) * 2).cast("int"))
     seg = F.col("c_mktsegment")
-    base = c.select(
+    base = [
         F.when(F.col("c_nationkey") == 3, key).otherwise(F.concat(_s("NAS"), key)).alias("CID"),
         F.when((seg == "MACHINERY") & (F.col("c_acctbal") < 0), _s("0"))
          .otherwise(F.date_format(born, "yyyy-MM-dd")).alias("BDATE"),
         F.when(seg == "BUILDING", _s("Male")).when(seg == "MACHINERY", _s("F"))
          .when(seg == "AUTOMOBILE", _s(" female")).when(seg == "FURNITURE", _s(""))
          .alias("GEN"),
-    )
-    resent = c.filter(F.col("c_acctbal") > 9500).select(
-        F.concat(_s("XXX"), key).alias("CID"), _s("1980-01-01").alias("BDATE"), _s("M").alias("GEN"))
-    return base.unionByName(resent)
+    ]
+    resent = [
+        F.concat(_s("XXX"), key).alias("CID"), _s("1980-01-01").alias("BDATE"), _s("M").alias("GEN")]
+    return _with_more(c, base, F.col("c_acctbal") > 9500, resent)
 
 
 def erp_loc_a101(customer: DataFrame, nation: DataFrame) -> DataFrame:
     cn = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "inner")
-    base = cn.select(
+    base = [
         _aw(F.col("c_custkey"), "AW-").alias("CID"),
         F.when(F.col("c_acctbal") < 0, F.lit(None).cast("string"))
          .when(F.col("c_mktsegment") == "FURNITURE", _s("  "))
          .otherwise(F.concat(_s(" "), F.lower(F.col("n_name")))).alias("CNTRY"),
-    )
-    resent = cn.filter(F.col("c_acctbal") > 9500).select(
-        _aw(F.col("c_custkey")).alias("CID"), F.col("n_name").alias("CNTRY"))
-    return base.unionByName(resent)
+    ]
+    resent = [
+        _aw(F.col("c_custkey")).alias("CID"), F.col("n_name").alias("CNTRY")]
+    return _with_more(cn, base, F.col("c_acctbal") > 9500, resent)
 
 
 def erp_px_cat_g1v2(part: DataFrame) -> DataFrame:
@@ -211,7 +218,7 @@ def erp_px_cat_g1v2(part: DataFrame) -> DataFrame:
     t, b = F.col("p_type"), F.col("brand")
     bn = b.cast("int")
     prefix = F.when(t == "PROMO", _s("PM")).otherwise(F.upper(F.substring(t, 1, 2)))
-    base = cats.select(
+    base = [
         F.concat(prefix, _s("_"), b).alias("ID"),
         F.concat(_s(" "), F.lower(t)).alias("CAT"),
         F.concat(_s("brand "), b, _s(" ")).alias("SUBCAT"),
@@ -219,11 +226,11 @@ def erp_px_cat_g1v2(part: DataFrame) -> DataFrame:
          .when(bn <= 12, _s("n")).when(bn <= 15, _s("None"))
          .when(bn <= 18, F.lit(None).cast("string")).when(bn <= 21, _s("sometimes"))
          .otherwise(_s("False")).alias("MAINTENANCE"),
-    )
-    dashed = cats.filter(t == "SMALL").select(
+    ]
+    dashed = [
         F.concat(_s("SM-"), b).alias("ID"), _s("small parts").alias("CAT"),
-        b.alias("SUBCAT"), _s("Y").alias("MAINTENANCE"))
-    return base.unionByName(dashed)
+        b.alias("SUBCAT"), _s("Y").alias("MAINTENANCE")]
+    return _with_more(cats, base, t == "SMALL", dashed)
 
 
 RAW = {
@@ -236,10 +243,10 @@ RAW = {
 }
 
 
-def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def raw(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
     """One raw extract, derived from the driver tables in ``sf_dir``."""
     fn, inputs = RAW[name]
-    return fn(*[table(spark, sf_dir, t) for t in inputs])
+    return fn(*[table(spark, sf_dir, t, spread_rows) for t in inputs])
 
 
 def raw_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

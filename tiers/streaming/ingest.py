@@ -32,18 +32,19 @@ def stream_csv(spark: SparkSession, path: str, schema: T.StructType | str,
 
 
 def ingest_available(spark: SparkSession, path: str, table: str, schema: T.StructType | str,
-                     checkpoint: str, fmt: str = "parquet") -> int:
+                     checkpoint: str, fmt: str = "parquet", max_files_per_trigger: int | None = None) -> int:
     """Append every not-yet-seen file under ``path`` to ``table``, then stop.
 
-    ``availableNow`` processes what is there in rate-limited batches and
-    ends; run it on a schedule. The table is created on the first run (a
+    ``availableNow`` processes what is there, in batches of at most
+    ``max_files_per_trigger`` files (all in one without it), and ends; run it on a schedule. The table is created on the first run (a
     managed table of format ``fmt``) and belongs to the stream: readers
     follow the sink's commit log, so files a batch job writes into it would
     not be seen - rebuild it by dropping it and its checkpoint together.
-    Returns the number of batches that read rows in this run.
+    Returns the number of batches committed in this run.
     """
+    before = last_batch(spark, checkpoint)
     # audit columns on the stream itself: the file path resolves per source file
-    query = (add_audit(stream_csv(spark, path, schema)).writeStream
+    query = (add_audit(stream_csv(spark, path, schema, max_files_per_trigger)).writeStream
              .format(fmt)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
@@ -51,4 +52,16 @@ def ingest_available(spark: SparkSession, path: str, table: str, schema: T.Struc
     query.awaitTermination()
     # the sink wrote through the stream's own session: drop this session's cached listing
     spark.catalog.refreshTable(table)
-    return sum(1 for p in query.recentProgress if p.get("numInputRows", 0) > 0)
+    return last_batch(spark, checkpoint) - before
+
+
+def last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """The number of the last committed batch of a stream, -1 before the first.
+
+    Batches are numbered without gaps, so this counts them all, however many
+    Spark keeps progress records or commit files of.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/commits")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return max((int(n) for n in names if n.isdigit()), default=-1)
