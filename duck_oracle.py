@@ -309,7 +309,7 @@ q("by_value", """
 SELECT ID, MAINTENANCE,
        CASE WHEN upper(trim(MAINTENANCE)) IN ('Y', '1', 'TRUE', 'YES', 'REQ') THEN 'YES'
             WHEN upper(trim(MAINTENANCE)) IN ('N', '0', 'FALSE', 'NO', 'NONE') THEN 'NO'
-            ELSE upper(trim(MAINTENANCE)) END AS maintenance
+            ELSE upper(trim(MAINTENANCE)) END AS maintenance_flag
 FROM r_erp_px_cat_g1v2""", "r_erp_px_cat_g1v2")
 
 q("default_fill", "SELECT CID, coalesce(upper(trim(CNTRY)), 'UNKNOWN') AS CNTRY FROM r_erp_loc_a101",
@@ -417,7 +417,9 @@ LANDING = [("crm", f"{OLD}_cust_info.csv"), ("crm", f"{STAMP}_cust_info.csv"),
            ("crm", f"{STAMP}_prd_info.csv"), ("crm", f"{STAMP}_sales_details.csv"),
            ("crm", f"{STAMP}_empty-file.csv"), ("erp", f"{STAMP}_cust_az12.csv"),
            ("erp", f"{STAMP}_loc_a101.csv"), ("erp", f"{STAMP}_px_cat_g1v2.csv"),
-           ("erp", f"{STAMP}_loc a101-bad.csv")]
+           ("erp", f"{STAMP}_loc a101-bad.csv"),
+           ("crm", f"{OLD}_prd_kept.csv"), ("crm", f"{STAMP}_prd_kept.csv"),
+           ("erp", f"{OLD}_px_kept.csv"), ("erp", f"{STAMP}_px_kept.csv"), ("erp", f"{STAMP}_mixed.csv")]
 
 
 def _table(subset: str, name: str, strip: bool = True) -> str:
@@ -453,39 +455,57 @@ FROM r_crm_sales_details""", "r_crm_sales_details")
 q("ingest_csv_schema", "SELECT CID, BDATE, NULLIF(GEN, '') AS GEN FROM r_erp_cust_az12", "r_erp_cust_az12")
 q("peek_text", """SELECT ID || ',' || CAT || ',' || SUBCAT || ',' || coalesce(MAINTENANCE, '') AS value
 FROM r_erp_px_cat_g1v2""", "r_erp_px_cat_g1v2")
-q("list_files", _values([[("subset", s), ("name", n), ("is_dir", True)] for s, n in LANDING]))
-q("table_name", _values([[("subset", s), ("name", n), ("table_name", _table(s, n)),
-                          ("table_name_stamped", _table(s, n, False))] for s, n in LANDING]))
-q("latest_files", _values([[("subset", s), ("name", n), ("table_name", _table(s, n))]
-                           for s, n in LANDING if not n.startswith(OLD)]))
-
 _COUNT = {"cust_info": "r_crm_cust_info", "prd_info": "r_crm_prd_info",
           "sales_details": "r_crm_sales_details", "cust_az12": "r_erp_cust_az12",
-          "loc_a101": "r_erp_loc_a101", "px_cat_g1v2": "r_erp_px_cat_g1v2"}
+          "loc_a101": "r_erp_loc_a101", "px_cat_g1v2": "r_erp_px_cat_g1v2",
+          "loc a101-bad": "r_erp_loc_a101", "prd_kept": "r_crm_prd_info", "px_kept": "r_erp_px_cat_g1v2"}
+_INPUTS = tuple(dict.fromkeys(_COUNT.values()))
+
+
+def _stem(name: str) -> str:
+    return name[len(STAMP) + 1:-4]
+
+
+def _rows_of(name: str) -> str:
+    """The data rows of an export, counted from the given tables."""
+    if _stem(name) == "empty-file" or name == f"{STAMP}_prd_kept.csv":
+        return "(CAST(0 AS BIGINT))"
+    if _stem(name) == "mixed":      # written twice, with the columns in either order
+        return "(SELECT 2 * count(*) FROM r_erp_loc_a101)"
+    return f"(SELECT count(*) FROM {_COUNT[_stem(name)]})"
+
+
+q("list_files", _values([[("subset", s), ("name", n), ("is_dir", True), ("n_rows", _rows_of(n))] for s, n in LANDING]), *_INPUTS)
+_NAMED = _values([[("table_name", _table(s, n)), ("stamped", _table(s, n, False)), ("n_rows", _rows_of(n))] for s, n in LANDING])
+q("table_name", f"""SELECT table_name, CAST(sum(n_rows) AS BIGINT) AS n_rows, min(stamped) AS first_stamped, count(*) AS n_files
+FROM ({_NAMED}) GROUP BY table_name""", *_INPUTS)
+q("latest_files", _values([[("subset", s), ("name", n), ("table_name", _table(s, n)), ("n_rows", _rows_of(n))]
+                           for s, n in LANDING if not n.startswith(OLD)]), *_INPUTS)
+
+
+def _status(name: str) -> str:
+    if name in (f"{STAMP}_prd_kept.csv", f"{STAMP}_empty-file.csv"):
+        return "empty"
+    if name == f"{STAMP}_px_kept.csv" or _stem(name) in ("loc a101-bad", "mixed"):
+        return "failed"
+    return "superseded" if name == f"{OLD}_cust_info.csv" else "ok"
 
 
 def _report_rows():
     rows = []
     for s, n in LANDING:
-        stem = n[len(STAMP) + 1:-4]
-        t = _table(s, n)
-        if n.startswith(OLD):
-            status, cnt = "superseded", None
-        elif stem == "empty-file":
-            status, cnt = "empty", "(CAST(0 AS BIGINT))"
-        elif stem == "loc a101-bad":
-            status, cnt = "failed", None
-        else:
-            status, cnt = "ok", f"(SELECT count(*) FROM {_COUNT[stem]})"
-        rows.append([("subset", s), ("file_name", n), ("table_name", t), ("status", status),
-                     ("rows", cnt if cnt else "(CAST(NULL AS BIGINT))")])
+        status = _status(n)
+        rows.append([("subset", s), ("file_name", n), ("table_name", _table(s, n)), ("status", status),
+                     ("rows", _rows_of(n) if status in ("ok", "empty") else "(CAST(NULL AS BIGINT))")])
     rows.append([("subset", "hr"), ("file_name", "(CAST(NULL AS VARCHAR))"),
                  ("table_name", "(CAST(NULL AS VARCHAR))"), ("status", "unreadable"),
                  ("rows", "(CAST(NULL AS BIGINT))")])
     return rows
 
 
-q("ingest_report", _values(_report_rows()), *_COUNT.values())
+q("ingest_report", _values(_report_rows()), *_INPUTS)
+q("ingested_rows", _values([[("table_name", _table(s, n)), ("n_rows", _rows_of(n))]
+                            for s, n in LANDING if _status(n) == "ok"]), *_INPUTS)
 
 # The stored layered run reads the exports back with type inference: ship dates
 # become integers and unit prices doubles, which changes which duplicate the
@@ -515,6 +535,11 @@ q("stored_dim_customer", """
 SELECT CAST(customer_id AS INTEGER) AS customer_id, first_name, last_name, marital_status, crm_gender,
        NULLIF(erp_gender, '') AS erp_gender, birth_date, country FROM g_dim_customer""", "g_dim_customer")
 q("stored_dim_product", "SELECT * FROM g_dim_product", "g_dim_product")
+_STORED = [(t, f"s_{t}") for t in ("crm_cust_info", "prd_info", "sales_details", "erp_cust_az12", "loc_a101",
+                                   "erp_px_cat_g1v2")] + [(t, f"g_{t}") for t in ("dim_customer", "dim_product", "fact_sales")]
+q("stamps", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(*) AS n_stamped, least(count(*), 1) AS n_values FROM {c}"
+    for t, c in _STORED), *[c for _, c in _STORED])
 q("query_table", "SELECT * FROM g_dim_product WHERE category_name = 'ECONOMY'", "g_dim_product")
 q("save_read_table", "SELECT * FROM s_erp_px_cat_g1v2", "s_erp_px_cat_g1v2")
 _N_CUST = "(SELECT count(*) FROM s_crm_cust_info)"

@@ -17,6 +17,12 @@ def executed(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def ran(df) -> str:
+    """The plan that a run ended with (adaptive re-planning included)."""
+    df._jdf.queryExecution().toRdd().count()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
 def shuffles_on(plan: str, column: str) -> int:
     return len(re.findall(rf"Exchange hashpartitioning\({column}#", plan))
 
@@ -30,25 +36,38 @@ def test_fact_moves_once(spark):
     assert len(re.findall(r"BroadcastHashJoin .*LeftOuter", plan)) == 2
 
 
-def test_fact_lookups_broadcast_after_proof_when_planner_would_not(spark):
-    """Auto-broadcast off (as for big dimensions): the counted key/count sides are still
-    broadcast, so the fact is not shuffled for its lookups."""
+@pytest.fixture
+def large_dimensions(spark):
+    """Dimensions the planner would not broadcast; at run time a side must be small to be broadcast."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = executed(layers.gold_table(spark, SF, "fact_sales"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert shuffles_on(plan, "sls_cust_id") == 0 and shuffles_on(plan, "sls_prd_key") == 0
-    assert len(re.findall(r"BroadcastHashJoin .*LeftOuter", plan)) == 2
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10k")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_fact_lookups_shuffle_beyond_the_bound(spark, rows):
-    """Above the bound nothing is broadcast: sort-merge joins, same rows."""
+def test_fact_is_not_shuffled_for_lookups_whose_repeated_keys_are_few(spark, rows, large_dimensions):
+    """The key/count sides are small when they have run, so AQE broadcasts them before the fact's
+    own shuffles for the lookups start. Building the plan runs no job and caches nothing."""
+    sc = spark.sparkContext
+    before = sc._jsc.getPersistentRDDs().size()
+    layers.gold_table(spark, SF, "fact_sales")          # the driver tables' schemas are read once
+    sc.setLocalProperty("spark.jobGroup.id", "building")
+    df = layers.gold_table(spark, SF, "fact_sales")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert not sc.statusTracker().getJobIdsForGroup("building")
+    final = ran(df)
+    assert shuffles_on(final, "sls_ord_num") == 1
+    assert shuffles_on(final, "sls_cust_id") == 0 and shuffles_on(final, "sls_prd_key") == 0
+    assert sc._jsc.getPersistentRDDs().size() == before
+    assert rows(df) == rows(layers.gold_table(spark, SF, "fact_sales", plain=True))
+
+
+def test_lookups_shuffle_when_nothing_may_be_broadcast(spark, rows):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = layers.gold_table(spark, SF, "fact_sales", broadcast_max_rows=0)
-        plan = executed(df)
-        assert "SortMergeJoin" in plan
+        df = layers.gold_table(spark, SF, "fact_sales")
+        assert "SortMergeJoin" in executed(df)
         assert rows(df) == rows(layers.gold_table(spark, SF, "fact_sales", plain=True))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -87,25 +106,6 @@ def test_dim_customer_lookups_share_one_partitioning(spark):
     assert len(re.findall(r"SortMergeJoin .*LeftOuter", plan)) == 2
 
 
-def test_sized_sides_are_released_after_the_write(spark, rows):
-    """Sides cached to be counted serve the join, then are freed by the scope."""
-    from tiers.operators.model import cached_sides
-    persistent = spark.sparkContext._jsc.getPersistentRDDs
-    spark.catalog.clearCache()          # an equal plan cached elsewhere would be reused
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        before = persistent().size()
-        with cached_sides():
-            df = layers.gold_table(spark, SF, "fact_sales")
-            during = persistent().size()
-            got = rows(df)
-        after = persistent().size()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert during > before and after == before
-    assert got == rows(layers.gold_table(spark, SF, "fact_sales", plain=True))
-
-
 def test_small_scan_is_spread_by_its_row_key(spark):
     """One file with one row group scans as one task: it is spread over the cores by
     the row key, and pruning and pushed filters still reach the scan."""
@@ -179,24 +179,25 @@ def test_job_labels_are_scoped_to_the_block(spark):
     assert sc.getLocalProperty("spark.job.description") is None
 
 
-def test_scan_busy_on_more_than_half_the_cores_is_left_alone(spark, tmp_path):
-    """Five files on eight cores: the narrow stages already use most cores, no shuffle is
-    worth it; on ten cores the gap is wide enough to spread."""
-    from tiers.operators.layout import needs_spread
-    path = str(tmp_path / "five")
-    spark.read.parquet(f"{SF}/lineitem.parquet").repartition(5).write.parquet(path)
-    li = spark.read.parquet(path)
-    assert len(li.inputFiles()) == 5
-    assert not needs_spread(li, cores=8)
-    assert needs_spread(li, cores=10)
+def test_more_than_a_few_scan_tasks_are_left_alone(spark, tmp_path):
+    """Nine files on any number of cores: no shuffle for the layout."""
+    from tiers.operators.layout import FEW_TASKS, needs_spread
+    path = str(tmp_path / "nine")
+    spark.read.parquet(f"{SF}/lineitem.parquet").repartition(FEW_TASKS + 1).write.parquet(path)
+    assert not needs_spread(spark.read.parquet(path), cores=8000)
+
+
+def test_nothing_is_spread_unless_asked(spark):
+    assert "Exchange" not in executed(driver_tables.table(spark, SF, "lineitem"))
+    assert "Exchange" in executed(driver_tables.table(spark, SF, "lineitem", spread_rows=True))
 
 
-def test_fanout_check_reuses_the_dedup_partitioning(spark):
-    """Grouping the fact by its (renamed) dedup key needs no second shuffle of the fact."""
+@pytest.mark.parametrize("name", ["reconcile", "fact_fanout"])
+def test_checks_scan_the_sales_once(spark, name):
     import __spark_entry__ as entry
-    plan = executed(entry.queries()["fact_fanout"](spark, SF))
+    plan = executed(entry.queries()[name](spark, SF))
+    assert len(re.findall(r"FileScan parquet \[[^]]*l_linenumber", plan)) == 1
     assert shuffles_on(plan, "sls_ord_num") == 1
-    assert shuffles_on(plan, "order_number") == 0
 
 
 def test_large_input_is_decided_by_size_alone(spark):

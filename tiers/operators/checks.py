@@ -112,19 +112,3 @@ def parse_losses(df: DataFrame, parsed: Mapping[str, Column]) -> DataFrame:
     """
     wide = df.agg(*[F.count_if(F.col(c).isNotNull() & e.isNull()).alias(c) for c, e in parsed.items()])
     return wide.unpivot([], list(parsed), "column_name", "n_lost")
-
-
-def lost_values(before: DataFrame, after: DataFrame, cols: Sequence[str], keys) -> DataFrame:
-    """Values present before a parse and NULL after it, per column.
-
-    ``before`` and ``after`` are the same rows (same keys) before and after
-    cleaning; counted in one aggregate over their key join.
-    """
-    keys = _names(keys)
-    b = before.select(*keys, *[F.col(c).alias(f"__b_{c}") for c in cols])
-    a = after.select(*keys, *[F.col(c).alias(f"__a_{c}") for c in cols])
-    j = b.join(a, keys, "inner")
-    wide = j.agg(*[F.sum((F.col(f"__b_{c}").isNotNull() & F.col(f"__a_{c}").isNull()).cast("long"))
-                   .alias(c) for c in cols])
-    wide = wide.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in cols])
-    return wide.unpivot([], list(cols), "column_name", "n_lost")

@@ -3,58 +3,39 @@
 A lookup is a left outer equi-join of a table onto a reference table.
 Three properties are checked or made explicit instead of being left to chance:
 
-* key types must be equal (trap T17: a string/int key pair is cast to BIGINT
-  and fails under ANSI);
+* key types must agree (trap T17: a string/int key pair is cast to BIGINT
+  and fails under ANSI); integral types of different width are widened, as
+  CSV inference gives them per file;
 * what happens when the right key repeats (``on_duplicate``): ``allow``
   keeps the reference's fan-out, ``dedupe`` keeps one right row per key,
   ``error`` raises;
-* a side is broadcast only after its size was counted against a bound; above
-  the bound the planner keeps a shuffle join (sort-merge, AQE skew split).
+* a side is broadcast by the planner and AQE from byte sizes; this module
+  only hints a broadcast when the caller names a bound in rows and bytes.
+
+Building a join runs no job, except for ``on_duplicate='error'``, a caller's
+broadcast bound, and the hot-key check of a right side large enough to hold one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
-from contextvars import ContextVar
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiers.operators.clean import dedupe
-from tiers.session import conf_bytes
+from tiers.session import conf_bytes, shared_dir
 
 _MULT = "__copies"
 
 # A right key with more rows than this is split over salts in a shuffle join.
 HOT_KEY_ROWS = 1_000_000
-# Salts per hot key at most; the left rows of a hot key are repeated this often.
-MAX_SALTS = 512
-# Hot keys number at most (right rows / HOT_KEY_ROWS); broadcast when counted under this.
-HOT_KEYS_BROADCAST_ROWS = 1_000_000
-
-# Join sides cached to be counted, per ``cached_sides`` scope (None: no scope open).
-_CACHED: ContextVar[list | None] = ContextVar("tiers_cached_sides", default=None)
+# Copies one array holds at most when rows are repeated.
+PIECE = 1024
 
-
-@contextmanager
-def cached_sides() -> Iterator[None]:
-    """Release, on exit, the join sides that lookups cached in order to size them.
-
-    Wrap the build *and* the action that runs it (``save_table``): the cached
-    rows serve the join, then the blocks are freed instead of staying on the
-    executors for the rest of the session. Releasing early is safe too - the
-    join then recomputes the side from lineage. Scopes are per thread.
-    """
-    token = _CACHED.set([])
-    try:
-        yield
-    finally:
-        for df in _CACHED.get():
-            df.unpersist()
-        _CACHED.reset(token)
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def _names(cols) -> list[str]:
@@ -62,25 +43,26 @@ def _names(cols) -> list[str]:
 
 
 def check_key_types(left: DataFrame, right: DataFrame, left_on, right_on) -> None:
+    """Raise unless every key pair has one type, or two integral ones (which widen without loss)."""
     lt = {f.name: f.dataType for f in left.schema.fields}
     rt = {f.name: f.dataType for f in right.schema.fields}
     for lk, rk in zip(_names(left_on), _names(right_on)):
         if lk not in lt or rk not in rt:
             raise ValueError(f"lookup key missing: {lk!r} / {rk!r}")
-        if lt[lk] != rt[rk]:
+        if lt[lk] != rt[rk] and not (isinstance(lt[lk], _INTEGRAL) and isinstance(rt[rk], _INTEGRAL)):
             raise TypeError(f"lookup key types differ: {lk} {lt[lk].simpleString()} vs "
                             f"{rk} {rt[rk].simpleString()}; cast one side explicitly")
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_rows: int | None, max_bytes: int = 256 << 20) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows and reads at most ``max_bytes``.
 
-    The check is a bounded count job; beyond the bound the side is left to
-    the planner (shuffle join, or an AQE switch from runtime statistics).
+    The row check is a bounded count job (each task stops at the bound, and only
+    counts reach the driver); beyond a bound the side is left to the planner.
     """
-    if max_rows is None:
+    if max_rows is None or input_bytes(df) > max_bytes:
         return df
-    n = df.limit(max_rows + 1).count()
+    n = df.limit(max_rows + 1).agg(F.count(F.lit(1))).first()[0]
     return F.broadcast(df) if n <= max_rows else df
 
 
@@ -109,26 +91,6 @@ def _planner_broadcasts(df: DataFrame) -> bool:
     return 0 <= estimated_bytes(df) <= _broadcast_limit(df)
 
 
-def _sized(df: DataFrame, max_rows: int | None) -> tuple[DataFrame, int | None]:
-    """Size a join side before choosing how to join it.
-
-    If the optimizer already estimates the side under its broadcast threshold
-    it is left as is (the planner broadcasts it, no extra job). Otherwise the
-    side is materialised once (cached, spilling to disk) and counted: the
-    count proves the broadcast bound, and the join reuses the cached rows. A
-    lost executor's blocks are recomputed from lineage. Inside a
-    ``cached_sides`` scope the cache is released when the scope ends.
-    """
-    if max_rows is None or _planner_broadcasts(df):
-        return df, None
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    scope = _CACHED.get()
-    if scope is not None:
-        scope.append(df)
-    n = df.count()
-    return (F.broadcast(df) if n <= max_rows else df), n
-
-
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
     """Keys that occur more than once, with their count (partial-aggregated)."""
     keys = _names(keys)
@@ -137,37 +99,63 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
               .filter(F.col(_MULT) > 1))
 
 
-def repeat_rows(left: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[str], Sequence[str]]],
-                broadcast_max_rows: int | None = None) -> DataFrame:
-    """The rows of left joins onto every side that carry no right column.
+def _pieces(counts: DataFrame, n: str) -> DataFrame:
+    """Rows with a count ``n`` as rows with counts of at most ``PIECE`` that add up to it.
 
-    Such joins can only repeat left rows: each by the number of matching
-    right rows, one if none. Each side shrinks to the keys that occur more
-    than once, with their count; the counts are attached by left joins and
-    one explode repeats every row by their product - the rows of the chained
-    full joins, without moving any right-side column, and one explode for
-    all sides instead of one per side. A side whose keys never repeat is
-    left out (when it was counted). Key types are checked by ``lookup``.
+    Cut by 2^30, 2^20 and 2^10 in turn, so that no array has more than ``PIECE``
+    elements for counts up to 2^40 (beyond, the first cut has more).
     """
-    out, counts = left, []
+    for size in (PIECE ** 3, PIECE ** 2, PIECE):
+        i = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({n} - 1) div {size}L")))
+        counts = counts.withColumn("__i", i)
+        counts = counts.withColumn(n, F.least(F.lit(size).cast("long"), F.col(n) - F.col("__i") * F.lit(size))).drop("__i")
+    return counts
+
+
+def _copies(n: Column) -> Column:
+    """One row per copy; ``n`` is at most ``PIECE``."""
+    return F.explode(F.array_repeat(F.lit(True), F.coalesce(n, F.lit(1)).cast("int")))
+
+
+def multiplicities(left: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[str], Sequence[str]]],
+                   pieces: bool = False) -> tuple[DataFrame, list[str]]:
+    """``left`` with one count column per side: how many right rows match (NULL: at most one).
+
+    Each left row stands for the product of its counts; multiply them as decimals.
+    With ``pieces`` a count is cut into several rows with at most ``PIECE`` each.
+    """
+    out, columns = left, []
     for i, (right, left_on, right_on) in enumerate(sides):
         left_on, right_on = _names(left_on), _names(right_on)
+        check_key_types(left, right, left_on, right_on)
         alias = [f"__rk{i}_{j}" for j in range(len(right_on))]
         copies = f"{_MULT}{i}"
         mult = duplicate_keys(right, right_on).select(
             *[F.col(rk).alias(a) for rk, a in zip(right_on, alias)], F.col(_MULT).alias(copies))
-        mult, n = _sized(mult, broadcast_max_rows)
-        if n == 0:
-            mult.unpersist()
-            continue             # no key repeats: this join cannot change the rows
+        mult = _pieces(mult, copies) if pieces else mult
+        # a stage of its own: AQE then knows how few keys are left and can broadcast them
+        mult = mult.hint("rebalance")
         cond = reduce(lambda a, b: a & b, [F.col(lk) == F.col(a) for lk, a in zip(left_on, alias)])
         out = out.join(mult, cond, "left").drop(*alias)
-        counts.append(F.coalesce(F.col(copies), F.lit(1)))
-    if not counts:
-        return left
-    times = reduce(lambda a, b: a * b, counts)
-    repeat = F.explode(F.array_repeat(F.lit(True), times.cast("int")))
-    return out.withColumn(_MULT, repeat).select(*left.columns)
+        columns.append(copies)
+    return out, columns
+
+
+def repeat_rows(left: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[str], Sequence[str]]]) -> DataFrame:
+    """The rows of left joins onto every side that carry no right column.
+
+    Such joins can only repeat left rows: each by the number of matching
+    right rows, one if none. Each side shrinks to the keys that occur more
+    than once, with their count (partial-aggregated, a small table whatever the
+    side's width); a large count is cut into pieces of at most ``PIECE`` copies
+    before the join, and each piece is repeated after it. So no number is the
+    product of two counts and no array holds a fan-out: exact at any multiplicity.
+    Lazy; the planner and AQE decide by bytes how the small sides are joined.
+    """
+    out, columns = multiplicities(left, sides, pieces=True)
+    for c in columns:
+        out = out.withColumn(c, _copies(F.col(c)))
+    return out.select(*left.columns)
 
 
 def lookup(left: DataFrame, right: DataFrame, left_on, right_on=None,
@@ -188,7 +176,8 @@ def lookup(left: DataFrame, right: DataFrame, left_on, right_on=None,
 
     When columns are kept and the right side is too large to broadcast, right
     keys with more than ``hot_key_rows`` rows are split over salts (see
-    ``_salted_join``); ``None`` turns this off.
+    ``_salted_join``); ``None`` turns this off. The keys are counted only if the
+    side reads at least a byte for each row of such a key.
     """
     left_on = _names(left_on)
     right_on = _names(right_on) if right_on is not None else list(left_on)
@@ -213,7 +202,7 @@ def lookup(left: DataFrame, right: DataFrame, left_on, right_on=None,
     if not keep_map:
         if on_duplicate != "allow":
             return left
-        return repeat_rows(left, [(right, left_on, right_on)], broadcast_max_rows)
+        return repeat_rows(left, [(right, left_on, right_on)])
 
     src = right.select(*[F.col(rk).alias(a) for rk, a in zip(right_on, alias)],
                        *[F.col(s).alias(d) for s, d in keep_map.items()])
@@ -221,8 +210,8 @@ def lookup(left: DataFrame, right: DataFrame, left_on, right_on=None,
     if on_duplicate == "dedupe":
         src = dedupe(src, alias)
     elif (hot_key_rows is not None and broadcast_max_rows is None and not _planner_broadcasts(src)
-          and input_bytes(src) > _broadcast_limit(src)):
-        # a side that reads more than AQE would broadcast: check it for hot keys
+          and input_bytes(src) > max(hot_key_rows, _broadcast_limit(src))):
+        # a side that reads more than AQE would broadcast, and a byte per row of a hot key
         salted = _salted_join(left, src, left_on, alias, hot_key_rows)
         if salted is not None:
             return salted
@@ -250,17 +239,17 @@ def _salted_join(left: DataFrame, src: DataFrame, left_on: list[str], alias: lis
     The output rows are exactly those of the plain left join. Returns None
     when no key is hot, after one aggregation of the right keys.
     """
-    hot = (src.groupBy(*alias).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
-              .select(*alias, F.least(F.ceil(F.col("__n") / F.lit(hot_rows)),
-                                      F.lit(MAX_SALTS)).cast("int").alias("__s")))
-    hot, n = _sized(hot, HOT_KEYS_BROADCAST_ROWS)
-    if n == 0:
-        hot.unpersist()
+    path = shared_dir(src.sparkSession, "hot_keys")
+    (src.groupBy(*alias).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
+        .select(*alias, F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int").alias("__s"))
+        .write.parquet(path))      # right rows / hot_rows keys at most; sized by its files from here on
+    hot = src.sparkSession.read.parquet(path)
+    if hot.isEmpty():
         return None
     payload = [c for c in src.columns if c not in alias]
     salts = F.coalesce(F.col("__s"), F.lit(1))
     row_hash = F.xxhash64(*[F.col(c) for c in payload]) if payload else F.lit(0)
-    right = (src.groupBy(*src.columns).agg(F.count(F.lit(1)).alias("__c"))
+    right = _pieces(src.groupBy(*src.columns).agg(F.count(F.lit(1)).alias("__c"))
                 .join(hot, alias, "left")
                 .withColumn("__k", F.least(F.col("__c"), salts.cast("long")).cast("int"))
                 .withColumn("__j", F.explode(F.sequence(F.lit(0), F.col("__k") - 1)))
@@ -268,7 +257,7 @@ def _salted_join(left: DataFrame, src: DataFrame, left_on: list[str], alias: lis
                 .withColumn("__rs", F.pmod(F.pmod(row_hash, salts) + F.col("__j"), salts).cast("int"))
                 .withColumn("__rc", F.expr("__c div __k") + F.when(F.col("__j") < F.col("__c") % F.col("__k"), 1)
                                                             .otherwise(0))
-                .drop("__s", "__c", "__k", "__j"))
+                .drop("__s", "__c", "__k", "__j"), "__rc")
     hk = [f"__hk{i}" for i in range(len(alias))]
     hot_left = hot.select(*[F.col(a).alias(h) for a, h in zip(alias, hk)], F.col("__s").alias("__ln"))
     on_hot = reduce(lambda a, b: a & b, [F.col(lk) == F.col(h) for lk, h in zip(left_on, hk)])
@@ -277,8 +266,7 @@ def _salted_join(left: DataFrame, src: DataFrame, left_on: list[str], alias: lis
     cond = reduce(lambda a, b: a & b, [F.col(lk) == F.col(a) for lk, a in zip(left_on, alias)])
     joined = (lefts.join(right, cond & (F.col("__ls") == F.col("__rs")), "left")
                    .filter(F.col("__ln").isNull() | F.col("__rs").isNotNull()))
-    copies = F.explode(F.array_repeat(F.lit(True), F.coalesce(F.col("__rc"), F.lit(1)).cast("int")))
-    return joined.withColumn("__rep", copies).drop(*alias, "__ln", "__ls", "__rs", "__rc", "__rep")
+    return joined.withColumn("__rep", _copies(F.col("__rc"))).drop(*alias, "__ln", "__ls", "__rs", "__rc", "__rep")
 
 
 def project(df: DataFrame, mapping: Mapping[str, str] | Sequence[tuple[str, str]]) -> DataFrame:

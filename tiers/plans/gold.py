@@ -1,7 +1,7 @@
 """Compile a gold spec into one lazy plan.
 
 ``build`` is the planned form: checked lookups, multiplicity joins where no
-right column is used, broadcast only after a size check. ``build_plain`` is
+right column is used. ``build_plain`` is
 the reference's form (chained ``join(..., "left")`` + ``select``), kept for
 timing comparisons; both return the same rows.
 """
@@ -16,10 +16,6 @@ from tiers.functions.audit import stamp as now
 from tiers.operators.model import check_key_types, lookup, project, repeat_rows
 from tiers.plans.specs import GOLD, GOLD_SPECS, GoldSpec
 
-# A multiplicity side (keys that repeat, with their count) is broadcast when
-# it has at most this many rows; beyond it the join shuffles.
-FANOUT_BROADCAST_ROWS = 1_000_000
-
 
 def build(spec: GoldSpec | str, tables: Mapping[str, DataFrame], stamp: bool = True,
           on_duplicate: str = "allow", broadcast_max_rows: int | None = None,
@@ -36,12 +32,11 @@ def build(spec: GoldSpec | str, tables: Mapping[str, DataFrame], stamp: bool = T
     base_cols = set(df.columns)
     # Consecutive lookups that carry no column only repeat rows: they are
     # planned together, with one explode for all of them (model.repeat_rows).
-    fanout_bound = FANOUT_BROADCAST_ROWS if broadcast_max_rows is None else broadcast_max_rows
     pending: list = []
 
     def flush(df: DataFrame) -> DataFrame:
         if pending:
-            df = repeat_rows(df, list(pending), fanout_bound)
+            df = repeat_rows(df, list(pending))
             pending.clear()
         return df
 
@@ -52,9 +47,8 @@ def build(spec: GoldSpec | str, tables: Mapping[str, DataFrame], stamp: bool = T
             pending.append((right, lk.left_on, lk.right_on))
             continue
         df = flush(df)
-        bound = broadcast_max_rows if lk.keep else fanout_bound
         df = lookup(df, right, lk.left_on, lk.right_on, keep=lk.keep,
-                    on_duplicate=on_duplicate, broadcast_max_rows=bound)
+                    on_duplicate=on_duplicate, broadcast_max_rows=broadcast_max_rows)
     df = flush(df)
     cols = list(spec.columns)
     if with_product_code and spec.name == "dim_product" and "prd_id" in base_cols:

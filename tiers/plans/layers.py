@@ -21,7 +21,8 @@ def silver_tables(spark: SparkSession, sf_dir: str, names=None, stamp: bool = Fa
     out = {}
     for name in names:
         spec = SILVER[name]
-        out[name] = silver.build(driver_tables.raw(spark, sf_dir, spec.source), spec,
+        # the driver's fact is one file with one row group: ask for it to be spread
+        out[name] = silver.build(driver_tables.raw(spark, sf_dir, spec.source, spread_rows=True), spec,
                                  stamp=stamp, **opts)
     return out
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import threading
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from tiers.functions import audit, parse, text
 from tiers.operators import checks, clean, model
 from tiers.plans import bronze, gold, landing, layers, runner
-from tiers.plans.specs import MAINTENANCE_NO, MAINTENANCE_YES, MARITAL_PREFIXES, SILVER
+from tiers.plans.specs import GOLD_SPECS, MAINTENANCE_NO, MAINTENANCE_YES, MARITAL_PREFIXES, SILVER
 from tiers.session import shared_dir
 from tiers.sources import catalog, driver_tables, files
 from tiers.streaming import ingest as stream_ingest
@@ -117,7 +118,7 @@ def by_prefix(spark, sf_dir):
 def by_value(spark, sf_dir):
     r = _raw(spark, sf_dir, "erp_px_cat_g1v2")
     return r.select("ID", "MAINTENANCE", text.by_value(
-        text.code("MAINTENANCE"), {"YES": MAINTENANCE_YES, "NO": MAINTENANCE_NO}).alias("maintenance"))
+        text.code("MAINTENANCE"), {"YES": MAINTENANCE_YES, "NO": MAINTENANCE_NO}).alias("maintenance_flag"))
 
 
 @register("default_fill")
@@ -296,20 +297,50 @@ def unique_key(spark, sf_dir):
     return checks.unique_key(layers.silver_table(spark, sf_dir, "loc_a101"), "CID")
 
 
+def _fanout_sides(spark, sf_dir):
+    """The lookups of ``fact_sales``, which only repeat its rows."""
+    spec = GOLD_SPECS["fact_sales"]
+    tables = layers.silver_tables(spark, sf_dir, [lk.table for lk in spec.lookups])
+    return [(tables[lk.table], lk.left_on, lk.right_on) for lk in spec.lookups]
+
+
+def _times(columns):
+    """Product of counts, exact beyond a long."""
+    return reduce(lambda a, b: a * b, [F.coalesce(F.col(c), F.lit(1).cast("long")).cast("decimal(19,0)") for c in columns])
+
+
 @register("reconcile")
 def reconcile(spark, sf_dir):
-    raw = _raw(spark, sf_dir, "crm_sales_details")
-    keys = F.col("sls_ord_num").isNotNull() & F.col("sls_prd_key").isNotNull() & F.col("sls_cust_id").isNotNull()
-    read = checks.count_where(raw, {"raw": F.lit(True), "keyed": keys})      # one pass for both
-    later = checks.reconcile([("silver", layers.silver_table(spark, sf_dir, "sales_details")),
-                              ("gold", fact_sales(spark, sf_dir))])
-    return read.unionByName(later)
+    """Rows read, with all keys, in silver and in gold, from one pass over the sales.
+
+    Grouped once by the silver key: its groups with a keyed row are silver's rows,
+    and the gold rows are the sum of what the lookups repeat them.
+    """
+    spec = SILVER["sales_details"]
+    raw = driver_tables.raw(spark, sf_dir, spec.source, spread_rows=True)
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in spec.required])
+    rest = [c for c in raw.columns if c not in spec.dedupe_on]      # the order in which dedupe keeps a row
+    groups = raw.groupBy(*spec.dedupe_on).agg(
+        F.count(F.lit(1)).alias("raw"), F.count_if(keyed).alias("keyed"),
+        F.min(F.when(keyed, F.struct(*rest))).alias("kept"))
+    groups = groups.select("raw", "keyed", *spec.dedupe_on, "kept.*")
+    out, copies = model.multiplicities(groups.select("raw", "keyed", "sls_prd_key", "sls_cust_id"), _fanout_sides(spark, sf_dir))
+    silver = F.col("keyed") > 0
+    wide = out.agg(F.sum("raw").alias("raw"), F.sum("keyed").alias("keyed"), F.count_if(silver).alias("silver"),
+                   F.sum(F.when(silver, _times(copies))).cast("long").alias("gold"))
+    names = ["raw", "keyed", "silver", "gold"]
+    return wide.select(*[F.coalesce(n, F.lit(0).cast("long")).alias(n) for n in names]).unpivot([], names, "stage", "n_rows")
 
 
 @register("fact_fanout")
 def fact_fanout(spark, sf_dir):
-    return (fact_sales(spark, sf_dir).groupBy("order_number", "product_key")
-            .agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1))
+    """Fact keys that the lookups repeat, counted from the multiplicities: no row is repeated to be counted."""
+    sales = layers.silver_table(spark, sf_dir, "sales_details")
+    out, copies = model.multiplicities(sales.select("sls_ord_num", "sls_prd_key", "sls_cust_id"), _fanout_sides(spark, sf_dir))
+    repeated = out.filter(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in copies]))
+    # the key is silver's: one row each
+    return repeated.select(F.col("sls_ord_num").alias("order_number"), F.col("sls_prd_key").alias("product_key"),
+                           _times(copies).cast("long").alias("copies"))
 
 
 @register("lost_values")
@@ -340,10 +371,24 @@ def cached_landing(spark: SparkSession, sf_dir: str) -> str:
         return _CACHE[k]
 
 
+_LEFT: dict[str, str] = {}
+
+
 def _schema_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
+def _own_schema(spark: SparkSession, prefix: str) -> str:
+    """A new schema for one call of a query; the one that its last call left goes."""
+    schema = _schema_name(prefix)
+    with _LOCK:
+        old = _LEFT.get(prefix)
+        _LEFT[prefix] = schema
+    if old and spark.catalog.databaseExists(old):
+        catalog.drop_schema(spark, old, cascade=True)
+    return catalog.ensure_schema(spark, schema, shared_dir(spark, "warehouse", schema))
+
+
 def cached_layers(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
     """Run CSV -> bronze -> silver -> gold once; return the three schema names."""
     k = _key(spark, sf_dir, "layers")
@@ -356,7 +401,7 @@ def _layers_locked(spark, sf_dir, k):
         names = tuple(_schema_name(p) for p in ("bronze", "silver", "gold"))
         report = runner.run_all(spark, cached_landing(spark, sf_dir), ("crm", "erp"),
                                   schemas=names, location=shared_dir(spark, "warehouse"),
-                                  bronze_opts={"schemas": {landing.BAD_TABLE: landing.BAD_SCHEMA}})
+                                  bronze_opts={"schemas": landing.SCHEMAS})
         failed = report.filter("status = 'failed' AND layer <> 'bronze'").collect()
         if failed:
             raise RuntimeError(f"layered run failed: {failed}")
@@ -404,31 +449,72 @@ def _listing(spark, sf_dir):
             .unionByName(files.list_files(spark, f"{base}/erp", subset="erp")))
 
 
+def _counted(spark, sf_dir, listing):
+    """A listing with the data rows that every export holds (its lines, less one header per part)."""
+    lines = files.peek_text(spark, f"{cached_landing(spark, sf_dir)}/*/*.csv/*.csv", n=None)
+    path = F.url_decode(F.col("_metadata.file_path"))
+    rows = (lines.select(path.alias("path")).groupBy("path").agg((F.count(F.lit(1)) - 1).alias("n"))
+            .groupBy(F.regexp_extract("path", r"([^/]+)/[^/]+/[^/]+$", 1).alias("subset"),
+                     F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("name")).agg(F.sum("n").alias("n_rows")))
+    return listing.join(rows, ["subset", "name"], "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("long")))
+
+
 @register("list_files")
 def list_files(spark, sf_dir):
-    return _listing(spark, sf_dir).select("subset", "name", "is_dir")
+    """Every export of the landing folder, with its rows."""
+    return _counted(spark, sf_dir, _listing(spark, sf_dir)).select("subset", "name", "is_dir", "n_rows")
 
 
 @register("table_name")
 def table_name(spark, sf_dir):
-    return _listing(spark, sf_dir).select(
-        "subset", "name", files.table_name("subset", "name").alias("table_name"),
-        files.table_name("subset", "name", strip_timestamp=False).alias("table_name_stamped"))
+    """Rows per table name, by either naming rule."""
+    named = _counted(spark, sf_dir, _listing(spark, sf_dir)).select(
+        files.table_name("subset", "name").alias("table_name"),
+        files.table_name("subset", "name", strip_timestamp=False).alias("table_name_stamped"), "n_rows")
+    return named.groupBy("table_name").agg(F.sum("n_rows").alias("n_rows"), F.min("table_name_stamped").alias("first_stamped"),
+                                           F.count(F.lit(1)).alias("n_files"))
 
 
 @register("latest_files")
 def latest_files(spark, sf_dir):
+    """The newest export of every table, with its rows."""
     listing = _listing(spark, sf_dir).withColumn("table_name", files.table_name("subset", "name"))
-    return files.latest_files(listing).select("subset", "name", "table_name")
+    return _counted(spark, sf_dir, files.latest_files(listing)).select("subset", "name", "table_name", "n_rows")
+
+
+def _ingested(spark, sf_dir, prefix):
+    schema = _own_schema(spark, prefix)
+    report = bronze.ingest(spark, cached_landing(spark, sf_dir), ("crm", "erp", "hr"), schema=schema,
+                           schemas=landing.SCHEMAS)
+    return schema, report
 
 
 @register("ingest_report")
 def ingest_report(spark, sf_dir):
-    schema = _schema_name("bronze")
-    report = bronze.ingest(spark, cached_landing(spark, sf_dir), ("crm", "erp", "hr"),
-                           schema=schema, location=shared_dir(spark, "warehouse", schema),
-                           schemas={landing.BAD_TABLE: landing.BAD_SCHEMA})
-    return report.drop("error")
+    return _ingested(spark, sf_dir, "bronze_report")[1].drop("error")
+
+
+@register("ingested_rows")
+def ingested_rows(spark, sf_dir):
+    """What the tables of a bronze run hold: the newest usable export of each."""
+    schema = _ingested(spark, sf_dir, "bronze_rows")[0]
+    counts = [catalog.read_table(spark, f"{schema}.{t.name}").agg(F.count(F.lit(1)).alias("n_rows"))
+              .select(F.lit(t.name).alias("table_name"), "n_rows")
+              for t in spark.catalog.listTables(schema) if not t.isTemporary]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@register("stamps")
+def stamps(spark, sf_dir):
+    """Of every stored silver and gold table: rows, stamped rows and different stamps."""
+    _, silver_schema, gold_schema = cached_layers(spark, sf_dir)
+    parts = []
+    for schema, names, column in ((silver_schema, list(SILVER), "_cleaned_timestamp"), (gold_schema, list(GOLD_SPECS), "_gold_timestamp")):
+        for name in names:
+            parts.append(catalog.read_table(spark, f"{schema}.{name}").agg(
+                F.count(F.lit(1)).alias("n_rows"), F.count(column).alias("n_stamped"),
+                F.countDistinct(column).alias("n_values")).select(F.lit(name).alias("table_name"), "n_rows", "n_stamped", "n_values"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _gold_schema(spark, sf_dir) -> str:
@@ -459,8 +545,7 @@ def query_table(spark, sf_dir):
 
 @register("save_read_table")
 def save_read_table(spark, sf_dir):
-    schema = _schema_name("tiers")
-    catalog.ensure_schema(spark, schema, shared_dir(spark, "warehouse", schema))
+    schema = _own_schema(spark, "save")
     t = f"{schema}.px_cat"
     catalog.save_table(layers.silver_table(spark, sf_dir, "erp_px_cat_g1v2"), t)
     return catalog.read_table(spark, t)
@@ -469,8 +554,7 @@ def save_read_table(spark, sf_dir):
 @register("schema_guard")
 def schema_guard(spark, sf_dir):
     """Overwrite with the same schema passes; a changed schema is refused (K2)."""
-    schema = _schema_name("tiers")
-    catalog.ensure_schema(spark, schema, shared_dir(spark, "warehouse", schema))
+    schema = _own_schema(spark, "guard")
     t = f"{schema}.cust"
     cust = layers.silver_table(spark, sf_dir, "crm_cust_info")
     rows = []
@@ -492,8 +576,7 @@ def schema_guard(spark, sf_dir):
 @register("catalog_list")
 def catalog_list(spark, sf_dir):
     """Tables and columns of a schema, then a dry-run and a real clear (K3-K7)."""
-    schema = _schema_name("tiers")
-    catalog.ensure_schema(spark, schema, shared_dir(spark, "warehouse", schema))
+    schema = _own_schema(spark, "listed")
     for name in ("prd_info", "erp_px_cat_g1v2"):
         catalog.save_table(layers.silver_table(spark, sf_dir, name), f"{schema}.{name}")
     listed = catalog.tables(spark, schema).select("tableName").collect()
@@ -513,8 +596,7 @@ def catalog_list(spark, sf_dir):
 @register("stream_ingest")
 def stream_ingest_q(spark, sf_dir):
     """CSV exports picked up by a file stream into a bronze table (incremental D0)."""
-    schema = _schema_name("stream")
-    catalog.ensure_schema(spark, schema, shared_dir(spark, "warehouse", schema))
+    schema = _own_schema(spark, "stream")
     table = f"{schema}.erp_loc_a101"
     stream_ingest.ingest_available(spark, _export(spark, sf_dir, "erp", "loc_a101"), table,
                                    "CID STRING, CNTRY STRING",
