@@ -39,7 +39,16 @@ def take(df: DataFrame, *names: str, **renamed: str) -> DataFrame:
     return plain.select(*picked)
 
 
+#: Bytes of a batch that goes to a Python worker, where the session has Spark's default
+#: (64 MB, which both ends hold several times over).
+BATCH_BYTES = "4m"
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table of a data folder. Sets the session's batches to ``BATCH_BYTES`` unless they were set."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) in (None, "64MB", "67108864b"):
+        spark.conf.set(key, BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiers.llm.frame import array_slices, label_sample, labelled, mix, word_hashes
+from tiers.llm.frame import SLICE_BYTES, array_slices, label_sample, labelled, mix, word_hashes
 
 BITS = 22
 #: Labelled rows that a model is fitted on at most, chosen by a hash of the id.
@@ -105,10 +105,12 @@ def _train(group: pd.DataFrame, start: tuple, bits: int) -> pd.DataFrame:
     index, z, n = start
     state = Ftrl.new(bits)
     state.z[index], state.n[index] = z, n
-    group = group.sort_values(["turn", "doc_id", "label"], kind="stable")
+    order = np.lexsort((group["label"], group["doc_id"], group["turn"]))
+    texts, labels = group["text"].to_numpy(), iter(group["label"].to_numpy(dtype=float)[order])
+    parts = np.cumsum([len(texts[i]) for i in order]) // SLICE_BYTES  # a pass at a time, not the shard twice
     touched = np.zeros(len(state.z), dtype=bool)
-    labels = iter(group["label"].to_numpy(dtype=float))
-    for part in array_slices(pa.array(group["text"].tolist(), pa.string())):
+    for chosen in np.split(order, np.flatnonzero(np.diff(parts)) + 1):
+        part = pa.array(texts[chosen], pa.string())
         row, at = features(part, bits)
         code = np.unique(row * (1 << bits) + at)  # distinct features of each row, rows in order
         cuts = np.searchsorted(code, np.arange(len(part) + 1) * (1 << bits))
