@@ -165,42 +165,48 @@ class Lattice:
             to = slot[at]
             end[to], piece[to] = node[at] + max(1, depth), pieces_
             slot[at] += 1
-        start = np.repeat(by_left, n)
         head = edge_of[:-1]
-        at_node = node[start]
-        score = np.where(piece >= 0, p.score[np.maximum(piece, 0)], p.unknown_score)
+        score = p.score[np.maximum(piece, 0)]
+        score[piece < 0] = p.unknown_score
         beta = np.zeros(int(self.last[-1]) + 1 if len(words) else 0)  # log mass from a node to its word's end
+        mass = np.empty(len(piece))
+        best = np.empty(len(head), dtype=np.int64)
         bounds = np.append(np.flatnonzero(np.diff(left[by_left], prepend=0)), len(by_left))
         for a, b in zip(bounds, bounds[1:]):
             e = slice(edge_of[a], edge_of[b])
-            mass = score[e] + beta[end[e]]
+            m = score[e] + beta[end[e]]
             cuts = edge_of[a:b] - edge_of[a]
-            top = np.maximum.reduceat(mass, cuts)
-            beta[node[by_left[a:b]]] = top + np.log(np.add.reduceat(np.exp(mass - np.repeat(top, n[a:b])), cuts))
-        self.log_q = score + beta[end] - beta[at_node]
-        self.piece = piece
+            top = np.maximum.reduceat(m, cuts)
+            wide = np.repeat(top, n[a:b])
+            hit = np.flatnonzero(m == wide)  # every node's first best edge
+            best[a:b] = edge_of[a] + hit[np.searchsorted(hit, cuts)]
+            m -= wide
+            total = np.log(np.add.reduceat(np.exp(m), cuts))
+            beta[node[by_left[a:b]]] = top + total
+            mass[e] = m - np.repeat(total, n[a:b])
+        self.log_q, self.piece = mass, piece
         rank = np.full(len(beta), -1, dtype=np.int32)
         rank[node[by_left]] = np.arange(len(head))
         # states of a walk are ranks of nodes, -1 behind a word's last character
         self.next, self.enter = rank[end], rank[self.first]
-        # an edge's share together with those before it at its node; summed node by node,
-        # so that it does not depend on what else is in the batch
-        self.upto = np.exp(self.log_q)
-        for k in range(1, int(n.max()) if len(n) else 0):
-            at = head[n > k] + k
-            self.upto[at] += self.upto[at - 1]
-        if len(head):
-            self.upto[edge_of[1:] - 1] = 1.0
-        self.line = np.minimum(self.upto, 1.0) + np.repeat(np.arange(float(len(head))), n)
-        self.head = edge_of
+        self.head, self.best, self.best_share = edge_of, best, np.exp(mass[best])
 
     def pick(self, state: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """An edge of each state: the first whose ``upto`` exceeds a number below 1."""
-        e = np.searchsorted(self.line, state + u, side="right")  # right but for rounding
-        first, last = self.head[state], self.head[state + 1] - 1
-        e = np.minimum(np.maximum(e, first), last)
-        e -= (e > first) & (self.upto[np.maximum(e - 1, 0)] > u)
-        return e + ((e < last) & (self.upto[e] <= u))
+        """An edge of each state, drawn by its share with a number below 1: the state's
+        likeliest edge takes the numbers from 0, the others follow in order."""
+        out = self.best[state]
+        share = self.best_share[state]
+        at = np.flatnonzero(u >= share)
+        left, edge, last, skip = (u - share)[at], self.head[state[at]], self.head[state[at] + 1] - 1, out[at]
+        last -= last == skip  # the last of the others; a state with one edge keeps it
+        edge += edge == skip
+        while len(at):
+            left = left - np.where(edge == skip, 0.0, np.exp(self.log_q[np.minimum(edge, len(self.log_q) - 1)]))
+            done = (left < 0) & (edge != skip) | (edge >= last)
+            out[at[done]] = np.where(edge >= last, np.maximum(last, self.head[state[at]]), edge)[done]
+            go = ~done
+            at, left, edge, last, skip = at[go], left[go], edge[go] + 1, last[go], skip[go]
+        return out
 
     def siblings(self, edge: int) -> np.ndarray:
         """All edges of the state that an edge leaves."""
