@@ -153,10 +153,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, shards: in
             start.unpersist()
     finally:
         rows.unpersist()
-    state = Ftrl(z, n)
-    w = state.weights(np.arange(len(z)))
+    met = np.append(np.flatnonzero(n[:-1]), len(n) - 1)  # the rest has no weight
+    w = Ftrl(z, n).weights(met)
     at = np.flatnonzero(w[:-1])
-    return Model(at.astype(np.int64), w[at], float(w[-1]), bits)
+    return Model(met[at], w[at], float(w[-1]), bits)
 
 
 def score(spark: SparkSession, model: Model, text: Column) -> Column:
