@@ -56,7 +56,8 @@ FROM leaf JOIN fit ON fit.d = leaf.depth AND fit.node = substr(leaf.bits, 1, lea
 
 @register("op2_sentencepiece")
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), k=2)
+    return sentencepiece.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), k=2,
+                                check=True)
 
 
 @register("op3_license_scan")
