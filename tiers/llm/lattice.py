@@ -43,7 +43,10 @@ class Pieces:
                 pieces[piece] = i
                 scores.append(m.get_score(i))
                 raw[-1] = piece.replace(BLANK, " ").encode()
-        self.raw = raw
+        # what each id decodes to, as one run of bytes
+        self.raw_bytes = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        self.raw_size = np.array([len(x) for x in raw], dtype=np.int64)
+        self.raw_begin = np.cumsum(self.raw_size) - self.raw_size
         s = np.array(scores)
         if len(s) and (s == np.round(s)).all() and s.max() <= 0:  # merge ranks
             s = -np.log(-s + 2.7)
