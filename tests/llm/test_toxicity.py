@@ -92,3 +92,42 @@ def test_long_text_scores_like_its_words(spark, documents):
     texts = ["word1 word2 " * 200_000 + "vile", "word1 word2 word1 vile"]
     p = [r.p for r in documents(texts).orderBy("doc_id").select(toxicity.score(spark, model, F.col("text")).alias("p")).collect()]
     assert p[0] >= 0.5 and p[1] >= 0.5
+
+
+def test_evidence_below_the_threshold_adds_up_over_the_rounds(spark, documents):
+    """30 toxic words, each in one toxic row of every shard: no shard alone brings one near L1."""
+    rng = random.Random(5)
+    ids = spark.range(4000).select("id", F.pmod(F.xxhash64("id", F.lit("shard")), F.lit(toxicity.SHARDS)).alias("s")).collect()
+    of_shard = [[r.id for r in ids if r.s == s] for s in range(toxicity.SHARDS)]
+    docs, labels = [], []
+    for own in of_shard:
+        for j, i in enumerate(own[:230]):
+            text = [f"clean{rng.randrange(40)}" for _ in range(12)]
+            docs.append((i, " ".join([f"bad{j}", *text] if j < 30 else text)))
+            labels.append((i, int(j < 30)))
+    model = toxicity.fit(documents(docs), spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    at = word_hashes(pa.array([" ".join(f"bad{j}" for j in range(30))]))[0] >> np.uint64(64 - toxicity.BITS)
+    w = dict(zip(model.index.tolist(), model.weight.tolist()))
+    assert [j for j, x in enumerate(at.tolist()) if w.get(x, 0) <= 0] == []
+
+
+def test_a_fit_equals_shards_that_send_everything(spark, documents):
+    """The rounds in plain numpy, with whole states averaged."""
+    docs, labels = corpus(200, 4)
+    bits, y = 12, dict(labels)
+    rows = documents(docs).select("doc_id", F.xxhash64("doc_id").alias("turn"),
+                                  F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(toxicity.SHARDS)).alias("shard")).collect()
+    texts = dict(docs)
+    z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
+    for _ in range(toxicity.ROUNDS):
+        ends = []
+        for s in range(toxicity.SHARDS):
+            state = toxicity.Ftrl(z.copy(), n.copy())
+            for r in sorted((r for r in rows if r.shard == s), key=lambda r: r.turn):
+                _, at = toxicity.features(pa.array([texts[r.doc_id]]), bits)
+                state.learn(np.append(np.unique(at), 1 << bits), float(y[r.doc_id]))
+            ends.append(state)
+        z, n = np.mean([e.z for e in ends], axis=0), np.mean([e.n for e in ends], axis=0)
+    w = toxicity.Ftrl(z, n).weights(np.arange(len(z)))
+    model = toxicity.fit(documents(docs), spark.createDataFrame(labels, "doc_id bigint, toxic int"), bits=bits)
+    assert np.allclose(model.dense(), w[:-1], atol=1e-3) and abs(model.bias - w[-1]) < 1e-3

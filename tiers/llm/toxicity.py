@@ -4,11 +4,12 @@ Features of a text are its distinct words, word pairs and skip-grams (two words
 with one between them), hashed into ``2 ** BITS`` coordinates; a feature's value
 is 1 whatever its count. Each coordinate has its own learning rate, and the L1
 term keeps coordinates at exactly zero until their evidence outweighs it, so the
-model that is broadcast holds a few hundred or thousand weights.
+model that is broadcast is sparse.
 
 Training is bounded: at most ``FIT_ROWS`` labelled rows, in ``SHARDS`` shards that
-learn side by side and have their states averaged after every round. Scoring
-covers every whole text.
+learn side by side and have their states averaged after every round. Every change
+of a shard's state counts, also that of a coordinate whose weight is still zero.
+Scoring covers every whole text.
 
 Edge cases: NULL and empty texts have only the bias and score its probability;
 repeated rows score alike; without labels every weight is zero and every score
@@ -17,6 +18,8 @@ repeated rows score alike; without labels every weight is zero and every score
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,9 +39,9 @@ ROUNDS = 6
 #: Learning rate, its smoothing, and the L1 and L2 terms.
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.1
 
-#: A coordinate goes from round to round once its |z| reaches this share of L1. Below
-#: it the weight is zero, and what is left out was met once or twice.
-CARRIED = 0.25
+#: Coordinates of a piece of the state, as shards send it.
+PIECE = 1 << 16
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _PAIR, _SKIP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
@@ -100,15 +103,12 @@ class Ftrl:
         self.n[at] = new
 
 
-def _train(group: pd.DataFrame, start: tuple, bits: int) -> pd.DataFrame:
-    """One shard's pass over its rows, in the order of a hash of the id: the coordinates to carry on."""
-    index, z, n = start
-    state = Ftrl.new(bits)
-    state.z[index], state.n[index] = z, n
+def _train(group: pd.DataFrame, start: tuple[np.ndarray, np.ndarray], bits: int) -> pd.DataFrame:
+    """One shard's pass over its rows, in the order of a hash of the id: by piece, what it adds to the state."""
+    state = Ftrl(*(x.astype(float) for x in start))
     order = np.lexsort((group["label"], group["doc_id"], group["turn"]))
     texts, labels = group["text"].to_numpy(), iter(group["label"].to_numpy(dtype=float)[order])
     parts = np.cumsum([len(texts[i]) for i in order]) // SLICE_BYTES  # a pass at a time, not the shard twice
-    touched = np.zeros(len(state.z), dtype=bool)
     for chosen in np.split(order, np.flatnonzero(np.diff(parts)) + 1):
         part = pa.array(texts[chosen], pa.string())
         row, at = features(part, bits)
@@ -116,18 +116,42 @@ def _train(group: pd.DataFrame, start: tuple, bits: int) -> pd.DataFrame:
         cuts = np.searchsorted(code, np.arange(len(part) + 1) * (1 << bits))
         for a, b in zip(cuts, cuts[1:]):
             own = np.append(code[a:b] & ((1 << bits) - 1), 1 << bits)
-            touched[own] = True
             state.learn(own, next(labels))
-    at = np.flatnonzero(touched & (np.abs(state.z) >= CARRIED * L1))
-    return pd.DataFrame({"at": at, "z": state.z[at], "n": state.n[at]})
+    found = []
+    for a in range(0, len(state.z), PIECE):
+        z, n = ((x[a:a + PIECE] - y[a:a + PIECE]).astype(np.float32) for x, y in zip((state.z, state.n), start))
+        if z.any() or n.any():
+            found.append((group["shard"].iloc[0], a, z.tobytes(), n.tobytes()))
+    return pd.DataFrame(found, columns=["shard", "first", "z", "n"])
+
+
+def _mean(group: pd.DataFrame, shards: int) -> pd.DataFrame:
+    """One piece of what the shards add, averaged: a shard that sent none adds nothing."""
+    group = group.sort_values("shard")  # always summed in the same order
+    z, n = (sum(np.frombuffer(x, dtype=np.float32).astype(float) for x in group[c]) / shards for c in ("z", "n"))
+    return pd.DataFrame({"first": group["first"].iloc[:1], "z": [z.astype(np.float32).tobytes()],
+                         "n": [n.astype(np.float32).tobytes()]})
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes a query's shuffle files as soon as its result is there: a round's are not needed again."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, shards: int = SHARDS,
         rounds: int = ROUNDS, bits: int = BITS) -> Model:
     """A model learned from ``labels`` (doc_id, toxic) and the texts of ``docs``.
 
-    The states that shards return are averaged by coordinate in Spark; what
-    reaches the driver has at most ``2 ** bits + 1`` rows whatever the input.
+    Shards send all that they add to the state, dense and in single precision; Spark
+    averages it by piece, and the driver adds up in double precision. A round shuffles
+    ``8 * shards * 2 ** bits`` bytes at most and the driver gets ``8 * 2 ** bits``,
+    whatever the input.
     """
     spark: SparkSession = docs.sparkSession
     rows = labelled(docs, label_sample(labels, "toxic", fit_rows)).select(
@@ -137,23 +161,23 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, shards: in
     z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
     try:
         for _ in range(rounds):
-            at = np.flatnonzero(n)
-            start = spark.sparkContext.broadcast((at, z[at], n[at]))
+            start = spark.sparkContext.broadcast((z.astype(np.float32), n.astype(np.float32)))
 
             def shard_pass(group: pd.DataFrame) -> pd.DataFrame:
                 return _train(group, start.value, bits)
 
-            sums = (rows.groupBy("shard").applyInPandas(shard_pass, "at bigint, z double, n double")
-                    .groupBy("at").agg(F.sum("z").alias("z"), F.sum("n").alias("n"), F.count("*").alias("c"))
-                    .toArrow())
-            at, c = sums["at"].to_numpy(), sums["c"].to_numpy()
-            # a shard that did not send a coordinate counts with the state before
-            z[at] = (sums["z"].to_numpy() + (shards - c) * z[at]) / shards
-            n[at] = (sums["n"].to_numpy() + (shards - c) * n[at]) / shards
-            start.unpersist()
+            with _shuffles_dropped(spark):
+                added = (rows.groupBy("shard").applyInPandas(shard_pass, "shard int, first int, z binary, n binary")
+                         .groupBy("first").applyInPandas(lambda group: _mean(group, shards), "first int, z binary, n binary")
+                         .toArrow())
+            for first, *parts in zip(added["first"].to_pylist(), added["z"], added["n"]):
+                for state, part in zip((z, n), parts):
+                    state[first:first + PIECE] += np.frombuffer(part.as_buffer(), dtype=np.float32)
+            del added
+            start.destroy()
     finally:
         rows.unpersist()
-    met = np.append(np.flatnonzero(n[:-1]), len(n) - 1)  # the rest has no weight
+    met = np.append(np.flatnonzero(np.abs(z[:-1]) > L1), len(z) - 1)  # the rest has no weight
     w = Ftrl(z, n).weights(met)
     at = np.flatnonzero(w[:-1])
     return Model(met[at], w[at], float(w[-1]), bits)
