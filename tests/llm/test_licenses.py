@@ -101,3 +101,15 @@ def test_odd_rows(spark, clashing):
         licenses.index([("X", "one two")])
     assert licenses.scan(empty_like(spark, DOCUMENTS)).count() == 0
     assert licenses.scan(clashing([(None, "Released under the MIT License.")] * 2)).count() == 2
+
+
+def test_a_notice_is_not_its_neighbour(documents):
+    """Every template alone gives its license and no other; unknown neighbours give none."""
+    unknown = ["This work is licensed under the GNU General Public License, version 4.",
+               "This project is licensed under the terms of the Zope license.", "Licensed under CC BY-NC 2.5.",
+               "Licensed under the Apache License, Version 1.1."]
+    docs = [(i, f"zz yy xx {t} ww vv uu") for i, t in enumerate([t for _, t in TEMPLATES] + unknown)]
+    got = {}
+    for r in licenses.scan(documents(docs)).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert got == {i: {name} for i, (name, _) in enumerate(TEMPLATES)}

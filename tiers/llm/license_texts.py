@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-TEMPLATES: tuple[tuple[str, str], ...] = (
+_TEXTS: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "This project is licensed under the terms of the MIT license."),
     ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
@@ -47,3 +47,41 @@ hereby granted, provided that the above copyright notice and this permission not
 modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary,
 for any purpose, commercial or non-commercial, and by any means."""),
 )
+
+#: Names by which one-line notices call a license.
+_NAMES = (
+    ("MIT", "MIT License"), ("Apache-2.0", "Apache License, Version 2.0"), ("ISC", "ISC License"),
+    ("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("MPL-2.0", "Mozilla Public License, version 2.0"), ("EPL-2.0", "Eclipse Public License, version 2.0"),
+    ("GPL-2.0", "GNU General Public License, version 2"), ("GPL-3.0", "GNU General Public License, version 3"),
+    ("LGPL-2.1", "GNU Lesser General Public License, version 2.1"),
+    ("LGPL-3.0", "GNU Lesser General Public License, version 3"),
+    ("AGPL-3.0", "GNU Affero General Public License, version 3"),
+)
+_SENTENCES = ("Released under the {}.", "Licensed under the {}.", "This work is licensed under the {}.",
+              "This project is licensed under the terms of the {}.")
+_COMMONS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
+            "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+            "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+
+
+def _notices():
+    for name, called in _NAMES:
+        yield from ((name, s.format(called)) for s in _SENTENCES)
+    for short, long in _COMMONS.items():
+        old = long.replace("NoDerivatives", "NoDerivs")
+        for version, title, port in (("4.0", long, "International"), ("3.0", old, "Unported")):
+            name = f"CC-{short}-{version}"
+            yield name, f"Licensed under CC {short} {version}."
+            yield name, f"This work is licensed under CC {short} {version}."
+            yield name, f"This work is licensed under a Creative Commons {title} {version} {port} License."
+
+
+TEMPLATES: tuple[tuple[str, str], ...] = tuple(dict.fromkeys((*_TEXTS, *_notices())))
+
+#: Words that tell a license from its neighbours. A copy has all of its template's and no other;
+#: numbers count where the template has one.
+KEY_WORDS = ("mit", "apache", "isc", "bsd", "mozilla", "eclipse", "gnu", "lesser", "library", "affero", "commons", "cc",
+             "nc", "sa", "nd", "attribution", "noncommercial", "commercial", "sharealike", "alike", "noderivatives",
+             "noderivs", "clause")
+KEY_NUMBERS = tuple(str(i) for i in range(10))

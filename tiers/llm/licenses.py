@@ -5,7 +5,9 @@ of hashes the smallest stays); an inverted index leads from a fingerprint to the
 templates and places that have it. Documents are winnowed alike, so a shared run
 of ``GRAM + WINDOW - 1`` words always shares a fingerprint. Hits of one template on
 nearby diagonals form a candidate region, and a banded local alignment of
-template and region tells how much of the template is there and where.
+template and region tells how much of the template is there and where. A copy must
+agree with its template in the words that tell licenses apart (names, versions),
+and of overlapping copies the one with most words in line stays.
 
 The index is a parameter's size (the templates), is checked against
 ``MAX_TEMPLATE_WORDS`` and is broadcast. One scan, no shuffle: every document is
@@ -18,16 +20,16 @@ very long texts are scanned whole.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tiers.llm.frame import mix, take, text_slices, texts_of, word_hashes
-from tiers.llm.license_texts import TEMPLATES
+from tiers.llm.license_texts import KEY_NUMBERS, KEY_WORDS, TEMPLATES
 
 #: Words of a gram, and grams of a winnowing window.
 GRAM, WINDOW = 3, 3
@@ -40,6 +42,25 @@ MAX_TEMPLATE_WORDS = 1_000_000
 SAME, DIFFERS, GAP = 2, -1, -1
 
 
+_KEYS = tuple(frozenset(word_hashes(pa.array([" ".join(k)]))[0].tolist()) for k in (KEY_WORDS, KEY_NUMBERS))
+
+
+def agrees(template: set[int], text: set[int]) -> bool:
+    """Whether a copy's words have the template's telling words, and of a kind it has no others."""
+    return all(not (own := template & kind) or own == text & kind for kind in _KEYS)
+
+
+def best(found: list[tuple]) -> list[tuple]:
+    """Of (first, end, matched, template, size) that overlap the one with most words in line,
+    then with the highest coverage; in order of place."""
+    kept: list[tuple] = []
+    for x in sorted(found, key=lambda f: (-f[2], f[4], f[1] - f[0], f[0], f[3])):
+        at = bisect_left(kept, x)
+        if (at == 0 or kept[at - 1][1] <= x[0]) and (at == len(kept) or x[1] <= kept[at][0]):
+            kept.insert(at, x)
+    return kept
+
+
 def winnow(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(places, hashes) of the fingerprints of a batch of word sequences: in every
     window of ``WINDOW`` grams of a row the smallest hash, the last of equal ones.
@@ -174,7 +195,7 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES,
          min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """``doc_id, license, template, first_word, end_word, first_byte, end_byte, n_matched, coverage``:
     a row for every place where a row of ``docs`` (doc_id, text) has at least ``min_coverage``
-    of a template's words in line.
+    of a template's words in line and its telling words; of overlapping places the best.
 
     Words count from 0; bytes are offsets in the lower-cased UTF-8 text.
     """
@@ -183,40 +204,29 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES,
     rows = take(docs, "doc_id", "text")
     id_type = dict(rows.dtypes)["doc_id"]
 
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def copied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = sent.value
+        words = [set(w.tolist()) for w in ix.words]
+        keys = [{k for kind in _KEYS for k in w & kind} for w in words]
         for batch in text_slices(batches):
             h, start, end, row = word_hashes(texts_of(batch))
-            found = list(_regions(ix, h, row))
-            first = np.searchsorted(row, np.arange(batch.num_rows))
-            lists = [pa.array([x[f[2]:f[3]] for f in found], pa.list_(pa.int64())) for x in (h.view(np.int64), start, end)]
-            places = [pa.array([f[i] - first[f[0]] for f in found], pa.int32()) for i in (2, 4, 5)]
+            of_row: dict[int, list[tuple]] = {}
+            for r, t, a, z, own, own_end in _regions(ix, h, row):
+                text = h[a:z].tolist()
+                if not keys[t] <= set(text):  # no copy here can agree
+                    continue
+                for b, e, matched in copies(ix.words[t], h[a:z], min_coverage * len(ix.words[t])):
+                    if own <= a + b < own_end and agrees(words[t], set(text[b:e])):
+                        of_row.setdefault(r, []).append((a + b, a + e, matched, t, len(ix.words[t])))
+            found = [(r, *x) for r in sorted(of_row) for x in best(of_row[r])]
+            r, a, z, matched, t, size = (np.array([f[i] for f in found], dtype=np.int64) for i in range(6))
+            first = np.searchsorted(row, r)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array([f[0] for f in found], pa.int64())), pa.array([f[1] for f in found], pa.int32()),
-                 *places, *lists], names=["doc_id", "template", "offset", "own", "own_end", "words", "starts", "ends"])
-
-    regions = rows.mapInArrow(candidates, f"doc_id {id_type}, template int, offset int, own int, own_end int, "
-                                          "words array<bigint>, starts array<bigint>, ends array<bigint>")
-
-    @F.arrow_udf("array<struct<first:int,end:int,matched:int,size:int>>")
-    def aligned(template: pa.Array, words: pa.Array) -> pa.Array:
-        ix, found = sent.value, []
-        for t, text in zip(template.to_pylist(), words):
-            own = ix.words[t]
-            found.append([{"first": a, "end": z, "matched": m, "size": len(own)}
-                          for a, z, m in copies(own, text.values.to_numpy().view(np.uint64), min_coverage * len(own))])
-        return pa.array(found, pa.list_(pa.struct([(n, pa.int32()) for n in ("first", "end", "matched", "size")])))
-
-    names = F.array(*(F.lit(n) for n, _ in templates))
-    a = F.col("a")
-
-    def at(column: str, place: Column) -> Column:
-        return F.get(F.col(column), place)
-
-    found = (regions.withColumn("a", F.explode(aligned("template", "words")))
-             .filter((F.col("offset") + a["first"] >= F.col("own")) & (F.col("offset") + a["first"] < F.col("own_end")))
-             .select("doc_id", F.get(names, F.col("template")).alias("license"), "template",
-                     (F.col("offset") + a["first"]).alias("first_word"), (F.col("offset") + a["end"]).alias("end_word"),
-                     at("starts", a["first"]).alias("first_byte"), at("ends", a["end"] - 1).alias("end_byte"),
-                     a["matched"].alias("n_matched"), (a["matched"] / a["size"]).alias("coverage")))
-    return found
+                [batch.column(0).take(pa.array(r)), pa.array([ix.names[i] for i in t], pa.string()),
+                 *(pa.array(x, pa.int32()) for x in (t, a - first, z - first)), pa.array(start[a]), pa.array(end[z - 1]),
+                 pa.array(matched, pa.int32()), pa.array(matched / size, pa.float64())],
+                names=["doc_id", "license", "template", "first_word", "end_word", "first_byte", "end_byte", "n_matched",
+                       "coverage"])
+
+    return rows.mapInArrow(copied, f"doc_id {id_type}, license string, template int, first_word int, end_word int, "
+                                   "first_byte bigint, end_byte bigint, n_matched int, coverage double")
