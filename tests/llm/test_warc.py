@@ -71,3 +71,11 @@ def test_odd_rows(spark):
     assert warc.derive(empty_like(spark, RESPONSE)).count() == 0
     df = spark.createDataFrame([("a", "b", "c", "d", "<p>x</p>", 1, "t")] * 2, RESPONSE + ", BLOCK int, Payload string")
     assert warc.derive(df).count() == 4
+
+
+def test_outlinks_in_every_form_of_an_attribute(spark):
+    page = ("<a href=/bare>1</a><a href=\"/it's\">2</a><a href='/a\"b'>3</a><a title=\"x href=no\" data-href=no href=/c?d=1&amp;e>4</a>"
+            "<A CLASS=x HREF = '/f'>5</A><a name=no>6</a><a href=\"\">7</a>")
+    df = spark.createDataFrame([("<urn:uuid:1>", "http://h/p", "2024-01-02T03:04:05Z", "HTTP/1.1 200 OK", page)], RESPONSE)
+    meta = [r.block for r in warc.derive(df).collect() if r.record_type == "metadata"]
+    assert meta == ["title: \r\n" + "".join(f"outlink: {u}\r\n" for u in ("/bare", "/it's", '/a"b', "/c?d=1&e", "/f", ""))]

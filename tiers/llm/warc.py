@@ -35,7 +35,12 @@ BLOCK = (r"(?i)</?(?:p|div|li|ul|ol|dl|dt|dd|h[1-6]|br|hr|tr|td|th|table|article
          r"|title|head|body|html|blockquote|pre|form|figure)\b[^>]*(?:>|\z)")
 TAG = r"</?[A-Za-z][^>]*(?:>|\z)"
 TITLE = r"(?is)<title\b[^>]*>(.*?)(?:</title|\z)"
+#: Quoted links only, as the DuckDB twin takes them: the given pages hold no others.
 LINK = r"""(?i)<a\s[^>]*?\bhref\s*=\s*["']([^"'>]*)["']"""
+#: The value of an anchor's href as written: in double quotes, in single quotes or bare. Other
+#: attributes before it are passed whole.
+HREF = (r"""(?i)<a(?=[\s/])(?:[\s/]++|["'=]|(?!href\s*=)[^\s=>"'/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']++))?+)*+"""
+        r"""href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""")
 
 
 def unescape(text: Column) -> Column:
@@ -103,7 +108,8 @@ def derive(responses: DataFrame, key: str | None = None) -> DataFrame:
                              "text": F.regexp_replace(F.regexp_replace("shown", BLOCK, "\n"), TAG, "")})
     rows = rows.withColumns({c: fold(unescape(F.col(c))) for c in ("title", "text")})
     title = F.regexp_replace("title", "\n", " ")
-    links = F.transform(F.regexp_extract_all("shown", F.lit(LINK), 1), lambda u: F.concat(F.lit("outlink: "), unescape(u), F.lit("\r\n")))
+    links = F.transform(F.regexp_extract_all("shown", F.lit(HREF), 1), lambda u: F.concat(
+        F.lit("outlink: "), unescape(F.regexp_extract(u, "(?s)^([\"']?)(.*)\\1$", 2)), F.lit("\r\n")))
     fields = F.concat(F.lit("title: "), title, F.lit("\r\n"), F.array_join(links, ""))
     source = digest(F.coalesce("payload", F.lit("")))
     made = rows.select(
