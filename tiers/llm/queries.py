@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, with their production parameters."""
+"""The registered queries of the operators, with their production parameters."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiers.llm import (decontaminate, licenses, quality, sentencepiece, sharding, simhash, token_counts, toxicity,
+from tiers.llm import (decontaminate, licenses, quality, runs, sentencepiece, sharding, simhash, token_counts, toxicity,
                        url_lists, warc)
 from tiers.llm.frame import read, take, written
 
@@ -217,3 +217,26 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     rules = quality.fit(docs, read(spark, sf_dir, "labels"))
     return quality.judge(take(docs, "doc_id", "text"), rules).select("doc_id", "verdict.*")
+
+
+def _periodic(docs: DataFrame) -> DataFrame:
+    """Documents whose id's checksum ends in 0 become periodic from a word on, as the query's contract fixes it."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"),
+                        F.when(h % 10 == 0, F.expr("filter(split(text, '[\\\\x20\\\\x09-\\\\x0D]+'), x -> x != '')")).alias("words"))
+    placed = words.withColumns({"n": F.size("words").cast("bigint")}).withColumn(
+        "a", F.when(F.col("n") > 0, F.col("g") % F.col("n"))).withColumn(
+        "p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    again = F.expr("transform(words, (x, i) -> if(i < a, x, words[cast(a + (i - a) % p as int)]))")
+    return placed.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@register("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.detect(_periodic(read(spark, sf_dir, "documents"))).withColumn("best", runs.longest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"))
