@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiers.llm import (decontaminate, licenses, quality, runs, sentencepiece, sharding, simhash, token_counts, toxicity,
-                       url_lists, warc)
+from tiers.llm import (decontaminate, divergence, licenses, quality, runs, sentencepiece, sharding, simhash,
+                       token_counts, toxicity, url_lists, warc)
 from tiers.llm.frame import read, take, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -240,3 +240,35 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"))
+
+
+@register("op12_source_divergence")
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audit = divergence.Audit(read(spark, sf_dir, "documents"))
+    return (audit.pairs().withColumn("part", F.lit("pair")).unionByName(audit.terms().withColumn("part", F.lit("term")))
+            .select("lang", "source", "part", "item", "value", "rank"))
+
+
+SQL["op12_source_divergence"] = r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text,
+                  row_number() OVER () AS id FROM documents),
+w AS (SELECT lang, source, id, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY ALL),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY ALL),
+g AS (SELECT lang, source, coalesce((SELECT sum(n) FROM c WHERE c.lang = x.lang AND c.source = x.source), 0) AS total
+      FROM (SELECT DISTINCT lang, source FROM d) x),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             (1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (g.total + l.v))::HUGEINT AS p,
+             (1 + 1000000000::HUGEINT * (k.n + 1) // (l.total + l.v))::HUGEINT AS q
+      FROM g JOIN l USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p WHERE n > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= 200
+"""
