@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiers.llm import (decontaminate, divergence, licenses, quality, runs, sentencepiece, sharding, simhash,
+from tiers.llm import (decontaminate, divergence, licenses, quality, runs, sentencepiece, sharding, simhash, substring,
                        token_counts, toxicity, url_lists, warc)
 from tiers.llm.frame import read, take, written
 
@@ -272,3 +272,24 @@ terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)
 SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
 FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= 200
 """
+
+
+@register("op11_substring_dedup")
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+SQL["op11_substring_dedup"] = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words, row_number() OVER () AS id FROM documents),
+win AS (SELECT id, doc_id, i, md5(array_to_string(words[i:i + {substring.WINDOW - 1}], ' ')) AS h
+        FROM (SELECT *, unnest(range(1, len(words) - {substring.WINDOW - 2})) AS i FROM d WHERE doc_id IS NOT NULL)),
+low AS (SELECT h, min(doc_id) AS owner FROM win GROUP BY h),
+dup AS (SELECT id, i FROM win JOIN low USING (h) WHERE doc_id > owner),
+word AS (SELECT id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d),
+seen AS (SELECT id, word, i, coalesce(max(dup.i) OVER (PARTITION BY id ORDER BY i) > i - {substring.WINDOW}, false) AS gone
+         FROM word LEFT JOIN dup USING (id, i)),
+left_ AS (SELECT id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM seen GROUP BY id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_ USING (id)
+"""
