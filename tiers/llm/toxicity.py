@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiers.llm.frame import SLICE_BYTES, array_slices, label_sample, labelled, mix, word_hashes
+from tiers.llm.frame import array_slices, label_sample, labelled, mix, text_slices, texts_of, word_hashes
 
 BITS = 22
 #: Labelled rows that a model is fitted on at most, chosen by a hash of the id.
@@ -103,34 +104,53 @@ class Ftrl:
         self.n[at] = new
 
 
-def _train(group: pd.DataFrame, start: tuple[np.ndarray, np.ndarray], bits: int) -> pd.DataFrame:
-    """One shard's pass over its rows, in the order of a hash of the id: by piece, what it adds to the state."""
-    state = Ftrl(*(x.astype(float) for x in start))
-    order = np.lexsort((group["label"], group["doc_id"], group["turn"]))
-    texts, labels = group["text"].to_numpy(), iter(group["label"].to_numpy(dtype=float)[order])
-    parts = np.cumsum([len(texts[i]) for i in order]) // SLICE_BYTES  # a pass at a time, not the shard twice
-    for chosen in np.split(order, np.flatnonzero(np.diff(parts)) + 1):
-        part = pa.array(texts[chosen], pa.string())
-        row, at = features(part, bits)
-        code = np.unique(row * (1 << bits) + at)  # distinct features of each row, rows in order
-        cuts = np.searchsorted(code, np.arange(len(part) + 1) * (1 << bits))
-        for a, b in zip(cuts, cuts[1:]):
-            own = np.append(code[a:b] & ((1 << bits) - 1), 1 << bits)
-            state.learn(own, next(labels))
-    found = []
+_ADDED = "shard int, first int, at binary, z binary, n binary"
+
+
+def _pieces(state: Ftrl, start: np.ndarray, shard: int) -> Iterator[pa.RecordBatch]:
+    """What a shard adds to the state, a piece at a time: the places it changed, and by how much."""
     for a in range(0, len(state.z), PIECE):
-        z, n = ((x[a:a + PIECE] - y[a:a + PIECE]).astype(np.float32) for x, y in zip((state.z, state.n), start))
-        if z.any() or n.any():
-            found.append((group["shard"].iloc[0], a, z.tobytes(), n.tobytes()))
-    return pd.DataFrame(found, columns=["shard", "first", "z", "n"])
+        z, n = (x[a:a + PIECE] - y[a:a + PIECE] for x, y in zip((state.z, state.n), start))
+        at = np.flatnonzero((z != 0) | (n != 0))
+        if len(at):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([shard], pa.int32()), pa.array([a], pa.int32()),
+                 *(pa.array([x.tobytes()], pa.binary()) for x in
+                   (at.astype(np.uint16), z[at].astype(np.float32), n[at].astype(np.float32)))],
+                names=["shard", "first", "at", "z", "n"])
+
+
+def _train(batches: Iterator[pa.RecordBatch], start: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """Each shard's pass over its rows, which come in order; texts are read as a stream."""
+    state, shard = None, None
+    for batch in batches:
+        for part in text_slices([batch]):
+            shards = part["shard"].to_numpy()
+            for a, b in pairwise([0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]):
+                if shards[a] != shard:
+                    if state is not None:
+                        yield from _pieces(state, start, shard)
+                    state, shard = Ftrl(*(x.astype(float) for x in start)), int(shards[a])
+                rows = part.slice(a, b - a)
+                row, at = features(texts_of(rows), bits)
+                code = np.unique(row * (1 << bits) + at)  # distinct features of each row, rows in order
+                cuts = np.searchsorted(code, np.arange(b - a + 1) * (1 << bits))
+                for (c, d), label in zip(pairwise(cuts), rows["label"].to_pylist()):
+                    state.learn(np.append(code[c:d] & ((1 << bits) - 1), 1 << bits), float(label))
+    if state is not None:
+        yield from _pieces(state, start, shard)
 
 
 def _mean(group: pd.DataFrame, shards: int) -> pd.DataFrame:
     """One piece of what the shards add, averaged: a shard that sent none adds nothing."""
     group = group.sort_values("shard")  # always summed in the same order
-    z, n = (sum(np.frombuffer(x, dtype=np.float32).astype(float) for x in group[c]) / shards for c in ("z", "n"))
-    return pd.DataFrame({"first": group["first"].iloc[:1], "z": [z.astype(np.float32).tobytes()],
-                         "n": [n.astype(np.float32).tobytes()]})
+    z, n = np.zeros(PIECE), np.zeros(PIECE)
+    for at, *added in zip(group["at"], group["z"], group["n"]):
+        for state, x in zip((z, n), added):
+            state[np.frombuffer(at, dtype=np.uint16)] += np.frombuffer(x, dtype=np.float32)
+    at = np.flatnonzero((z != 0) | (n != 0))
+    return pd.DataFrame({"first": group["first"].iloc[:1], "at": [at.astype(np.uint16).tobytes()],
+                         **{c: [(x[at] / shards).astype(np.float32).tobytes()] for c, x in (("z", z), ("n", n))}})
 
 
 @contextmanager
@@ -148,31 +168,33 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, shards: in
         rounds: int = ROUNDS, bits: int = BITS) -> Model:
     """A model learned from ``labels`` (doc_id, toxic) and the texts of ``docs``.
 
-    Shards send all that they add to the state, dense and in single precision; Spark
-    averages it by piece, and the driver adds up in double precision. A round shuffles
-    ``8 * shards * 2 ** bits`` bytes at most and the driver gets ``8 * 2 ** bits``,
-    whatever the input.
+    Shards send every place of the state that they change, in single precision; Spark
+    averages by piece, and the driver adds up in double precision. A round shuffles
+    ``10 * shards * 2 ** bits`` bytes at most and the driver gets ``10 * 2 ** bits``,
+    whatever the input. A task holds one state, the start of the round and a slice of texts.
     """
     spark: SparkSession = docs.sparkSession
     rows = labelled(docs, label_sample(labels, "toxic", fit_rows)).select(
         "doc_id", "label", "text", F.xxhash64("doc_id").alias("turn"),
-        F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).alias("shard"))
-    rows = rows.repartition(shards, "shard").persist()
+        F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).cast("int").alias("shard"))
+    rows = (rows.repartition(shards, "shard").sortWithinPartitions("shard", "turn", "doc_id", "label")
+            .select("shard", "label", "text").persist())
     z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
     try:
         for _ in range(rounds):
-            start = spark.sparkContext.broadcast((z.astype(np.float32), n.astype(np.float32)))
+            start = spark.sparkContext.broadcast(np.stack([z, n]).astype(np.float32))
 
-            def shard_pass(group: pd.DataFrame) -> pd.DataFrame:
-                return _train(group, start.value, bits)
+            def shard_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                return _train(batches, start.value, bits)
 
             with _shuffles_dropped(spark):
-                added = (rows.groupBy("shard").applyInPandas(shard_pass, "shard int, first int, z binary, n binary")
-                         .groupBy("first").applyInPandas(lambda group: _mean(group, shards), "first int, z binary, n binary")
+                added = (rows.mapInArrow(shard_pass, _ADDED).groupBy("first")
+                         .applyInPandas(lambda group: _mean(group, shards), "first int, at binary, z binary, n binary")
                          .toArrow())
-            for first, *parts in zip(added["first"].to_pylist(), added["z"], added["n"]):
+            for first, at, *parts in zip(added["first"].to_pylist(), added["at"], added["z"], added["n"]):
+                at = np.frombuffer(at.as_buffer(), dtype=np.uint16).astype(np.int64) + first
                 for state, part in zip((z, n), parts):
-                    state[first:first + PIECE] += np.frombuffer(part.as_buffer(), dtype=np.float32)
+                    state[at] += np.frombuffer(part.as_buffer(), dtype=np.float32)
             del added
             start.destroy()
     finally:
@@ -188,17 +210,19 @@ def score(spark: SparkSession, model: Model, text: Column) -> Column:
     sent = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
-    def toxicity(texts: pa.Array) -> pa.Array:
+    def toxicity(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = sent.value
-        w, out = model.dense(), []
+        w = model.dense()  # once for all batches of a task
         used = w != 0
-        for part in array_slices(texts.fill_null("")):
-            row, at = features(part, model.bits)
-            hit = used[at]
-            code = np.unique(row[hit] * len(w) + at[hit])
-            total = np.bincount(code // len(w), weights=w[code % len(w)], minlength=len(part))
-            out.append(_logistic(total + model.bias))
-        return pa.array(np.concatenate(out) if out else np.zeros(0))
+        for texts in batches:
+            out = []
+            for part in array_slices(texts.fill_null("")):
+                row, at = features(part, model.bits)
+                hit = used[at]
+                code = np.unique(row[hit] * len(w) + at[hit])
+                total = np.bincount(code // len(w), weights=w[code % len(w)], minlength=len(part))
+                out.append(_logistic(total + model.bias))
+            yield pa.array(np.concatenate(out) if out else np.zeros(0))
     return toxicity(text)
 
 
