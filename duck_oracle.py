@@ -359,6 +359,8 @@ WHERE sls_ord_num IS NOT NULL AND sls_prd_key IS NOT NULL AND sls_cust_id IS NOT
 q("dedupe_single", first_per_key("r_crm_cust_info", ["cst_key"], CUST_ORDER), "r_crm_cust_info")
 q("dedupe_pair", first_per_key("r_crm_sales_details", ["sls_ord_num", "sls_prd_key"], SALES_REST),
   "r_crm_sales_details")
+q("dedupe_repeated", first_per_key("r_crm_sales_details", ["sls_ord_num", "sls_prd_key"], SALES_REST),
+  "r_crm_sales_details")
 q("dedupe_latest", """
 SELECT * EXCLUDE (__rn) FROM (SELECT *, row_number() OVER (PARTITION BY sls_ord_num, sls_prd_key
   ORDER BY sls_ship_dt DESC NULLS LAST, sls_cust_id ASC NULLS FIRST, sls_order_dt ASC NULLS FIRST,

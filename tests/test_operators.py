@@ -29,7 +29,7 @@ def test_dedupe_keeps_first_by_other_columns(spark, sales, rows):
     assert out.count() == 5                              # NULL keys form their own groups
 
 
-@pytest.mark.parametrize("method", ["aggregate", "window"])
+@pytest.mark.parametrize("method", ["aggregate", "window", "repeated"])
 def test_dedupe_methods_agree(spark, sales, rows, method):
     ref = clean.dedupe(sales, ["ord", "prd"], method="window")
     assert rows(clean.dedupe(sales, ["ord", "prd"], method=method)) == rows(ref)
@@ -60,6 +60,35 @@ def test_dedupe_hot_key_is_combined_before_shuffle(spark):
     assert "partial_min" in plan
 
 
+@pytest.mark.parametrize("order", [None, ["w"]])
+def test_dedupe_repeated_keeps_the_same_rows(spark, rows, tmp_path, order):
+    """Hot, NULL, repeated and single keys; nothing repeated; no rows at all."""
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") < 1000, 0).when(F.col("id") < 1100, F.lit(None)).when(F.col("id") < 2000, F.col("id") % 700)
+        .otherwise(F.col("id")).alias("k"), F.when(F.col("id") % 3 > 0, F.col("id") % 2).alias("l"),
+        F.col("id").cast("string").alias("v"), (F.col("id") * 13 % 101).alias("w"))
+    for part in (df, df.filter("id >= 2000"), df.filter("id < 0")):
+        for keys in (["k"], ["k", "l"]):
+            got = clean.dedupe(part, keys, order_by=order, method="repeated")
+            assert got.columns == df.columns
+            assert rows(got) == rows(clean.dedupe(part, keys, order_by=order, method="window"))
+
+
+def test_dedupe_repeated_neither_sorts_nor_shuffles_single_keys(spark, tmp_path):
+    """Rows of keys that stand once: a scan and a broadcast lookup; only the others are sorted and shuffled."""
+    path = str(tmp_path / "t")
+    spark.range(0, 20000).select(F.when(F.col("id") < 50, 0).otherwise(F.col("id")).alias("k"),
+                                 F.col("id").cast("string").alias("v")).write.parquet(path)
+    out = clean.dedupe(spark.read.parquet(path), ["k"], method="repeated")
+    assert out.count() == 20000 - 49
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    once = plan[plan.index("LeftAnti"):]
+    once = once[:once.index("FileScan")]               # from the anti join down to its scan
+    assert "Sort" not in once and "hashpartitioning" not in once
+    assert "partial_min" in plan                       # a hot key is cut map-side
+
+
 def test_dedupe_any_is_dropduplicates(spark, sales):
     assert clean.dedupe(sales, ["ord", "prd"], method="any").count() == 5
 

@@ -1,6 +1,7 @@
 """Table-level cleaning operators.
 
-All functions take and return a DataFrame and stay lazy.
+All functions take and return a DataFrame and stay lazy, but for the method
+``repeated`` of ``dedupe``, which first finds the keys that repeat.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiers.functions.audit import stamp
+from tiers.session import shared_dir
 
 
 def _names(cols) -> list[str]:
@@ -28,6 +30,28 @@ def require_keys(df: DataFrame, keys) -> DataFrame:
     return df.filter(cond)
 
 
+def repeated_keys(df: DataFrame, keys) -> DataFrame:
+    """The keys that more than one row has, with their number of rows ``n``, as a table of its own.
+
+    A hash count: only keys are read and shuffled, and a key is one row per map
+    task however often it occurs. The result is written under the shared folder,
+    so its size is known when a join with it is planned.
+    """
+    counts = df.groupBy(*_names(keys)).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    path = shared_dir(df.sparkSession, "repeated_keys")
+    counts.write.parquet(path)
+    return df.sparkSession.read.schema(counts.schema).parquet(path)
+
+
+def _dedupe_repeated(df: DataFrame, keys: list[str], order_by) -> DataFrame:
+    """Rows of keys that stand once pass as they are; the ordered choice is made among the others."""
+    names = [f"__k{i}" for i in range(len(keys))]
+    found = repeated_keys(df, keys).drop("n").toDF(*names)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    once = df.join(found, same, "left_anti")
+    return once.unionByName(dedupe(df.join(found, same, "left_semi"), keys, order_by))
+
+
 def dedupe(df: DataFrame, keys, order_by: Sequence[str | Column] | None = None,
            method: str = "aggregate") -> DataFrame:
     """Keep one row per key (A4, A5), chosen repeatably (trap T1).
@@ -41,6 +65,12 @@ def dedupe(df: DataFrame, keys, order_by: Sequence[str | Column] | None = None,
         Partial aggregation runs before the shuffle, so a hot key with a third
         of all rows is cut to one row per map task and never lands whole in
         one reducer. Needs ascending column names in ``order_by``.
+      * ``repeated`` - the same rows in two phases: a hash count finds the keys
+        that repeat (a job of its own), and only their rows are aggregated. The
+        rows of all other keys are neither sorted nor, where the repeated keys
+        are few enough to broadcast by their size, shuffled. Reads ``df`` three
+        times, once for the keys alone: for stored tables, and only for inputs
+        that give the same rows each time.
       * ``window`` - ``row_number() = 1`` over the key; any sort order.
       * ``any`` - ``dropDuplicates``: Spark keeps an undefined row (the
         reference's behaviour, not repeatable).
@@ -52,6 +82,8 @@ def dedupe(df: DataFrame, keys, order_by: Sequence[str | Column] | None = None,
     rest = [c for c in df.columns if c not in keys]
     if method == "any" or not rest:
         return df.dropDuplicates(keys)
+    if method == "repeated":
+        return _dedupe_repeated(df, keys, order_by)
     order = list(order_by) if order_by else list(rest)
     plain = all(isinstance(o, str) and o in rest for o in order)
     if method == "aggregate" and plain:

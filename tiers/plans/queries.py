@@ -214,6 +214,12 @@ def dedupe_pair(spark, sf_dir):
     return clean.dedupe(_raw(spark, sf_dir, "crm_sales_details"), ["sls_ord_num", "sls_prd_key"])
 
 
+@register("dedupe_repeated")
+def dedupe_repeated(spark, sf_dir):
+    """The rows of ``dedupe_pair`` in two phases: only rows whose key repeats are aggregated."""
+    return clean.dedupe(_raw(spark, sf_dir, "crm_sales_details"), ["sls_ord_num", "sls_prd_key"], method="repeated")
+
+
 @register("dedupe_latest")
 def dedupe_latest(spark, sf_dir):
     """One row per key by an explicit order (window form): latest ship date first."""
