@@ -269,7 +269,7 @@ def test_a_swap_that_breaks_anywhere_leaves_the_old_or_the_new_table(spark, tmp_
             m.setattr(catalog, "_rename", step(catalog._rename))
             m.setattr(catalog, "drop_table", step(catalog.drop_table))
             try:
-                catalog.save_table(spark.range(5), table)
+                catalog.save_table(spark.range(5).withColumn("x", F.lit(1)), table)
             except (RuntimeError, KeyboardInterrupt):
                 pass
         assert catalog.read_table(spark, table).count() in (3, 5)
@@ -279,6 +279,82 @@ def test_a_swap_that_breaks_anywhere_leaves_the_old_or_the_new_table(spark, tmp_
         assert "a" in left and "a__replaced" not in left
 
 
+def test_readers_never_fail_during_overwrites(spark, tmp_path):
+    """K1: one catalog operation an overwrite; a scan that began before it still ends."""
+    import threading
+    catalog.ensure_schema(spark, "ver1", str(tmp_path / "ver1"))
+    table = "ver1.a"
+    catalog.save_table(spark.range(10), table)
+    seen, failed, done = set(), [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                seen.add(spark.table(table).count())
+            except Exception as e:
+                failed.append(str(e)[:300])
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for n in range(11, 19):
+            before = spark.table(table)
+            catalog.save_table(spark.range(n), table)
+            assert before.count() in (n - 1, n)
+    finally:
+        done.set()
+        reader.join()
+    assert not failed and seen <= set(range(10, 19)) and len(seen) > 1
+    assert spark.table(table).count() == 18
+    assert len(list((tmp_path / "ver1" / "a__versions").iterdir())) == 2       # this version and the one before
+    assert catalog._details(spark, table)["Type"] == "MANAGED"
+
+
+def test_versions_end_with_the_table(spark, tmp_path):
+    """A dropped table leaves no folder; a changed schema after versions, and versions after that, work."""
+    catalog.ensure_schema(spark, "ver2", str(tmp_path / "ver2"))
+    table = "ver2.a"
+    for n in (3, 4, 5):
+        catalog.save_table(spark.range(n), table)
+    for n in (6, 7):
+        catalog.save_table(spark.range(n).withColumn("x", F.lit("s")), table)
+        assert spark.table(table).columns == ["id", "x"] and spark.table(table).count() == n
+    catalog.save_table(spark.table(table).filter("id < 2"), table)               # T23: rebuilt from itself
+    assert spark.table(table).count() == 2
+    catalog.drop_table(spark, table)
+    assert list((tmp_path / "ver2").iterdir()) == []
+    catalog.save_table(spark.range(2), table)
+    assert spark.table(table).count() == 2
+
+
+def test_a_failing_version_leaves_the_old_rows_and_no_folder(spark, tmp_path, monkeypatch):
+    catalog.ensure_schema(spark, "ver3", str(tmp_path / "ver3"))
+    table = "ver3.a"
+    for n in (3, 4):
+        catalog.save_table(spark.range(n), table)
+
+    def broken(*a):
+        raise RuntimeError("injected")
+    with monkeypatch.context() as m:
+        m.setattr(catalog, "_set_location", broken)
+        with pytest.raises(RuntimeError):
+            catalog.save_table(spark.range(9), table)
+    assert spark.table(table).count() == 4
+    spark.range(1).write.parquet(str(tmp_path / "ver3" / "a__versions" / "left_by_a_crash"))
+    catalog.save_table(spark.range(5), table)
+    assert spark.table(table).count() == 5
+    assert len(list((tmp_path / "ver3" / "a__versions").iterdir())) == 2
+
+
+def test_a_users_table_of_the_backups_name_survives(spark, tmp_path):
+    catalog.ensure_schema(spark, "ver4", str(tmp_path / "ver4"))
+    spark.range(42).write.saveAsTable("ver4.a__replaced")
+    for df in (spark.range(3), spark.range(4), spark.range(5).withColumn("x", F.lit(1)), spark.range(6)):
+        catalog.save_table(df, "ver4.a")
+        assert catalog.read_table(spark, "ver4.a").count() == df.count()
+    assert spark.table("ver4.a__replaced").count() == 42
+    assert sorted(t.name for t in spark.catalog.listTables("ver4")) == ["a", "a__replaced"]
+
+
 def test_transactional_overwrite_replaces_the_schema_in_place(spark, monkeypatch):
     """Delta has no jar here: the writer's options are what its overwrite gets."""
     from pyspark.sql import DataFrameWriter
