@@ -9,6 +9,14 @@ if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
 
+def _defaults():
+    """The site's file of Spark settings."""
+    import pyspark
+    home = os.environ.get("SPARK_CONF_DIR") or os.path.join(
+        os.environ.get("SPARK_HOME") or os.path.dirname(pyspark.__file__), "conf")
+    return os.path.join(home, "spark-defaults.conf")
+
+
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
@@ -19,12 +27,11 @@ def spark():
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.ui.enabled", "false")
                .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse")))
+    # a test run names its own shared folder only where nothing configured one
+    if not os.path.exists(_defaults()) or "spark.checkpoint.dir" not in open(_defaults()).read():
+        builder = builder.config("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("OFF")
-    # a test run names its own shared folder only where nothing configured one
-    if not spark.conf.get("spark.checkpoint.dir", None) and \
-            not spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
     yield spark
     spark.stop()
 

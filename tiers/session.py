@@ -32,8 +32,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "tiers", extra: dict | None = None) -> SparkSession:
     """Return the active session, or build one with the job defaults.
 
-    ``spark.checkpoint.dir`` is only set when nothing configured it; on a
-    cluster it names the shared folder for staging and lineage cuts.
+    ``spark.checkpoint.dir`` names the shared folder for staging and lineage cuts on a
+    cluster; where nothing configured it, a local master gets a folder of its own.
     """
     active = SparkSession.getActiveSession()
     if active is not None:
@@ -53,14 +53,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+#: The folder chosen for an application that names none, by application id: a running
+#: session does not let ``spark.checkpoint.dir`` be set.
+_chosen: dict[str, str] = {}
+
+
 def _ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         if not conf.get("spark.master", "local").startswith("local") or "local-cluster" in conf.get("spark.master", ""):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        path = os.path.join(os.environ.get("TMPDIR", "/tmp"), "tiers-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", path)
+        path = _chosen.setdefault(spark.sparkContext.applicationId,
+                                  os.path.join(os.environ.get("TMPDIR", "/tmp"), "tiers-checkpoints"))
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
