@@ -79,3 +79,31 @@ def test_outlinks_in_every_form_of_an_attribute(spark):
     df = spark.createDataFrame([("<urn:uuid:1>", "http://h/p", "2024-01-02T03:04:05Z", "HTTP/1.1 200 OK", page)], RESPONSE)
     meta = [r.block for r in warc.derive(df).collect() if r.record_type == "metadata"]
     assert meta == ["title: \r\n" + "".join(f"outlink: {u}\r\n" for u in ("/bare", "/it's", '/a"b', "/c?d=1&e", "/f", ""))]
+
+
+BROKEN = ["<a x ", "<script x ", "<style ", "<noscript ", "<!--", "<!x ", "<title", "<title x ", "<a x=\"", "<a x='y\" ",
+          "<a href=\"", "<a href=' ", "<p ", "</script ", "<a/", "&#", "&amp", "& ", " \n", "<"]
+
+
+def test_broken_pages_of_a_megabyte_take_no_longer_than_whole_ones(spark):
+    """However a page's tags are broken, it is passed a fixed number of times."""
+    import time
+
+    def seconds(page):
+        t = time.perf_counter()
+        warc.derive(spark.createDataFrame([("<r>", "u", "d", "h", page)], RESPONSE)).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t
+    size = 1 << 20
+    whole = '<div><a href="/x">word</a> &amp; <b>bold</b></div>\n'
+    seconds(whole)
+    normal = max(seconds(whole * (size // len(whole))) for _ in range(2))
+    slow = {b: round(t, 1) for b in BROKEN if (t := seconds(b * (size // len(b)))) > 2 * normal + 2}
+    assert not slow, (normal, slow)
+    assert seconds("<a " + "x " * 20_000 + "href=/y>") < 2 * normal + 2
+
+
+def test_tags_that_never_end(spark):
+    for page, text in (("a<script x", "a"), ("a<style", "a"), ("a<noscript b c", "a"), ("<title never", ""), ("a<title", "a")):
+        assert text_of(spark, page) == text
+    df = spark.createDataFrame([("<r>", "u", "d", "h", "<a x <a href=/y>z</a><title t")], RESPONSE)
+    assert warc.derive(df).filter("record_type = 'metadata'").first().block == "title: \r\noutlink: /y\r\n"

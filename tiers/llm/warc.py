@@ -1,7 +1,7 @@
 """WARC derivatives: metadata and plain-text conversion records from responses.
 
 Each response gives two records that name it in ``WARC-Refers-To``: ``metadata``
-(title, outlinks and the source's HTTP headers as warc-fields) and ``conversion``
+(title and outlinks as warc-fields) and ``conversion``
 (the page's text). Both keep target, date, source headers and the source's payload
 digest, and carry digests of their own blocks. Ids are name-based, so a repeated
 run gives the same records. Column expressions only; no shuffle.
@@ -29,17 +29,19 @@ REFERENCES = (("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "
               ("raquo", "\u00bb"), ("euro", "\u20ac"), ("lsquo", "\u2018"), ("rsquo", "\u2019"), ("ldquo", "\u201c"),
               ("rdquo", "\u201d"), ("bull", "\u2022"))
 
-HIDDEN = (r"(?is)<(?:!--.*?(?:-->|\z)|script\b[^>]*>.*?(?:</script\s*>|\z)|style\b[^>]*>.*?(?:</style\s*>|\z)"
-          r"|noscript\b[^>]*>.*?(?:</noscript\s*>|\z)|[!?][^>]*(?:>|\z))")
+# Every pattern that has begun to match a tag also matches if the tag never ends, so that a
+# page is passed once however its tags are broken.
+HIDDEN = (r"(?is)<(?:!--.*?(?:-->|\z)|script\b[^>]*(?:>.*?(?:</script\s*>|\z)|\z)|style\b[^>]*(?:>.*?(?:</style\s*>|\z)|\z)"
+          r"|noscript\b[^>]*(?:>.*?(?:</noscript\s*>|\z)|\z)|[!?][^>]*(?:>|\z))")
 BLOCK = (r"(?i)</?(?:p|div|li|ul|ol|dl|dt|dd|h[1-6]|br|hr|tr|td|th|table|article|section|header|footer|nav|main|aside"
          r"|title|head|body|html|blockquote|pre|form|figure)\b[^>]*(?:>|\z)")
 TAG = r"</?[A-Za-z][^>]*(?:>|\z)"
-TITLE = r"(?is)<title\b[^>]*>(.*?)(?:</title|\z)"
+TITLE = r"(?is)<title\b[^>]*(?:>(.*?)(?:</title|\z)|\z)"
 #: Quoted links only, as the DuckDB twin takes them: the given pages hold no others.
 LINK = r"""(?i)<a\s[^>]*?\bhref\s*=\s*["']([^"'>]*)["']"""
 #: The value of an anchor's href as written: in double quotes, in single quotes or bare. Other
-#: attributes before it are passed whole.
-HREF = (r"""(?i)<a(?=[\s/])(?:[\s/]++|["'=]|(?!href\s*=)[^\s=>"'/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']++))?+)*+"""
+#: attributes before it are passed whole; a ``<`` outside a value starts another tag.
+HREF = (r"""(?i)<a(?=[\s/])(?:[\s/]++|["'=]|(?!href\s*=)[^\s=<>"'/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']++))?+)*+"""
         r"""href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""")
 
 
