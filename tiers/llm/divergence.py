@@ -88,34 +88,38 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 yield from flush()
         yield from flush()
     found = docs.mapInArrow(count, "lang string, source string, term string, n bigint, n_docs bigint")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
+    # dealt by term, which serves the sums of groups and those of languages
+    return (found.repartition("lang", "term").groupBy("lang", "source", "term")
+            .agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs")))
 
 
 def share(count: str, total: str, kept: str) -> Column:
     """The smoothed share of a count; 1 where nothing is kept."""
-    exact = f"(cast({count} as decimal(19,0)) + 1) * {SCALE} div (cast({total} as decimal(19,0)) + {kept})"
-    return F.expr(f"if({kept} = 0, 1L, 1L + {exact})")
+    large = f"(cast({count} as decimal(19,0)) + 1) * {SCALE} div (cast({total} as decimal(19,0)) + {kept})"
+    small = f"({count} + 1L) * {SCALE} div ({total} + {kept})"
+    return F.expr(f"case when {kept} = 0 then 1L when {count} < 9000000000L then 1L + {small} else 1L + {large} end")
 
 
 class Audit:
     """Group shares of a table of documents, ready for both reports (written tables)."""
 
     def __init__(self, docs: DataFrame):
-        counts = written(term_counts(docs), "divergence/counts")
-        kept = (counts.filter("term <> ''").groupBy("lang", "term")
-                .agg(F.sum("n").alias("lang_n"), F.sum("n_docs").alias("n_docs"))
-                .filter(F.col("n_docs") >= MIN_DOCS).drop("n_docs"))
-        own = written(counts.filter("term <> ''").drop("n_docs").join(kept, ["lang", "term"]), "divergence/kept")
-        langs = (own.select("lang", "term", "lang_n").distinct().groupBy("lang")
-                 .agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total")))
-        totals = own.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-        groups = (counts.filter("term = ''").select("lang", "source").join(totals, ["lang", "source"], "left")
+        term = Window.partitionBy("lang", "term")
+        own = (term_counts(docs).withColumns({
+            "lang_n": F.sum("n").over(term), "lang_docs": F.sum("n_docs").over(term),
+            "leads": F.col("source") == F.min("source").over(term)})
+            .filter(f"lang_docs >= {MIN_DOCS} or term = ''").drop("n_docs", "lang_docs"))
+        own = written(own, "divergence/kept")
+        kept = own.filter("term <> ''")
+        langs = kept.filter("leads").groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
+        totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+        groups = (own.filter("term = ''").select("lang", "source").join(totals, ["lang", "source"], "left")
                   .join(langs, "lang", "left").fillna(0, ["total", "v", "lang_total"]))
         #: lang, source, v, lang_total, total, p0 (share of a term the group lacks)
         self.groups = written(groups.withColumn("p0", share("0", "total", "v")), "divergence/groups")
         #: lang, source, term, p, p0, and the language's share q
         self.postings = written(
-            own.join(self.groups, ["lang", "source"]).select(
+            kept.join(self.groups, ["lang", "source"]).select(
                 "lang", "source", "term", share("n", "total", "v").alias("p"), "p0",
                 share("lang_n", "lang_total", "v").alias("q")), "divergence/postings")
 
