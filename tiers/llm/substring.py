@@ -21,7 +21,8 @@ the input, so what is removed elsewhere does not matter.
   not gathered: its windows themselves become keys, with the smallest id that has
   them, summed map-side.
 
-Words and windows are compared by 64-bit hashes, an anchor's and a wording's together.
+Texts are joined with what is asked of them, and with what goes, by the same sorted
+merge at every size. Words and windows are compared by 64-bit hashes, an anchor's and a wording's together.
 
 Edge cases: NULL, empty and short texts keep all words (none, if there are none); a
 NULL id is neither smaller nor larger than any: such rows keep all words and take none
@@ -255,32 +256,43 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "high", pa.array(last.astype(np.int32))).to_batches()
 
 
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words that a document's repeated windows cover, as few spans."""
+    for batch in batches:
+        spans = []
+        for found in batch.column(2):
+            merged: list[list[int]] = []
+            for low, high in sorted((x["low"], x["high"] + WINDOW) for x in found.as_py()):
+                if merged and low <= merged[-1][1]:
+                    merged[-1][1] = max(high, merged[-1][1])
+                else:
+                    merged.append([low, high])
+            spans.append([{"start": a, "end": b} for a, b in merged])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, _SPANS)],
+                                         names=["doc_id", "row_key", "spans"])
+
+
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch in batches:
-        n_words, n_removed, spans, kept = [], [], [], []
-        texts = batch.column(1).cast(pa.binary())
-        for text, found in zip(texts, batch.column(2)):
+        n_words, n_removed, kept = [], [], []
+        spans = batch.column(2).to_pylist()
+        for text, found in zip(batch.column(1).cast(pa.binary()), spans):
             words = (text.as_py() or b"").split()
-            merged: list[list[int]] = []
-            if found.is_valid:
-                for low, high in sorted((x["low"], x["high"] + WINDOW) for x in found.as_py()):
-                    if merged and low <= merged[-1][1]:
-                        merged[-1][1] = max(high, merged[-1][1])
-                    else:
-                        merged.append([low, high])
             left, end = [], 0
-            for a, b in merged:
-                left += words[end:a]
-                end = b
+            for span in found or ():
+                left += words[end:span["start"]]
+                end = span["end"]
             left += words[end:]
             n_words.append(len(words))
             n_removed.append(len(words) - len(left))
-            spans.append([{"start": a, "end": b} for a, b in merged])
             kept.append(b" ".join(left))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, kind),
-             pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "spans", "kept"])
+            [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+             pa.array([x or [] for x in spans], _SPANS), pa.array(kept, pa.binary()).cast(pa.string())],
+            names=["doc_id", "n_words", "n_removed", "spans", "kept"])
 
 
 def _hot_spans(cut: DataFrame) -> DataFrame:
@@ -289,7 +301,7 @@ def _hot_spans(cut: DataFrame) -> DataFrame:
         cut.withColumn("low", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
         .select("anchor", "form", "doc_id", "low",
                 F.xxhash64(F.expr(f"substring(words, 8 * low + 1, {8 * WINDOW})")).alias("window")), "substring/hot")
-    smallest = windows.groupBy("anchor", "window").agg(F.min("doc_id").alias("owner"))
+    smallest = written(windows.groupBy("anchor", "window").agg(F.min("doc_id").alias("owner")), "substring/hot_owners")
     return (windows.join(smallest, ["anchor", "window"]).filter("doc_id > owner")
             .select("anchor", "form", "low", F.col("low").alias("high")))
 
@@ -302,17 +314,21 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     known = docs.filter("doc_id is not null").withColumn("row_key", F.xxhash64("text"))
     pieces = written(known.select("doc_id", "row_key", "text").mapInArrow(
         _pieces, f"doc_id {kind}, row_key bigint, anchor bigint, form bigint, first int, n int"), "substring/pieces")
+    shared = written(pieces.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+                     .filter("low < high").select("anchor"), "substring/shared")
+    pieces = written(pieces.join(shared, "anchor", "left_semi"), "substring/shared_pieces")
     forms = written(pieces.groupBy("anchor", "form").agg(
         F.min(F.struct("doc_id", "row_key", "first", "n")).alias("at"), F.max("doc_id").alias("last"))
         .select("anchor", "form", "at.*", "last"), "substring/forms")
-    shared = (forms.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("forms"))
-              .filter("low < high").drop("low", "high"))
-    wanted = written(forms.drop("last").join(shared, "anchor"), "substring/wanted")
+    several = written(
+        forms.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("forms"))
+        .filter("low < high").drop("low", "high"), "substring/several")
+    wanted = written(forms.drop("last").join(several, "anchor"), "substring/wanted")
 
     def words(which: str) -> DataFrame:
         asked = (wanted.filter(which).groupBy("doc_id", "row_key")
                  .agg(F.collect_list(F.struct("anchor", "form", "first", "n")).alias("asked")))
-        return (known.join(asked, ["doc_id", "row_key"]).select("doc_id", "text", "asked")
+        return (known.join(asked.hint("merge"), ["doc_id", "row_key"]).select("doc_id", "text", "asked")
                 .mapInArrow(_cut, f"anchor bigint, form bigint, doc_id {kind}, n int, words binary"))
 
     parsed = (words(f"forms <= {hot}").repartition("anchor").sortWithinPartitions("anchor")
@@ -320,8 +336,10 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     if not wanted.filter(f"forms > {hot}").isEmpty():
         parsed = parsed.unionByName(_hot_spans(words(f"forms > {hot}")))
     parsed = parsed.groupBy("anchor", "form").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    repeated = (forms.withColumnRenamed("doc_id", "owner").select("anchor", "form", "owner", "last")
-                .join(parsed, ["anchor", "form"], "left").filter("last > owner or spans is not null").drop("last"))
+    # a table of its own: the join below then has plain inputs, and a form with very many copies can be split
+    repeated = written(forms.withColumnRenamed("doc_id", "owner").select("anchor", "form", "owner", "last")
+                       .join(parsed, ["anchor", "form"], "left").filter("last > owner or spans is not null").drop("last"),
+                       "substring/repeated")
     whole = F.array(F.struct(F.col("first").alias("low"), (F.col("first") + F.col("n") - 1).alias("high")))
     part = F.transform("spans", lambda s: F.struct((s["low"] + F.col("first")).alias("low"),
                                                    (s["high"] + F.col("first")).alias("high")))
@@ -329,7 +347,9 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
                .select("doc_id", "row_key", F.when(F.col("doc_id") > F.col("owner"), whole).otherwise(part).alias("spans"))
                .filter("spans is not null").groupBy("doc_id", "row_key")
                .agg(F.flatten(F.collect_list("spans")).alias("spans")))
-    judged = known.join(removed, ["doc_id", "row_key"], "left").select("doc_id", "text", "spans")
+    removed = written(removed.mapInArrow(_merge, f"doc_id {kind}, row_key bigint, spans array<struct<start:bigint,end:bigint>>"),
+                      "substring/removed")
+    judged = known.join(removed.hint("merge"), ["doc_id", "row_key"], "left").select("doc_id", "text", "spans")
     unknown = docs.filter("doc_id is null").withColumn("spans", F.lit(None).cast(judged.schema["spans"].dataType))
     return judged.unionByName(unknown).mapInArrow(
         _keep, f"doc_id {kind}, n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept string")
