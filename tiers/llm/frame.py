@@ -31,14 +31,19 @@ def take(df: DataFrame, *names: str, **renamed: str) -> DataFrame:
     plain = df.toDF(*(f"_{i}" for i in range(len(df.columns))))
     picked = []
     for out, name in wanted.items():
-        at = next((i for i, c in enumerate(df.columns) if c == name),
-                  next((i for i, c in enumerate(df.columns) if c.lower() == name.lower()), None))
-        if at is None:
-            raise ValueError(f"no column {name!r} among {df.columns}")
-        picked.append(F.col(f"_{at}").alias(out))
+        picked.append(F.col(f"_{place(df, name)}").alias(out))
     return plain.select(*picked)
 
 
+def place(df: DataFrame, name: str) -> int:
+    """Position of the column that ``take`` picks for a name."""
+    at = next((i for i, c in enumerate(df.columns) if c == name),
+              next((i for i, c in enumerate(df.columns) if c.lower() == name.lower()), None))
+    if at is None:
+        raise ValueError(f"no column {name!r} among {df.columns}")
+    return at
+
+
 #: Bytes of a batch that goes to a Python worker, where the session has Spark's default
 #: (64 MB, which both ends hold several times over).
 BATCH_BYTES = "4m"
