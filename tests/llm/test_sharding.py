@@ -60,7 +60,20 @@ def test_odd_rows(spark, tmp_path):
     big = spark.createDataFrame([(i, "x" * 1000) for i in range(20)] + [(99, "y" * 100_000)], "k bigint, t string")
     out = sharding.shard(big, ["k"], 3000, F.length("t"))
     sharding.write_shards(out, str(tmp_path / "shards"))
-    back = spark.read.parquet(str(tmp_path / "shards"))
-    assert back.count() == 21
+    back = sharding.read_shards(spark, str(tmp_path / "shards"))
+    assert Counter(map(tuple, back.select("k", "t", "shard").collect())) == Counter(map(tuple, out.select("k", "t", "shard").collect()))
+    assert {r.shard[0] for r in back.collect()} == {"0", "1"} and back.count() == 21
     alone = [r for r in out.groupBy("shard").agg(F.sum(F.length("t")).alias("b"), F.count("*").alias("n")).collect() if r.b > 3000]
     assert [(r.b, r.n) for r in alone] == [(100_000, 1)]
+
+
+def test_written_shards_keep_their_names(spark, tmp_path):
+    """Names that would read as one number, the root shard, copies of a row, and no rows at all."""
+    names = ["00", "010", "10", "011", "110", "111"]
+    cases = {"bits": names, "root": [""], "copies": ["01.0", "01.1", "1"], "none": []}
+    for case, shards in cases.items():
+        df = spark.createDataFrame([(i, s) for i, s in enumerate(shards)], "k bigint, shard string")
+        sharding.write_shards(df, str(tmp_path / case))
+        back = sharding.read_shards(spark, str(tmp_path / case), schema=df.schema)
+        assert back.columns == df.columns
+        assert sorted(map(tuple, back.collect())) == sorted(enumerate(shards))

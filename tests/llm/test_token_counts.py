@@ -1,4 +1,5 @@
 import os
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -6,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm.conftest import DOCUMENTS, ODD_TEXTS, empty_like
-from tiers.llm import token_counts
+from tiers.llm import queries, token_counts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 pytestmark = pytest.mark.skipif(not os.path.exists(PATH), reason="tokenizer files not present")
@@ -65,3 +66,25 @@ def test_odd_rows(spark, documents, clashing):
     assert rows == [("1", 1), ("1", 1), ("1", 2), ("2", 0), ("None", 2), ("None", 2)]
     assert token_counts.count_tokens(empty_like(spark, DOCUMENTS), PATH).count() == 0
     assert token_counts.count_tokens(clashing(["a b"]), PATH).first().n_tokens == 2
+
+
+def test_equal_rows_and_rows_without_id_are_encoded_once(spark, documents, tmp_path):
+    cache = str(tmp_path / "cache")
+    docs = documents([(1, "same text")] * 50 + [(None, "no id")] * 30 + [(2, "no id"), (3, None), (None, "")])
+    got = token_counts.count_tokens(docs.repartition(4), PATH, cache)
+    assert Counter((r.doc_id, r.n_bytes) for r in got.collect()) == {
+        (1, 9): 50, (None, 5): 30, (2, 5): 1, (3, 0): 1, (None, 0): 1}
+    assert spark.read.parquet(cache).count() == 3
+
+
+def test_the_query_counts_like_the_library_and_meets_its_cache(spark, documents, tmp_path):
+    texts = [t for t in ODD_TEXTS if t is None or len(t) < 50_000] + SPECIAL + SPECIAL
+    documents(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    query = queries.QUERIES["op9_token_counts"]
+    first = {r.doc_id: tuple(r) for r in query(spark, str(tmp_path)).collect()}
+    want = library_counts(PATH, [t or "" for t in texts])
+    assert first == {i: (i, len((t or "").encode()), n, n > 512) for i, (t, n) in enumerate(zip(texts, want))}
+    cache = token_counts.shared_cache(spark, PATH)
+    stored = spark.read.parquet(cache).count()
+    assert {r.doc_id: tuple(r) for r in query(spark, str(tmp_path)).collect()} == first
+    assert spark.read.parquet(cache).count() == stored  # nothing was encoded again

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tiers.llm import (decontaminate, divergence, licenses, quality, runs, sentencepiece, sharding, simhash, substring,
                        token_counts, toxicity, url_lists, warc)
-from tiers.llm.frame import read, take, written
+from tiers.llm.frame import DOCUMENT_COLUMNS, read, take
+from tiers.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -29,12 +30,16 @@ SHARD_BYTES = 1 << 20
 
 @register("op1_sharding")
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "documents").select(
-        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"))
-    done = written(sharding.shard(rows, ["doc_id"], SHARD_BYTES, F.col("n_bytes")), "sharded")
-    sizes = written(done.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"), F.count("*").alias("shard_rows")),
-                    "shard_sizes")
-    return done.join(sizes, "shard").withColumn("depth", F.length("shard"))
+    """Whole documents are written by shard; every column comes from the shards as read back."""
+    docs = take(read(spark, sf_dir, "documents"), *DOCUMENT_COLUMNS)
+    path = shared_dir(spark, "llm", "shards")
+    sharded = sharding.shard(docs, ["doc_id"], SHARD_BYTES, F.octet_length("text"))
+    sharding.write_shards(sharded, path)
+    done = sharding.read_shards(spark, path, schema=sharded.schema).select(
+        "doc_id", "shard", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"))
+    sizes = done.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"), F.count("*").alias("shard_rows"))
+    return (done.join(sizes, "shard").withColumn("depth", F.length("shard"))
+            .select("shard", "doc_id", "n_bytes", "shard_bytes", "shard_rows", "depth"))
 
 
 SQL["op1_sharding"] = f"""
@@ -207,8 +212,10 @@ SELECT page_id, record_type, {_duck_id("refers_to, record_type")} AS record_id,
 
 @register("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = token_counts.count_tokens(read(spark, sf_dir, "documents"),
-                                       public_tokenizers.path("byte_bpe_50k.json"))
+    """Texts counted by an earlier call over the same shared folder are not encoded again."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    counts = token_counts.count_tokens(read(spark, sf_dir, "documents"), tokenizer,
+                                       token_counts.shared_cache(spark, tokenizer))
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 

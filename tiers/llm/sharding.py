@@ -23,8 +23,9 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tiers.llm.frame import take, written
 
@@ -134,6 +135,21 @@ def _copies(rows: DataFrame, limit: int) -> DataFrame:
                         F.concat("path", F.lit("."), F.col("i").cast("string")).alias("shard")).drop("_")
 
 
+#: Folder of a shard: a letter before the bits, so that a name is never read as a number
+#: and the one shard of a table that fits it has a name too.
+_FOLDER = "s"
+
+
 def write_shards(sharded: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """One folder per shard; a shard is written by one task, since it is bounded."""
-    sharded.repartition("shard").write.partitionBy("shard").format(fmt).save(path)
+    """One folder per shard, ``shard=s<bits>``; a shard is written by one task, since it is bounded.
+    ``read_shards`` gives the rows back with the names of their shards."""
+    named = sharded.withColumn("shard", F.concat(F.lit(_FOLDER), "shard"))
+    named.repartition("shard").write.partitionBy("shard").format(fmt).save(path)
+
+
+def read_shards(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
+    """The rows of ``write_shards`` with their ``shard``. ``schema`` (of the written frame) is
+    needed only where no row was written."""
+    reader = spark.read.format(fmt)
+    back = (reader.schema(schema) if schema is not None else reader).load(path)
+    return back.withColumn("shard", F.substring("shard", len(_FOLDER) + 1, 1 << 30))

@@ -135,9 +135,9 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None) -> D
 
     Plan: one representative id per missing digest (a hash aggregate that is
     combined map-side, so copies that make up a third of the rows shrink to a
-    row per task), then the texts meet it by (doc_id, digest): ids spread
-    evenly, so no group of copies gathers in a task. Only representatives are
-    encoded. A NULL id is matched like any value.
+    row per task), then texts meet it by (id, digest). Rows equal in both, and all
+    rows without id of a text, fold map-side before that shuffle, which the join
+    shares: one row per missing digest is left to encode.
     """
     spark = docs.sparkSession
     cache = cache or shared_dir(spark, "llm", "token_cache")
@@ -148,22 +148,26 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None) -> D
                                                            F.col("text").cast("binary")), 256))))
     light = keyed.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
     stored = _read_cache(spark, cache)
-    # the smallest id of a digest; a digest with NULL ids only is matched null-safe
-    missing = (light.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    # ids as text, so that a missing one is a value like any other
+    place = F.to_json(F.struct("doc_id")).alias("place")
+    missing = (light.groupBy("digest").agg(F.min(place).alias("place"))
                .join(stored, "digest", "left_anti"))
-    to_encode = keyed.alias("k").join(
-        missing.hint("shuffle_hash").alias("m"),
-        F.col("k.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("k.digest") == F.col("m.digest")),
-        "left_semi").select("k.digest", "k.text")
+    to_encode = (keyed.groupBy(place, "digest").agg(F.first("text").alias("text"))
+                 .join(missing, ["place", "digest"], "left_semi").select("digest", "text"))
     (to_encode.mapInArrow(_encode(tokenizer), CACHE_SCHEMA)
      .write.mode("append").parquet(cache))
-    # rows with equal id and text were encoded once each: fold them. Written, so
-    # that the join reads both sides straight from a shuffle and the copies of a
-    # text that holds a third of the rows are split between tasks at run time
+    # digests that two runs stored are folded. Written, so that the join reads both
+    # sides straight from a shuffle and the copies of a text that holds a third of
+    # the rows are split between tasks at run time
     counts = written(_read_cache(spark, cache).groupBy("digest").agg(F.min("n_tokens").alias("n_tokens")), "counts")
     return light.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens")
 
 
+def shared_cache(spark: SparkSession, tokenizer: str) -> str:
+    """The cache of a tokenizer version under the shared folder, which later calls meet again."""
+    return shared_dir(spark, "llm", "token_counts", tokenizer_version(tokenizer), unique=False)
+
+
 def _read_cache(spark: SparkSession, cache: str) -> DataFrame:
     path = spark._jvm.org.apache.hadoop.fs.Path(cache)
     if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
