@@ -91,17 +91,20 @@ class Ftrl:
         return cls(np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1))
 
     def weights(self, at) -> np.ndarray:
-        z, n = self.z[at], self.n[at]
-        l1 = np.where(np.asarray(at) == len(self.z) - 1, 0.0, L1)
-        return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
+        return self._weights(np.asarray(at), self.z[at], np.sqrt(self.n[at]))
+
+    def _weights(self, at: np.ndarray, z: np.ndarray, root: np.ndarray) -> np.ndarray:
+        over = np.abs(z) - np.where(at == len(self.z) - 1, 0.0, L1)
+        return np.where(over <= 0, 0.0, -np.sign(z) * over / ((BETA + root) / ALPHA + L2))
 
     def learn(self, at: np.ndarray, label: float) -> None:
-        w = self.weights(at)
+        z, n = self.z[at], self.n[at]
+        root = np.sqrt(n)
+        w = self._weights(at, z, root)
         g = _logistic(w.sum()) - label
-        n = self.n[at]
-        new = n + g * g
-        self.z[at] += g - (np.sqrt(new) - np.sqrt(n)) / ALPHA * w
-        self.n[at] = new
+        n += g * g
+        self.z[at] = z + g - (np.sqrt(n) - root) / ALPHA * w
+        self.n[at] = n
 
 
 _ADDED = "shard int, first int, at binary, z binary, n binary"
@@ -120,23 +123,33 @@ def _pieces(state: Ftrl, start: np.ndarray, shard: int) -> Iterator[pa.RecordBat
                 names=["shard", "first", "at", "z", "n"])
 
 
+def _featured(bits: int):
+    """Texts of rows replaced by their distinct coordinates (``at``, 32-bit integers in order)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices([batch]):
+                row, at = features(texts_of(part), bits)
+                code = np.unique(row * (1 << bits) + at)
+                cuts = np.searchsorted(code, np.arange(part.num_rows + 1) * (1 << bits))
+                at = (code & ((1 << bits) - 1)).astype(np.int32)
+                found = pa.array([at[a:b].tobytes() for a, b in pairwise(cuts)], pa.binary())
+                kept = part.select([c for c in part.schema.names if c != "text"])
+                yield kept.append_column("at", found)
+    return run
+
+
 def _train(batches: Iterator[pa.RecordBatch], start: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
-    """Each shard's pass over its rows, which come in order; texts are read as a stream."""
+    """Each shard's pass over its rows, which come in order, a batch at a time."""
     state, shard = None, None
+    bias = np.array([1 << bits], dtype=np.int32)
     for batch in batches:
-        for part in text_slices([batch]):
-            shards = part["shard"].to_numpy()
-            for a, b in pairwise([0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]):
-                if shards[a] != shard:
-                    if state is not None:
-                        yield from _pieces(state, start, shard)
-                    state, shard = Ftrl(*(x.astype(float) for x in start)), int(shards[a])
-                rows = part.slice(a, b - a)
-                row, at = features(texts_of(rows), bits)
-                code = np.unique(row * (1 << bits) + at)  # distinct features of each row, rows in order
-                cuts = np.searchsorted(code, np.arange(b - a + 1) * (1 << bits))
-                for (c, d), label in zip(pairwise(cuts), rows["label"].to_pylist()):
-                    state.learn(np.append(code[c:d] & ((1 << bits) - 1), 1 << bits), float(label))
+        for of_shard, label, at in zip(*(batch.column(batch.schema.get_field_index(c)) for c in ("shard", "label", "at"))):
+            if of_shard.as_py() != shard:
+                if state is not None:
+                    yield from _pieces(state, start, shard)
+                state, shard = Ftrl(*(x.astype(float) for x in start)), of_shard.as_py()
+            met = np.frombuffer(at.as_buffer(), dtype=np.int32)
+            state.learn(np.concatenate([met, bias]), float(label.as_py()))
     if state is not None:
         yield from _pieces(state, start, shard)
 
@@ -171,14 +184,17 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, shards: in
     Shards send every place of the state that they change, in single precision; Spark
     averages by piece, and the driver adds up in double precision. A round shuffles
     ``10 * shards * 2 ** bits`` bytes at most and the driver gets ``10 * 2 ** bits``,
-    whatever the input. A task holds one state, the start of the round and a slice of texts.
+    whatever the input. Texts become coordinates once, where they are read; a task of a
+    round holds one state, the start of the round and a batch of coordinates.
     """
     spark: SparkSession = docs.sparkSession
     rows = labelled(docs, label_sample(labels, "toxic", fit_rows)).select(
         "doc_id", "label", "text", F.xxhash64("doc_id").alias("turn"),
         F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).cast("int").alias("shard"))
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    rows = rows.select(*[c for c in rows.columns if c != "text"], "text").mapInArrow(_featured(bits), f"{kept}, at binary")
     rows = (rows.repartition(shards, "shard").sortWithinPartitions("shard", "turn", "doc_id", "label")
-            .select("shard", "label", "text").persist())
+            .select("shard", "label", "at").persist())
     z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
     try:
         for _ in range(rounds):
