@@ -509,6 +509,54 @@ q("ingest_report", _values(_report_rows()), *_INPUTS)
 q("ingested_rows", _values([[("table_name", _table(s, n)), ("n_rows", _rows_of(n))]
                             for s, n in LANDING if _status(n) == "ok"]), *_INPUTS)
 
+# A second ingest after a newer export of the category table: only that one is read.
+NEW = "20260201000000"
+
+
+def _again_rows():
+    rows = []
+    for s, n in LANDING:
+        status = {"ok": "unchanged"}.get(_status(n), _status(n))
+        count = _rows_of(n) if status in ("unchanged", "empty") else "(CAST(NULL AS BIGINT))"
+        if n == f"{STAMP}_px_cat_g1v2.csv":
+            status, count = "superseded", "(CAST(NULL AS BIGINT))"
+        rows.append([("subset", s), ("file_name", n), ("table_name", _table(s, n)), ("status", status), ("rows", count)])
+    rows.append([("subset", "erp"), ("file_name", f"{NEW}_px_cat_g1v2.csv"), ("table_name", "erp_px_cat_g1v2"), ("status", "ok"),
+                 ("rows", "(SELECT count(*) FROM r_erp_px_cat_g1v2 WHERE CAT IS NOT NULL)")])
+    return rows
+
+
+q("ingest_again", _values(_again_rows()), *_INPUTS)
+# of the other layers, only what reads the category table is built again
+q("run_again", _values([[("layer", layer), ("table_name", t),
+                         ("status", "ok" if t in ("erp_px_cat_g1v2", "dim_product") else "unchanged")]
+                        for layer, names in (("silver", ("crm_cust_info", "prd_info", "sales_details", "erp_cust_az12",
+                                                         "loc_a101", "erp_px_cat_g1v2")),
+                                             ("gold", ("dim_customer", "dim_product", "fact_sales"))) for t in names]))
+_KEYED = {"crm_cust_info": ("r_crm_cust_info", "cst_id IS NOT NULL AND cst_key IS NOT NULL"),
+          "prd_info": ("r_crm_prd_info", "prd_id IS NOT NULL AND prd_key IS NOT NULL"),
+          "sales_details": ("r_crm_sales_details",
+                            "sls_ord_num IS NOT NULL AND sls_prd_key IS NOT NULL AND sls_cust_id IS NOT NULL"),
+          "erp_cust_az12": ("r_erp_cust_az12", "CID IS NOT NULL"), "loc_a101": ("r_erp_loc_a101", "CID IS NOT NULL"),
+          "erp_px_cat_g1v2": ("r_erp_px_cat_g1v2", "ID IS NOT NULL")}
+_PARSED = {"crm_cust_info": {"cst_create_date": "try_strptime(cst_create_date, '%m/%d/%Y')"},
+           "prd_info": {"prd_cost": "TRY_CAST(prd_cost AS DECIMAL(10,2))"},
+           "sales_details": {c: _ymd(c) for c in ("sls_order_dt", "sls_ship_dt", "sls_due_dt")}
+           | {c: _money(c) for c in ("sls_sales", "sls_price")} | {"sls_quantity": "TRY_CAST(sls_quantity AS INTEGER)"},
+           "erp_cust_az12": {"BDATE": "try_strptime(CAST(BDATE AS VARCHAR), '%Y-%m-%d')"}}
+
+
+def _counts(t: str) -> str:
+    raw, keyed = _KEYED[t]
+    n = {"rows_read": f"(SELECT count(*) FROM {raw})", "no_key": f"(SELECT count(*) FROM {raw} WHERE NOT ({keyed}))",
+         "repeated": f"(SELECT count(*) FROM {raw} WHERE {keyed}) - (SELECT count(*) FROM d_{t})",
+         "kept": f"(SELECT count(*) FROM d_{t})"}
+    n |= {f"lost_{c}": f"(SELECT count(*) FROM d_{t} WHERE {c} IS NOT NULL AND {e} IS NULL)" for c, e in _PARSED.get(t, {}).items()}
+    return " UNION ALL ".join(f"SELECT '{t}' AS table_name, 'ok' AS status, '{m}' AS measure, {e} AS n" for m, e in n.items())
+
+
+q("silver_counts", " UNION ALL ".join(_counts(t) for t in _KEYED), *[r for r, _ in _KEYED.values()], *[f"d_{t}" for t in _KEYED])
+
 # The stored layered run reads the exports back with type inference: ship dates
 # become integers and unit prices doubles, which changes which duplicate the
 # repeatable dedup keeps (trap T1); these CTEs carry the inferred types.

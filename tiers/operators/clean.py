@@ -103,6 +103,27 @@ def dedupe(df: DataFrame, keys, order_by: Sequence[str | Column] | None = None,
               .filter(F.col("__rn") == 1).drop("__rn"))
 
 
+def dedupe_counted(df: DataFrame, required, keys, order_by: Sequence[str] | None = None,
+                   raw: str = "__raw", keyed: str = "__keyed") -> DataFrame:
+    """``require_keys`` and ``dedupe`` in one aggregate that also counts what they drop.
+
+    One row per key, its columns those of the row that ``dedupe`` keeps (NULLs where
+    no row of the key has all required columns), with ``raw``, the rows of the key,
+    and ``keyed``, those with all required columns. The counts ride on the
+    shuffle that the dedup makes anyway, and rows without a key are one row per map task.
+    """
+    keys = _names(keys)
+    rest = [c for c in df.columns if c not in keys]
+    order = list(order_by) if order_by else list(rest)
+    fields = order + [c for c in rest if c not in order]
+    pos = {c: i for i, c in enumerate(fields)}
+    has = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in _names(required)])
+    row = F.struct(F.lit(0).alias("f"), *[F.col(c).alias(f"f{i}") for i, c in enumerate(fields)])
+    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(raw), F.count_if(has).alias(keyed),
+                                F.min(F.when(has, row)).alias("__first"))
+    return agg.select(*[F.col(c) if c in keys else F.col(f"__first.f{pos[c]}").alias(c) for c in df.columns], raw, keyed)
+
+
 def fill_default(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Replace NULL by a default per column (C21). A blank text is not NULL."""
     return df.fillna(dict(defaults))

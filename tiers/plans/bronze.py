@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tiers.plans import state as states
 from tiers.session import label_jobs
 from tiers.sources import catalog, files
 
@@ -58,6 +59,20 @@ def plan_files(spark: SparkSession, base_path: str, subsets: Sequence[str], stri
     return work, problems
 
 
+def export_digests(spark: SparkSession, base_path: str, subsets: Sequence[str]) -> DataFrame:
+    """Digest of every export's files, ``(subset, name, digest)``; unreadable subsets are left out."""
+    parts = []
+    for subset in subsets:
+        try:
+            parts.append(files.fingerprints(spark, base_path.rstrip("/") + "/" + subset.strip("/"), subset=subset))
+        except Exception:               # plan_files reports it
+            continue
+    found = spark.createDataFrame([], "subset string, name string, digest string")
+    for p in parts:
+        found = found.unionByName(p.select("subset", "name", "digest"))
+    return found
+
+
 def _err(e: Exception) -> str:
     return f"{type(e).__name__}: {e}" if str(e) else type(e).__name__
 
@@ -78,7 +93,8 @@ def ingest_file(spark: SparkSession, path: str, table: str, schema=None, infer:
 def ingest(spark: SparkSession, base_path: str, subsets: Sequence[str] = ("crm", "erp"),
            schema: str = "bronze", schemas: Mapping[str, T.StructType | str] | None = None,
            infer: bool = True, fmt: str = "parquet", strip_timestamp: bool = True,
-           latest_only: bool = True, parallelism: int = 4, location: str | None = None) -> DataFrame:
+           latest_only: bool = True, parallelism: int = 4, location: str | None = None,
+           state: str | None = None) -> DataFrame:
     """Run the bronze layer; returns the report ``(subset, file_name, table_name, status, rows, error)``.
 
     ``schemas`` maps a table name (without schema) to an explicit schema; such
@@ -90,10 +106,26 @@ def ingest(spark: SparkSession, base_path: str, subsets: Sequence[str] = ("crm",
     leaves the table to the next one. Without it every file is loaded in name
     order, each overwriting the table. A table's files are handled by one thread,
     so their order is fixed.
+
+    ``state`` names a table that remembers loads (``tiers.plans.state``): an export
+    that is the one its table was last loaded from, with the same files, options
+    and an untouched table, is ``unchanged`` and not read; the others are loaded
+    and recorded. Only with ``latest_only``, where a table has one source.
     """
+    if state and not latest_only:
+        raise ValueError("a state table needs latest_only: one source per table")
     catalog.ensure_schema(spark, schema, location)
     work, report = plan_files(spark, base_path, subsets, strip_timestamp)
     schemas = dict(schemas or {})
+    known, content = {}, {}
+    if state:
+        known = states.remembered(spark, states.ensure(spark, state))
+        content = {(r.subset, r.name): r.digest for r in export_digests(spark, base_path, subsets).collect()}
+
+    def inputs(tname, subset, name):
+        given = schemas.get(tname)
+        return states.digest(content.get((subset, name)), given if given is None or isinstance(given, str) else given.json(),
+                             infer, fmt)
 
     def one(item):
         tname, found = item
@@ -103,8 +135,16 @@ def ingest(spark: SparkSession, base_path: str, subsets: Sequence[str] = ("crm",
                 if latest_only and loaded:
                     rows.append((subset, name, tname, "superseded", None, None))
                     continue
+                target, source = f"{schema}.{tname}", f"{subset}/{name}"
+                seen = states.unchanged(spark, known, target, source, inputs(tname, subset, name)) if state else None
+                if seen is not None:
+                    loaded = True
+                    rows.append((subset, name, tname, "unchanged", seen, None))
+                    continue
                 status, n, err = ingest_file(spark, path, f"{schema}.{tname}", schemas.get(tname), infer, fmt)
                 loaded = loaded or status == "ok"
+                if state and status == "ok":
+                    states.record(spark, state, target, source, inputs(tname, subset, name), n)
                 rows.append((subset, name, tname, status, n, err))
         return rows
 

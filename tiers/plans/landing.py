@@ -19,6 +19,7 @@ from tiers.sources import driver_tables, files
 
 STAMP = "20260101000000"
 OLD_STAMP = "20251231000000"
+NEW_STAMP = "20260201000000"
 
 # (subset, file stem, raw extract)
 EXPORTS = (
@@ -67,6 +68,12 @@ def write_landing(spark: SparkSession, sf_dir: str, base: str | None = None,
     return base
 
 
+def write_newer(spark: SparkSession, sf_dir: str, base: str) -> None:
+    """A newer export of the category table joins a landing folder: its rows that name a category."""
+    raw = driver_tables.raw(spark, sf_dir, "erp_px_cat_g1v2")
+    _write(raw.filter("CAT IS NOT NULL"), f"{base}/erp/{NEW_STAMP}_px_cat_g1v2.csv")
+
+
 def export_schemas(spark: SparkSession, sf_dir: str) -> dict:
     """Bronze table name -> schema of its export, for a one-pass typed ingest."""
     out = {extract: driver_tables.raw(spark, sf_dir, extract).schema for _, _, extract in EXPORTS}

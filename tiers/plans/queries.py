@@ -500,6 +500,47 @@ def ingest_report(spark, sf_dir):
     return _ingested(spark, sf_dir, "bronze_report")[1].drop("error")
 
 
+@register("ingest_again")
+def ingest_again(spark, sf_dir):
+    """Report of a second ingest with a state table, over a landing folder that one new export joined.
+
+    Only that export is read; the tables that stand keep their rows.
+    """
+    schema = _own_schema(spark, "bronze_again")
+    base = landing.write_landing(spark, sf_dir)
+    opts = dict(schema=schema, schemas=landing.SCHEMAS, state=f"{schema}.loads")
+    bronze.ingest(spark, base, ("crm", "erp"), **opts)
+    landing.write_newer(spark, sf_dir, base)
+    return bronze.ingest(spark, base, ("crm", "erp"), **opts).drop("error")
+
+
+@register("run_again")
+def run_again(spark, sf_dir):
+    """Second run of all layers with a state table after one table's new export.
+
+    Silver and gold tables that do not depend on it are left as they are.
+    """
+    names = tuple(_own_schema(spark, f"again_{n}") for n in ("b", "s", "g"))
+    base = landing.write_landing(spark, sf_dir, extras=False)
+    opts = dict(schemas=names, state=f"{names[0]}.builds")
+    runner.run_all(spark, base, ("crm", "erp"), **opts)
+    landing.write_newer(spark, sf_dir, base)
+    report = runner.run_all(spark, base, ("crm", "erp"), **opts)
+    return report.filter("layer <> 'bronze'").select(
+        "layer", F.substring_index("table_name", ".", -1).alias("table_name"), "status")
+
+
+@register("silver_counts")
+def silver_counts(spark, sf_dir):
+    """What became of every silver table's input, observed on the writes of a run."""
+    b, s = _own_schema(spark, "counted_b"), _own_schema(spark, "counted_s")
+    for name in dict.fromkeys(spec.source for spec in SILVER.values()):
+        catalog.save_table(_raw(spark, sf_dir, name), f"{b}.{name}")
+    report = runner.run_silver(spark, b, s, counts=True)
+    return report.select(F.substring_index("table_name", ".", -1).alias("table_name"), "status",
+                         F.explode("counts").alias("measure", "n"))
+
+
 @register("ingested_rows")
 def ingested_rows(spark, sf_dir):
     """What the tables of a bronze run hold: the newest usable export of each."""

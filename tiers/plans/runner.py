@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiers.plans import bronze, gold, silver
+from tiers.plans import state as states
 from tiers.plans.specs import GOLD_SPECS, SILVER
 from tiers.session import label_jobs, shuffle_partitions_for
 from tiers.sources import catalog
@@ -28,6 +29,9 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 
+COUNTED_SCHEMA = T.StructType(REPORT_SCHEMA.fields + [
+    T.StructField("counts", T.MapType(T.StringType(), T.LongType()))])
+
 # Silver tables written without schema replacement in the reference (K2).
 KEEP_SCHEMA = frozenset({"crm_cust_info"})
 
@@ -49,36 +53,75 @@ def _err(e: Exception) -> str:
     return f"{type(e).__name__}: {e}" if str(e) else type(e).__name__
 
 
+def _known(spark: SparkSession, state: str | None) -> dict:
+    return states.remembered(spark, states.ensure(spark, state)) if state else {}
+
+
+def _build(spark: SparkSession, layer: str, target: str, sources: Sequence[str], form: tuple, make,
+           state: str | None, known: dict):
+    """One table of a layer, unless its last build still holds: its report row and counts."""
+    try:
+        source = ",".join(sources)
+        inputs = states.digest(states.versions(spark, sources), form) if state else ""
+        seen = states.unchanged(spark, known, target, source, inputs) if state else None
+        if seen is not None:
+            return (layer, target, "unchanged", seen, None), None
+        rows, counts = make()
+        if state:
+            states.record(spark, state, target, source, inputs, rows)
+        return (layer, target, "ok", rows, None), counts
+    except Exception as e:
+        return (layer, target, "failed", None, _err(e)), None
+
+
 def run_silver(spark: SparkSession, bronze_schema: str = "bronze", silver_schema: str = "silver",
                fmt: str = "parquet", names: Sequence[str] | None = None, parallelism: int = 3,
-               location: str | None = None, **build_opts) -> DataFrame:
-    """Bronze tables -> the six silver tables."""
+               location: str | None = None, counts: bool = False, state: str | None = None,
+               **build_opts) -> DataFrame:
+    """Bronze tables -> the six silver tables.
+
+    ``counts`` adds a map column to the report: rows read, rows without a key, rows
+    that repeat a key, rows kept, and the values each parse lost, all observed on
+    the write itself (``silver.build_counted``). ``state`` names a table that remembers
+    builds: a table whose inputs and options are as they were is ``unchanged``
+    (``tiers.plans.state``), without counts.
+    """
     catalog.ensure_schema(spark, silver_schema, location)
     chosen = list(names or SILVER)
     inputs = _stored(spark, bronze_schema, [SILVER[n].source for n in chosen])
 
     def one(name: str):
         spec = SILVER[name]
-        target = f"{silver_schema}.{spec.name}"
+        target, source = f"{silver_schema}.{spec.name}", f"{bronze_schema}.{spec.source}"
+
+        def make():
+            df, observed = spark.table(source), None
+            if counts:
+                df, observed = silver.build_counted(df, spec, **build_opts)
+            else:
+                df = silver.build(df, spec, **build_opts)
+            res = catalog.save_table(df, target, fmt=fmt, replace_schema=spec.name not in KEEP_SCHEMA)
+            return res["rows"], ({k: v or 0 for k, v in observed.get.items()} if counts else None)
+
         with label_jobs(spark, "silver", target):
-            try:
-                df = silver.build(spark.table(f"{bronze_schema}.{spec.source}"), spec, **build_opts)
-                res = catalog.save_table(df, target, fmt=fmt, replace_schema=spec.name not in KEEP_SCHEMA)
-                return ("silver", target, "ok", res["rows"], None)
-            except Exception as e:
-                return ("silver", target, "failed", None, _err(e))
+            return _build(spark, "silver", target, [source], (name, fmt, counts, sorted(build_opts.items())), make, state, known)
 
+    known = _known(spark, state)
     with shuffle_partitions_for(spark, *inputs):
         done = _run(chosen, one, parallelism)
-    return spark.createDataFrame(done, REPORT_SCHEMA)
+    if counts:
+        return spark.createDataFrame([row + (found,) for row, found in done], COUNTED_SCHEMA)
+    return spark.createDataFrame([row for row, _ in done], REPORT_SCHEMA)
 
 
 def run_gold(spark: SparkSession, silver_schema: str = "silver", gold_schema: str = "gold",
              fmt: str = "parquet", names: Sequence[str] | None = None, parallelism: int = 3,
-             location: str | None = None, plain: bool = False, **build_opts) -> DataFrame:
+             location: str | None = None, plain: bool = False, state: str | None = None,
+             **build_opts) -> DataFrame:
     """Silver tables -> ``dim_customer``, ``dim_product``, ``fact_sales``.
 
-    ``plain`` uses the reference's chained joins instead of checked lookups.
+    ``plain`` uses the reference's chained joins instead of checked lookups;
+    ``state`` as in ``run_silver``.
     """
     catalog.ensure_schema(spark, gold_schema, location)
     chosen = list(names or GOLD_SPECS)
@@ -87,16 +130,18 @@ def run_gold(spark: SparkSession, silver_schema: str = "silver", gold_schema: st
     def one(name: str):
         spec = GOLD_SPECS[name]
         target = f"{gold_schema}.{spec.name}"
+        needed = [spec.base] + [lk.table for lk in spec.lookups]
+
+        def make():
+            tables = {t: spark.table(f"{silver_schema}.{t}") for t in needed}
+            df = gold.build_plain(spec, tables) if plain else gold.build(spec, tables, **build_opts)
+            return catalog.save_table(df, target, fmt=fmt)["rows"], None
+
         with label_jobs(spark, "gold", target):
-            try:
-                needed = [spec.base] + [lk.table for lk in spec.lookups]
-                tables = {t: spark.table(f"{silver_schema}.{t}") for t in needed}
-                df = gold.build_plain(spec, tables) if plain else gold.build(spec, tables, **build_opts)
-                res = catalog.save_table(df, target, fmt=fmt)
-                return ("gold", target, "ok", res["rows"], None)
-            except Exception as e:
-                return ("gold", target, "failed", None, _err(e))
+            return _build(spark, "gold", target, [f"{silver_schema}.{t}" for t in needed],
+                          (name, fmt, plain, sorted(build_opts.items())), make, state, known)[0]
 
+    known = _known(spark, state)
     with shuffle_partitions_for(spark, *inputs):
         done = _run(chosen, one, parallelism)
     return spark.createDataFrame(done, REPORT_SCHEMA)
@@ -106,12 +151,17 @@ def run_all(spark: SparkSession, base_path: str, subsets: Sequence[str] = ("crm"
             schemas: tuple[str, str, str] = ("bronze", "silver", "gold"), fmt: str = "parquet",
             location: str | None = None, bronze_opts: dict | None = None,
             silver_opts: dict | None = None, gold_opts: dict | None = None,
-            faithful: bool = False) -> DataFrame:
+            faithful: bool = False, state: str | None = None) -> DataFrame:
     """bronze -> silver -> gold in the reference's fixed order; one report for all layers.
 
     ``faithful=True`` reproduces the reference exactly: strict casts and
     dates (a bad value fails the table under ANSI, T3/T5), ``dropDuplicates``
     (an undefined duplicate survives, T1) and plain chained joins.
+
+    ``state`` names a table that remembers builds over runs: a run touches only
+    exports that are new or changed and tables whose inputs changed, so a run that
+    failed in a layer goes on there. With ``silver_opts={"counts": True}`` the
+    report has the silver counts.
     """
     b, s, g = schemas
     silver_opts = dict(silver_opts or {})
@@ -122,11 +172,12 @@ def run_all(spark: SparkSession, base_path: str, subsets: Sequence[str] = ("crm"
         gold_opts.setdefault("plain", True)
     loc = (lambda n: f"{location.rstrip('/')}/{n}") if location else (lambda n: None)
     rep_b = bronze.ingest(spark, base_path, subsets, schema=b, fmt=fmt, location=loc(b),
-                          **(bronze_opts or {}))
+                          state=state, **(bronze_opts or {}))
     rep_b = rep_b.select(F.lit("bronze").alias("layer"),
                          F.when(F.col("table_name").isNull(), F.col("subset"))
                           .otherwise(F.concat(F.lit(b + "."), F.col("table_name"))).alias("table_name"),
                          "status", "rows", "error")
-    rep_s = run_silver(spark, b, s, fmt=fmt, location=loc(s), **silver_opts)
-    rep_g = run_gold(spark, s, g, fmt=fmt, location=loc(g), **gold_opts)
-    return rep_b.unionByName(rep_s).unionByName(rep_g)
+    rep_s = run_silver(spark, b, s, fmt=fmt, location=loc(s), state=state, **silver_opts)
+    rep_g = run_gold(spark, s, g, fmt=fmt, location=loc(g), state=state, **gold_opts)
+    return (rep_b.unionByName(rep_s, allowMissingColumns=True)
+            .unionByName(rep_g, allowMissingColumns=True))

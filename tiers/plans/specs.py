@@ -41,6 +41,7 @@ class SilverSpec:
     rules: tuple[Rule, ...]        # ordered column rules (stamp included)
     order_by: tuple[str, ...] | None = None   # which duplicate stays (default: all columns)
     key: tuple[str, ...] = ()      # the key after rewrites (checked by unique_key)
+    parsed: tuple[str, ...] = ()   # columns whose rule parses text: a value may be lost
     source_id: tuple[str, str] | None = None  # (column a rule overwrites, name to keep it under)
 
 
@@ -51,6 +52,7 @@ def _stamp(_strict: bool) -> Column:
 CRM_CUST_INFO = SilverSpec(
     name="crm_cust_info", source="crm_cust_info",
     required=("cst_id", "cst_key"), dedupe_on=("cst_key",), key=("cst_key",),
+    parsed=("cst_create_date",),
     rules=(
         ("cst_firstname", lambda s: text.title("cst_firstname")),
         ("cst_lastname", lambda s: text.title("cst_lastname")),
@@ -64,7 +66,7 @@ CRM_CUST_INFO = SilverSpec(
 PRD_INFO = SilverSpec(
     name="prd_info", source="crm_prd_info",
     required=("prd_id", "prd_key"), dedupe_on=("prd_key",), key=("prd_key",),
-    source_id=("prd_id", "prd_num"),
+    parsed=("prd_cost",), source_id=("prd_id", "prd_num"),
     rules=(
         ("prd_nm", lambda s: text.title("prd_nm")),
         ("prd_line", lambda s: text.code("prd_line")),
@@ -80,6 +82,7 @@ SALES_DETAILS = SilverSpec(
     name="sales_details", source="crm_sales_details",
     required=("sls_ord_num", "sls_prd_key", "sls_cust_id"),
     dedupe_on=("sls_ord_num", "sls_prd_key"), key=("sls_ord_num", "sls_prd_key"),
+    parsed=("sls_order_dt", "sls_ship_dt", "sls_due_dt", "sls_sales", "sls_price", "sls_quantity"),
     rules=(
         ("sls_order_dt", lambda s: parse.to_date("sls_order_dt", "yyyyMMdd", strict=s)),
         ("sls_ship_dt", lambda s: parse.to_date("sls_ship_dt", "yyyyMMdd", strict=s)),
@@ -93,7 +96,7 @@ SALES_DETAILS = SilverSpec(
 
 ERP_CUST_AZ12 = SilverSpec(
     name="erp_cust_az12", source="erp_cust_az12",
-    required=("CID",), dedupe_on=("CID",), key=("CID",),
+    required=("CID",), dedupe_on=("CID",), key=("CID",), parsed=("BDATE",),
     rules=(
         ("GEN", lambda s: text.initial("GEN")),
         ("BDATE", lambda s: parse.to_date("BDATE", "yyyy-MM-dd", strict=s)),

@@ -105,6 +105,11 @@ def _details(spark: SparkSession, table: str) -> dict[str, str]:
     return {r.col_name: r.data_type for r in rows if r.col_name}
 
 
+def location(spark: SparkSession, table: str) -> str:
+    """The folder that holds a table's rows now."""
+    return _details(spark, table)["Location"]
+
+
 def _keeps_shape(spark: SparkSession, df: DataFrame, table: str, fmt: str) -> bool:
     """True if ``df`` can become the table's rows by a new location alone."""
     if not table_exists(spark, table):

@@ -62,6 +62,49 @@ def list_files(spark: SparkSession, path: str, suffix: str = ".csv", subset: str
     return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 
+def _leaves(spark: SparkSession, path: str) -> DataFrame:
+    """Every data file under ``path``: its place below it, bytes and time.
+
+    Spark lists the tree (folders are spread over the executors where there are
+    many) and the file names stay a DataFrame; no content is read.
+    """
+    fs, hpath = _fs(spark, path)
+    root = fs.makeQualified(hpath).toString().rstrip("/")
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select("path", "length", "modificationTime"))
+    # a file is a partition of its own: a few tasks a core read off all of them
+    found = found.coalesce(4 * spark.sparkContext.defaultParallelism)
+    place = F.when(F.col("path") == root, F.substring_index("path", "/", -1)).otherwise(
+        F.substr("path", F.lit(len(root) + 2)))
+    return found.select(place.alias("place"), "length", F.unix_micros("modificationTime").alias("modified"))
+
+
+def _digest() -> list[Column]:
+    """A digest of a set of files that needs no order, so it merges: count, bytes, and two sums of hashes."""
+    parts = ["place", "length", "modified"]
+    one = F.xxhash64(*parts)
+    two = F.xxhash64(F.lit("second"), *parts).cast("decimal(38,0)")
+    return [F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("size"),
+            F.sha2(F.concat_ws(":", F.count(F.lit(1)), F.sum("length"), F.bit_xor(one), F.sum(two)), 256).alias("digest")]
+
+
+def fingerprints(spark: SparkSession, path: str, suffix: str = ".csv", subset: str = "") -> DataFrame:
+    """Entries of ``path`` by their content's place, size and time: ``(subset, name, n_files, size, digest)``.
+
+    Like ``list_files``, but a folder of parts is looked into: a part that is
+    added, removed or rewritten changes the entry's digest. An entry without any
+    file has no row.
+    """
+    name = F.substring_index("place", "/", 1)
+    found = _leaves(spark, path).withColumn("name", name).filter(F.col("name").endswith(suffix))
+    return found.groupBy("name").agg(*_digest()).select(F.lit(subset).alias("subset"), "name", "n_files", "size", "digest")
+
+
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """One digest of all files under ``path``."""
+    return _leaves(spark, path).agg(*_digest()).first().digest
+
+
 def table_name(subset: Column | str, name: Column | str, strip_timestamp: bool = True) -> Column:
     """``<subset without '/'>_<file name - '.csv' - leading 'digits_'>``, '-' and ' ' -> '_' (K9).
 
