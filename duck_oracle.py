@@ -555,6 +555,7 @@ def _counts(t: str) -> str:
     return " UNION ALL ".join(f"SELECT '{t}' AS table_name, 'ok' AS status, '{m}' AS measure, {e} AS n" for m, e in n.items())
 
 
+q("bucketed_fact_sales", "SELECT * FROM g_fact_sales", "g_fact_sales")
 q("silver_counts", " UNION ALL ".join(_counts(t) for t in _KEYED), *[r for r, _ in _KEYED.values()], *[f"d_{t}" for t in _KEYED])
 
 # The stored layered run reads the exports back with type inference: ship dates

@@ -530,13 +530,29 @@ def run_again(spark, sf_dir):
         "layer", F.substring_index("table_name", ".", -1).alias("table_name"), "status")
 
 
+def _saved_raw(spark, sf_dir, prefix) -> str:
+    """The raw extracts as bronze tables of a schema of their own."""
+    schema = _own_schema(spark, prefix)
+    for name in dict.fromkeys(spec.source for spec in SILVER.values()):
+        catalog.save_table(_raw(spark, sf_dir, name), f"{schema}.{name}")
+    return schema
+
+
+@register("bucketed_fact_sales")
+def bucketed_fact_sales(spark, sf_dir):
+    """``fact_sales`` over silver tables stored in buckets of their join key."""
+    s = _own_schema(spark, "bucketed_s")
+    runner.run_silver(spark, _saved_raw(spark, sf_dir, "bucketed_b"), s, buckets=8)
+    spec = GOLD_SPECS["fact_sales"]
+    return gold.build(spec, {t: catalog.read_table(spark, f"{s}.{t}") for t in [spec.base] + [lk.table for lk in spec.lookups]},
+                      stamp=False)
+
+
 @register("silver_counts")
 def silver_counts(spark, sf_dir):
     """What became of every silver table's input, observed on the writes of a run."""
-    b, s = _own_schema(spark, "counted_b"), _own_schema(spark, "counted_s")
-    for name in dict.fromkeys(spec.source for spec in SILVER.values()):
-        catalog.save_table(_raw(spark, sf_dir, name), f"{b}.{name}")
-    report = runner.run_silver(spark, b, s, counts=True)
+    s = _own_schema(spark, "counted_s")
+    report = runner.run_silver(spark, _saved_raw(spark, sf_dir, "counted_b"), s, counts=True)
     return report.select(F.substring_index("table_name", ".", -1).alias("table_name"), "status",
                          F.explode("counts").alias("measure", "n"))
 

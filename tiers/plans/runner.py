@@ -77,14 +77,16 @@ def _build(spark: SparkSession, layer: str, target: str, sources: Sequence[str],
 def run_silver(spark: SparkSession, bronze_schema: str = "bronze", silver_schema: str = "silver",
                fmt: str = "parquet", names: Sequence[str] | None = None, parallelism: int = 3,
                location: str | None = None, counts: bool = False, state: str | None = None,
-               **build_opts) -> DataFrame:
+               buckets: int | None = None, **build_opts) -> DataFrame:
     """Bronze tables -> the six silver tables.
 
     ``counts`` adds a map column to the report: rows read, rows without a key, rows
     that repeat a key, rows kept, and the values each parse lost, all observed on
     the write itself (``silver.build_counted``). ``state`` names a table that remembers
     builds: a table whose inputs and options are as they were is ``unchanged``
-    (``tiers.plans.state``), without counts.
+    (``tiers.plans.state``), without counts. ``buckets`` stores every table in that
+    many buckets of its spec's ``join_key``, so that the gold joins on it, run after
+    run, need no shuffle; choose it by the largest table's bytes.
     """
     catalog.ensure_schema(spark, silver_schema, location)
     chosen = list(names or SILVER)
@@ -100,11 +102,12 @@ def run_silver(spark: SparkSession, bronze_schema: str = "bronze", silver_schema
                 df, observed = silver.build_counted(df, spec, **build_opts)
             else:
                 df = silver.build(df, spec, **build_opts)
-            res = catalog.save_table(df, target, fmt=fmt, replace_schema=spec.name not in KEEP_SCHEMA)
+            res = catalog.save_table(df, target, fmt=fmt, replace_schema=spec.name not in KEEP_SCHEMA,
+                                     bucket_by=(buckets, spec.join_key) if buckets and spec.join_key else None)
             return res["rows"], ({k: v or 0 for k, v in observed.get.items()} if counts else None)
 
         with label_jobs(spark, "silver", target):
-            return _build(spark, "silver", target, [source], (name, fmt, counts, sorted(build_opts.items())), make, state, known)
+            return _build(spark, "silver", target, [source], (name, fmt, counts, buckets, sorted(build_opts.items())), make, state, known)
 
     known = _known(spark, state)
     with shuffle_partitions_for(spark, *inputs):

@@ -42,6 +42,7 @@ class SilverSpec:
     order_by: tuple[str, ...] | None = None   # which duplicate stays (default: all columns)
     key: tuple[str, ...] = ()      # the key after rewrites (checked by unique_key)
     parsed: tuple[str, ...] = ()   # columns whose rule parses text: a value may be lost
+    join_key: str | None = None    # gold joins on it: the column to bucket a stored table by
     source_id: tuple[str, str] | None = None  # (column a rule overwrites, name to keep it under)
 
 
@@ -52,7 +53,7 @@ def _stamp(_strict: bool) -> Column:
 CRM_CUST_INFO = SilverSpec(
     name="crm_cust_info", source="crm_cust_info",
     required=("cst_id", "cst_key"), dedupe_on=("cst_key",), key=("cst_key",),
-    parsed=("cst_create_date",),
+    parsed=("cst_create_date",), join_key="cst_key",
     rules=(
         ("cst_firstname", lambda s: text.title("cst_firstname")),
         ("cst_lastname", lambda s: text.title("cst_lastname")),
@@ -66,7 +67,7 @@ CRM_CUST_INFO = SilverSpec(
 PRD_INFO = SilverSpec(
     name="prd_info", source="crm_prd_info",
     required=("prd_id", "prd_key"), dedupe_on=("prd_key",), key=("prd_key",),
-    parsed=("prd_cost",), source_id=("prd_id", "prd_num"),
+    parsed=("prd_cost",), join_key="prd_id", source_id=("prd_id", "prd_num"),
     rules=(
         ("prd_nm", lambda s: text.title("prd_nm")),
         ("prd_line", lambda s: text.code("prd_line")),
@@ -83,6 +84,7 @@ SALES_DETAILS = SilverSpec(
     required=("sls_ord_num", "sls_prd_key", "sls_cust_id"),
     dedupe_on=("sls_ord_num", "sls_prd_key"), key=("sls_ord_num", "sls_prd_key"),
     parsed=("sls_order_dt", "sls_ship_dt", "sls_due_dt", "sls_sales", "sls_price", "sls_quantity"),
+    join_key="sls_prd_key",
     rules=(
         ("sls_order_dt", lambda s: parse.to_date("sls_order_dt", "yyyyMMdd", strict=s)),
         ("sls_ship_dt", lambda s: parse.to_date("sls_ship_dt", "yyyyMMdd", strict=s)),
@@ -96,7 +98,7 @@ SALES_DETAILS = SilverSpec(
 
 ERP_CUST_AZ12 = SilverSpec(
     name="erp_cust_az12", source="erp_cust_az12",
-    required=("CID",), dedupe_on=("CID",), key=("CID",), parsed=("BDATE",),
+    required=("CID",), dedupe_on=("CID",), key=("CID",), parsed=("BDATE",), join_key="CID",
     rules=(
         ("GEN", lambda s: text.initial("GEN")),
         ("BDATE", lambda s: parse.to_date("BDATE", "yyyy-MM-dd", strict=s)),
@@ -108,7 +110,7 @@ ERP_CUST_AZ12 = SilverSpec(
 
 LOC_A101 = SilverSpec(
     name="loc_a101", source="erp_loc_a101",
-    required=("CID",), dedupe_on=("CID",), key=("CID",),
+    required=("CID",), dedupe_on=("CID",), key=("CID",), join_key="CID",
     rules=(
         ("CNTRY", lambda s: F.coalesce(text.code("CNTRY"), F.lit("UNKNOWN"))),
         (CLEANED, _stamp),
@@ -118,7 +120,7 @@ LOC_A101 = SilverSpec(
 
 ERP_PX_CAT_G1V2 = SilverSpec(
     name="erp_px_cat_g1v2", source="erp_px_cat_g1v2",
-    required=("ID",), dedupe_on=("ID",), key=("ID",),
+    required=("ID",), dedupe_on=("ID",), key=("ID",), join_key="ID",
     rules=(
         ("CAT", lambda s: text.code("CAT")),
         ("SUBCAT", lambda s: text.code("SUBCAT")),

@@ -54,7 +54,7 @@ TRANSACTIONAL = frozenset({"delta", "iceberg", "hudi"})
 
 
 def save_table(df: DataFrame, table: str, fmt: str = "parquet", replace_schema: bool = True,
-               partition_by=None, staged: bool | None = None) -> dict:
+               partition_by=None, staged: bool | None = None, bucket_by: tuple[int, str] | None = None) -> dict:
     """Overwrite a managed table with ``df`` and return ``{"table", "rows"}`` (K1, K2, A1).
 
     * The row count is observed on the write itself: no second pass (A1).
@@ -69,6 +69,9 @@ def save_table(df: DataFrame, table: str, fmt: str = "parquet", replace_schema:
       and swapped in by rename. A transactional format
       (its overwrite is atomic) needs no staging, and is told to replace the
       schema where that is asked for.
+    * ``bucket_by`` = (number, column): rows are dealt by the column's hash once, one
+      sorted file per bucket, so that later joins and aggregates on it need no
+      shuffle. Such a table always goes by rename.
     """
     spark = df.sparkSession
     if staged is None:
@@ -77,11 +80,15 @@ def save_table(df: DataFrame, table: str, fmt: str = "parquet", replace_schema:
         check_schema(spark, df, table)
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if staged and not partition_by and _keeps_shape(spark, df, table, fmt):
+    if staged and not partition_by and not bucket_by and _keeps_shape(spark, df, table, fmt):
         new_version(observed, table, fmt)
         return {"table": table, "rows": int(obs.get["rows"])}
     target = f"{table}__staging_{uuid.uuid4().hex[:8]}" if staged else table
+    if bucket_by:
+        observed = observed.repartition(*bucket_by)
     writer = observed.write.format(fmt).mode("overwrite")
+    if bucket_by:
+        writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
     if not staged and replace_schema:
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
