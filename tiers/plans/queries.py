@@ -455,13 +455,21 @@ def _listing(spark, sf_dir):
             .unionByName(files.list_files(spark, f"{base}/erp", subset="erp")))
 
 
+def _nth_last(path, n):
+    """The ``n``-th element of a path from its end."""
+    return F.substring_index(F.substring_index(path, "/", -n), "/", 1)
+
+
 def _counted(spark, sf_dir, listing):
-    """A listing with the data rows that every export holds (its lines, less one header per part)."""
+    """A listing with the data rows that every export holds (its lines, less one header per part).
+
+    Lines are counted by the path as the scan gives it; it is decoded and cut once per part.
+    The cuts are never NULL: else the join's IS NOT NULL on them is pushed down to every line.
+    """
     lines = files.peek_text(spark, f"{cached_landing(spark, sf_dir)}/*/*.csv/*.csv", n=None)
-    path = F.url_decode(F.col("_metadata.file_path"))
-    rows = (lines.select(path.alias("path")).groupBy("path").agg((F.count(F.lit(1)) - 1).alias("n"))
-            .groupBy(F.regexp_extract("path", r"([^/]+)/[^/]+/[^/]+$", 1).alias("subset"),
-                     F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("name")).agg(F.sum("n").alias("n_rows")))
+    parts = (lines.groupBy(F.col("_metadata.file_path").alias("uri")).agg((F.count(F.lit(1)) - 1).alias("n"))
+             .select(F.coalesce(F.url_decode("uri"), F.lit("")).alias("path"), "n"))
+    rows = parts.groupBy(_nth_last("path", 3).alias("subset"), _nth_last("path", 2).alias("name")).agg(F.sum("n").alias("n_rows"))
     return listing.join(rows, ["subset", "name"], "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("long")))
 
 
