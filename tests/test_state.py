@@ -176,3 +176,38 @@ def test_the_last_build_of_a_table_counts(spark, tmp_path):
     assert state.unchanged(spark, known, "states.t", "src", "digest 1") is None
     assert spark.table("states.builds").filter("built_at IS NULL").count() == 0
     assert dt.datetime.now().year >= spark.table("states.builds").first().built_at.year
+
+
+def test_a_large_bronze_table_is_deduplicated_in_two_phases(spark, rows, tmp_path, monkeypatch):
+    """The rows of the plain form, and no shuffle of rows whose key stands once."""
+    from tiers.operators import clean
+    catalog.ensure_schema(spark, "two_b", str(tmp_path / "two_b"))
+    sales = _sales(spark)
+    catalog.save_table(sales, "two_b.crm_sales_details")
+    want = rows(silver.build(spark.table("two_b.crm_sales_details"), "sales_details", stamp=False))
+    phases = []
+    plain = clean._dedupe_repeated
+    monkeypatch.setattr(clean, "_dedupe_repeated", lambda *a: phases.append(1) or plain(*a))
+    for most in (clean.BROADCAST_KEYS, 0):       # beyond the bound all rows go through the plain form
+        monkeypatch.setattr(clean, "BROADCAST_KEYS", most)
+        for least, name in ((0, "two_s"), (1 << 40, "one_s")):
+            phases.clear()
+            monkeypatch.setattr(runner, "TWO_PHASE_BYTES", least)
+            report = runner.run_silver(spark, "two_b", f"{name}{most}", names=["sales_details"], location=str(tmp_path / f"{name}{most}"))
+            assert report.first().status == "ok" and len(phases) == (least == 0)
+            assert rows(spark.table(f"{name}{most}.sales_details").drop("_cleaned_timestamp")) == want
+
+
+def test_gold_may_broadcast_what_aqe_has_measured(spark):
+    from tiers.session import aqe_broadcast
+    key, static = "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(static)
+    with aqe_broadcast(spark, "64m"):
+        assert spark.conf.get(key) == "64m" and spark.conf.get(static) == before
+    assert spark.conf.get(key, None) is None
+    try:
+        spark.conf.set(static, "-1")
+        with aqe_broadcast(spark, "64m"):        # turned off stays off
+            assert spark.conf.get(key, None) is None
+    finally:
+        spark.conf.set(static, before)

@@ -43,13 +43,28 @@ def repeated_keys(df: DataFrame, keys) -> DataFrame:
     return df.sparkSession.read.schema(counts.schema).parquet(path)
 
 
+# Repeated keys that are broadcast at most, as 64-bit hashes.
+BROADCAST_KEYS = 2_000_000
+
+
 def _dedupe_repeated(df: DataFrame, keys: list[str], order_by) -> DataFrame:
-    """Rows of keys that stand once pass as they are; the ordered choice is made among the others."""
-    names = [f"__k{i}" for i in range(len(keys))]
-    found = repeated_keys(df, keys).drop("n").toDF(*names)
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
-    once = df.join(found, same, "left_anti")
-    return once.unionByName(dedupe(df.join(found, same, "left_semi"), keys, order_by))
+    """Rows of keys that stand once pass as they are; the ordered choice is made among the others.
+
+    Keys are told apart by a hash: those that only share one with another key are
+    among "the others" too, where the choice is made by the key itself. With more
+    than ``BROADCAST_KEYS`` repeated ones all rows go through the one shuffle of
+    the plain aggregate.
+    """
+    key = F.xxhash64(*keys)
+    found = repeated_keys(df.select(key.alias("__k")), "__k").select("__k")
+    n = found.count()
+    if n == 0:
+        return df
+    if n > BROADCAST_KEYS:
+        return dedupe(df, keys, order_by)
+    found = F.broadcast(found)
+    once = df.join(found, key == F.col("__k"), "left_anti")
+    return once.unionByName(dedupe(df.join(found, key == F.col("__k"), "left_semi"), keys, order_by))
 
 
 def dedupe(df: DataFrame, keys, order_by: Sequence[str | Column] | None = None,
@@ -66,11 +81,10 @@ def dedupe(df: DataFrame, keys, order_by: Sequence[str | Column] | None = None,
         of all rows is cut to one row per map task and never lands whole in
         one reducer. Needs ascending column names in ``order_by``.
       * ``repeated`` - the same rows in two phases: a hash count finds the keys
-        that repeat (a job of its own), and only their rows are aggregated. The
-        rows of all other keys are neither sorted nor, where the repeated keys
-        are few enough to broadcast by their size, shuffled. Reads ``df`` three
-        times, once for the keys alone: for stored tables, and only for inputs
-        that give the same rows each time.
+        that repeat (a job of its own, which shuffles 8 bytes a key and count), and
+        only their rows are aggregated. The rows of all other keys are neither sorted
+        nor shuffled. Reads ``df`` three times, once for the keys alone: for stored
+        tables, and only for inputs that give the same rows each time.
       * ``window`` - ``row_number() = 1`` over the key; any sort order.
       * ``any`` - ``dropDuplicates``: Spark keeps an undefined row (the
         reference's behaviour, not repeatable).

@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tiers.operators.model import input_bytes
 from tiers.plans import bronze, gold, silver
 from tiers.plans import state as states
 from tiers.plans.specs import GOLD_SPECS, SILVER
-from tiers.session import label_jobs, shuffle_partitions_for
+from tiers.session import aqe_broadcast, label_jobs, shuffle_partitions_for
 from tiers.sources import catalog
 
 REPORT_SCHEMA = T.StructType([
@@ -32,6 +33,13 @@ REPORT_SCHEMA = T.StructType([
 COUNTED_SCHEMA = T.StructType(REPORT_SCHEMA.fields + [
     T.StructField("counts", T.MapType(T.StringType(), T.LongType()))])
 
+# A stored bronze table of at least so many bytes is deduplicated in two phases:
+# rows whose key stands once are neither sorted nor shuffled. Same rows.
+TWO_PHASE_BYTES = 64 << 20
+# What AQE may broadcast in gold: a lookup shrunk to the keys that repeat spares
+# the fact a shuffle while it has at most some 64 MB.
+GOLD_BROADCAST = "64m"
+
 # Silver tables written without schema replacement in the reference (K2).
 KEEP_SCHEMA = frozenset({"crm_cust_info"})
 
@@ -101,7 +109,8 @@ def run_silver(spark: SparkSession, bronze_schema: str = "bronze", silver_schema
             if counts:
                 df, observed = silver.build_counted(df, spec, **build_opts)
             else:
-                df = silver.build(df, spec, **build_opts)
+                method = "repeated" if input_bytes(df) >= TWO_PHASE_BYTES else "aggregate"
+                df = silver.build(df, spec, **{"dedupe_method": method, **build_opts})
             res = catalog.save_table(df, target, fmt=fmt, replace_schema=spec.name not in KEEP_SCHEMA,
                                      bucket_by=(buckets, spec.join_key) if buckets and spec.join_key else None)
             return res["rows"], ({k: v or 0 for k, v in observed.get.items()} if counts else None)
@@ -145,7 +154,7 @@ def run_gold(spark: SparkSession, silver_schema: str = "silver", gold_schema: st
                           (name, fmt, plain, sorted(build_opts.items())), make, state, known)[0]
 
     known = _known(spark, state)
-    with shuffle_partitions_for(spark, *inputs):
+    with shuffle_partitions_for(spark, *inputs), aqe_broadcast(spark, GOLD_BROADCAST):
         done = _run(chosen, one, parallelism)
     return spark.createDataFrame(done, REPORT_SCHEMA)
 
