@@ -21,3 +21,20 @@ def test_paths_are_cut_per_part_not_per_line(spark, tmp_path, monkeypatch):
         scan = next(i for i, s in enumerate(lines) if "text" in s and "Relation" in s)
         count = max(i for i, s in enumerate(lines[:scan]) if "Aggregate" in s)
         assert not any("Filter" in s or "decode" in s.lower() or "substring_index" in s for s in lines[count + 1:scan])
+
+
+def test_exports_are_written_side_by_side_and_parts_of_one_in_order(spark, monkeypatch):
+    import threading
+    from tiers.plans import landing
+    calls, both = [], threading.Barrier(2, timeout=60)
+
+    def write(df, path, mode="overwrite"):
+        if path.endswith(("sales_details.csv", f"{landing.STAMP}_cust_info.csv")):
+            both.wait()                  # only passes while another export is being written
+        calls.append((path.rsplit("/", 1)[-1], mode))
+
+    monkeypatch.setattr(landing, "_write", write)
+    landing.write_landing(spark, "/root/testdata/sf0.001")
+    assert len(calls) == 15
+    mixed = f"{landing.STAMP}_mixed.csv"
+    assert [c for c in calls if c[0] == mixed] == [(mixed, "overwrite"), (mixed, "append")]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType
 
 # Fixed value: the characters stripped from money text before the cast.
-MONEY_NOISE = r"[\$,]"
+MONEY_NOISE = "$,"
 
 
 def _c(c) -> Column:
@@ -35,7 +35,7 @@ def to_int(c, strict: bool = False) -> Column:
 
 def money(c, precision: int = 10, scale: int = 2, strict: bool = False) -> Column:
     """Money text such as '$1,234.50' to decimal(p,s)."""
-    cleaned = F.regexp_replace(_c(c).cast("string"), MONEY_NOISE, "")
+    cleaned = F.translate(_c(c).cast("string"), MONEY_NOISE, "")
     return _cast(cleaned, DecimalType(precision, scale), strict)
 
 

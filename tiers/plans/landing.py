@@ -12,6 +12,8 @@ broken, so that an older good one must stay.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
 from tiers.session import shared_dir
@@ -52,19 +54,31 @@ def write_landing(spark: SparkSession, sf_dir: str, base: str | None = None,
     """Write the landing folder and return its path (under the shared folder)."""
     base = (base or shared_dir(spark, "landing")).rstrip("/")
     raws = driver_tables.raw_all(spark, sf_dir)
-    for subset, stem, extract in EXPORTS:
-        _write(raws[extract], f"{base}/{subset}/{STAMP}_{stem}.csv")
+    cust, prd, loc, cat = (raws[n] for n in ("crm_cust_info", "crm_prd_info", "erp_loc_a101", "erp_px_cat_g1v2"))
+    # one entry per export: its writes, in order
+    work = [[(raws[extract], f"{subset}/{STAMP}_{stem}.csv")] for subset, stem, extract in EXPORTS]
     if extras:
-        _write(raws["crm_cust_info"], f"{base}/crm/{OLD_STAMP}_cust_info.csv")
-        _write(raws["crm_cust_info"].limit(0), f"{base}/crm/{STAMP}_empty-file.csv")
-        files.write_csv(raws["erp_loc_a101"].selectExpr("CID AS note"), f"{base}/crm/readme.txt")
-        _write(raws["erp_loc_a101"], f"{base}/erp/{STAMP}_loc a101-bad.csv")
-        _write(raws["crm_prd_info"], f"{base}/crm/{OLD_STAMP}_prd_kept.csv")
-        _write(raws["crm_prd_info"].limit(0), f"{base}/crm/{STAMP}_prd_kept.csv")
-        _write(raws["erp_px_cat_g1v2"], f"{base}/erp/{OLD_STAMP}_px_kept.csv")
-        _write(raws["erp_px_cat_g1v2"].withColumnRenamed("ID", "CODE"), f"{base}/erp/{STAMP}_px_kept.csv")
-        _write(raws["erp_loc_a101"].select("CID", "CNTRY"), f"{base}/erp/{STAMP}_mixed.csv")
-        _write(raws["erp_loc_a101"].select("CNTRY", "CID"), f"{base}/erp/{STAMP}_mixed.csv", "append")
+        work += [
+            [(cust, f"crm/{OLD_STAMP}_cust_info.csv")],
+            [(cust.limit(0), f"crm/{STAMP}_empty-file.csv")],
+            [(loc, f"erp/{STAMP}_loc a101-bad.csv")],
+            [(prd, f"crm/{OLD_STAMP}_prd_kept.csv")],
+            [(prd.limit(0), f"crm/{STAMP}_prd_kept.csv")],
+            [(cat, f"erp/{OLD_STAMP}_px_kept.csv")],
+            [(cat.withColumnRenamed("ID", "CODE"), f"erp/{STAMP}_px_kept.csv")],
+            [(loc.select("CID", "CNTRY"), f"erp/{STAMP}_mixed.csv"),
+             (loc.select("CNTRY", "CID"), f"erp/{STAMP}_mixed.csv", "append")],
+        ]
+        files.write_csv(loc.selectExpr("CID AS note"), f"{base}/crm/readme.txt")
+
+    def export(writes):
+        for df, name, *mode in writes:
+            _write(df, f"{base}/{name}", *mode)
+
+    # the sales first, beside the others: most of those are a task or two
+    work.sort(key=lambda writes: writes[0][0] is not raws["crm_sales_details"])
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(export, work))
     return base
 
 
