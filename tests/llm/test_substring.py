@@ -110,3 +110,34 @@ def test_block_against_every_stretch():
                 if any(docs[o] < docs[i] and any(g[k:k + size] == f[j:j + size] for k in range(len(g)))
                        for o, g in enumerate(forms))}
         assert got == want
+
+
+def test_hot_anchors_cost_no_further_pass_over_the_texts(spark, documents):
+    rows = list(enumerate(corpus(5)))
+    seen = {}
+    for hot in (1, substring.HOT):
+        counted = spark.sparkContext.accumulator(0)
+
+        def count(batches, counted=counted):
+            for batch in batches:
+                counted.add(batch.num_rows)
+                yield batch
+
+        df = documents(rows)
+        assert result(df.mapInArrow(count, df.schema), hot=hot) == brute(rows)
+        seen[hot] = counted.value
+    assert seen[1] == seen[substring.HOT] > 0
+
+
+def test_parse_lets_hot_rows_through_behind_the_others():
+    rng = np.random.default_rng(7)
+    same = rng.integers(0, 1 << 62, 2 * W).astype(np.uint64).tobytes()
+    rows = [(1, 10, 5, False), (1, 11, 6, False), (9, 12, 5, True), (9, 13, 6, True), (9, 14, 7, True)]
+    columns = [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows]),
+               pa.array([W + 1] * 5, pa.int32()), pa.array([r[3] for r in rows]), pa.array([same] * 5, pa.binary())]
+    batch = pa.RecordBatch.from_arrays(columns, names=["anchor", "form", "doc_id", "n", "hot", "words"])
+    for cut in range(6):  # a batch may end anywhere
+        parts = [b for b in (batch.slice(0, cut), batch.slice(cut)) if b.num_rows]
+        out = pa.Table.from_batches(list(substring._parse(iter(parts)))).to_pylist()
+        assert [(r["form"], r["low"], r["high"]) for r in out if r["words"] is None] == [(11, 0, W)]
+        assert [(r["form"], r["doc_id"], r["n"], r["words"]) for r in out if r["words"]] == [(f, d, W + 1, same) for _, f, d, h in rows if h]

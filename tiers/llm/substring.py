@@ -19,7 +19,7 @@ the input, so what is removed elsewhere does not matter.
   reaches to its end or past it (the match is the longest); only such windows are looked up.
 * An anchor with more than ``HOT`` forms (a short passage in very many documents) is
   not gathered: its windows themselves become keys, with the smallest id that has
-  them, summed map-side.
+  them, summed map-side. Its words are cut in the same pass over the texts as the others'.
 
 Texts are joined with what is asked of them, and with what goes, by the same sorted
 merge at every size. Words and windows are compared by 64-bit hashes, an anchor's and a wording's together.
@@ -34,6 +34,7 @@ ignored; a very long text is cut into pieces like any other.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -221,8 +222,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             want = pa.RecordBatch.from_struct_array(asked[i].values)
             cut = [words[a:a + n + WINDOW - 1].tobytes() for a, n in zip(want["first"].to_pylist(), want["n"].to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [want["anchor"], want["form"], batch.column(0).take(pa.array([i] * len(cut))), want["n"],
-                 pa.array(cut, pa.binary())], names=["anchor", "form", "doc_id", "n", "words"])
+                [want["anchor"], want["form"], batch.column(0).take(pa.array([i] * len(cut))), want["n"], want["hot"],
+                 pa.array(cut, pa.binary())], names=["anchor", "form", "doc_id", "n", "hot", "words"])
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -245,15 +246,33 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in _blocks(batches):
+    """Repeated windows of the forms that are parsed; those of hot anchors, which are sorted last, go through."""
+    batches, hot = iter(batches), []
+
+    def parsed() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows - (pc.sum(batch["hot"]).as_py() or 0)
+            if n:
+                yield batch.slice(0, n)
+            if n < batch.num_rows:
+                hot.append(batch.slice(n))
+                return
+
+    for table in _blocks(parsed()):
         cut = table["words"].to_pylist()
         size = np.array([len(x) // 8 for x in cut])
         block = Block(np.frombuffer(b"".join(cut), dtype=np.uint64), size, table["doc_id"].to_numpy())
         form, first, last = block.repeated()
         if len(form):
             found = table.select(["anchor", "form"]).take(pa.array(form)).combine_chunks()
-            yield from found.append_column("low", pa.array(first.astype(np.int32))).append_column(
-                "high", pa.array(last.astype(np.int32))).to_batches()
+            found = found.append_column("low", pa.array(first.astype(np.int32))).append_column("high", pa.array(last.astype(np.int32)))
+            for name in ("doc_id", "n", "words"):
+                found = found.append_column(name, pa.nulls(len(form), table.schema.field(name).type))
+            yield from found.to_batches()
+    for batch in chain(hot, batches):
+        none = pa.nulls(batch.num_rows, pa.int32())
+        yield pa.RecordBatch.from_arrays([batch["anchor"], batch["form"], none, none, batch["doc_id"], batch["n"], batch["words"]],
+                                         names=["anchor", "form", "low", "high", "doc_id", "n", "words"])
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -325,16 +344,16 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
         .filter("low < high").drop("low", "high"), "substring/several")
     wanted = written(forms.drop("last").join(several, "anchor"), "substring/wanted")
 
-    def words(which: str) -> DataFrame:
-        asked = (wanted.filter(which).groupBy("doc_id", "row_key")
-                 .agg(F.collect_list(F.struct("anchor", "form", "first", "n")).alias("asked")))
-        return (known.join(asked.hint("merge"), ["doc_id", "row_key"]).select("doc_id", "text", "asked")
-                .mapInArrow(_cut, f"anchor bigint, form bigint, doc_id {kind}, n int, words binary"))
-
-    parsed = (words(f"forms <= {hot}").repartition("anchor").sortWithinPartitions("anchor")
-              .mapInArrow(_parse, "anchor bigint, form bigint, low int, high int"))
+    asked = (wanted.groupBy("doc_id", "row_key")
+             .agg(F.collect_list(F.struct("anchor", "form", "first", "n", (F.col("forms") > hot).alias("hot"))).alias("asked")))
+    # one pass over the texts for both kinds; the forms of a hot anchor are dealt one by one
+    words = (known.join(asked.hint("merge"), ["doc_id", "row_key"]).select("doc_id", "text", "asked")
+             .mapInArrow(_cut, f"anchor bigint, form bigint, doc_id {kind}, n int, hot boolean, words binary"))
+    found = written(words.repartition("anchor", F.expr("if(hot, form, null)")).sortWithinPartitions("hot", "anchor").mapInArrow(
+        _parse, f"anchor bigint, form bigint, low int, high int, doc_id {kind}, n int, words binary"), "substring/found")
+    parsed = found.filter("words is null").select("anchor", "form", "low", "high")
     if not wanted.filter(f"forms > {hot}").isEmpty():
-        parsed = parsed.unionByName(_hot_spans(words(f"forms > {hot}")))
+        parsed = parsed.unionByName(_hot_spans(found.filter("words is not null").drop("low", "high")))
     parsed = parsed.groupBy("anchor", "form").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     # a table of its own: the join below then has plain inputs, and a form with very many copies can be split
     repeated = written(forms.withColumnRenamed("doc_id", "owner").select("anchor", "form", "owner", "last")
