@@ -2,8 +2,10 @@
 
 import os
 import re
+from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tiers.plans import gold, layers, silver
 from tiers.sources import driver_tables
@@ -205,3 +207,48 @@ def test_large_input_is_decided_by_size_alone(spark):
     """Estimated at 8 TB: no spread, decided before any file list is fetched."""
     from tiers.operators.layout import needs_spread
     assert not needs_spread(spark.range(10**12), cores=8)
+
+
+def test_no_text_goes_through_the_join_of_the_sales_export(spark):
+    """Both sides of it are shuffled where orders are many: marks and numbers go, texts are made behind it."""
+    plan = driver_tables.raw(spark, SF, "crm_sales_details")._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Join":
+        plan = plan.children().head()
+    for side in range(2):
+        out = plan.children().apply(side).output()
+        types = [out.apply(i).dataType().simpleString() for i in range(out.size())]
+        assert len(types) <= 6 and not {"string", "timestamp", "timestamp_ntz"} & set(types)
+
+
+def test_sales_export_of_odd_lines(spark):
+    """Every line number with every flag and status, and NULLs anywhere: a condition that is NULL does not hold."""
+    lines = [(1, 7, n, r, s, price, q, d, day)
+             for n in (None, 1, 2, 3, 4, 5, 6, 7, 9) for r in (None, "A", "N", "R", "x") for s in (None, "O", "F")
+             for price, q, d, day in ((1234.565, 3.0, 0.0, "1996-03-13 23:59:59"), (None, None, None, None), (0.01, 7.9, 0.1, "0999-12-31 00:00:00"))]
+    lines += [(None, 7, 1, "A", "O", 1.0, 1.0, 0.0, None), (2, None, 1, "A", "O", 1.0, 1.0, 0.0, None), (3, 7, 1, "A", "O", 1.0, 1.0, 0.0, None)]
+    lineitem = spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_returnflag string, l_linestatus string,"
+                                            "l_extendedprice double, l_quantity double, l_discount double, day string"
+                                     ).withColumn("l_shipdate", F.to_timestamp("day"))
+    orders = spark.createDataFrame([(1, 5, "2020-02-29 12:00:00"), (2, None, None), (None, 6, None)], "o_orderkey long, o_custkey long, day string"
+                                   ).withColumn("o_orderdate", F.to_timestamp("day"))
+    got = driver_tables.crm_sales_details(lineitem, orders).collect()
+
+    def ymd(t, days=0):
+        return None if t is None else int((date.fromisoformat(t[:10]) + timedelta(days)).strftime("%Y%m%d"))
+
+    def expected(o, part, n, r, s, price, q, d, day):
+        cents = None if price is None else int(price * 100 + 0.5)
+        plain = None if cents is None else f"{cents // 100}.{cents % 100:02d}"
+        unit = None if price is None else int(price * 100 / q + 0.5)
+        unit = None if unit is None else f"{unit // 100}.{unit % 100:02d}"
+        ship = ymd(day)
+        return (f"SO{o}", None if (n == 7 and r == "N") or part is None else f"P{part}", 5 if o == 1 else None,
+                0 if n == 6 else ymd("2020-02-29") if o == 1 else None,
+                "5489" if s == "O" and n == 5 else None if ship is None else f"{ship:08d}",
+                (None if ship is None else ship // 10000 * 10000 + 1332) if r == "R" and n == 4 else ymd(day, 30),
+                None if plain is None and r == "A" else f"${cents // 100:,}.{cents % 100:02d}" if r == "A" else plain if r == "N"
+                else None if n == 3 else "n/a" if n == 2 else plain,
+                "x" if n == 1 and r == "A" else None if q is None else str(int(q)),
+                None if unit is None else f"-{unit}" if d == 0 else unit)
+
+    assert sorted(map(str, map(tuple, got))) == sorted(str(expected(*x)) for x in lines if x[0] in (1, 2))

@@ -152,32 +152,57 @@ def crm_prd_info(part: DataFrame) -> DataFrame:
     return _with_more(p, base, size >= 49, relisted)
 
 
+#: What a line's number, flags and discount decide, as bits; the two of ``_SALES`` say how its sales are written.
+_NO_ORDER_DAY, _OLD_SHIP_DAY, _BAD_DUE_DAY, _SALES, _NO_QUANTITY, _MINUS = 1, 2, 4, 8, 32, 64
+_GROUPED, _NO_SALES, _NA_SALES = 1, 2, 3
+
+
+def _line_marks(ln: Column, rf: Column, ls: Column, discount: Column) -> Column:
+    """The bits of a line; a condition that is NULL does not hold, as in ``CASE WHEN``."""
+    def mark(condition: Column, bit: int) -> Column:
+        return F.when(condition, bit).otherwise(0)
+
+    sales = (F.when(rf == "A", _GROUPED).when(rf == "N", 0).when(ln == 3, _NO_SALES).when(ln == 2, _NA_SALES).otherwise(0))
+    return (mark(ln == 6, _NO_ORDER_DAY) + mark((ls == "O") & (ln == 5), _OLD_SHIP_DAY)
+            + mark((rf == "R") & (ln == 4), _BAD_DUE_DAY) + sales * _SALES
+            + mark((ln == 1) & (rf == "A"), _NO_QUANTITY) + mark(discount == 0, _MINUS)).cast("byte")
+
+
 def crm_sales_details(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    li = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey, "inner")
-    ln, rf, ls = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
-    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
-    amount = _decimal_text(cents, 2)
+    """The join may shuffle both tables: only what the texts are made of goes through it, the texts after it."""
+    ln, rf = F.col("l_linenumber"), F.col("l_returnflag")
+    lines = lineitem.select(
+        "l_orderkey", F.when((ln == 7) & (rf == "N"), F.lit(None)).otherwise(F.col("l_partkey")).alias("part"),
+        F.col("l_extendedprice").alias("price"), F.col("l_quantity").alias("quantity"), F.to_date("l_shipdate").alias("ship"),
+        _line_marks(ln, rf, F.col("l_linestatus"), F.col("l_discount")).alias("marks"))
+    days = orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("ordered"))
+    li = lines.join(days, lines.l_orderkey == days.o_orderkey, "inner")
+    price, marks = F.col("price"), F.col("marks").cast("int")
+
+    def marked(bit: int) -> Column:
+        return marks.bitwiseAND(bit) != 0
+
+    sales = F.shiftright(marks, 3).bitwiseAND(3)
+    cents = F.floor(price * 100 + 0.5)
     grouped = F.concat(_s("$"), F.format_number(F.floor(cents / 100), 0), _s("."),
                        F.lpad(_digits(cents % 100), 2, "0"))
-    unit = _decimal_text(F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity") + 0.5), 2)
+    unit = _decimal_text(F.floor(price * 100 / F.col("quantity") + 0.5), 2)
     return li.select(
         F.concat(_s("SO"), _digits(F.col("l_orderkey"))).alias("sls_ord_num"),
-        F.when((ln == 7) & (rf == "N"), F.lit(None).cast("string"))
-         .otherwise(F.concat(_s("P"), _digits(F.col("l_partkey")))).alias("sls_prd_key"),
+        F.concat(_s("P"), _digits(F.col("part"))).alias("sls_prd_key"),
         F.col("o_custkey").alias("sls_cust_id"),
-        F.when(ln == 6, F.lit(0)).otherwise(_ymd_int(F.col("o_orderdate")))
+        F.when(marked(_NO_ORDER_DAY), F.lit(0)).otherwise(_ymd_int(F.col("ordered")))
          .cast("int").alias("sls_order_dt"),
-        F.when((ls == "O") & (ln == 5), _s("5489")).otherwise(_ymd(F.col("l_shipdate")))
+        F.when(marked(_OLD_SHIP_DAY), _s("5489")).otherwise(_ymd(F.col("ship")))
          .alias("sls_ship_dt"),
-        F.when((rf == "R") & (ln == 4), F.year("l_shipdate") * 10000 + 1332)
-         .otherwise(_ymd_int(F.date_add(F.to_date("l_shipdate"), 30)))
+        F.when(marked(_BAD_DUE_DAY), F.year("ship") * 10000 + 1332)
+         .otherwise(_ymd_int(F.date_add(F.col("ship"), 30)))
          .cast("int").alias("sls_due_dt"),
-        F.when(rf == "A", grouped).when(rf == "N", amount)
-         .when(ln == 3, F.lit(None).cast("string")).when(ln == 2, _s("n/a"))
-         .otherwise(amount).alias("sls_sales"),
-        F.when((ln == 1) & (rf == "A"), _s("x"))
-         .otherwise(F.col("l_quantity").cast("int").cast("string")).alias("sls_quantity"),
-        F.when(F.col("l_discount") == 0, F.concat(_s("-"), unit)).otherwise(unit).alias("sls_price"),
+        F.when(sales == _GROUPED, grouped).when(sales == _NO_SALES, F.lit(None).cast("string"))
+         .when(sales == _NA_SALES, _s("n/a")).otherwise(_decimal_text(cents, 2)).alias("sls_sales"),
+        F.when(marked(_NO_QUANTITY), _s("x"))
+         .otherwise(F.col("quantity").cast("int").cast("string")).alias("sls_quantity"),
+        F.when(marked(_MINUS), F.concat(_s("-"), unit)).otherwise(unit).alias("sls_price"),
     )
 
 
